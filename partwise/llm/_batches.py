@@ -92,3 +92,31 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def tabled(seed: int) -> np.ndarray:
     """256 random 64-bit values, the same for the same seed."""
     return np.random.default_rng(seed).integers(0, 1 << 64, 256, U64)
+
+
+def coded(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Each slice of a flat buffer as a code, and the distinct slices (large_binary) that the codes stand for."""
+    lengths = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    gapless = len(starts) == 0 or (np.array_equal(starts[1:], ends[:-1]) and starts[0] == 0 and ends[-1] == len(raw))
+    data = raw if gapless else raw[ranges(starts, lengths)]
+    slices = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+    found = slices.dictionary_encode()
+    return found.indices.to_numpy(), found.dictionary
+
+
+def gathered(codes: np.ndarray, lists_at: np.ndarray, lists: np.ndarray) -> np.ndarray:
+    """The lists of all codes one after the other, where list c is lists[lists_at[c]:lists_at[c + 1]]."""
+    return lists[ranges(lists_at[codes], lists_at[codes + 1] - lists_at[codes])]
+
+
+def list_column(at: np.ndarray, values: np.ndarray) -> pa.Array:
+    """An Arrow array<int> column with row i = values[at[i]:at[i + 1]]."""
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, pa.int32()))
+
+
+def list_values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and values of an array<int> column."""
+    values = column.flatten().to_numpy()
+    lengths = np.array(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), np.int64)
+    return np.concatenate([[0], np.cumsum(lengths)]), values

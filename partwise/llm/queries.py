@@ -6,17 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from partwise.llm import ngram_join
+from partwise.llm import byte_bpe, id_planes, ngram_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.jaccard_classes(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return ngram_join.jaccard_classes(_documents(spark, sf_dir))
+
+
+def op8_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return id_planes.written_digests(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.round_trip_digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op8_id_planes": op8_id_planes,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}

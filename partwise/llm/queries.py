@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from partwise.llm import byte_bpe, id_planes, ngram_join
+from partwise.llm import byte_bpe, chat_format, id_planes, mixing, ngram_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,19 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(_documents(spark, sf_dir))
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir))
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    probe = r"\### Assistant: </turn> ok"
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
+    rows = turns.unionByName(extra)
+    formatted = chat_format.format_conversations(rows.select("conv_id", "turn", "role", chat_format.text_parts(F.col("text")).alias("parts")))
+    return chat_format.digests(formatted)
+
+
 def op8_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -33,8 +47,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op5_mixing": op5_mixing,
+    "op6_chat_format": op6_chat_format,
     "op8_id_planes": op8_id_planes,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.SQL, "op6_chat_format": chat_format.SQL}

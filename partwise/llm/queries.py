@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm import byte_bpe, chat_format, id_planes, mixing, ngram_join
+from partwise.llm import byte_bpe, chat_format, id_planes, license_scan, media_columns, mixing, ngram_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(_documents(spark, sf_dir))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_rows(_documents(spark, sf_dir)).drop("hits")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
@@ -33,6 +37,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(formatted)
 
 
+def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_columns.document_media(_documents(spark, sf_dir))
+
+
 def op8_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -47,8 +55,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_license_scan": op2_license_scan,
     "op5_mixing": op5_mixing,
     "op6_chat_format": op6_chat_format,
+    "op7_media_columns": op7_media_columns,
     "op8_id_planes": op8_id_planes,
     "op9_byte_bpe": op9_byte_bpe,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm import byte_bpe, chat_format, id_planes, license_scan, media_columns, mixing, ngram_join
+from partwise.llm import byte_bpe, chat_format, id_planes, lattice_lm, license_scan, media_columns, mixing, ngram_join
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_rows(_documents(spark, sf_dir)).drop("hits")
 
 
+def op3_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return lattice_lm.score_documents(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
@@ -56,6 +62,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_license_scan": op2_license_scan,
+    "op3_lattice_lm": op3_lattice_lm,
     "op5_mixing": op5_mixing,
     "op6_chat_format": op6_chat_format,
     "op7_media_columns": op7_media_columns,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm import byte_bpe, chat_format, id_planes, lattice_lm, license_scan, media_columns, mixing, ngram_join
+from partwise.llm import byte_bpe, chat_format, id_planes, lattice_lm, license_scan, media_columns, metric_join, mixing, ngram_join, rule_classifier
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,10 @@ def op3_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.score_documents(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
@@ -59,15 +63,22 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_rule_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rule_classifier.scored(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_license_scan": op2_license_scan,
     "op3_lattice_lm": op3_lattice_lm,
+    "op4_metric_join": op4_metric_join,
     "op5_mixing": op5_mixing,
     "op6_chat_format": op6_chat_format,
     "op7_media_columns": op7_media_columns,
     "op8_id_planes": op8_id_planes,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_rule_classifier": op10_rule_classifier,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.SQL, "op6_chat_format": chat_format.SQL}

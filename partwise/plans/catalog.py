@@ -2,5 +2,10 @@
 
 from __future__ import annotations
 
+from partwise.plans import interval_queries
+
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
+for _module in (interval_queries,):
+    QUERIES |= _module.QUERIES
+    ORACLE_SQL |= _module.ORACLE_SQL

@@ -8,7 +8,7 @@ name the bucket in which the budget ends, and only that bucket is cut again by t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partwise.llm._batches import stored
@@ -18,12 +18,18 @@ _STEP, _BITS = 12, 60
 _BROADCAST_SOURCES = 10_000
 
 
+def _hash() -> Column:
+    return F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+
+
+def _key() -> Column:
+    return F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), "source"))
+
+
 def sized(documents: DataFrame) -> DataFrame:
     """(doc_id, source, key, size, h): words of the whole text, and 60 bits of the md5 of doc_id as text."""
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
-    h = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
-    key = F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), "source"))
-    return documents.select("doc_id", "source", key.alias("key"), size.alias("size"), h.alias("h"))
+    return documents.select("doc_id", "source", _key().alias("key"), size.alias("size"), _hash().alias("h"))
 
 
 def source_targets(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -45,14 +51,8 @@ def _with(docs: DataFrame, sources: DataFrame, few: bool) -> DataFrame:
     return docs.join(F.broadcast(sources) if few else sources, "key")
 
 
-def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of every row of doc_id, text and source.
-
-    taken is size times 0, 1 or more whole repeats, at most `most` times. A null or empty text has size 0; a null
-    source is a source; rows of equal doc_id and source are taken alike; an empty table gives an empty result. Other
-    columns are ignored. Reruns agree, as hashes depend on doc_id alone.
-    """
-    docs = stored(sized(documents))
+def _thresholds(docs: DataFrame, weights: tuple[float, ...], share: float, most: float) -> tuple[DataFrame, bool]:
+    """One row per source: key, source_size, target, times, rest, and the hash (prefix) in which the rest ends; whether rows are few."""
     sources = source_targets(docs, weights, share, most)
     times = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     state = stored(sources.withColumn("times", times.cast("long")).withColumn("rest", F.col("target") - F.col("times") * F.col("source_size"))
@@ -66,9 +66,34 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
         first = near.groupBy("key").agg(F.min(F.struct("bucket", (F.col("low") + F.col("sum") - F.col("n")).alias("before"), F.col("n").cast("double").alias("own"))).alias("f"))
         state = stored(state.select("key", "source_size", "target", "times", "rest").join(first, "key", "left").select(
             "key", "source_size", "target", "times", "rest", F.coalesce("f.bucket", F.lit(-1)).alias("prefix"), F.coalesce("f.before", F.lit(0.0)).alias("before"), F.coalesce("f.own", F.lit(0.0)).alias("own")))
+    return state, few
+
+
+def _times() -> Column:
+    """How often a row with h and its source's threshold is taken."""
     closer = F.col("before") + F.col("own") - F.col("rest") < F.col("rest") - F.col("before")
-    more = (F.col("h") < F.col("prefix")) | ((F.col("h") == F.col("prefix")) & closer)
-    return _with(docs, state, few).select("doc_id", "source", "size", "source_size", "target", (F.col("size") * (F.col("times") + more.cast("long"))).alias("taken"))
+    return F.col("times") + ((F.col("h") < F.col("prefix")) | ((F.col("h") == F.col("prefix")) & closer)).cast("long")
+
+
+def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken) of every row of doc_id, text and source.
+
+    taken is size times 0, 1 or more whole repeats, at most `most` times. A null or empty text has size 0; a null
+    source is a source; rows of equal doc_id and source are taken alike; an empty table gives an empty result. Other
+    columns are ignored. Reruns agree, as hashes depend on doc_id alone.
+    """
+    docs = stored(sized(documents))
+    state, few = _thresholds(docs, weights, share, most)
+    return _with(docs, state, few).select("doc_id", "source", "size", "source_size", "target", (F.col("size") * _times()).alias("taken"))
+
+
+def mixed_rows(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """The rows of documents as often as the mix takes them, with the columns of documents; texts are not shuffled."""
+    state, few = _thresholds(stored(sized(documents)), weights, share, most)
+    row = F.struct(*[F.col(c) for c in documents.columns]).alias("row")
+    hashed = documents.select(row, _key().alias("key"), _hash().alias("h"))
+    taken = _with(hashed, state.select("key", "times", "rest", "prefix", "before", "own"), few).withColumn("taken", _times()).where("taken > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "taken"))).select("row.*")
 
 
 SQL = r"""

@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from partwise.llm._batches import coded, flat, pieces, stored, word_bounds
 
@@ -25,13 +26,16 @@ _CLASSES = {"upper": b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", "digit": b"0123456789", "sym
 Rule = tuple[tuple[int, bool, float], ...]  # (statistic, above?, threshold) of each comparison
 
 
-def statistics(documents: DataFrame) -> DataFrame:
-    """(doc_id, STATISTICS ...) of every row; shares of nothing are 0."""
+def with_statistics(documents: DataFrame) -> DataFrame:
+    """All rows and columns, and a struct text_statistics of the whole text; shares of nothing are 0."""
+    docs = documents.withColumn("text", F.col("text").cast("string"))
+    schema = T.StructType([*docs.schema.fields, T.StructField("text_statistics", T.StructType([T.StructField(s, T.DoubleType()) for s in STATISTICS]))])
+    text_at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text", 4 << 20):
-                raw, at = flat(part.column(1))
+                raw, at = flat(part.column(text_at))
                 n = len(part)
                 size = np.maximum(np.diff(at), 1)
 
@@ -61,10 +65,10 @@ def statistics(documents: DataFrame) -> DataFrame:
                     table = np.zeros(256, bool)
                     table[list(members)] = True
                     found[name] = share(table[raw])
-                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(found[s].astype(float)) for s in STATISTICS)], ["doc_id", *STATISTICS])
+                struct = pa.StructArray.from_arrays([pa.array(found[s].astype(float)) for s in STATISTICS], STATISTICS)
+                yield pa.RecordBatch.from_arrays([*part.columns, struct], [*part.schema.names, "text_statistics"])
 
-    docs = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return docs.mapInArrow(run, "doc_id long, " + ", ".join(f"{s} double" for s in STATISTICS))
+    return docs.mapInArrow(run, schema)
 
 
 def _held(column: Column) -> Column:
@@ -148,25 +152,38 @@ def compiled(intercept: float, rules: list[tuple[Rule, float]]) -> Column:
     for rule, weight in rules:
         test = None
         for s, above, t in rule:
-            one = F.col(STATISTICS[s]) > F.lit(t) if above else F.col(STATISTICS[s]) <= F.lit(t)
+            value = F.col("text_statistics")[STATISTICS[s]]
+            one = value > F.lit(t) if above else value <= F.lit(t)
             test = one if test is None else test & one
         margin = margin + F.when(test, F.lit(weight)).otherwise(F.lit(0.0))
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
 
 
+def fitted(stats: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Column:
+    """A score column over text_statistics, learnt from rows (doc_id, text_statistics) and the quality of labels."""
+    marks = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
+    known = stats.where(~_held(F.col("doc_id"))).select(F.col("doc_id").cast("long").alias("doc_id"), "text_statistics.*").join(marks, "doc_id")
+    table = known.orderBy(F.xxhash64("doc_id"), "doc_id", *STATISTICS).limit(train_rows).select("quality", *STATISTICS).toArrow()
+    x = np.stack([table.column(s).to_numpy() for s in STATISTICS], 1) if table.num_rows else np.zeros((0, len(STATISTICS)))
+    return compiled(*fit(x, table.column("quality").to_numpy().astype(float)))
+
+
 def scored(documents: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """(doc_id, held_out, score, predicted, STATISTICS ...) of every row of doc_id and text, fitted on labels' quality.
+    """(doc_id, held_out, score, text_statistics, predicted) of every row of doc_id and text, fitted on labels' quality.
 
     Rows whose crc32 of doc_id as text modulo 4 is 2 are not learnt from. Null and empty texts have statistics of 0 and
     a score from these; rows of equal doc_id are scored by their own text, of several labels the lowest counts; null
     labels are none; without labels every score is 0.5; an empty table gives an empty result. Other columns, labels,
     lang, source and doc_id are never inputs of a score.
     """
-    stats = stored(statistics(documents))
-    marks = labels.where("quality is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
-    known = stats.where(~_held(F.col("doc_id"))).join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *STATISTICS).limit(train_rows)
-    table = known.select("quality", *STATISTICS).toArrow()
-    x = np.stack([table.column(s).to_numpy() for s in STATISTICS], 1) if table.num_rows else np.zeros((0, len(STATISTICS)))
-    intercept, rules = fit(x, table.column("quality").to_numpy().astype(float))
-    score = compiled(intercept, rules)
-    return stats.select("doc_id", _held(F.col("doc_id")).alias("held_out"), score.alias("score"), *STATISTICS).withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+    stats = stored(with_statistics(documents.select(F.col("doc_id").cast("long"), "text")).drop("text"))
+    score = fitted(stats, labels, train_rows)
+    return stats.select("doc_id", _held(F.col("doc_id")).alias("held_out"), score.alias("score"), "text_statistics").withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+
+
+def kept(documents: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, cut: float = CUT) -> DataFrame:
+    """The rows of documents whose score reaches cut, with the columns of documents. Texts are read twice, not shuffled."""
+    marks = labels.select("doc_id").distinct()
+    few = with_statistics(documents.select("doc_id", "text")).drop("text")
+    score = fitted(few.join(marks, "doc_id", "left_semi"), labels, train_rows)
+    return with_statistics(documents).where(score >= cut).drop("text_statistics")

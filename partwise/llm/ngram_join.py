@@ -15,11 +15,11 @@ components is lost. Texts of candidates only are shuffled for the comparison.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from partwise.llm._batches import LOWER, flat, pieces, stored
@@ -28,6 +28,7 @@ from partwise.llm.ngram_sets import allocate, allowed, fingerprints, shingle_set
 
 WORDS, PERCENT = 5, 80
 _FILTER_BITS = 23
+_SMALL = 8  # members of a bucket that are paired without sketches
 _TABLE = bytes(LOWER)
 
 
@@ -94,51 +95,51 @@ def _shared_buckets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "sig long, fp1 long")
 
 
-def _leader_pairs(members: DataFrame) -> DataFrame:
-    """(a, b, chunk): in each bucket the first member with every other, from (sig, doc_id, n) sorted within a partition.
+def _leader_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b, chunk): in each bucket the first member with every other of a size that a link allows.
 
-    chunk cuts the partners of one a into parts of bounded size.
+    members has (sig, doc_id, n), sorted within a partition. chunk cuts the partners of one a into parts of bounded size.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sig0, lead0, rank0 = None, 0, 0
+        sig0, lead0, size0, rank0 = None, 0, 0, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig, doc = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            sig, doc, n = (c.to_numpy() for c in batch.columns)
             start = np.r_[True, sig[1:] != sig[:-1]]
             at = np.maximum.accumulate(np.where(start, np.arange(len(sig)), 0))
-            lead, rank = doc[at], np.arange(len(sig)) - at
+            lead, size, rank = doc[at], n[at], np.arange(len(sig)) - at
             if sig[0] == sig0:
                 first = at == 0
-                lead, rank = np.where(first, lead0, lead), np.where(first, rank + rank0 + 1, rank)
-            sig0, lead0, rank0 = sig[-1], lead[-1], rank[-1]
-            other = lead != doc
-            yield pa.RecordBatch.from_arrays([pa.array(lead[other]), pa.array(doc[other]), pa.array(rank[other] // 512)], ["a", "b", "chunk"])
+                lead, size, rank = np.where(first, lead0, lead), np.where(first, size0, size), np.where(first, rank + rank0 + 1, rank)
+            sig0, lead0, size0, rank0 = sig[-1], lead[-1], size[-1], rank[-1]
+            other = (lead != doc) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
+            yield pa.RecordBatch.from_arrays([pa.array(lead[other]), pa.array(doc[other]), pa.array(rank[other] // 128)], ["a", "b", "chunk"])
 
     return members.mapInArrow(run, "a long, b long, chunk long")
 
 
 def _sketches(texts: DataFrame, words: int) -> DataFrame:
-    """(doc_id, sketch): bit i is the parity of the set's elements that hash to i; twice as many bits in each next size band."""
+    """(doc_id, size, sketch): bit i is the parity of the set's elements that hash to i; four to eight bits an element, by size band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text", 4 << 20):
                 rows, hashes = shingle_sets(*flat(part.column(1)), words)
                 n = np.bincount(rows, minlength=len(part))
-                bits = np.maximum(64, 2 << (np.frexp(np.maximum(n, 1))[1] - 1)).astype(np.int64)
+                bits = np.maximum(64, 8 << (np.frexp(np.maximum(n, 1))[1] - 1)).astype(np.int64)
                 base = np.concatenate([[0], np.cumsum(bits)])
                 odd = np.bincount(base[rows] + (hashes.view(np.int64) & (bits[rows] - 1)), minlength=base[-1]) & 1
                 packed = np.packbits(odd.astype(np.uint8), bitorder="little")
                 sketch = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer((base // 8).astype(np.int32).tobytes()), pa.py_buffer(packed.tobytes())])
-                yield pa.RecordBatch.from_arrays([part.column(0), sketch], ["doc_id", "sketch"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), sketch], ["doc_id", "size", "sketch"])
 
-    return texts.mapInArrow(run, "doc_id long, sketch binary")
+    return texts.mapInArrow(run, "doc_id long, size long, sketch binary")
 
 
 def _near(bucket: list[tuple], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(a, b) of all pairs of a bucket's (doc, n, label, sketch) that differ in label and may link.
+    """(a, b) of all pairs of a large bucket's (doc, n, label, sketch) that differ in label and may link.
 
     Sketches of two sets differ in no more bits than the sets in elements, so what is left out cannot link.
     """
@@ -160,8 +161,9 @@ def _near(bucket: list[tuple], percent: int) -> Iterator[tuple[np.ndarray, np.nd
                 if wide == width:
                     may &= doc[own, None] < doc2
                 i, j = np.nonzero(may)
-                for c in range(0, len(i), 1 << 16):
-                    x, y = i[c : c + (1 << 16)] + k, j[c : c + (1 << 16)]
+                most = max(1, (1 << 20) // bits.shape[1])
+                for c in range(0, len(i), most):
+                    x, y = i[c : c + most] + k, j[c : c + most]
                     apart = np.bitwise_count(bits[x] ^ bits2[y]).sum(1)
                     ok = apart <= allowed(np.minimum(n[x], n2[y]), percent)
                     if ok.any():
@@ -169,15 +171,22 @@ def _near(bucket: list[tuple], percent: int) -> Iterator[tuple[np.ndarray, np.nd
 
 
 def _near_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b, chunk) of all buckets by _near, from (sig, doc_id, n, label, sketch) sorted by sig within a partition."""
+    """(a, b, chunk) of all buckets, from (sig, doc_id, n, label, sketch) sorted by sig within a partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, bucket = None, []
 
         def done() -> Iterator[pa.RecordBatch]:
-            if len({r[2] for r in bucket}) > 1:
-                for a, b in _near(bucket, percent):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(b % 16)], ["a", "b", "chunk"])
+            if len({r[2] for r in bucket}) < 2:
+                return
+            if bucket[0][3] is None:
+                pairs = [(min(x[0], y[0]), max(x[0], y[0])) for i, x in enumerate(bucket) for y in bucket[:i]
+                         if x[2] != y[2] and 100 * min(x[1], y[1]) >= percent * max(x[1], y[1])]
+                found = [tuple(np.array(pairs).T)] if pairs else []
+            else:
+                found = _near(bucket, percent)
+            for a, b in found:
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(b % 16)], ["a", "b", "chunk"])
 
         for batch in batches:
             for sig, *row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -190,31 +199,51 @@ def _near_pairs(members: DataFrame, percent: int) -> DataFrame:
     return members.mapInArrow(run, "a long, b long, chunk long")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sets of word shingles are linked, compared word by word."""
-    partner = pairs.join(texts.withColumnRenamed("doc_id", "b"), "b").select("a", "chunk", "b", "text")
-    leader = pairs.select("a", "chunk").distinct().join(texts.withColumnRenamed("doc_id", "a"), "a").select("a", "chunk", F.lit(None).cast("long").alias("b"), "text")
+def _compared(pairs: DataFrame, contents: DataFrame, same: Callable, made: Callable) -> DataFrame:
+    """The pairs (a, b, chunk) for which same(made(content of a), made(content of b)), from contents (doc_id, size, content).
 
-    def grams(text: bytes) -> set:
-        w = text.translate(_TABLE).split()
-        return set(zip(*(w[j:] for j in range(words)))) if len(w) >= words else {tuple(w)} if w else set()
+    Contents of a meet those of its partners in parts of bounded size, one part after the other, one row at a time.
+    """
+    partner = pairs.join(contents.withColumnRenamed("doc_id", "b"), "b").select("a", "chunk", "b", "size", "content")
+    leader = pairs.select("a", "chunk").distinct().join(contents.withColumnRenamed("doc_id", "a"), "a").select("a", "chunk", F.lit(None).cast("long").alias("b"), "size", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, own = None, set()
+        current, own = None, None
         for batch in batches:
-            found: list[tuple[int, int]] = []
-            for a, b, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).cast(pa.binary()).to_pylist()):
+            found: list[tuple[int, int, int]] = []
+            for a, chunk, b, size, content in zip(*(c.to_pylist() for c in batch.columns)):
                 if b is None:
-                    current, own = a, grams(text)
-                elif a == current:
-                    other = grams(text)
-                    both = len(own & other)
-                    if 100 * both >= percent * (len(own) + len(other) - both):
-                        found.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], ["a", "b"])
+                    current, own = a, made(size, content)
+                elif a == current and same(own, made(size, content)):
+                    found.append((a, b, chunk))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(3)], ["a", "b", "chunk"])
 
     together = partner.unionByName(leader).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
-    return together.mapInArrow(run, "a long, b long")
+    return together.mapInArrow(run, "a long, b long, chunk long")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame:
+    """Pairs (a, b) whose sets of word shingles are linked: by sketches first, which never lose a link, then word by word."""
+
+    def near(x: tuple, y: tuple) -> bool:
+        (n, bits), (m, other) = x, y
+        while len(bits) > len(other):
+            bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+        while len(other) > len(bits):
+            other = other[: len(other) // 2] ^ other[len(other) // 2 :]
+        return int(np.bitwise_count(bits ^ other).sum()) <= allowed(min(n, m), percent)
+
+    def grams(_: int, text: bytes) -> set:
+        w = text.translate(_TABLE).split()
+        return set(zip(*(w[j:] for j in range(words)))) if len(w) >= words else {tuple(w)} if w else set()
+
+    def linked(own: set, other: set) -> bool:
+        both = len(own & other)
+        return 100 * both >= percent * (len(own) + len(other) - both)
+
+    close = stored(_compared(pairs, sketches.withColumnRenamed("sketch", "content"), near, lambda n, s: (n, np.frombuffer(s, np.uint64))))
+    whole = texts.select("doc_id", F.lit(0).cast("long").alias("size"), F.encode("text", "UTF-8").alias("content"))
+    return _compared(close, whole, linked, grams).select("a", "b")
 
 
 def _candidate_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -266,23 +295,39 @@ def jaccard_classes(documents: DataFrame, words: int = WORDS, percent: int = PER
     return stats.join(found, ["n", "fp1", "fp2"], "left").select("doc_id", F.col("n").alias("n_shingles"), alone.alias("component_id"))
 
 
+def one_of_each(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of documents but for near-duplicates: of each class the row of smallest doc_id, with the columns of documents.
+
+    Of rows of equal doc_id one stays, by its text's hash. Rows of a null doc_id and texts without words all stay.
+    """
+    classes = jaccard_classes(documents, words, percent)
+    stay = classes.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
+    row = F.struct(*[F.col(c) for c in documents.columns]).alias("_row")
+    rows = documents.select(row, F.col("doc_id").cast("long").alias("_id"))
+    first = Window.partitionBy("_id").orderBy(F.xxhash64("_row.text"))
+    found = rows.join(stay, "_id").withColumn("_n", F.row_number().over(first)).where("_n = 1")
+    return found.select("_row.*").unionByName(rows.where("_id is null").select("_row.*"))
+
+
 def _linked(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame | None:
     """(id, component) of all sets that link with another one, from the rows (sig, doc_id, n) of shared buckets."""
     ids = stored(members.select("doc_id").distinct())
     if ids.isEmpty():
         return None
     texts = stored(_candidate_texts(docs, ids))
-    pairs = _leader_pairs(members.repartition("sig").sortWithinPartitions("sig", "doc_id"))
+    sketches = stored(_sketches(texts, words))
+    pairs = _leader_pairs(members.repartition("sig").sortWithinPartitions("sig", "doc_id"), percent)
     pairs = stored(pairs.groupBy("a", "b").agg(F.min("chunk").alias("chunk")))
-    labels = components(_verified(pairs, texts, words, percent))
+    labels = components(_verified(pairs, texts, sketches, words, percent))
 
     known = stored(members.join(labels.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").select("sig", "doc_id", "n", F.coalesce("component", "doc_id").alias("label")))
     open_ = known.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo <> hi and size > 2")
-    known = known.join(stored(open_.select("sig")), "sig", "left_semi")
-    sketched = stored(known.join(_sketches(texts, words), "doc_id").select("sig", "doc_id", "n", "label", "sketch"))
-    more = _near_pairs(sketched.repartition("sig").sortWithinPartitions("sig"), percent)
+    known = stored(known.join(stored(open_.select("sig", "size")), "sig"))
+    small = known.where(f"size <= {_SMALL}").select("sig", "doc_id", "n", "label", F.lit(None).cast("binary").alias("sketch"))
+    large = stored(known.where(f"size > {_SMALL}").join(sketches.select("doc_id", "sketch"), "doc_id").select("sig", "doc_id", "n", "label", "sketch"))
+    more = _near_pairs(small.unionByName(large).repartition("sig").sortWithinPartitions("sig"), percent)
     more = stored(more.groupBy("a", "b").agg(F.min("chunk").alias("chunk")).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
-    links = stored(_verified(more, texts, words, percent))
+    links = stored(_verified(more, texts, sketches, words, percent))
     if links.isEmpty():
         return labels
     by = lambda c, d: labels.select(F.col("id").alias(c), F.col("component").alias(d))

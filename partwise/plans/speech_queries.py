@@ -210,11 +210,11 @@ def H02_leading_chunks(spark, sf_dir):
     return inputs.captions(spark, sf_dir).withColumn("rn", rn).where("rn <= 3").drop("rn")
 
 
-@query(sql("SELECT part_id, cue_id, least(greatest(round_even(start_t * 16 / 1000.0, 0)::BIGINT, 0), 40000000000000) AS a, least(greatest(round_even((start_t + (cue_id % 3) * 310) * 16 / 1000.0, 0)::BIGINT, 0), 40000000000000) AS b FROM captions WHERE round_even(start_t * 16 / 1000.0, 0)::BIGINT < round_even((start_t + (cue_id % 3) * 310) * 16 / 1000.0, 0)::BIGINT"))
+@query(sql("SELECT part_id, cue_id, least(greatest(round_even(start_t * 16 / 1000.0, 0)::BIGINT, 0), 40000000000000) AS a, least(greatest(round_even((start_t + (cue_id % 5) * 310) * 16 / 1000.0, 0)::BIGINT, 0), 40000000000000) AS b FROM captions WHERE round_even(start_t * 16 / 1000.0, 0)::BIGINT < round_even((start_t + (cue_id % 5) * 310) * 16 / 1000.0, 0)::BIGINT"))
 def B12_snap_model_times(spark, sf_dir):
     """Model times to samples, half to even, clamped; empty ones are dropped."""
     snap = lambda e: F.least(F.greatest(F.bround(F.expr(f"cast(({e}) * 16 as decimal(30,3)) / 1000"), 0).cast("long"), F.lit(0)), F.lit(40000000000000))
-    return inputs.captions(spark, sf_dir).select("part_id", "cue_id", snap("start_t").alias("a"), snap("start_t + (cue_id % 3) * 310").alias("b")).where("a < b")
+    return inputs.captions(spark, sf_dir).select("part_id", "cue_id", snap("start_t").alias("a"), snap("start_t + (cue_id % 5) * 310").alias("b")).where("a < b")
 
 
 @query(sql("""SELECT t.part_id, t.cue_id, CASE WHEN t.cue_id % 8 = 0 THEN 'cluster_unknown' WHEN length(c.text) <> length(c.text) + (t.cue_id % 5 = 0)::INT THEN 'citation_mismatch' ELSE 'kept' END AS outcome, bool_or(t.cue_id % 5 = 0) OVER (PARTITION BY t.part_id) AS output_invalid FROM captions t JOIN (SELECT part_id, source_ordinal, text FROM cues WHERE source_ordinal < 3) c ON c.part_id = t.part_id AND c.source_ordinal = t.cue_id % 3"""))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from partwise.plans import cue_queries, interval_queries, speech_queries, visual_queries
+from partwise.plans import audit_queries, cue_queries, interval_queries, speech_queries, visual_queries
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
-for _module in (interval_queries, cue_queries, speech_queries, visual_queries):
+for _module in (interval_queries, cue_queries, speech_queries, visual_queries, audit_queries):
     QUERIES |= _module.QUERIES
     ORACLE_SQL |= _module.ORACLE_SQL

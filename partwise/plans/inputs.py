@@ -100,7 +100,7 @@ SQL: dict[str, str] = {
     "manifest": "SELECT doc_id % 20 AS run_id, doc_id AS path, sha256(text) AS sha256 FROM documents",
     "present": """SELECT run_id, path, CASE WHEN path % 13 = 0 THEN 'x' || sha256 ELSE sha256 END AS sha256 FROM manifest WHERE path % 17 <> 0
         UNION ALL SELECT run_id, path + 1000000000, sha256 FROM manifest WHERE path % 19 = 0""",
-    "run_events": f"SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sequence, {STATE_OF} AS to_status, start_t AS at, value AS size, event_id FROM ev",
+    "run_events": f"""SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sequence, {STATE_OF} AS to_status, start_t AS "at", value AS size, event_id FROM ev""",
     "measurements": """SELECT l_returnflag || l_linestatus AS capability, (l_quantity * 1000)::BIGINT AS peak, l_partkey AS source, l_orderkey AS run_id, l_linenumber AS seq,
         CASE WHEN l_discount > 0.05 THEN 'high' ELSE 'low' END AS confidence FROM lineitem""",
 }

@@ -32,6 +32,20 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2 - 2 * (x @ pivots.T), 0))
 
 
+def _local_roots(near: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(id, smallest id reachable) over the links of a block: as many rows as ids, and no link between ids is lost."""
+    above, beside, far = rows.copy(), cols.copy(), np.iinfo(np.int64).max
+    while len(rows):
+        up = np.minimum(above, np.where(near, beside, far).min(1))
+        over = np.minimum(beside, np.where(near, up[:, None], far).min(0))
+        if np.array_equal(up, above) and np.array_equal(over, beside):
+            break
+        above, beside = up, over
+    a, b = np.concatenate([rows, cols]), np.concatenate([above, beside])
+    found = np.unique(np.stack([a, b], 1)[a != b], axis=0)
+    return found[:, 0], found[:, 1]
+
+
 def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, cell: int = CELL) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of vec_id, embedding and label.
 
@@ -94,21 +108,15 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, cell: int = C
         def matched(part: pa.RecordBatch) -> pa.RecordBatch:
             theirs, times = part.column(3).to_numpy(), part.column(4).to_numpy()
             y = _unit(part.column(5).to_pylist())
-            a, b, n = [], [], np.zeros(len(ids), np.int64)
+            near = np.zeros((len(ids), len(theirs)), bool)
             for k in range(0, len(ids), 512):
-                near = x[k : k + 512] @ y.T >= cosine
-                near &= ids[k : k + 512, None] != theirs
-                n[k : k + 512] = near @ times
-                rows_of, least = np.flatnonzero(near.any(1)), np.where(near, theirs, np.iinfo(np.int64).max).min(1)
-                a.append(ids[k + rows_of])
-                b.append(least[rows_of])
-                # a home vector is joined with the smallest it meets; so is each one it meets that has a smaller id nowhere else
-                cols = np.flatnonzero(near.any(0))
-                a.append(theirs[cols])
-                b.append(np.where(near[:, cols], ids[k : k + 512, None], np.iinfo(np.int64).max).min(0))
-            linked = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0) if a else np.zeros((0, 2), np.int64)
-            counted = np.flatnonzero(n)
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([linked[:, 0], ids[counted]])), pa.array(np.concatenate([linked[:, 1], ids[counted]])), pa.array(np.concatenate([np.zeros(len(linked), np.int64), n[counted]]))], ["a", "b", "links"])
+                near[k : k + 512] = x[k : k + 512] @ y.T >= cosine
+            near &= ids[:, None] != theirs
+            rows_of, cols = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+            near = near[np.ix_(rows_of, cols)]
+            a, b = _local_roots(near, ids[rows_of], theirs[cols])
+            n = near @ times[cols]
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, ids[rows_of]])), pa.array(np.concatenate([b, ids[rows_of]])), pa.array(np.concatenate([np.zeros(len(a), np.int64), n.astype(np.int64)]))], ["a", "b", "links"])
 
         for batch in batches:
             keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()))

@@ -227,3 +227,11 @@ def test_metric_join_matches_brute_force(spark):
             assert (found[i].n_links, found[i].component_id, found[i].kept) == (near[i].sum(), comp[i], comp[i] == i)
         assert all(found[b[0]].n_links == 0 and found[b[0]].component_id == b[0] for b in bad)
     assert metric_join.near_duplicates(df.limit(0)).collect() == []
+
+
+def test_metric_join_keeps_a_path_whose_links_are_nobodys_smallest(spark):
+    at = lambda degrees: [float(np.cos(np.radians(degrees))), float(np.sin(np.radians(degrees)))]  # noqa: E731  links: 21 degrees at most
+    angles = {3: 0, 5: 20, 6: 40, 2: 60, 9: 80, 1: 100, 50: 140}
+    df = spark.createDataFrame([(i, at(a), 0) for i, a in angles.items()], "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in metric_join.near_duplicates(df).collect()}
+    assert found == {3: (1, 1), 5: (2, 1), 6: (2, 1), 2: (2, 1), 9: (2, 1), 1: (1, 1), 50: (0, 50)}

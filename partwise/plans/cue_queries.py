@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from partwise.functions import columns
 from partwise.operators import cues as cu
 from partwise.operators import intervals as iv
 from partwise.plans import inputs
@@ -142,7 +143,7 @@ def B01_exact_ticks(spark, sf_dir):
     """Presentation times of mixed bases as ticks of their least common denominator, and from the part's start."""
     rows = inputs.table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("part_id"), F.expr(_BASE.replace("THEN 1000", "THEN 1000L")).alias("tb_den"))
     ticks = math.lcm(*[r[0] for r in rows.select("tb_den").distinct().collect()] or [1])  # a few bases
-    exact = rows.withColumn("ticks", F.expr(f"cast(cast(event_id as decimal(38,0)) * ({ticks} div tb_den) as bigint)"))
+    exact = rows.withColumn("ticks", columns.ticks("event_id", "tb_den", ticks))
     return exact.select("event_id", "part_id", "ticks", (F.col("ticks") - F.min("ticks").over(Window.partitionBy("part_id"))).alias("relative"))
 
 
@@ -150,13 +151,13 @@ def B01_exact_ticks(spark, sf_dir):
 def B02_outward_ms(spark, sf_dir):
     """Microseconds outwards to milliseconds, as time stamps of the day."""
     floor, ceil = F.expr("start_t div 1000"), F.expr("(end_t + 999) div 1000")
-    return inputs.packets(spark, sf_dir).select("event_id", sub.stamp(floor % 86400000).alias("start_s"), sub.stamp(ceil % 86400000).alias("end_s"))
+    return inputs.packets(spark, sf_dir).select("event_id", columns.stamp(floor % 86400000).alias("start_s"), columns.stamp(ceil % 86400000).alias("end_s"))
 
 
 @query(r"SELECT doc_id, len(regexp_extract_all(text, '[ \t\n\x0b\f\r]+|[^ \t\n\x0b\f\r]+'))::BIGINT AS n_tokens, len(regexp_extract_all(text, '[ \t\n\x0b\f\r]+'))::BIGINT AS n_blank FROM documents")
 def B03_normalize_and_tokenize(spark, sf_dir):
     """Lossless runs of white space and of anything else."""
-    rows = inputs.table(spark, sf_dir, "documents").select("doc_id", cu.tokens(F.col("text")).alias("tokens"))
+    rows = inputs.table(spark, sf_dir, "documents").select("doc_id", columns.tokens(F.col("text")).alias("tokens"))
     return rows.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.size(F.filter("tokens", lambda t: t.rlike(r"^\s"))).cast("long").alias("n_blank"))
 
 
@@ -197,8 +198,7 @@ def B09_url_policy_check(spark, sf_dir):
 @query(sql("SELECT part_id, source_ordinal, round_even(start_t * 16000 / 1000.0, 0)::BIGINT AS first_sample, least(greatest(round_even(end_t * 44100 / 1000.0, 0)::BIGINT, 0), 10000000) AS last_sample, (end_t - start_t) * 16000 % 1000 = 0 AS exact FROM cues "))
 def B10_sample_time_map(spark, sf_dir):
     """Cue times as sample indexes, half to even, clamped to the file."""
-    samples = lambda c, rate: F.bround(F.expr(f"cast({c} * {rate} as decimal(30,3)) / 1000"), 0).cast("long")
-    return inputs.cues(spark, sf_dir).select("part_id", "source_ordinal", samples("start_t", 16000).alias("first_sample"), F.least(F.greatest(samples("end_t", 44100), F.lit(0)), F.lit(10000000)).alias("last_sample"), ((F.col("end_t") - F.col("start_t")) * 16000 % 1000 == 0).alias("exact"))
+    return inputs.cues(spark, sf_dir).select("part_id", "source_ordinal", columns.samples("start_t", 16000, 1000).alias("first_sample"), F.least(F.greatest(columns.samples("end_t", 44100, 1000), F.lit(0)), F.lit(10000000)).alias("last_sample"), ((F.col("end_t") - F.col("start_t")) * 16000 % 1000 == 0).alias("exact"))
 
 
 @query(sql("""SELECT part_id, min(source_ordinal) AS first_ordinal, count(*) AS lines, sha256(string_agg('P1:' || (rn)::VARCHAR || ' ' || text, chr(10) ORDER BY rn)) AS prompt_sha256 FROM (SELECT *, row_number() OVER (PARTITION BY part_id ORDER BY start_t, end_t, source_ordinal) AS rn FROM cues ) GROUP BY part_id"""))
@@ -225,7 +225,7 @@ def E03_rolling_dedup(spark, sf_dir):
     text = F.concat(F.lit("w"), (o % 3).cast("string"), F.lit(" "), F.when(o % 4 == 2, "say again now").otherwise("once more"), F.lit(" w"), (o + 1).cast("string"), F.when(o % 4 == 1, " w2 say again now").otherwise(""))
     base = inputs.cues(spark, sf_dir).where("start_t < end_t").select("part_id", "source_ordinal", "start_t", "end_t", text.alias("text"))
     both = base.unionByName(base.where((F.col("part_id") + o) % 5 == 0).withColumn("source_ordinal", o + 1000))
-    return cu.rolling(both.withColumn("tokens", cu.tokens(F.col("text"))), "part_id").select("part_id", "source_ordinal", F.col("kept_from").cast("long").alias("kept_from"), "correction")
+    return cu.rolling(both.withColumn("tokens", columns.tokens(F.col("text"))), "part_id").select("part_id", "source_ordinal", F.col("kept_from").cast("long").alias("kept_from"), "correction")
 
 
 @query(sql("SELECT part_id, source_ordinal, row_number() OVER (PARTITION BY part_id ORDER BY start_t, end_t, source_ordinal) AS place FROM cues "))

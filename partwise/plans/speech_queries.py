@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from partwise.functions.columns import words
 from partwise.operators import folds
 from partwise.operators import intervals as iv
 from partwise.plans import inputs, interval_queries
@@ -28,10 +29,6 @@ _BLANK = r"'[ \t\n\x0b\f\r]+'"
 _WORDS = rf"list_filter(regexp_split_to_array(text, {_BLANK}), lambda x: x <> '')"
 
 
-def _words(text="text"):
-    return F.filter(F.split(text, r"(?U)\s+"), lambda w: w != "")
-
-
 def _asr(spark, sf_dir) -> DataFrame:
     """ASR cues in given order, some repeated, backwards or blank."""
     o = F.col("source_ordinal")
@@ -127,7 +124,7 @@ _SPANS = rf"list_transform(range(1, len({_WORDS}) + 1), lambda i: CASE WHEN strl
 @query(sql(rf"SELECT part_id, source_ordinal, len(list_filter(range(1, len(w) + 1), lambda i: (i * 7 + part_id) % 10 < 2))::BIGINT AS n_low FROM (SELECT part_id, source_ordinal, {_WORDS} AS w FROM cues ) WHERE n_low > 0"))
 def G01_low_confidence_tokens(spark, sf_dir):
     """Cues with tokens below a confidence of 0.2."""
-    tokens = F.transform(_words(), lambda w, i: F.struct(w.alias("text"), (((i + 1) * 7 + F.col("part_id")) % 10 / 10).alias("confidence")))
+    tokens = F.transform(words("text"), lambda w, i: F.struct(w.alias("text"), (((i + 1) * 7 + F.col("part_id")) % 10 / 10).alias("confidence")))
     low = F.filter(tokens, lambda t: t["confidence"].isNotNull() & (t["confidence"] < 0.2))
     return inputs.cues(spark, sf_dir).select("part_id", "source_ordinal", F.size(low).cast("long").alias("n_low")).where("n_low > 0")
 
@@ -135,7 +132,7 @@ def G01_low_confidence_tokens(spark, sf_dir):
 @query(sql(rf"SELECT part_id, source_ordinal, switches FROM (SELECT part_id, source_ordinal, len(list_filter(range(2, len(w) + 1), lambda i: (strlen(w[i]) % 3 = 0) <> (strlen(w[i - 1]) % 3 = 0)))::BIGINT AS switches FROM (SELECT part_id, source_ordinal, {_WORDS} AS w FROM cues )) WHERE switches > 20"))
 def G02_language_switching(spark, sf_dir):
     """Cues with more than twenty changes of language between neighbouring spans."""
-    spans = F.transform(_words(), lambda w: F.octet_length(w) % 3 == 0)
+    spans = F.transform(words("text"), lambda w: F.octet_length(w) % 3 == 0)
     rows = inputs.cues(spark, sf_dir).withColumn("s", spans)
     changes = F.size(F.filter(F.zip_with(F.slice("s", 2, 1 << 30), F.slice("s", F.lit(1), F.greatest(F.size("s") - 1, F.lit(0))), lambda a, b: a != b), lambda x: x)).cast("long")
     return rows.select("part_id", "source_ordinal", changes.alias("switches")).where("switches > 20")
@@ -154,7 +151,7 @@ def E07_within_cue_repetition(spark, sf_dir):
     """Texts in which a word stands more than twice in a row."""
     start = F.struct(F.lit("").alias("w"), F.lit(0).alias("n"), F.lit(0).alias("most"))
     step = lambda s, w: F.struct(w.alias("w"), F.when(s["w"] == w, s["n"] + 1).otherwise(1).alias("n"), F.greatest(s["most"], F.when(s["w"] == w, s["n"] + 1).otherwise(1)).alias("most"))
-    rows = inputs.table(spark, sf_dir, "documents").select("doc_id", F.aggregate(_words(), start, step)["most"].cast("long").alias("longest"))
+    rows = inputs.table(spark, sf_dir, "documents").select("doc_id", F.aggregate(words("text"), start, step)["most"].cast("long").alias("longest"))
     return rows.where("longest > 2")
 
 

@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from partwise.functions.columns import stamp
+
 STAMP = r"(\d{2,}):(\d{2}):(\d{2})[,.](\d{3})"
 PROBE = "streams array<struct<index:int,codec_type:string,tags:struct<language:string>>>, packets array<struct<pts:bigint,duration:bigint>>"
 ENVELOPE = "schema_version int, adapter string, cues array<struct<text:string,start_t:bigint,end_t:bigint,confidence:double>>"
@@ -30,12 +32,6 @@ def decoded(payloads: DataFrame) -> DataFrame:
     return payloads.withColumn("state", state).withColumn("text", F.when(F.col("state") == "decoded", text))
 
 
-def stamp(ms: Column, point: str = ",") -> Column:
-    """HH:MM:SS,mmm of milliseconds."""
-    whole = F.floor(ms / 1000)
-    return F.format_string(f"%02d:%02d:%02d{point}%03d", F.floor(whole / 3600), F.floor(whole / 60) % 60, whole % 60, ms % 1000)
-
-
 def _ms(match: str) -> Column:
     part = lambda k: F.regexp_extract(match, STAMP, k).cast("bigint")
     return ((part(1) * 60 + part(2)) * 60 + part(3)) * 1000 + part(4)

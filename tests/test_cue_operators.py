@@ -1,3 +1,4 @@
+from partwise.functions import columns
 from partwise.operators import cues as cu
 from partwise.operators import folds
 from partwise.sources import subtitles as sub
@@ -7,7 +8,7 @@ CUES = "part_id long, source_ordinal long, start_t long, end_t long, text string
 
 
 def rolled(spark, rows):
-    df = spark.createDataFrame([(1, i, *r) for i, r in enumerate(rows)], CUES).withColumn("tokens", cu.tokens(F.col("text")))
+    df = spark.createDataFrame([(1, i, *r) for i, r in enumerate(rows)], CUES).withColumn("tokens", columns.tokens(F.col("text")))
     return [(r.kept_from, r.correction) for r in cu.rolling(df, "part_id").orderBy("source_ordinal").collect()]
 
 
@@ -20,7 +21,7 @@ def test_rolling_overlap_is_cut_and_exact_repeats_go(spark):
 
 def test_tokens_are_lossless(spark):
     text = "a  b\r\nc　d "
-    tokens = spark.range(1).select(cu.tokens(F.lit(text)).alias("t")).first().t
+    tokens = spark.range(1).select(columns.tokens(F.lit(text)).alias("t")).first().t
     assert "".join(tokens) == text.replace("\r\n", "\n") and tokens == ["a", "  ", "b", "\n", "c", "　", "d", " "]
 
 

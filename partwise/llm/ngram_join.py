@@ -121,14 +121,14 @@ def _leader_pairs(members: DataFrame, percent: int) -> DataFrame:
 
 
 def _sketches(texts: DataFrame, words: int) -> DataFrame:
-    """(doc_id, size, sketch): bit i is the parity of the set's elements that hash to i; four to eight bits an element, by size band."""
+    """(doc_id, size, sketch): bit i is the parity of the set's elements that hash to i; two to four bits an element, by size band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text", 4 << 20):
                 rows, hashes = shingle_sets(*flat(part.column(1)), words)
                 n = np.bincount(rows, minlength=len(part))
-                bits = np.maximum(64, 8 << (np.frexp(np.maximum(n, 1))[1] - 1)).astype(np.int64)
+                bits = np.maximum(64, 4 << (np.frexp(np.maximum(n, 1))[1] - 1)).astype(np.int64)
                 base = np.concatenate([[0], np.cumsum(bits)])
                 odd = np.bincount(base[rows] + (hashes.view(np.int64) & (bits[rows] - 1)), minlength=base[-1]) & 1
                 packed = np.packbits(odd.astype(np.uint8), bitorder="little")
@@ -242,27 +242,30 @@ def _verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, words: in
         return 100 * both >= percent * (len(own) + len(other) - both)
 
     close = stored(_compared(pairs, sketches.withColumnRenamed("sketch", "content"), near, lambda n, s: (n, np.frombuffer(s, np.uint64))))
-    whole = texts.select("doc_id", F.lit(0).cast("long").alias("size"), F.encode("text", "UTF-8").alias("content"))
+    ids = close.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    whole = _mostly(texts, ids).select("doc_id", F.lit(0).cast("long").alias("size"), F.encode("text", "UTF-8").alias("content"))
     return _compared(close, whole, linked, grams).select("a", "b")
 
 
-def _candidate_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Texts of ids only. A bitmap of fixed size keeps most other texts out of the shuffle; the join decides."""
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << _FILTER_BITS))
-    bits = ids.select((bit / 63).cast("long").alias("word"), F.expr(f"shiftleft(1L, cast(pmod(pmod(xxhash64(doc_id), {1 << _FILTER_BITS}), 63) as int))").alias("mask"))
-    bits = bits.select(F.col("word"), "mask").groupBy("word").agg(F.bit_or("mask").alias("mask"))
-    table = np.zeros(((1 << _FILTER_BITS) // 63) + 2, np.int64)  # of fixed size, so it may go through the driver
-    words = bits.toArrow()
-    table[words.column(0).to_numpy()] = words.column(1).to_numpy()
+def _mostly(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """rows (doc_id, ...) without most of those whose doc_id is not in ids, by a bitmap of fixed size; a join must follow.
+
+    So hardly a row that the join does not need is shuffled. The bitmap has 2**_FILTER_BITS bits whatever the input.
+    """
+    bit = f"pmod(xxhash64(doc_id), {1 << _FILTER_BITS})"
+    words = ids.select(F.expr(f"{bit} div 63").alias("word"), F.expr(f"shiftleft(1L, cast({bit} % 63 as int))").alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    table = np.zeros((1 << _FILTER_BITS) // 63 + 1, np.int64)
+    found = words.toArrow()  # of bounded size, so it may go through the driver
+    table[found.column(0).to_numpy()] = found.column(1).to_numpy()
     shared = ids.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(2).to_numpy()
+            at = batch.column(batch.num_columns - 1).to_numpy()
             yield batch.filter(pa.array((shared.value[at // 63] >> (at % 63)) & 1 == 1))
 
-    kept = docs.withColumn("bit", bit).mapInArrow(run, "doc_id long, text string, bit long").drop("bit")
-    return kept.join(ids, "doc_id", "left_semi")
+    marked = rows.withColumn("_bit", F.expr(bit))
+    return marked.mapInArrow(run, marked.schema).drop("_bit")
 
 
 def jaccard_classes(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -314,15 +317,16 @@ def _linked(docs: DataFrame, members: DataFrame, words: int, percent: int) -> Da
     ids = stored(members.select("doc_id").distinct())
     if ids.isEmpty():
         return None
-    texts = stored(_candidate_texts(docs, ids))
+    texts = stored(_mostly(docs, ids))  # with a few others, which no pair names
     sketches = stored(_sketches(texts, words))
     pairs = _leader_pairs(members.repartition("sig").sortWithinPartitions("sig", "doc_id"), percent)
     pairs = stored(pairs.groupBy("a", "b").agg(F.min("chunk").alias("chunk")))
     labels = components(_verified(pairs, texts, sketches, words, percent))
 
     known = stored(members.join(labels.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").select("sig", "doc_id", "n", F.coalesce("component", "doc_id").alias("label")))
-    open_ = known.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo <> hi and size > 2")
-    known = stored(known.join(stored(open_.select("sig", "size")), "sig"))
+    bucket = Window.partitionBy("sig")
+    known = known.select("*", F.min("label").over(bucket).alias("lo"), F.max("label").over(bucket).alias("hi"), F.count("*").over(bucket).alias("size"))
+    known = stored(known.where("lo <> hi and size > 2"))
     small = known.where(f"size <= {_SMALL}").select("sig", "doc_id", "n", "label", F.lit(None).cast("binary").alias("sketch"))
     large = stored(known.where(f"size > {_SMALL}").join(sketches.select("doc_id", "sketch"), "doc_id").select("sig", "doc_id", "n", "label", "sketch"))
     more = _near_pairs(small.unionByName(large).repartition("sig").sortWithinPartitions("sig"), percent)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -120,3 +122,9 @@ def list_values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     values = column.flatten().to_numpy()
     lengths = np.array(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), np.int64)
     return np.concatenate([[0], np.cumsum(lengths)]), values
+
+
+def worker_cache(name: str) -> dict:
+    """A dict that lives as long as this Python worker, so that its later tasks find what earlier ones worked out."""
+    home = sys.modules.setdefault("_partwise_worker", types.ModuleType("_partwise_worker"))
+    return vars(home).setdefault(name, {})

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from partwise.llm._batches import coded, flat, gathered, pieces, shared_folder, word_bounds
+from partwise.llm._batches import coded, flat, gathered, pieces, shared_folder, word_bounds, worker_cache
 
 BLOCK = 1 << 16
 _CACHED = 300_000
@@ -80,19 +80,19 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[bytes, bytes] = worker_cache(f"words {zlib.crc32(tokenizer_json.encode())}")
 
-    def _encode(self, words: list[bytes]) -> list[list[int]]:
+    def _encode(self, words: list[bytes]) -> list[bytes]:
         texts = [w.decode("utf-8", "replace") for w in words]
         groups = [texts[i : i + 512] for i in range(0, len(texts), 512)]
-        out: list[list[int]] = []
+        out: list[bytes] = []
         for k in range(0, len(groups), 16):
             for group, found in zip(groups[k : k + 16], self.tokenizer.encode_batch([" ".join(g) for g in groups[k : k + 16]], add_special_tokens=False)):
                 starts = np.cumsum([0, *(len(w) + 1 for w in group[:-1])])
                 place = np.searchsorted(starts, [a for a, _ in found.offsets], "right")
                 cuts = np.searchsorted(place, np.arange(1, len(group) + 2), "left").tolist()
-                ids = found.ids
-                out += [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+                ids = np.array(found.ids, np.uint32).tobytes()
+                out += [ids[4 * a : 4 * b] for a, b in zip(cuts, cuts[1:])]
         return out
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -107,8 +107,8 @@ class WordEncoder:
             lists[i] = ids
             if len(self.known) < _CACHED and len(words[i]) < 64:
                 self.known[words[i]] = ids
-        lists_at = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])
-        ids = gathered(codes, lists_at, np.fromiter((x for y in lists for x in y), np.uint32, int(lists_at[-1])))
+        lists_at = np.concatenate([[0], np.cumsum([len(x) // 4 for x in lists], dtype=np.int64)])
+        ids = gathered(codes, lists_at, np.frombuffer(b"".join(lists), np.uint32))
         per_word = np.concatenate([[0], np.cumsum((lists_at[1:] - lists_at[:-1])[codes])])
         return np.diff(per_word[first]), ids
 

@@ -67,7 +67,7 @@ class Lattice:
         self.hashes, self.weights, self.ids = hashes[order], weights[order], order
         self.seen = np.zeros(1 << 20, bool)
         self.seen[(hashes >> U64(44)).astype(np.int64)] = True
-        self.by_name = dict(zip(names, weights.tolist()))
+        self.by_name = {n: (k, w) for k, (n, w) in enumerate(zip(names, weights.tolist()))}
 
     @staticmethod
     def _hash(rows: np.ndarray) -> np.ndarray:
@@ -102,14 +102,27 @@ class Lattice:
                 alpha[j, rows] = np.logaddexp(alpha[j, rows], alpha[i, rows] + self.weights[piece])
         return alpha
 
-    def _one(self, word: bytes) -> float:
+    def _ending(self, word: bytes, j: int) -> Iterator[tuple[int, int, float]]:
+        """(start, number in names, weight) of the pieces that end at j."""
+        for i in range(max(0, j - self.longest), j):
+            found = self.by_name.get(word[i:j])
+            if found is not None:
+                yield i, *found
+
+    def _one(self, word: bytes) -> list[float]:
         alpha = [0.0] + [-np.inf] * len(word)
         for j in range(1, len(word) + 1):
-            for i in range(max(0, j - self.longest), j):
-                w = self.by_name.get(word[i:j])
-                if w is not None:
-                    alpha[j] = np.logaddexp(alpha[j], alpha[i] + w)
-        return float(alpha[-1])
+            for i, _, w in self._ending(word, j):
+                alpha[j] = float(np.logaddexp(alpha[j], alpha[i] + w))
+        return alpha
+
+    def _add_uses(self, word: bytes, count: int, out: np.ndarray) -> None:
+        """Adds the expected uses of each piece in one word, in memory linear in it."""
+        alpha, beta = self._one(word), [-np.inf] * len(word) + [0.0]
+        for j in range(len(word), 0, -1):
+            for i, piece, w in self._ending(word, j):
+                beta[i] = float(np.logaddexp(beta[i], beta[j] + w))
+                out[piece] += np.exp(alpha[i] + w + beta[j] - alpha[-1]) * count
 
     def _by_length(self, words: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(which words, their bytes as rows, each after a word start), for each length up to _LONG."""
@@ -128,11 +141,11 @@ class Lattice:
         for which, rows in self._by_length(words):
             out[which] = self.forward(len(which), self.edges(rows))[-1]
         for k in np.flatnonzero(np.isnan(out)).tolist():
-            out[k] = self._one(b"\0" + words[k].as_py())
+            out[k] = self._one(b"\0" + words[k].as_py())[-1]
         return out
 
     def expected(self, words: pa.Array, counts: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece (in the order of names) in words that occur counts times; very long words give none."""
+        """Expected uses of each piece (in the order of names) in words that occur counts times; words beyond _LONG are taken one by one."""
         total = np.zeros(len(self.hashes))
         for which, rows in self._by_length(words):
             edges = self.edges(rows)
@@ -148,6 +161,9 @@ class Lattice:
                     total += np.bincount(piece, use, len(total))
         out = np.zeros(len(total))
         out[self.ids] = total
+        raw, at = flat(words)
+        for k in np.flatnonzero(np.diff(at) > _LONG).tolist():
+            self._add_uses(b"\0" + raw[at[k] : at[k + 1]].tobytes(), int(counts[k]), out)
         return out
 
 

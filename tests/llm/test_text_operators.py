@@ -173,6 +173,32 @@ def test_lattice_probabilities_match_enumeration():
     assert np.allclose(uses, want)
 
 
+def test_lattice_expected_uses_of_long_words():
+    names, weights = lattice_lm.piece_weights(PIECES)
+    lattice = lattice_lm.Lattice(names, weights)
+    thai, short = "สวัสดีครับ" * 3, "สวัสดีครับ" * 2
+    words = [w.encode() for w in (short, thai, "http://example.org/" + "a/b" * 30, "x" * lattice_lm._LONG, "x" * (lattice_lm._LONG + 1))]
+    length = np.array([len(n) for n in names])
+    for w in words:
+        uses = lattice.expected(pa.array([w], pa.binary()), np.array([3]))
+        assert math.isclose(uses @ length, 3 * (len(w) + 1), rel_tol=1e-9)
+    before, lattice_lm._LONG = lattice_lm._LONG, 10
+    try:
+        one_by_one = lattice.expected(pa.array(words, pa.binary()), np.arange(1, 6))
+        lattice_lm._LONG = 1000
+        assert np.allclose(one_by_one, lattice.expected(pa.array(words, pa.binary()), np.arange(1, 6)))
+    finally:
+        lattice_lm._LONG = before
+
+
+def test_language_model_learns_from_long_words(spark):
+    sentence = "วันนี้อากาศดีมากเราไปเดินเล่นกัน"
+    held = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 == 2][0]
+    train = [i for i in range(200) if zlib.crc32(str(i).encode()) % 7 != 2][:20]
+    score = lambda t: by_id(lattice_lm.score_documents(spark.createDataFrame([(held, sentence[:-3]), *((i, t) for i in train)], "doc_id long, text string"), PIECES))[held].score
+    assert score(sentence * 2) > score("x") + 1
+
+
 def test_language_model_counts_and_base(docs, empty):
     tokens = lambda t: [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(LOWER)), None]
     held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2

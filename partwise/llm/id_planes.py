@@ -72,15 +72,15 @@ def unpack(payload: bytes) -> np.ndarray:
 class WordEncoder:
     """Ids of whole texts by a tokenizer whose words are independent of each other."""
 
-    def __init__(self, tokenizer_json: str):
+    def __init__(self, tokenizer_json: str, special_as_text: bool = True):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[bytes, bytes] = worker_cache(f"words {zlib.crc32(tokenizer_json.encode())}")
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.known: dict[bytes, bytes] = worker_cache(f"words {special_as_text} {zlib.crc32(tokenizer_json.encode())}")
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
         texts = [w.decode("utf-8", "replace") for w in words]
@@ -113,18 +113,19 @@ class WordEncoder:
         return np.diff(per_word[first]), ids
 
 
-def write_ids(documents: DataFrame, path: str, tokenizer_file: str, end_id: int, shards: int | None = None, chunk_ids: int = 1 << 20, bits: bool = False) -> None:
+def write_ids(documents: DataFrame, path: str, tokenizer_file: str, end_id: int, shards: int | None = None, chunk_ids: int = 1 << 20, bits: bool = False, special_as_text: bool = True) -> None:
     """Writes the ids of all rows of doc_id and text to path, in ascending doc_id order, end_id after each document.
 
     Null and empty texts give the end id alone. Rows of equal doc_id stand next to each other, a null doc_id first.
-    An empty table writes an empty index.
+    An empty table writes an empty index. With special_as_text, a special token's name in a text (<|endoftext|>) is
+    encoded like other text; without, as by the library's default, it is the special token's id.
     """
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(Path(tokenizer_file).read_text())
     shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, chunk, before = WordEncoder(shared.value), TaskContext.get().partitionId(), 0, 0
+        encoder, shard, chunk, before = WordEncoder(shared.value, special_as_text), TaskContext.get().partitionId(), 0, 0
         docs, lengths, parts, held = [], [], [], 0
 
         def row() -> pa.RecordBatch:
@@ -176,7 +177,7 @@ def read_ids(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
 
 
 def written_digests(documents: DataFrame, tokenizer_file: str, end_id: int) -> DataFrame:
-    """The documents' ids written to a new place in the shared folder, and what is read back: (doc_id, start, n_tokens, ids_crc32)."""
+    """The documents' ids by the library's defaults, written to a new place in the shared folder, and what is read back: (doc_id, start, n_tokens, ids_crc32)."""
     path = shared_folder(documents.sparkSession)
-    write_ids(documents, path, tokenizer_file, end_id)
+    write_ids(documents, path, tokenizer_file, end_id, special_as_text=False)
     return read_ids(documents.sparkSession, path, digest=True)

@@ -76,6 +76,20 @@ def test_id_planes_round_trip(docs, empty, spark, tmp_path):
     assert id_planes.written_digests(empty, WORDS, 2).collect() == []
 
 
+def test_written_digests_equal_the_library_by_default(docs, spark):
+    library = Tokenizer.from_file(WORDS)
+    assert library.encode("a <|endoftext|> b", add_special_tokens=False).ids == [320, 49407, 321]
+    texts = {100 + i: t for i, t in enumerate(["a <|endoftext|> b", "a<|endoftext|>b", "x<|startoftext|><|endoftext|>y \n<|EndOfText|>", "<|endoftext|>\u0301e"])}
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    found = sorted(id_planes.written_digests(rows, WORDS, 2).collect(), key=lambda r: r.start)
+    assert len(found) == len(TEXTS) + 1 + len(texts)
+    start = 0
+    for r in found:
+        want = np.array([*library.encode({**TEXTS, **texts}[r.doc_id] or "", add_special_tokens=False).ids, 2], "<u4")
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(want), zlib.crc32(want.tobytes()))
+        start += len(want)
+
+
 def test_license_scan_base_and_fuzzy(docs, empty):
     word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     found = by_id(license_scan.license_rows(docs))

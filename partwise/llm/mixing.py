@@ -42,8 +42,9 @@ def source_targets(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share:
     every = Window.partitionBy()
     filled = sums.withColumn("level", (F.lit(float(share)) * F.sum("source_size").over(every) - F.coalesce(F.sum("cap").over(rank), F.lit(0.0)))
                              / (F.sum("w").over(every) - F.coalesce(F.sum("w").over(rank), F.lit(0.0))))
-    # sources fill up in the order of cap / weight; the first level that its own source can hold is the common one
-    level = F.min_by(F.when(F.col("level") <= F.col("cap") / F.col("w"), F.col("level")), F.when(F.col("level") <= F.col("cap") / F.col("w"), F.col("cap") / F.col("w"))).over(every)
+    # sources fill up in the order of cap / weight; the first level that its own source can hold is the common one, of tied sources the highest
+    place = F.col("cap") / F.col("w")
+    level = F.min_by("level", F.when(F.col("level") <= place, F.struct(place, -F.col("level")))).over(every)
     return filled.withColumn("common", level).select("key", "source_size", F.coalesce(F.least(F.col("cap"), F.col("common") * F.col("w")), F.col("cap")).alias("target"))
 
 

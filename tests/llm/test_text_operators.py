@@ -156,6 +156,21 @@ def test_mixing_matches_brute_force(docs, empty):
     assert mixing.mixed_rows(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("sizes", [[100] * 6, [250, 100, 50, 250, 100, 50], [30, 90, 90, 30, 90, 90, 30], [0, 0, 7]])
+def test_mixing_of_tied_sources_matches_brute_force(spark, sizes):
+    docs = spark.createDataFrame([(f"+s{k}", f"s{k}", n) for k, n in enumerate(sizes)], "key string, source string, size long")
+    weight = [(5, 2, 1)[k % 3] for k in range(len(sizes))]
+    want: dict[int, float] = {}
+    rest, open_ = 1.5 * sum(sizes), set(range(len(sizes)))
+    while open_:
+        level = rest / sum(weight[k] for k in open_)
+        full = {k for k in open_ if level * weight[k] > 2 * sizes[k]}
+        want |= {k: 2.0 * sizes[k] if k in full else level * weight[k] for k in full or open_}
+        rest, open_ = rest - sum(2.0 * sizes[k] for k in full), open_ - (full or open_)
+    found = {int(r.key[2:]): r.target for r in mixing.source_targets(docs).collect()}
+    assert all(math.isclose(found[k], want[k], abs_tol=1e-9) for k in want) and math.isclose(sum(found.values()), 1.5 * sum(sizes), abs_tol=1e-9)
+
+
 def test_mixing_comes_near_its_targets(spark, sf_small):
     rows = mixing.mix(spark.read.parquet(f"{sf_small}/documents.parquet")).collect()
     taken, target, largest = Counter(), {}, Counter()

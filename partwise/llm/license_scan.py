@@ -75,6 +75,17 @@ class Scanner:
         place = np.concatenate([[0], np.cumsum(keep)])
         return wide[keep].tobytes(), place[begin]
 
+    @staticmethod
+    def matches(pattern: regex.Pattern, text: bytes, a: int, b: int) -> Iterator[regex.Match]:
+        """The best match within a and b, and likewise those before and after it."""
+        todo = [(a, b)]
+        while todo:
+            a, b = todo.pop()
+            m = pattern.search(text, a, b)
+            if m and m.end() > m.start():
+                yield m
+                todo += [(m.end(), b), (a, m.start())]
+
     def scan(self, column: pa.Array) -> Iterator[tuple[int, list[tuple[int, str]], list[tuple]]]:
         """(words, base places [(word, label)], hits) of each text; hits are (label, start, end, edits, text) in words."""
         text, starts = self.normal(column)
@@ -108,12 +119,11 @@ class Scanner:
                     else:
                         merged.append([a, b])
                 for a, b in merged:
-                    for m in pattern.finditer(text, a, b):
+                    for m in self.matches(pattern, text, a, b):
                         s, e = m.span()
-                        if e > s:
-                            first = word_at(row, s) - (text[s : s + 1] != b" ")
-                            last = word_at(row, e) - (text[e - 1 : e] == b" ")
-                            hits[row].append((label, max(first, 0), last, sum(m.fuzzy_counts), text[s:e].decode("utf-8", "replace")))
+                        first = word_at(row, s) - (text[s : s + 1] != b" ")
+                        last = word_at(row, e) - (text[e - 1 : e] == b" ")
+                        hits[row].append((label, max(first, 0), last, sum(m.fuzzy_counts), text[s:e].decode("utf-8", "replace")))
         for row in range(count):
             words = int(spaces[ends[row]] - spaces[starts[row]]) - 1
             yield max(words, 0), sorted(base[row]), sorted(hits[row], key=lambda h: (h[1], h[0]))

@@ -115,6 +115,14 @@ def test_every_notice_is_found_with_its_allowed_errors():
         assert label in {h[0] for h in hits}
 
 
+def test_worse_notices_before_the_best_are_hits_too():
+    good, bad = "released under the mit license", "released under teh mit license"
+    scanner = license_scan.Scanner({}, {good: "mit-notice"})
+    for said in ([bad, good], [good, bad], [bad, bad, good, bad], [good, good]):
+        (_, _, hits), = scanner.scan(pa.array([" y ".join(said)]))
+        assert [(h[1], h[3] > 0) for h in hits] == [(6 * k, s == bad) for k, s in enumerate(said)]
+
+
 def test_media_columns(docs, empty):
     found = by_id(media_columns.document_media(docs))
     for i, text in TEXTS.items():

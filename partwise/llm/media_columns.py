@@ -26,10 +26,20 @@ STORE = "digest string, media binary"
 RESOLVED = "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
+class _Figure:
+    """An open figure: its first part, whether its caption is open, the caption, and the part before which it stands."""
+
+    def __init__(self, start: int):
+        self.start = self.place = start
+        self.open = False
+        self.caption: list[str] = []
+
+
 class _Sequence(HTMLParser):
     """Texts and media references of a page in order; a figure's caption goes to its media."""
 
-    HIDDEN = {"script", "style", "template", "noscript", "head"}
+    HIDDEN = {"script", "style", "template", "noscript"}
+    HEAD = HIDDEN | {"title", "base", "link", "meta", "noframes", "basefont", "bgsound", "html", "head"}
     BREAKS = {"p", "div", "li", "tr", "br", "figure", "article", "section", "blockquote", *(f"h{i}" for i in range(1, 7))}
     MEDIA = {"img", "audio", "video", "source", "embed"}
 
@@ -37,9 +47,10 @@ class _Sequence(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parts: list[dict] = []
         self.words: list[str] = []
-        self.caption: list[str] = []
-        self.hidden = self.in_caption = 0
-        self.figure: int | None = None
+        self.hidden = 0
+        self.head = self.title = False
+        self.figures: list[_Figure] = []  # open ones, the innermost last
+        self.captioned: set[int] = set()
 
     def text_ends(self) -> None:
         text = " ".join("".join(self.words).split())
@@ -47,44 +58,76 @@ class _Sequence(HTMLParser):
         if text:
             self.parts.append({"kind": "text", "text": text, "digest": None, "caption": None})
 
+    def head_ends(self) -> None:
+        self.head, self.title, self.hidden = False, False, 0
+
+    def figure_ends(self) -> None:
+        """The caption goes to the figure's media without one, or is a text at its place."""
+        figure = self.figures.pop()
+        said = " ".join("".join(figure.caption).split())
+        media = [p for p in self.parts[figure.start :] if p["kind"] == "media" and id(p) not in self.captioned]
+        for part in media if said else ():
+            part["caption"] = said
+            self.captioned.add(id(part))
+        if said and not media:
+            self.parts.insert(figure.place, {"kind": "text", "text": said, "digest": None, "caption": None})
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.head and (tag == "body" or not self.hidden and tag not in self.HEAD):  # </head> may be left out
+            self.head_ends()
+        if tag == "head":
+            self.head = True
         if tag in self.HIDDEN:
             self.hidden += 1
-        if tag in self.BREAKS or tag in self.MEDIA:
+        if tag == "title" and self.head and not self.title:
+            self.title = True
+            self.hidden += 1
+        if tag in self.BREAKS or tag in self.MEDIA or tag == "figcaption":
             self.text_ends()
         if tag == "figure":
-            self.figure = len(self.parts)
-        if tag == "figcaption":
-            self.in_caption, self.caption = 1, []
+            self.figures.append(_Figure(len(self.parts)))
+        if tag == "figcaption" and self.figures:
+            figure = self.figures[-1]
+            figure.open, figure.place = True, figure.place if figure.caption else len(self.parts)
+            figure.caption.append(" ")
         found = dict(attrs)
         if tag in self.MEDIA and (source := found.get("src") or ""):
             digest = source[len(SCHEME) :] if source.startswith(SCHEME) else hashlib.sha256(source.encode()).hexdigest()
             self.parts.append({"kind": "media", "text": None, "digest": digest, "caption": found.get("alt")})
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in self.HIDDEN and self.hidden:
+        if tag == "head" and self.head:
+            self.head_ends()
+        if (tag in self.HIDDEN or tag == "title" and self.title) and self.hidden:
             self.hidden -= 1
+        if tag == "title":
+            self.title = False
         if tag == "figcaption":
-            self.in_caption = 0
+            if self.figures:
+                self.figures[-1].open = False
+            self.text_ends()
         if tag in self.BREAKS:
             self.text_ends()
-        if tag == "figure":
-            said = " ".join("".join(self.caption).split())
-            for part in self.parts[self.figure or 0 :] if said else ():
-                if part["kind"] == "media":
-                    part["caption"] = said
-            self.figure, self.caption = None, []
+        if tag == "figure" and self.figures:
+            self.figure_ends()
 
     def handle_data(self, data: str) -> None:
-        if not self.hidden:
-            (self.caption if self.in_caption else self.words).append(data)
+        if self.head and not self.hidden and data.strip():
+            self.head_ends()
+        if not self.hidden and not self.head:
+            (self.figures[-1].caption if self.figures and self.figures[-1].open else self.words).append(data)
+
+    def page_ends(self) -> None:
+        self.text_ends()
+        while self.figures:
+            self.figure_ends()
 
 
 def sequence(page: str | None) -> list[dict]:
     parser = _Sequence()
     parser.feed(page or "")
     parser.close()
-    parser.text_ends()
+    parser.page_ends()
     return [{"position": i, **part} for i, part in enumerate(parser.parts)]
 
 

@@ -142,6 +142,22 @@ def test_interleaved_sequence_keeps_order_and_captions():
     assert parts[1]["digest"] == "d1" and [p["position"] for p in parts] == list(range(5)) and media_columns.sequence(None) == []
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<html><head><title>x</title><body>one<img src=u>two", ["one", None, "two"]),
+    ("<html><head><title>x</title><meta charset=utf-8><p>one<p>two", ["one", "two"]),
+    ("<head><title>x</title><noscript><img src=u></noscript><style>a</style></head>one", [None, "one"]),
+    ("<head>\n<script>x</script>\none", ["one"]),
+    ("<head><title>x</title></head><svg><title>y</title></svg>one", ["yone"]),
+    ("<figure><img src=u><figcaption>cap</figure>one<p>two", ["cap", "one", "two"]),
+    ("<figure><img src=u><figcaption>cap</figcaption>", ["cap"]),
+    ("one<figcaption>cap</figcaption>two", ["one", "cap", "two"]),
+    ("one<figure>two<figcaption>cap</figcaption><p>three</figure>four", ["one", "two", "cap", "three", "four"]),
+    ("<img src=u><figure><figure><img src=v><figcaption>in</figcaption></figure><img src=w><figcaption>out</figcaption></figure></figure>one", [None, "in", "out", "one"]),
+])
+def test_interleaved_sequence_keeps_all_text_of_pages_without_end_tags(page, want):
+    assert [p["text"] or p["caption"] for p in media_columns.sequence(page)] == want
+
+
 def test_mixing_matches_brute_force(docs, empty):
     rows = mixing.mix(docs).collect()
     size = Counter()

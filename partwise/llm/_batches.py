@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import sys
 import tempfile
-import types
 import uuid
 from collections.abc import Iterator
 
@@ -15,17 +13,31 @@ from pyspark.sql import DataFrame, SparkSession
 U64 = np.uint64
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+_WRITTEN: list[str] = []  # folders in use, for clear()
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; that setting is filled in only where it is unset (tests, one machine)."""
+    """A new folder below spark.checkpoint.dir. Where that is unset, a local run takes a temporary folder; a cluster, whose executors would not see it, refuses."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith(("local[", "local-")) and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir is unset: intermediate tables need a folder that all executors share")
         root = getattr(shared_folder, "own", None) or tempfile.mkdtemp(prefix="spark-shared-")
         shared_folder.own = root
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> int:
+    """Deletes the folders that operators of this process have made so far, once their results have been written or read; returns how many."""
+    jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
@@ -123,8 +135,3 @@ def list_values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     lengths = np.array(column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), np.int64)
     return np.concatenate([[0], np.cumsum(lengths)]), values
 
-
-def worker_cache(name: str) -> dict:
-    """A dict that lives as long as this Python worker, so that its later tasks find what earlier ones worked out."""
-    home = sys.modules.setdefault("_partwise_worker", types.ModuleType("_partwise_worker"))
-    return vars(home).setdefault(name, {})

@@ -8,9 +8,14 @@ counts of all sets (ngram_sets.allocate). Sets that share a signature are candid
 Scale. Equal sets are joined first, by fingerprint, so groups of copies are one set from there on. Signatures are
 small rows that are shuffled once and read sorted, one row at a time. In each bucket the first member is compared with
 the rest; so a group of near copies costs as many comparisons as it has members. Only buckets that still hold different
-components go on: their members get a bit sketch, whose distance is a lower bound of the sets' difference, and within
-the task pairs beyond the bound are left out, so that hardly a pair that does not link is sent on. No link between
-components is lost. Texts of candidates only are shuffled for the comparison.
+components go on, cut into pairs of blocks that are spread over tasks: their members get a bit sketch, whose distance is
+a lower bound of the sets' difference, and pairs beyond the bound are left out, so that hardly a pair that does not link
+is sent on. No link between components is lost. Texts of candidates only are shuffled for the comparison. Signatures
+that many sets share are salted, and buckets are joined with their leaders by Spark, which splits skewed ones.
+
+Sets count as equal when their sizes and two independent 64-bit sums agree: for 10**10 different sets the chance that any
+two of them are taken for one is below 10**-18. Signatures are 64-bit values; where two agree by chance, the only effect
+is one more comparison. Links between different sets are decided word by word.
 """
 
 from __future__ import annotations
@@ -28,12 +33,13 @@ from partwise.llm.ngram_sets import allocate, allowed, fingerprints, shingle_set
 
 WORDS, PERCENT = 5, 80
 _FILTER_BITS = 23
-_SMALL = 8  # members of a bucket that are paired without sketches
+_PROBE = np.uint64(0x3FF)
+_HOT, _BLOCK = 256, 1024
 _TABLE = bytes(LOWER)
 
 
 def _set_stats(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n, fp1, fp2) of every row: size of its set and fingerprints that equal sets share."""
+    """(doc_id, n, fp1, fp2, probe) of every row: size of its set, fingerprints that equal sets share, and its part of a fixed 1024th of all shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -41,83 +47,95 @@ def _set_stats(docs: DataFrame, words: int) -> DataFrame:
                 raw, at = flat(part.column(1))
                 rows, hashes = shingle_sets(raw, at, words)
                 n, fp1, fp2 = fingerprints(rows, hashes, len(part))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(fp1), pa.array(fp2)], ["doc_id", "n", "fp1", "fp2"])
+                own = np.flatnonzero(hashes & _PROBE == 0)
+                probe = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(rows[own], minlength=len(part)))]), pa.int32()), pa.array(hashes[own].view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(fp1), pa.array(fp2), probe], ["doc_id", "n", "fp1", "fp2", "probe"])
 
-    return docs.mapInArrow(run, "doc_id long, n long, fp1 long, fp2 long")
+    return docs.mapInArrow(run, "doc_id long, n long, fp1 long, fp2 long, probe array<long>")
+
+
+def _met(stats: DataFrame) -> dict[int, tuple[float, float]]:
+    """For each size band, the share of its elements that other sets have too, and how many sets on average (a row a band)."""
+    once = stats.where("n > 1 and doc_id is not null").groupBy("n", "fp1", "fp2").agg(F.first("probe").alias("probe"))
+    counts = once.select(F.floor(F.log2("n")).alias("band"), F.explode("probe").alias("e")).groupBy("band", "e").agg(F.count("*").alias("k"))
+    counts = stored(counts)
+    whole = counts.groupBy("e").agg(F.sum("k").alias("c"))
+    more = F.when(F.col("c") > 1, F.col("k")).otherwise(0)
+    rows = counts.join(whole, "e").groupBy("band").agg(F.sum("k").alias("all"), F.sum(more).alias("shared"), F.sum(more * (F.col("c") - 1)).alias("others")).collect()
+    return {int(r.band): (r.shared / r.all, r.others / r.shared if r.shared else 0.0) for r in rows}
 
 
 def _signature_rows(docs: DataFrame, words: int, percent: int, schemes: dict) -> DataFrame:
-    """(sig, fp1) of every set; a set that a task has seen before is not signed again."""
+    """(sig, salt, fp1, fp2) of every set; a set that a task has seen before is not signed again.
+
+    A signature that _HOT sets of a piece of text share is hot: its rows are salted, but for two that stay with salt 0.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
+        seen: set[tuple[int, int]] = set()
         for batch in batches:
             for part in pieces(batch, "text", 4 << 20):
                 raw, at = flat(part.column(1))
                 rows, hashes = shingle_sets(raw, at, words)
-                _, fp1, _ = fingerprints(rows, hashes, len(part))
+                _, fp1, fp2 = fingerprints(rows, hashes, len(part))
                 new = np.zeros(len(part), bool)
-                for i, f in enumerate(fp1.tolist()):
+                for i, f in enumerate(zip(fp1.tolist(), fp2.tolist())):
                     if f not in seen:
                         seen.add(f)
                         new[i] = True
                 keep = new[rows]
                 owner, sigs = signatures(rows[keep], hashes[keep], len(part), schemes, percent)
-                yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(fp1[owner])], ["sig", "fp1"])
+                order = np.argsort(sigs, kind="stable")
+                owner, sigs = owner[order], sigs[order]
+                start = np.flatnonzero(np.r_[True, sigs[1:] != sigs[:-1]]) if len(sigs) else np.zeros(0, np.int64)
+                size = np.diff(np.r_[start, len(sigs)])
+                rank = np.arange(len(sigs)) - np.repeat(start, size)
+                salt = np.where((np.repeat(size, size) >= _HOT) & (rank > 1), 1 + (fp1[owner] & 0xFF), 0)
+                yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(salt, pa.int32()), pa.array(fp1[owner]), pa.array(fp2[owner])], ["sig", "salt", "fp1", "fp2"])
 
-    return docs.mapInArrow(run, "sig long, fp1 long")
+    return docs.mapInArrow(run, "sig long, salt int, fp1 long, fp2 long")
 
 
 def _shared_buckets(rows: DataFrame) -> DataFrame:
-    """The distinct rows of (sig, fp1), sorted by both within a partition, whose signature has two sets or more."""
+    """The distinct rows (sig, fp1, fp2) of signatures that two sets or more have.
+
+    rows are sorted by all columns within a partition and dealt by sig and salt. A salted row is of a hot signature, so
+    it stays; the two rows of it with salt 0 tell the rows of tasks for which it was not hot that they are not alone.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((2, 0), np.int64)  # the last, perhaps unfinished bucket: its first row or its last two
+        held = np.zeros((4, 0), np.int64)  # the last, perhaps unfinished bucket: its first row or its last one
         told = False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig = np.concatenate([held[0], batch.column(0).to_numpy()])
-            own = np.concatenate([held[1], batch.column(1).to_numpy()])
-            new = np.ones(len(sig), bool)
-            new[1:] = (sig[1:] != sig[:-1]) | (own[1:] != own[:-1])
+            at = np.concatenate([held, np.stack([c.to_numpy().astype(np.int64) for c in batch.columns])], 1)
+            new = np.ones(at.shape[1], bool)
+            new[1:] = (at[:, 1:] != at[:, :-1]).any(0)
             k = held.shape[1]
-            sig, own, k = sig[new], own[new], int(new[:k].sum())
-            same = sig[1:] == sig[:-1]
-            many = np.zeros(len(sig), bool)
+            k, at = int(new[:k].sum()), at[:, new]
+            same = (at[:2, 1:] == at[:2, :-1]).all(0)
+            many = at[1] > 0
             many[1:] |= same
             many[:-1] |= same
             many[:k] &= not told
-            told = bool(many[-1]) or (len(sig) == k and told)
-            held = np.array([sig[-1:], own[-1:]])
-            yield pa.RecordBatch.from_arrays([pa.array(sig[many]), pa.array(own[many])], ["sig", "fp1"])
+            told = bool(many[-1]) or (at.shape[1] == k and told)
+            held = at[:, -1:]
+            yield pa.RecordBatch.from_arrays([pa.array(at[i][many]) for i in (0, 2, 3)], ["sig", "fp1", "fp2"])
 
-    return rows.mapInArrow(run, "sig long, fp1 long")
+    return rows.mapInArrow(run, "sig long, fp1 long, fp2 long")
 
 
 def _leader_pairs(members: DataFrame, percent: int) -> DataFrame:
     """(a, b, chunk): in each bucket the first member with every other of a size that a link allows.
 
-    members has (sig, doc_id, n), sorted within a partition. chunk cuts the partners of one a into parts of bounded size.
+    members has (sig, doc_id, n). Leaders are found by an aggregate and joined with the members as two stored tables, so
+    the rows of a hot signature can be split over tasks. chunk cuts the partners of one a into parts of bounded size.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sig0, lead0, size0, rank0 = None, 0, 0, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sig, doc, n = (c.to_numpy() for c in batch.columns)
-            start = np.r_[True, sig[1:] != sig[:-1]]
-            at = np.maximum.accumulate(np.where(start, np.arange(len(sig)), 0))
-            lead, size, rank = doc[at], n[at], np.arange(len(sig)) - at
-            if sig[0] == sig0:
-                first = at == 0
-                lead, size, rank = np.where(first, lead0, lead), np.where(first, size0, size), np.where(first, rank + rank0 + 1, rank)
-            sig0, lead0, size0, rank0 = sig[-1], lead[-1], size[-1], rank[-1]
-            other = (lead != doc) & (100 * np.minimum(n, size) >= percent * np.maximum(n, size))
-            yield pa.RecordBatch.from_arrays([pa.array(lead[other]), pa.array(doc[other]), pa.array(rank[other] // 128)], ["a", "b", "chunk"])
-
-    return members.mapInArrow(run, "a long, b long, chunk long")
+    leaders = stored(members.groupBy("sig").agg(F.min(F.struct("doc_id", "n")).alias("lead"), F.count("*").alias("size")).where("size > 1").select("sig", F.col("lead.doc_id").alias("a"), F.col("lead.n").alias("m"), "size"))
+    near = F.expr(f"a <> doc_id and 100 * least(n, m) >= {percent} * greatest(n, m)")
+    chunk = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / 128).cast("long")).cast("long")
+    return members.join(leaders, "sig").where(near).select("a", F.col("doc_id").alias("b"), chunk.alias("chunk"))
 
 
 def _sketches(texts: DataFrame, words: int) -> DataFrame:
@@ -138,65 +156,68 @@ def _sketches(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, size long, sketch binary")
 
 
-def _near(bucket: list[tuple], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(a, b) of all pairs of a large bucket's (doc, n, label, sketch) that differ in label and may link.
+def _near(left: list[tuple], right: list[tuple], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(a, b) of the pairs of two blocks' (doc, n, label, sketch) that differ in label and may link.
 
     Sketches of two sets differ in no more bits than the sets in elements, so what is left out cannot link.
     """
-    groups: dict[int, list[tuple]] = {}
-    for row in bucket:
-        groups.setdefault(len(row[3]), []).append(row)
-    at = {w: (*(np.array([r[i] for r in g], np.int64) for i in range(3)), np.frombuffer(b"".join(r[3] for r in g), np.uint64).reshape(len(g), -1)) for w, g in groups.items()}
-    for width, (doc, n, label, bits) in at.items():
-        for wide in (width, 2 * width):
-            if wide not in at:
+
+    def by_width(rows: list[tuple]) -> dict[int, tuple]:
+        groups: dict[int, list[tuple]] = {}
+        for row in rows:
+            groups.setdefault(len(row[3]), []).append(row)
+        return {w: (*(np.array([r[i] for r in g], np.int64) for i in range(3)), np.frombuffer(b"".join(r[3] for r in g), np.uint64).reshape(len(g), -1)) for w, g in groups.items()}
+
+    one, two = by_width(left), by_width(right)
+    for width, (doc, n, label, bits) in one.items():
+        for wide in (width // 2, width, 2 * width):
+            if wide not in two:
                 continue
-            doc2, n2, label2, bits2 = at[wide]
+            doc2, n2, label2, bits2 = two[wide]
+            own = bits
             if wide > width:
                 bits2 = bits2[:, : bits.shape[1]] ^ bits2[:, bits.shape[1] :]
-            step = max(1, (1 << 21) // (len(doc2) * bits.shape[1]))
-            for k in range(0, len(doc), step):
-                own = slice(k, k + step)
-                may = (label[own, None] != label2) & (100 * np.minimum(n[own, None], n2) >= percent * np.maximum(n[own, None], n2))
-                if wide == width:
-                    may &= doc[own, None] < doc2
-                i, j = np.nonzero(may)
-                most = max(1, (1 << 20) // bits.shape[1])
-                for c in range(0, len(i), most):
-                    x, y = i[c : c + most] + k, j[c : c + most]
-                    apart = np.bitwise_count(bits[x] ^ bits2[y]).sum(1)
-                    ok = apart <= allowed(np.minimum(n[x], n2[y]), percent)
-                    if ok.any():
-                        yield np.minimum(doc[x[ok]], doc2[y[ok]]), np.maximum(doc[x[ok]], doc2[y[ok]])
+            elif wide < width:
+                own = bits[:, : bits2.shape[1]] ^ bits[:, bits2.shape[1] :]
+            may = (label[:, None] != label2) & (doc[:, None] != doc2) & (100 * np.minimum(n[:, None], n2) >= percent * np.maximum(n[:, None], n2))
+            i, j = np.nonzero(may)
+            most = max(1, (1 << 20) // own.shape[1])
+            for c in range(0, len(i), most):
+                x, y = i[c : c + most], j[c : c + most]
+                ok = np.bitwise_count(own[x] ^ bits2[y]).sum(1) <= allowed(np.minimum(n[x], n2[y]), percent)
+                if ok.any():
+                    yield np.minimum(doc[x[ok]], doc2[y[ok]]), np.maximum(doc[x[ok]], doc2[y[ok]])
 
 
 def _near_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b, chunk) of all buckets, from (sig, doc_id, n, label, sketch) sorted by sig within a partition."""
+    """(a, b, chunk) of all buckets, from (sig, doc_id, n, label, sketch, size): the pairs of each that differ in label and may link.
+
+    A bucket of size members is cut into blocks by the hash of doc_id, and each pair of blocks is a group of its own, of
+    about twice _BLOCK rows, so the pairs of a large bucket are spread over tasks.
+    """
+    blocks = F.ceil(F.col("size") / _BLOCK).cast("int")
+    rows = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks").cast("long")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), "doc_id", "n", "label", "sketch")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, bucket = None, []
+        current, sides = None, ([], [])
 
         def done() -> Iterator[pa.RecordBatch]:
-            if len({r[2] for r in bucket}) < 2:
-                return
-            if bucket[0][3] is None:
-                pairs = [(min(x[0], y[0]), max(x[0], y[0])) for i, x in enumerate(bucket) for y in bucket[:i]
-                         if x[2] != y[2] and 100 * min(x[1], y[1]) >= percent * max(x[1], y[1])]
-                found = [tuple(np.array(pairs).T)] if pairs else []
-            else:
-                found = _near(bucket, percent)
-            for a, b in found:
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(b % 16)], ["a", "b", "chunk"])
+            left, right = sides
+            if current is not None and (current[1] == current[2] or right):
+                for a, b in _near(left, right or left, percent):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(b % 16)], ["a", "b", "chunk"])
 
         for batch in batches:
-            for sig, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if sig != current:
+            for sig, i, j, second, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if (sig, i, j) != current:
                     yield from done()
-                    current, bucket = sig, []
-                bucket.append(tuple(row))
+                    current, sides = (sig, i, j), ([], [])
+                sides[second].append(tuple(row))
         yield from done()
 
-    return members.mapInArrow(run, "a long, b long, chunk long")
+    return rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j").mapInArrow(run, "a long, b long, chunk long")
 
 
 def _compared(pairs: DataFrame, contents: DataFrame, same: Callable, made: Callable) -> DataFrame:
@@ -283,11 +304,10 @@ def jaccard_classes(documents: DataFrame, words: int = WORDS, percent: int = PER
     bands = {r.band: (r.sets, r.size) for r in sets.where("n > 1").groupBy(F.floor(F.log2("n")).alias("band")).agg(F.count("*").alias("sets"), F.avg("n").alias("size")).collect()}
     labels = None
     if bands:
-        schemes = allocate({int(b): v for b, v in bands.items()}, percent)
+        schemes = allocate({int(b): v for b, v in bands.items()}, percent, _met(stats))
         rows = _signature_rows(docs.where("doc_id is not null"), words, percent, schemes)
-        buckets = _shared_buckets(rows.repartition("sig").sortWithinPartitions("sig", "fp1"))
-        buckets = stored(buckets)
-        members = stored(buckets.join(sets.select("fp1", "doc_id", "n"), "fp1").select("sig", "doc_id", "n"))
+        buckets = stored(_shared_buckets(rows.repartition("sig", "salt").sortWithinPartitions("sig", "salt", "fp1", "fp2")))
+        members = stored(buckets.join(sets.select("fp1", "fp2", "doc_id", "n"), ["fp1", "fp2"]).select("sig", "doc_id", "n"))
         labels = _linked(docs, members, words, percent)
     found = sets
     if labels is not None:
@@ -299,17 +319,22 @@ def jaccard_classes(documents: DataFrame, words: int = WORDS, percent: int = PER
 
 
 def one_of_each(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of documents but for near-duplicates: of each class the row of smallest doc_id, with the columns of documents.
+    """The rows of documents but for near-duplicates: of each class the rows of its smallest doc_id, with the columns of documents.
 
-    Of rows of equal doc_id one stays, by its text's hash. Rows of a null doc_id and texts without words all stay.
+    Rows of one doc_id stay or go together; of those that stay, rows of equal text are one (the one whose other columns
+    have the smallest hash) and other texts under the same id stay too. Rows of a null doc_id and texts without words
+    all stay; an empty table gives an empty result; columns may have any names.
     """
-    classes = jaccard_classes(documents, words, percent)
+    names = documents.columns
+    plain = documents.toDF(*[f"c{i}" for i in range(len(names))])
+    doc, text = plain.columns[names.index("doc_id")], plain.columns[names.index("text")]
+    classes = jaccard_classes(plain.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")), words, percent)
     stay = classes.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    row = F.struct(*[F.col(c) for c in documents.columns]).alias("_row")
-    rows = documents.select(row, F.col("doc_id").cast("long").alias("_id"))
-    first = Window.partitionBy("_id").orderBy(F.xxhash64("_row.text"))
-    found = rows.join(stay, "_id").withColumn("_n", F.row_number().over(first)).where("_n = 1")
-    return found.select("_row.*").unionByName(rows.where("_id is null").select("_row.*"))
+    rows = plain.withColumn("_id", F.col(doc).cast("long"))
+    rest = F.to_json(F.struct(*[c for c in plain.columns if c != text]))
+    same = Window.partitionBy("_id", F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256)).orderBy(F.xxhash64(rest))
+    first = rows.join(stay, "_id", "left_semi").withColumn("_n", F.row_number().over(same)).where("_n = 1").select(*plain.columns)
+    return first.unionByName(rows.where("_id is null").select(*plain.columns)).toDF(*names)
 
 
 def _linked(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame | None:
@@ -319,18 +344,14 @@ def _linked(docs: DataFrame, members: DataFrame, words: int, percent: int) -> Da
         return None
     texts = stored(_mostly(docs, ids))  # with a few others, which no pair names
     sketches = stored(_sketches(texts, words))
-    pairs = _leader_pairs(members.repartition("sig").sortWithinPartitions("sig", "doc_id"), percent)
-    pairs = stored(pairs.groupBy("a", "b").agg(F.min("chunk").alias("chunk")))
+    pairs = stored(_leader_pairs(members, percent).groupBy("a", "b").agg(F.min("chunk").alias("chunk")))
     labels = components(_verified(pairs, texts, sketches, words, percent))
 
     known = stored(members.join(labels.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").select("sig", "doc_id", "n", F.coalesce("component", "doc_id").alias("label")))
-    bucket = Window.partitionBy("sig")
-    known = known.select("*", F.min("label").over(bucket).alias("lo"), F.max("label").over(bucket).alias("hi"), F.count("*").over(bucket).alias("size"))
-    known = stored(known.where("lo <> hi and size > 2"))
-    small = known.where(f"size <= {_SMALL}").select("sig", "doc_id", "n", "label", F.lit(None).cast("binary").alias("sketch"))
-    large = stored(known.where(f"size > {_SMALL}").join(sketches.select("doc_id", "sketch"), "doc_id").select("sig", "doc_id", "n", "label", "sketch"))
-    more = _near_pairs(small.unionByName(large).repartition("sig").sortWithinPartitions("sig"), percent)
-    more = stored(more.groupBy("a", "b").agg(F.min("chunk").alias("chunk")).join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
+    open_ = stored(known.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo <> hi and size > 2").select("sig", "size"))
+    known = stored(known.join(open_, "sig").join(sketches.select("doc_id", "sketch"), "doc_id").select("sig", "doc_id", "n", "label", "sketch", "size"))
+    more = _near_pairs(known, percent).groupBy("a", "b").agg(F.min("chunk").alias("chunk"))
+    more = stored(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
     links = stored(_verified(more, texts, sketches, words, percent))
     if links.isEmpty():
         return labels

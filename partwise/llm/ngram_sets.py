@@ -47,8 +47,12 @@ def shingle_sets(raw: np.ndarray, at: np.ndarray, words: int) -> tuple[np.ndarra
         whole[has] += h[first[short[has]] + j] * _ODD[j]
     rows, hashes = np.concatenate([rows, short]), mixed(np.concatenate([hashes, whole]))
     bits = max(1, int(len(n)).bit_length())
-    order = np.argsort((rows.astype(U64) << U64(64 - bits)) | (hashes >> U64(bits)))
-    rows, hashes = rows[order], hashes[order]
+    short = (rows.astype(U64) << U64(64 - bits)) | (hashes >> U64(bits))
+    order = np.argsort(short)
+    rows, hashes, short = rows[order], hashes[order], short[order]
+    if ((short[1:] == short[:-1]) & (hashes[1:] != hashes[:-1])).any():  # the shortened hash does not tell them apart
+        order = np.lexsort((hashes, rows))
+        rows, hashes = rows[order], hashes[order]
     new = np.ones(len(rows), bool)
     new[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
     return rows[new], hashes[new]
@@ -79,25 +83,29 @@ def allowed(n: np.ndarray | int, percent: int):
     return (100 - percent) * n // percent
 
 
-def allocate(bands: dict[int, tuple[int, float]], percent: int, shared: float = 0.1, partners: float = 50.0) -> dict[int, Scheme]:
+def allocate(bands: dict[int, tuple[int, float]], percent: int, met: dict[int, tuple[float, float]] | None = None, partner_cost: float = 0.2) -> dict[int, Scheme]:
     """The cheapest scheme of each band 2^b <= size < 2^(b+1), from its number of sets and their mean size.
 
     By the pigeonhole principle a set needs segments whose weights exceed its allowed differences; a segment of
     weight 1 is found again only when equal (one row), one of weight 2 also with one element more or less (one row
-    and one for each deletion). Cost of a set: its index rows plus the partners expected to meet it by chance, where
-    a share `shared` of all elements recurs in `partners` other sets. Segments are a third more than needed, as some stay empty.
+    and one for each deletion). met has, for each band, the share of elements that recur in other sets and in how many
+    on average. Cost of a set: its index rows, and partner_cost for each partner expected to share a row by chance: a
+    segment of m elements recurs with probability share^m. So deletions, which make fewer and longer segments but
+    more rows of each, pay where a moderate share of the elements recurs very often (a passage that many texts have).
+    Segments are a third more than needed, as some stay empty.
     """
     out = {}
     for band in sorted(set(bands) | {b + 1 for b in bands}):
         most = allowed((2 << band) - 1, percent) + 1
         size = bands.get(band, bands.get(band - 1, (0, 0.0)))[1] or 1.5 * (1 << band)
+        shared, partners = (met or {}).get(band, (met or {}).get(band - 1, (0.0, 0.0)))
         costs = []
         for share in (0.0, 0.25, 0.5, 1.0):
             segments = int(np.ceil(1.3 * most / (1 + share))) + 2
             mean, used = size / segments, (allowed(size, percent) + 1) / (1 + share)
             rows = used * (1 + share * mean)
-            met = used * partners * ((1 - share) * shared**mean + share * (1 + mean) * shared ** max(mean - 1, 0))
-            costs.append((rows + met, share, segments))
+            chance = (1 - share) * shared**mean + share * (1 + mean) * shared ** max(mean - 1, 0)
+            costs.append((rows + partner_cost * used * partners * chance, share, segments))
         _, share, segments = min(costs)
         out[band] = Scheme(band, segments, int(share * segments))
     return out

@@ -89,3 +89,54 @@ def test_any_linked_pair_shares_a_signature_under_every_allocation():
             rows = np.concatenate([np.zeros(len(a), int), np.ones(len(b), int)])
             owner, sigs = ngram_sets.signatures(rows, np.concatenate([a, b]), 2, schemes, 80)
             assert set(sigs[owner == 0].tolist()) & set(sigs[owner == 1].tolist())
+
+
+def templated(count, seed):
+    """Texts of which two fifths are one passage, so that many segments recur in all of them."""
+    rnd = random.Random(seed)
+    passage = [f"p{i}" for i in range(24)]
+    rows = []
+    for i in range(count):
+        own = [f"q{rnd.randrange(10**9)}" for _ in range(36)]
+        rows.append((i, " ".join([*own[:12], *passage, *own[12:]])))
+    return rows + [(count + k, t.replace("p3 ", "other ") if k % 2 else t + " end") for k, (_, t) in enumerate(rows[:6])]
+
+
+def test_allocation_indexes_deletions_where_they_pay(spark):
+    few, many = {5: (1000, 48.0)}, {5: (10**6, 48.0)}
+    assert ngram_sets.allocate(few, 80)[5].deletions == 0 and ngram_sets.allocate(few, 80, {5: (0.1, 20.0)})[5].deletions == 0
+    scheme = ngram_sets.allocate(many, 80, {5: (0.1, 200_000.0)})[5]
+    assert scheme.deletions > 0 and scheme.segments < ngram_sets.allocate(few, 80)[5].segments
+    measured, ngram_join._met = ngram_join._met, lambda stats: {b: (0.1, 1e6) for b in range(20)}
+    try:
+        rows = templated(120, 8)
+        assert found(spark, rows) == brute(rows)
+    finally:
+        ngram_join._met = measured
+
+
+def test_hot_signatures_and_open_buckets_are_split_without_loss(spark):
+    before = ngram_join._HOT, ngram_join._BLOCK
+    ngram_join._HOT, ngram_join._BLOCK = 4, 7
+    try:
+        rows = templated(150, 9) + [(1000 + i, f"a b c d e f g h i j k l m n o p q r s t u v w x y z {i}") for i in range(60)]
+        assert found(spark, rows) == brute(rows)
+    finally:
+        ngram_join._HOT, ngram_join._BLOCK = before
+
+
+def test_shingle_counts_do_not_rest_on_the_shortened_hash():
+    text = " ".join(f"w{i % 50}" for i in range(4000)).encode()
+    raw, at = np.frombuffer(text * 3, np.uint8), np.arange(4) * len(text)
+    rows, hashes = ngram_sets.shingle_sets(raw, at, 5)
+    assert np.bincount(rows).tolist() == [50, 50, 50] and len(set(zip(rows.tolist(), hashes.tolist()))) == 150
+
+
+def test_one_of_each_keeps_other_texts_of_an_id_and_any_columns(spark):
+    words = "one two three four five six seven"
+    rows = [(1, words, "x", 0), (1, words, "y", 0), (1, "another text under the same id here", "z", 0), (2, words, "x", 0), (None, words, "x", 0), (3, None, "x", 0), (4, "", "x", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id string, component_id int")
+    left = ngram_join.one_of_each(df)
+    assert left.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == sorted([(0, words), (1, words), (1, "another text under the same id here"), (3, ""), (4, "")])
+    assert ngram_join.one_of_each(df.limit(0)).collect() == []

@@ -2,16 +2,19 @@
 
 A word is cut in every possible way into pieces of a public vocabulary; a piece's weight starts from the score that the
 file gives it and is re-estimated once from the training texts (expected counts by forward and backward recursion in log
-space). A word seen in training is one more edge of its lattice, weighted by its count. A text's probability is the
-product over its words and its end, as a piece with a word start never lies within a word.
+space). Every word of every text is scored by this lattice; a word seen in training has one edge more, whose share
+(SEEN) is a small, fixed part of the model. A text's probability is the product over its words and its end, as a piece
+with a word start never lies within a word.
 
 Scale. Texts are read once: a block of some megabytes is one row with its distinct words, their training counts, its
 documents and its words as codes. Distinct words of blocks are shuffled by word, read sorted, one word at a time, and
-shuffled back to their blocks, so no table of all words is ever sent to one place, and a frequent word is a row a block.
+dealt back to their blocks, many more partitions than blocks, so that a task has one block or none; there the rows of a
+block are read one after the other. No table of all words is ever sent to one place; a frequent word is a row a block.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -25,6 +28,7 @@ from pyspark.sql import functions as F
 from partwise.llm._batches import LOWER, U64, coded, flat, mixed, pieces, stored, tabled, word_bounds
 
 FOLDS, HELD = 7, 2
+SEEN = 0.2  # share of the edge that is a whole word seen in training
 _BLOCK_BYTES = 16 << 20
 _LONG = 64
 _BASE = U64(0x9E3779B97F4A7C15)
@@ -57,6 +61,12 @@ def piece_weights(model_file: str) -> tuple[list[bytes], np.ndarray]:
     return names, weights - np.logaddexp.reduce(weights)
 
 
+def _log_sum(a: float, b: float) -> float:
+    """log(exp(a) + exp(b))."""
+    low, high = (a, b) if a < b else (b, a)
+    return high if low == -math.inf else high + math.log1p(math.exp(low - high))
+
+
 class Lattice:
     """Marginal log probabilities of words, many at a time."""
 
@@ -110,19 +120,19 @@ class Lattice:
                 yield i, *found
 
     def _one(self, word: bytes) -> list[float]:
-        alpha = [0.0] + [-np.inf] * len(word)
+        alpha = [0.0] + [-math.inf] * len(word)
         for j in range(1, len(word) + 1):
             for i, _, w in self._ending(word, j):
-                alpha[j] = float(np.logaddexp(alpha[j], alpha[i] + w))
+                alpha[j] = _log_sum(alpha[j], alpha[i] + w)
         return alpha
 
     def _add_uses(self, word: bytes, count: int, out: np.ndarray) -> None:
         """Adds the expected uses of each piece in one word, in memory linear in it."""
-        alpha, beta = self._one(word), [-np.inf] * len(word) + [0.0]
+        alpha, beta = self._one(word), [-math.inf] * len(word) + [0.0]
         for j in range(len(word), 0, -1):
             for i, piece, w in self._ending(word, j):
-                beta[i] = float(np.logaddexp(beta[i], beta[j] + w))
-                out[piece] += np.exp(alpha[i] + w + beta[j] - alpha[-1]) * count
+                beta[i] = _log_sum(beta[i], beta[j] + w)
+                out[piece] += math.exp(alpha[i] + w + beta[j] - alpha[-1]) * count
 
     def _by_length(self, words: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(which words, their bytes as rows, each after a word start), for each length up to _LONG."""
@@ -233,12 +243,20 @@ def _counted(words: DataFrame, names: list[bytes], weights: np.ndarray) -> DataF
     return words.mapInArrow(run, "block long, code int, c long, q double, new boolean")
 
 
-def score_documents(documents: DataFrame, model_file: str, folds: int = FOLDS, held_fold: int = HELD) -> DataFrame:
+def mixed_log10(q: np.ndarray, c: np.ndarray, n: int, seen: float = SEEN) -> np.ndarray:
+    """log10 of (1 - seen) * exp(q) + seen * c / n: the lattice with the edge of the whole word; without training, the lattice alone."""
+    if not n:
+        return q / np.log(10)
+    with np.errstate(divide="ignore"):
+        return np.logaddexp(np.log1p(-seen) + q, np.log(seen) + np.log(c) - np.log(n)) / np.log(10)
+
+
+def score_documents(documents: DataFrame, model_file: str, folds: int = FOLDS, held_fold: int = HELD, seen: float = SEEN) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of doc_id and text.
 
     Tokens are the words between ASCII white space, A-Z lower-cased, and one end. Rows whose crc32 of doc_id as text
     modulo folds is held_fold are not learnt from. base_score is add-one smoothing of token counts, score the lattice
-    model; both are log10 probabilities of the whole text. A null or empty text is an end alone; a null doc_id counts
+    model, in which a whole word seen in training has the share `seen` (0 to below 1); both are log10 probabilities of the whole text. A null or empty text is an end alone; a null doc_id counts
     as the text ""; equal rows are scored alike; with no training rows a text has the weights of the vocabulary alone;
     an empty table gives an empty result; other columns are ignored.
     """
@@ -261,22 +279,41 @@ def score_documents(documents: DataFrame, model_file: str, folds: int = FOLDS, h
     sums = counted.where("new").agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
     n, v = sums.n + ends, sums.v + (ends > 0)
 
-    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        order = np.argsort(left.column("code").to_numpy())
-        c, q = left.column("c").to_numpy()[order], left.column("q").to_numpy()[order]
-        base = np.log10((c + 1) / (n + v + 1))
-        model = np.log10((c + v * np.exp(q)) / (n + v)) if n else q / np.log(10)
-        if n:  # where exp(q) is too small for a double
-            model = np.where((c == 0) & (q < -600), (np.log(v / (n + v)) + q) / np.log(10), model)
-        row = {name: right.column(name)[0] for name in ("doc_ids", "held", "lengths", "codes")}
-        lengths = np.array(row["lengths"].as_py(), np.int64)
-        codes = np.frombuffer(row["codes"].as_py(), "<u4")
+    end_base = float(np.log10((ends + 1) / (n + v + 1)))
+    end_model = float(mixed_log10(np.array([end_weight]), np.array([ends]), n, seen)[0])
+
+    def scores(head: dict, code: np.ndarray, c: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(code)
+        c, q = c[order], q[order]
+        base, model = np.log10((c + 1) / (n + v + 1)), mixed_log10(q, c, n, seen)
+        lengths, codes = np.array(head["lengths"], np.int64), np.frombuffer(head["codes"], "<u4")
         at = np.concatenate([[0], np.cumsum(lengths)])
         summed = lambda x: np.array([x[codes[a:b]].sum() for a, b in zip(at, at[1:])])  # noqa: E731  each text on its own, so equal texts score alike
-        end_base = np.log10((ends + 1) / (n + v + 1))
-        end_model = np.log10((ends + v * np.exp(end_weight)) / (n + v)) if n else end_weight / np.log(10)
-        return pa.table({"doc_id": pa.array(row["doc_ids"].as_py(), pa.int64()), "held_out": pa.array(row["held"].as_py(), pa.bool_()), "n_tokens": lengths + 1, "n_known": (summed(c > 0) + (ends > 0)).astype(np.int64),
-                         "train_tokens": np.full(len(lengths), n, np.int64), "base_score": summed(base) + end_base, "score": summed(model) + end_model})
+        return pa.RecordBatch.from_arrays([
+            pa.array(head["doc_ids"], pa.int64()), pa.array(head["held"], pa.bool_()), pa.array(lengths + 1), pa.array((summed(c > 0) + (ends > 0)).astype(np.int64)),
+            pa.array(np.full(len(lengths), n, np.int64)), pa.array(summed(base) + end_base), pa.array(summed(model) + end_model)],
+            ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    left, right = counted.select("block", "code", "c", "q"), blocks.select("block", "doc_ids", "held", "lengths", "codes")
-    return left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, found = None, []  # of the current block: its documents, then its words
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if head is not None:
+                yield scores(head, *(np.concatenate([np.zeros(0, kind), *(x[i] for x in found)]) for i, kind in enumerate((np.int64, np.int64, np.float64))))
+
+        for batch in batches:
+            block = batch.column(0).to_numpy()
+            for start, end in zip(cuts := [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)], cuts[1:]):
+                part = batch.slice(start, end - start)
+                if end > start and part.column(4)[0].is_valid:
+                    yield from done()
+                    head, found = {name: part.column(name)[0].as_py() for name in ("doc_ids", "held", "lengths", "codes")}, []
+                    part = part.slice(1)
+                if len(part):
+                    found.append(tuple(part.column(k).to_numpy() for k in (1, 2, 3)))
+        yield from done()
+
+    heads = blocks.select("block", F.lit(-1).alias("code"), F.lit(0).cast("long").alias("c"), F.lit(0.0).alias("q"), "doc_ids", "held", "lengths", "codes")
+    rows = heads.unionByName(counted.select("block", "code", "c", "q"), allowMissingColumns=True)
+    dealt = rows.repartition(max(1, 4 * blocks.count()), "block").sortWithinPartitions("block", "code")
+    return dealt.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -2,9 +2,11 @@
 
 On unit vectors a cosine bound is a distance bound r. Pivots cut the vectors of a label into cells, each vector's home
 being its nearest pivot. If w lies within r of v and in the cell of pivot q, the triangle inequality gives
-d(v, q) <= d(v, p) + 2r for v's own pivot p; so v is also sent to every cell for which this holds, and each cell then
-joins its home vectors with all it was sent, on its own, as blocked matrix products. Cells of many home vectors are
-joined in blocks of bounded size. Equal vectors are one row with a count, so a group of copies costs one comparison.
+d(v, q) <= d(v, p) + 2r for v's own pivot p, and as w is no farther from q than from p, v is no farther than r from the
+plane between them; so v is also sent to every cell for which both hold. Within a large cell the triangle inequality
+decides again: its vectors lie in rings of width r around the pivot, and a vector only meets its own ring and the two
+beside it. Cells (rings) of many home vectors are joined in blocks of bounded size, each on its own, as matrix products.
+Equal vectors are one row with a count, so a group of copies costs one comparison.
 """
 
 from __future__ import annotations
@@ -19,12 +21,13 @@ from pyspark.sql import functions as F
 from partwise.llm._batches import stored
 from partwise.llm._graph import components
 
-COSINE, CELL, MOST_PIVOTS = 0.93, 2048, 1024
+COSINE, CELL, MOST_PIVOTS, SAMPLE = 0.93, 4096, 128, 4096
 _SLACK = 1e-9
 
 
 def _unit(rows: list) -> np.ndarray:
     x = np.array(rows, np.float64)
+    x = x / np.abs(x).max(1, keepdims=True)  # so that no square overflows or vanishes
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
@@ -46,68 +49,99 @@ def _local_roots(near: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> tuple[
     return found[:, 0], found[:, 1]
 
 
-def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, cell: int = CELL) -> DataFrame:
+def spread(x: np.ndarray, most: int) -> np.ndarray:
+    """At most `most` rows of x, each the one farthest from those before it."""
+    taken, far = [0], _distances(x, x[:1])[:, 0]
+    while len(taken) < min(most, len(x)) and far.max() > 1e-6:
+        taken.append(int(far.argmax()))
+        far = np.minimum(far, _distances(x, x[taken[-1:]])[:, 0])
+    return x[taken]
+
+
+def _pivots(classes: DataFrame, large: DataFrame, most: int, sample: int) -> dict[int, np.ndarray]:
+    """Pivots for each length of vectors, the same for all labels: from at most `sample` vectors (the smallest hashes) of large labels.
+
+    Pivots only steer the work; a length of which the sample has no vector has a single cell.
+    """
+    some = classes.join(large, "group", "left_semi").select("v").orderBy(F.xxhash64("id"), "id").limit(sample).collect()
+    rows: dict[int, list] = {}
+    for r in some:
+        rows.setdefault(len(r.v), []).append(r.v)
+    return {size: spread(_unit(v), most) for size, v in rows.items()}
+
+
+def _sent(classes: DataFrame, large: DataFrame, pivots: dict[int, np.ndarray], radius: float) -> DataFrame:
+    """(cell, home, d, id, times, v): each vector in its home cell and in those that a vector near it may be at home in; d to the cell's pivot."""
+    between = {size: _distances(p, p) for size, p in pivots.items()}
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            groups, many = batch.column(0).to_pylist(), batch.column(4).to_numpy(zero_copy_only=False)
+            length = np.array(batch.column(1).value_lengths().to_numpy(zero_copy_only=False), np.int64)
+            cells, rows, homes, far = [], [], [], []
+            for size in np.unique(length).tolist():
+                apart = many & (length == size) & (size in pivots)
+                for at, cut in ((np.flatnonzero(apart), True), (np.flatnonzero((length == size) & ~apart), False)):
+                    if not len(at):
+                        continue
+                    if not cut:
+                        i, j, d, home = np.arange(len(at)), np.zeros(len(at), int), np.zeros((len(at), 1)), np.zeros(len(at), int)
+                    else:
+                        d = _distances(_unit(batch.column(1).take(pa.array(at)).to_pylist()), pivots[size])
+                        home = d.argmin(1)
+                        nearest = d[np.arange(len(at)), home][:, None]
+                        plane = (d * d - nearest * nearest) <= 2 * radius * between[size][home] + _SLACK
+                        i, j = np.nonzero((d <= nearest + 2 * radius + _SLACK) & plane)
+                    cells += [f"{groups[at[a]]}|{c}" for a, c in zip(i.tolist(), j.tolist())]
+                    rows.append(at[i])
+                    homes.append(home[i] == j)
+                    far.append(d[i, j])
+            if rows:
+                picked = pa.array(np.concatenate(rows))
+                yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(np.concatenate(homes)), pa.array(np.concatenate(far)), batch.column(2).take(picked), batch.column(3).take(picked), batch.column(1).take(picked)], ["cell", "home", "d", "id", "times", "v"])
+
+    marked = classes.join(large.withColumn("large", F.lit(True)), "group", "left")
+    rows = marked.select("group", "v", "id", "times", F.coalesce("large", F.lit(False)).alias("large"))
+    return rows.mapInArrow(dealt, "cell string, home boolean, d double, id long, times long, v array<double>")
+
+
+def _blocked(sent: DataFrame, radius: float, cell: int) -> DataFrame:
+    """(cell, ring, block, other, id, times, v): home vectors of each block (other 0) and all that may be near one of them (other 1)."""
+    large = stored(sent.groupBy("cell").agg(F.count(F.when(F.col("home"), 1)).alias("homes")).where("homes > 0").select("cell", (F.col("homes") > cell).alias("cut")))
+    ringed = sent.join(large, "cell").withColumn("ring", F.when(F.col("cut"), F.floor(F.col("d") / radius)).otherwise(0).cast("int"))
+    rings = stored(ringed.where("home").groupBy("cell", "ring").agg(F.ceil(F.count("*") / cell).cast("int").alias("blocks")))
+    own = ringed.where("home").join(rings, ["cell", "ring"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    beside = F.when(F.col("cut"), F.sequence(F.floor((F.col("d") - radius - _SLACK) / radius).cast("int"), F.floor((F.col("d") + radius + _SLACK) / radius).cast("int"))).otherwise(F.array(F.lit(0)))
+    other = ringed.drop("ring").withColumn("ring", F.explode(beside)).join(rings, ["cell", "ring"]).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    names = ("cell", "ring", "block", "other", "id", "times", "v")
+    return own.withColumn("other", F.lit(0)).select(*names).unionByName(other.withColumn("other", F.lit(1)).select(*names))
+
+
+def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, cell: int = CELL, most_pivots: int = MOST_PIVOTS, sample: int = SAMPLE) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of vec_id, embedding and label.
 
     Vectors of one label, not null, link when their cosine in double precision is at least `cosine` (above 0); n_links
     counts other rows linked directly, component_id is the smallest vec_id reachable by links. Null, zero, empty or
     non-finite vectors, and those of a null label or id, link with nothing; vectors of other lengths never link; equal
-    rows link with each other; an empty table gives an empty result; other columns are ignored.
+    rows link with each other; an empty table gives an empty result; other columns are ignored. Labels of more than
+    `cell` different vectors are cut by pivots, which are chosen from `sample` vectors and only steer the work.
     """
     rows = embeddings.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("v"), F.col("label"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce((F.size("v") > 0) & finite, F.lit(False))
     rows = rows.withColumn("usable", usable).withColumn("group", F.concat_ws("|", F.col("label").cast("string"), F.size("v").cast("string")))
-    classes = rows.where("usable").groupBy("group", "v").agg(F.min("vec_id").alias("id"), F.count("*").alias("times"))
-    classes = stored(classes)
-    sizes = classes.groupBy("group").agg(F.count("*").alias("n")).where(f"n > {cell}")
-    large = {r.group: r.n for r in sizes.orderBy(F.desc("n"), "group").limit(MOST_PIVOTS // 2).collect()}  # at most MOST_PIVOTS / 2 rows
-    total = sum(large.values())
-    wanted = {g: int(max(2, min(-(-n // cell), MOST_PIVOTS * n // total))) for g, n in large.items()}
-    pivots: dict[str, np.ndarray] = {}
-    if wanted:
-        quota = F.create_map(*[F.lit(x) for pair in wanted.items() for x in pair])
-        chance = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / float(1 << 20)  # a few times as many as wanted, then the first
-        share = F.create_map(*[F.lit(x) for g, k in wanted.items() for x in (g, 4.0 * k / large[g])])
-        some = classes.where(quota[F.col("group")].isNotNull()).where(chance < share[F.col("group")])
-        for r in some.select("group", "id", "v").orderBy(F.xxhash64("id")).limit(8 * MOST_PIVOTS).toLocalIterator():
-            pivots.setdefault(r.group, []).append(r.v)
-        pivots = {g: _unit(v[: wanted[g]]) for g, v in pivots.items()}
+    classes = stored(rows.where("usable").groupBy("group", "v").agg(F.min("vec_id").alias("id"), F.count("*").alias("times")))
+    large = stored(classes.groupBy("group").agg(F.count("*").alias("n")).where(f"n > {cell}").select("group"))
     radius = float(np.sqrt(2 - 2 * cosine)) + _SLACK
-
-    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            groups = np.array(batch.column(0).to_pylist(), object)
-            out_cell, out_row, out_home = [], [], []
-            for g in dict.fromkeys(groups.tolist()):
-                at = np.flatnonzero(groups == g)
-                if g not in pivots:
-                    out_cell += [f"{g}|0"] * len(at)
-                    out_row.append(at)
-                    out_home.append(np.ones(len(at), bool))
-                    continue
-                d = _distances(_unit(batch.column(1).take(pa.array(at)).to_pylist()), pivots[g])
-                i, j = np.nonzero(d <= d.min(1, keepdims=True) + 2 * radius + _SLACK)
-                out_cell += [f"{g}|{c}" for c in j.tolist()]
-                out_row.append(at[i])
-                out_home.append(d.argmin(1)[i] == j)
-            if out_row:
-                picked = pa.array(np.concatenate(out_row))
-                yield pa.RecordBatch.from_arrays([pa.array(out_cell), pa.array(np.concatenate(out_home)), batch.column(2).take(picked), batch.column(3).take(picked), batch.column(1).take(picked)], ["cell", "home", "id", "times", "v"])
-
-    sent = stored(classes.select("group", "v", "id", "times").mapInArrow(dealt, "cell string, home boolean, id long, times long, v array<double>"))
-    homes = stored(sent.groupBy("cell").agg(F.count(F.when(F.col("home"), 1)).alias("homes")).where("homes > 0"))
-    blocks = sent.join(homes, "cell").withColumn("blocks", F.ceil(F.col("homes") / cell).cast("int"))
-    own = blocks.where("home").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).select("cell", "block", F.lit(0).alias("other"), "id", "times", "v")
-    other = blocks.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("cell", "block", F.lit(1).alias("other"), "id", "times", "v")
+    sent = stored(_sent(classes, large, _pivots(classes, large, most_pivots, sample), radius))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, x = None, np.zeros(0, np.int64), np.zeros((0, 1))
         waiting: list[pa.RecordBatch] = []
 
         def matched(part: pa.RecordBatch) -> pa.RecordBatch:
-            theirs, times = part.column(3).to_numpy(), part.column(4).to_numpy()
-            y = _unit(part.column(5).to_pylist())
+            theirs, times = part.column(4).to_numpy(), part.column(5).to_numpy()
+            y = _unit(part.column(6).to_pylist())
             near = np.zeros((len(ids), len(theirs)), bool)
             for k in range(0, len(ids), 512):
                 near[k : k + 512] = x[k : k + 512] @ y.T >= cosine
@@ -119,25 +153,25 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, cell: int = C
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate([a, ids[rows_of]])), pa.array(np.concatenate([b, ids[rows_of]])), pa.array(np.concatenate([np.zeros(len(a), np.int64), n.astype(np.int64)]))], ["a", "b", "links"])
 
         for batch in batches:
-            keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+            keys = list(zip(*(batch.column(k).to_pylist() for k in range(4))))
             cuts = [0, *(i for i in range(1, len(keys)) if keys[i] != keys[i - 1]), len(keys)]
             for start, end in zip(cuts, cuts[1:]):
                 if start == end:
                     continue
                 part = batch.slice(start, end - start)
-                if keys[start][:2] != key:
-                    key, waiting, ids, x = keys[start][:2], [], np.zeros(0, np.int64), None
-                if keys[start][2] == 0:
+                if keys[start][:3] != key:
+                    key, waiting, ids, x = keys[start][:3], [], np.zeros(0, np.int64), None
+                if keys[start][3] == 0:
                     waiting.append(part)
                 else:
                     if waiting:
-                        ids = np.concatenate([p.column(3).to_numpy() for p in waiting])
-                        x, waiting = np.concatenate([_unit(p.column(5).to_pylist()) for p in waiting]), []
+                        ids = np.concatenate([p.column(4).to_numpy() for p in waiting])
+                        x, waiting = np.concatenate([_unit(p.column(6).to_pylist()) for p in waiting]), []
                     if len(ids):
                         for k in range(0, len(part), 4096):
                             yield matched(part.slice(k, 4096))
 
-    found = own.unionByName(other).repartition("cell", "block").sortWithinPartitions("cell", "block", "other").mapInArrow(joined, "a long, b long, links long")
+    found = _blocked(sent, radius, cell).repartition("cell", "ring", "block").sortWithinPartitions("cell", "ring", "block", "other").mapInArrow(joined, "a long, b long, links long")
     found = stored(found)
     links = found.where("links > 0").groupBy("a").agg(F.sum("links").alias("links"))
     linked = components(found.where("links = 0").select("a", "b"))

@@ -1,9 +1,10 @@
 """License scan: exact phrases, and short notices with a few errors.
 
 A notice of k allowed errors is split into k + 1 pieces: by the pigeonhole principle each match keeps one piece whole.
-So pieces are searched exactly, over all texts of a batch at once, and only the surroundings of a hit are given to the
-regex library, whose bounded-error matching decides, counts the edits and gives the span. Texts are compared as words
-(ASCII letters lower-cased, digits, all characters beyond ASCII) joined by one space.
+So the pieces of all notices are searched exactly, in one pass of an automaton over all texts of a batch. Around a hit,
+a stretch is left out if it has too few of the notice's trigrams for k errors (each error spoils three at most); only the
+rest is given to the regex library, whose bounded-error matching decides, counts the edits and gives the span. Texts are
+compared as words (ASCII letters lower-cased, digits, all characters beyond ASCII) joined by one space.
 """
 
 from __future__ import annotations
@@ -20,25 +21,47 @@ from partwise.llm._batches import LOWER, flat, pieces
 
 #: The base phrases and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
-#: Short notices and their labels, as words. About one error is allowed for ten characters, five at most.
+#: Short notices of widely used licences and their labels, as words.
 NOTICES = {
     "licensed under the apache license version 2 0": "apache-2.0-notice",
     "released under the mit license": "mit-notice",
     "permission is hereby granted free of charge to any person obtaining a copy": "mit-grant",
+    "the above copyright notice and this permission notice shall be included in all copies": "mit-condition",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee": "isc-grant",
+    "redistribution and use in source and binary forms": "bsd-notice",
+    "redistributions of source code must retain the above copyright notice": "bsd-condition",
+    "neither the name of the copyright holder nor the names of its contributors": "bsd-3-clause-notice",
     "gnu general public license": "gpl-name",
+    "gnu lesser general public license": "lgpl-name",
+    "gnu affero general public license": "agpl-name",
     "under the terms of the gnu general public license": "gpl-notice",
-    "redistribution and use in source and binary forms": "bsd-notice",
     "mozilla public license": "mpl-name",
+    "this source code form is subject to the terms of the mozilla public license": "mpl-2.0-notice",
+    "eclipse public license": "epl-name",
+    "common development and distribution license": "cddl-name",
+    "boost software license": "bsl-name",
+    "python software foundation license": "psf-name",
+    "european union public licence": "eupl-name",
+    "sil open font license": "ofl-name",
+    "open database license": "odbl-name",
+    "microsoft public license": "ms-pl-name",
+    "academic free license": "afl-name",
+    "this is free and unencumbered software released into the public domain": "unlicense-notice",
+    "this software is provided as is without any express or implied warranty": "zlib-notice",
     "creative commons attribution": "cc-name",
+    "this work is licensed under a creative commons": "cc-notice",
     "shared under cc by 4 0": "cc-by-notice",
+    "to the extent possible under law": "cc0-notice",
 }
+CHARS_PER_ERROR = 10
 HIT = "struct<label:string,start:long,end:long,edits:int,text:string>"
 _WORD = np.zeros(256, bool)
 _WORD[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
-def allowed_errors(notice: str) -> int:
-    return min(5, len(notice) // 10)
+def allowed_errors(notice: str, chars_per_error: int = CHARS_PER_ERROR) -> int:
+    """One error for so many characters of a notice, however long it is."""
+    return len(notice) // chars_per_error
 
 
 def seeds(notice: str, errors: int) -> list[tuple[int, str]]:
@@ -50,13 +73,24 @@ def seeds(notice: str, errors: int) -> list[tuple[int, str]]:
 class Scanner:
     """Finds phrases and notices in batches of texts."""
 
-    def __init__(self, phrases: dict[str, str], notices: dict[str, str]):
+    def __init__(self, phrases: dict[str, str], notices: dict[str, str], chars_per_error: int = CHARS_PER_ERROR):
+        import ahocorasick
+
         self.phrases = [(f" {p} ".encode(), label) for p, label in phrases.items()]
-        self.notices = []
-        for notice, label in notices.items():
-            k = allowed_errors(notice)
-            pattern = regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={k}}}".encode())
-            self.notices.append((label, len(notice), k, pattern, [(a, s.encode()) for a, s in seeds(notice, k)]))
+        self.notices, found = [], {}
+        for number, (notice, label) in enumerate(notices.items()):
+            raw = notice.encode()
+            k = allowed_errors(raw.decode("latin-1"), chars_per_error)
+            pattern = regex.compile(b"(?b)(?:" + regex.escape(raw) + b"){e<=%d}" % k)
+            grams = {raw[i : i + 3] for i in range(len(raw) - 2)}
+            self.notices.append((label, len(raw), k, pattern, grams, len(raw) - 2 - 3 * k))
+            for place, piece in seeds(raw.decode("latin-1"), k):
+                found.setdefault(piece, []).append((number, place))
+        self.pieces = ahocorasick.Automaton()
+        for piece, users in found.items():
+            self.pieces.add_word(piece, (len(piece), users))
+        if found:
+            self.pieces.make_automaton()
 
     @staticmethod
     def normal(column: pa.Array) -> tuple[bytes, np.ndarray]:
@@ -102,44 +136,45 @@ class Scanner:
                 row = int(np.searchsorted(starts, pos, "right")) - 1
                 base[row].append((word_at(row, pos), label))
                 pos = text.find(phrase, pos + 1)
-        for label, length, k, pattern, parts in self.notices:
-            windows: dict[int, list[tuple[int, int]]] = {}
-            for place, piece in parts:
-                pos = text.find(piece)
-                while pos >= 0:
-                    row = int(np.searchsorted(starts, pos, "right")) - 1
-                    windows.setdefault(row, []).append((max(int(starts[row]) + 1, pos - place - k - 1), min(int(ends[row]), pos - place + length + k + 1)))
-                    pos = text.find(piece, pos + 1)
-            for row, found in windows.items():
-                found.sort()
-                merged = [list(found[0])]
-                for a, b in found[1:]:
-                    if a <= merged[-1][1]:
-                        merged[-1][1] = max(b, merged[-1][1])
-                    else:
-                        merged.append([a, b])
-                for a, b in merged:
-                    for m in self.matches(pattern, text, a, b):
-                        s, e = m.span()
-                        first = word_at(row, s) - (text[s : s + 1] != b" ")
-                        last = word_at(row, e) - (text[e - 1 : e] == b" ")
-                        hits[row].append((label, max(first, 0), last, sum(m.fuzzy_counts), text[s:e].decode("utf-8", "replace")))
+        windows: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        for end, (size, users) in self.pieces.iter(text.decode("latin-1")) if self.notices else ():
+            pos = end + 1 - size
+            row = int(np.searchsorted(starts, pos, "right")) - 1
+            for number, place in users:
+                _, length, k, *_ = self.notices[number]
+                windows.setdefault((row, number), []).append((max(int(starts[row]) + 1, pos - place - k - 1), min(int(ends[row]), pos - place + length + k + 1)))
+        for (row, number), found in windows.items():
+            label, _, _, pattern, grams, least = self.notices[number]
+            found.sort()
+            merged = [list(found[0])]
+            for a, b in found[1:]:
+                if a <= merged[-1][1]:
+                    merged[-1][1] = max(b, merged[-1][1])
+                else:
+                    merged.append([a, b])
+            for a, b in merged:
+                if least > 0 and sum(text[i : i + 3] in grams for i in range(a, b - 2)) < least:
+                    continue
+                for m in self.matches(pattern, text, a, b):
+                    s, e = m.span()
+                    first = word_at(row, s) - (text[s : s + 1] != b" ")
+                    last = word_at(row, e) - (text[e - 1 : e] == b" ")
+                    hits[row].append((label, max(first, 0), last, sum(m.fuzzy_counts), text[s:e].decode("utf-8", "replace")))
         for row in range(count):
             words = int(spaces[ends[row]] - spaces[starts[row]]) - 1
             yield max(words, 0), sorted(base[row]), sorted(hits[row], key=lambda h: (h[1], h[0]))
 
 
-def scan_licenses(documents: DataFrame, phrases: dict[str, str] | None = None, notices: dict[str, str] | None = None) -> DataFrame:
+def scan_licenses(documents: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str, str] = NOTICES, chars_per_error: int = CHARS_PER_ERROR) -> DataFrame:
     """(doc_id, n_words, base array<struct(word, label)>, hits array<struct(label, start, end, edits, text)>) of every row.
 
     base has every place where a phrase's words stand consecutively, hits the matches of notices with at most the
     allowed errors, start to end in words (end exclusive). A null or empty text has no words and no matches; equal
     rows give equal results; an empty table gives an empty result; other columns are ignored.
     """
-    phrases, notices = phrases or PHRASES, notices or NOTICES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(phrases, notices)
+        scanner = Scanner(phrases, notices, chars_per_error)
         base_type = pa.list_(pa.struct([("word", pa.int64()), ("label", pa.string())]))
         hit_type = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32()), ("text", pa.string())]))
         for batch in batches:
@@ -154,9 +189,9 @@ def scan_licenses(documents: DataFrame, phrases: dict[str, str] | None = None, n
 
 
 def license_rows(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, hits): one row per document.
+    """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, spans, hits): one row per document.
 
-    score is 1 with a base phrase, else the best notice's share of characters without an edit, else 0.
+    spans has each hit as label:start-end:edits, in words, separated by semicolons. score is 1 with a base phrase, else the best notice's share of characters without an edit, else 0.
     """
     found = scan_licenses(documents)
     base, words = F.array_sort(F.array_distinct(F.col("base.label"))), F.col("base.word")
@@ -165,4 +200,5 @@ def license_rows(documents: DataFrame) -> DataFrame:
     return found.select(
         "doc_id", "n_words", F.size("base").cast("long").alias("n_base"), F.array_min(words).alias("first_word"), F.array_max(words).alias("last_word"),
         F.array_join(base, ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"),
-        F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(F.greatest(close, F.lit(0.0)), F.lit(0.0))).cast("double").alias("score"), "hits")
+        F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(F.greatest(close, F.lit(0.0)), F.lit(0.0))).cast("double").alias("score"),
+        F.array_join(F.transform("hits", lambda h: F.format_string("%s:%d-%d:%d", h["label"], h["start"], h["end"], h["edits"])), ";").alias("spans"), "hits")

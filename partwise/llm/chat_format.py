@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Tokens of one unit of an attachment: a patch of an image, a frame of audio, a page of a document.
+#: Tokens of one unit of an attachment: a patch of an image, a frame of audio, a page of a document. A unit of any other type is one token.
 UNIT_TOKENS = {"image": 1, "audio": 1, "document": 256}
 PART = "struct<type:string,text:string,ref:string,units:int>"
 TURN, BODY, END = "<|turn|>", "<|body|>", "<|end|>"
@@ -35,12 +35,19 @@ def _attached(parts: Column) -> Column:
 
 
 def flattened(parts: Column, unit_tokens: dict[str, int] | None = None) -> Column:
-    """struct(body, attachments array<struct(place, type, ref, tokens)>, media_tokens) of an array of parts."""
-    tokens = F.create_map(*[F.lit(x) for pair in (unit_tokens or UNIT_TOKENS).items() for x in pair])
-    parts = F.filter(F.coalesce(parts, F.array().cast(f"array<{PART}>")), lambda p: p["type"].isNotNull())
-    visit = F.transform(parts, lambda p, i: F.when(p["type"] == "text", escaped(p["text"])).otherwise(F.concat(F.lit("<|"), p["type"], F.lit(":"), F.size(_attached(F.slice(parts, F.lit(1), i))).cast("string"), F.lit("|>"))))
-    media = F.transform(_attached(parts), lambda p, i: F.struct(i.alias("place"), p["type"].alias("type"), p["ref"].alias("ref"), (F.coalesce(p["units"], F.lit(0)) * F.coalesce(F.element_at(tokens, p["type"]), F.lit(0))).alias("tokens")))
-    return F.struct(F.array_join(visit, "").alias("body"), media.alias("attachments"), F.aggregate(media, F.lit(0), lambda n, m: n + m["tokens"]).alias("media_tokens"))
+    """struct(body, attachments array<struct(place, type, ref, tokens)>, media_tokens) of an array of parts.
+
+    A part of a null type is a text; a null part is nothing. In a placeholder a type has its letters, digits, `.`, `-`
+    and `_`, and `_` for anything else, so no type can close it; attachments have the type as it is. Units below 0 or
+    null count as none.
+    """
+    tokens = F.create_map(*[F.lit(x) for pair in (UNIT_TOKENS if unit_tokens is None else unit_tokens or {"": 1}).items() for x in pair])
+    whole = F.filter(F.coalesce(parts, F.array().cast(f"array<{PART}>")), lambda p: p.isNotNull())
+    parts = F.transform(whole, lambda p: F.struct(F.coalesce(p["type"], F.lit("text")).alias("type"), p["text"].alias("text"), p["ref"].alias("ref"), p["units"].alias("units")))
+    visit = F.transform(parts, lambda p, i: F.when(p["type"] == "text", escaped(p["text"])).otherwise(F.concat(F.lit("<|"), F.regexp_replace(p["type"], r"[^\p{L}\p{N}._-]", "_"), F.lit(":"), F.size(_attached(F.slice(parts, F.lit(1), i))).cast("string"), F.lit("|>"))))
+    count = lambda p: F.greatest(F.coalesce(p["units"], F.lit(0)), F.lit(0)).cast("long") * F.coalesce(F.element_at(tokens, p["type"]), F.lit(1)).cast("long")
+    media = F.transform(_attached(parts), lambda p, i: F.struct(i.alias("place"), p["type"].alias("type"), p["ref"].alias("ref"), count(p).alias("tokens")))
+    return F.struct(F.array_join(visit, "").alias("body"), media.alias("attachments"), F.aggregate(media, F.lit(0).cast("long"), lambda n, m: n + m["tokens"]).alias("media_tokens"))
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:

@@ -36,7 +36,11 @@ class _Figure:
 
 
 class _Sequence(HTMLParser):
-    """Texts and media references of a page in order; a figure's caption goes to its media."""
+    """Texts and media references of a page in order; a figure's caption goes to its media.
+
+    Scripts, styles, templates and the head give no text; media in <noscript> count, as pages put them there for readers
+    without scripts, media in a template do not.
+    """
 
     HIDDEN = {"script", "style", "template", "noscript"}
     HEAD = HIDDEN | {"title", "base", "link", "meta", "noframes", "basefont", "bgsound", "html", "head"}
@@ -47,7 +51,7 @@ class _Sequence(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parts: list[dict] = []
         self.words: list[str] = []
-        self.hidden = 0
+        self.hidden = self.templates = 0
         self.head = self.title = False
         self.figures: list[_Figure] = []  # open ones, the innermost last
         self.captioned: set[int] = set()
@@ -79,6 +83,7 @@ class _Sequence(HTMLParser):
             self.head = True
         if tag in self.HIDDEN:
             self.hidden += 1
+            self.templates += tag == "template"
         if tag == "title" and self.head and not self.title:
             self.title = True
             self.hidden += 1
@@ -91,7 +96,7 @@ class _Sequence(HTMLParser):
             figure.open, figure.place = True, figure.place if figure.caption else len(self.parts)
             figure.caption.append(" ")
         found = dict(attrs)
-        if tag in self.MEDIA and (source := found.get("src") or ""):
+        if tag in self.MEDIA and not self.templates and (source := found.get("src") or ""):
             digest = source[len(SCHEME) :] if source.startswith(SCHEME) else hashlib.sha256(source.encode()).hexdigest()
             self.parts.append({"kind": "media", "text": None, "digest": digest, "caption": found.get("alt")})
 
@@ -100,6 +105,7 @@ class _Sequence(HTMLParser):
             self.head_ends()
         if (tag in self.HIDDEN or tag == "title" and self.title) and self.hidden:
             self.hidden -= 1
+            self.templates -= tag == "template" and self.templates > 0
         if tag == "title":
             self.title = False
         if tag == "figcaption":
@@ -132,7 +138,11 @@ def sequence(page: str | None) -> list[dict]:
 
 
 def interleaved(pages: DataFrame, key: str, html_column: str) -> DataFrame:
-    """(key, parts): the ordered texts and media references of each page; a null or empty page has none."""
+    """(key, parts): the ordered texts and media references of each page.
+
+    A null or empty page has none, repeated rows are each returned, a null key stays null, an empty table gives an empty
+    result; other columns are ignored.
+    """
     kind = pa.list_(pa.struct([("position", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("digest", pa.string()), ("caption", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +190,7 @@ def feature(payload: bytes) -> str:
 def media_store(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The texts' payloads as a store of (digest, media), and (doc_id, n_bytes, digest) references to them.
 
-    A task stores a payload once, so a payload is stored at most once a task.
+    A null text counts as empty, a null doc_id stays null, repeated rows are references each. A task stores a payload once, so a payload is stored at most once a task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,10 +232,13 @@ def resolved(store: DataFrame) -> DataFrame:
 def resolve(parts: DataFrame, key: str, media: DataFrame) -> DataFrame:
     """(key, position, caption, digest, ... media columns): each media reference of parts with what it refers to.
 
-    A reference to media that are not in the store keeps its position and caption, with nulls.
+    A reference to media that are not in the store keeps its position and caption, with nulls. A key may have any name;
+    it is the first column of the result.
     """
-    wanted = parts.select(key, F.explode("parts").alias("p")).where("p.kind = 'media'").select(key, "p.position", "p.caption", "p.digest")
-    return wanted.join(media, "digest", "left")
+    wanted = parts.select(F.col(key).alias("_key"), F.explode("parts").alias("p")).where("p.kind = 'media'").select("_key", "p.position", "p.caption", "p.digest")
+    found = wanted.join(media, "digest", "left")
+    rest = [c for c in found.columns if c not in ("_key", "position", "caption", "digest")]
+    return found.select("_key", "position", "caption", "digest", *rest).toDF(key, "position", "caption", "digest", *rest)
 
 
 def document_media(documents: DataFrame) -> DataFrame:

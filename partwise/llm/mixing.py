@@ -8,6 +8,8 @@ name the bucket in which the budget ends, and only that bucket is cut again by t
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +35,10 @@ def sized(documents: DataFrame) -> DataFrame:
 
 
 def source_targets(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """(key, source_size, target): one row per source; weights repeat over the sources in code point order, null last."""
+    """(key, source_size, target): one row per source; weights repeat over the sources in code point order, null last.
+
+    The order of all sources is needed to weigh them, so rows of sources (not of documents) meet in one window.
+    """
     sums = docs.groupBy("key", "source").agg(F.sum("size").alias("source_size"))
     place = Window.orderBy(F.col("source").asc_nulls_last())  # one row a source from here on
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.row_number().over(place) - 1, F.lit(len(weights))) + 1).cast("int"))
@@ -89,11 +94,15 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
 
 
 def mixed_rows(documents: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
-    """The rows of documents as often as the mix takes them, with the columns of documents; texts are not shuffled."""
+    """The rows of documents as often as the mix takes them, with the columns of documents; texts are not shuffled.
+
+    No row is taken more than `most` times. A row of size 0 (null, empty or blank text) is taken by its hash, too; repeated rows are taken
+    alike; an empty table gives an empty result; columns may have any names.
+    """
     state, few = _thresholds(stored(sized(documents)), weights, share, most)
     row = F.struct(*[F.col(c) for c in documents.columns]).alias("row")
     hashed = documents.select(row, _key().alias("key"), _hash().alias("h"))
-    taken = _with(hashed, state.select("key", "times", "rest", "prefix", "before", "own"), few).withColumn("taken", _times()).where("taken > 0")
+    taken = _with(hashed, state.select("key", "times", "rest", "prefix", "before", "own"), few).withColumn("taken", F.least(_times(), F.lit(ceil(most)).cast("long"))).where("taken > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "taken"))).select("row.*")
 
 

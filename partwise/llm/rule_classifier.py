@@ -27,7 +27,7 @@ Rule = tuple[tuple[int, bool, float], ...]  # (statistic, above?, threshold) of
 
 
 def with_statistics(documents: DataFrame) -> DataFrame:
-    """All rows and columns, and a struct text_statistics of the whole text; shares of nothing are 0."""
+    """All rows and columns, and last a struct text_statistics of the whole text; shares of nothing are 0."""
     docs = documents.withColumn("text", F.col("text").cast("string"))
     schema = T.StructType([*docs.schema.fields, T.StructField("text_statistics", T.StructType([T.StructField(s, T.DoubleType()) for s in STATISTICS]))])
     text_at = docs.columns.index("text")
@@ -182,8 +182,14 @@ def scored(documents: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS
 
 
 def kept(documents: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, cut: float = CUT) -> DataFrame:
-    """The rows of documents whose score reaches cut, with the columns of documents. Texts are read twice, not shuffled."""
-    marks = labels.select("doc_id").distinct()
-    few = with_statistics(documents.select("doc_id", "text")).drop("text")
+    """The rows of documents whose score reaches cut, with the columns of documents. Texts are read twice, not shuffled.
+
+    A null or empty text is scored by its statistics, all 0, and goes or stays by that; equal texts go or stay together;
+    without labels every score is 0.5; an empty table gives an empty result; columns may have any names.
+    """
+    names = documents.columns
+    marks = labels.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
+    few = with_statistics(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text")
     score = fitted(few.join(marks, "doc_id", "left_semi"), labels, train_rows)
-    return with_statistics(documents).where(score >= cut).drop("text_statistics")
+    plain = documents.toDF(*["text" if name == "text" else f"c{i}" for i, name in enumerate(names)])
+    return with_statistics(plain).where(score >= cut).drop("text_statistics").toDF(*names)

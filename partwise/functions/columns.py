@@ -6,9 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def ticks(number: str, base: str, per_second: int) -> Column:
-    """number / base seconds as whole ticks of per_second, a multiple of base; exact, and null beyond 64 bits in lax mode."""
-    return F.expr(f"cast(cast({number} as decimal(38,0)) * ({per_second} div {base}) as bigint)")
+def ticks(number: str, base: str, per_second: int, numerator: str = "1") -> Column:
+    """number * numerator / base seconds as whole ticks of per_second, a multiple of base; exact, and an error beyond 64 bits."""
+    return F.expr(f"cast(cast({number} as decimal(19,0)) * cast({numerator} as decimal(9,0)) * ({per_second} div {base}) as bigint)")
+
+
+def outward(start: str, end: str, per_ms: int) -> tuple[Column, Column]:
+    """An interval in whole milliseconds that contains it: the start rounded down and the end up, before zero as well."""
+    down = lambda c: F.expr(f"({c} - pmod({c}, {per_ms})) div {per_ms}")
+    return down(start), -F.expr(f"(-({end}) - pmod(-({end}), {per_ms})) div {per_ms}")
 
 
 def stamp(ms: Column, point: str = ",") -> Column:

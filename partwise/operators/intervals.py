@@ -29,39 +29,105 @@ def coverage(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.when(known, F.min("start_t")).alias("start_t"), F.when(known, F.max("end_t")).alias("end_t"), F.when(known, "complete").otherwise("coverage_indeterminate").alias("state"))
 
 
-def _buckets(start: Column, end: Column, width: int) -> Column:
-    first = F.floor(start / width)
-    return F.explode(F.sequence(first, F.greatest(first, F.floor((end - 1) / width))))
+_FINE, _FACTOR, _MANY, _SALT = 16, 256, 4096, 16
+#: What the intervals of each class (short, long, wild) of the left and the right side are placed in, by tag: a tag of
+#: its own for each pair of classes that meets, so that a pair meets under one tag only.
+_LEFT = ({0: "fine", 2: "coarse", 4: "one"}, {1: "coarse", 4: "one"}, {3: "all"})
+_RIGHT = ({0: "fine", 1: "coarse", 3: "one"}, {1: "coarse", 2: "coarse", 3: "one"}, {3: "one", 4: "all"})
+
+
+def _placed(rows: DataFrame, start: Column, end: Column, width: int, classes: tuple[dict[int, str], ...]) -> DataFrame:
+    """rows once for each bucket they meet others in: _tag and _b.
+
+    Two short intervals meet in buckets of `width` ticks. An interval of more than _FINE of these is long and meets
+    others in buckets _FACTOR times as wide; one of more than _MANY of those is wild and meets all others of its key,
+    which are dealt into _SALT buckets. So neither a long interval nor a wild end becomes a row for each small bucket.
+    """
+    first = lambda wide: F.floor(start / wide)
+    last = lambda wide: F.greatest(first(wide), F.floor((end - 1) / wide))
+    places = {
+        "fine": lambda: F.sequence(first(width), last(width)), "coarse": lambda: F.sequence(first(width * _FACTOR), last(width * _FACTOR)),
+        "one": lambda: F.array(F.pmod(F.xxhash64(start, end), F.lit(_SALT))), "all": lambda: F.sequence(F.lit(0).cast("long"), F.lit(_SALT - 1).cast("long")),
+    }
+    tagged = lambda tag, kind: F.transform(places[kind](), lambda b: F.struct(F.lit(tag).alias("_tag"), b.alias("_b")))
+    put = [F.concat(*[tagged(tag, kind) for tag, kind in c.items()]) for c in classes]
+    wild, long = last(width * _FACTOR) - first(width * _FACTOR) >= _MANY, last(width) - first(width) >= _FINE
+    at = F.when(wild, put[2]).when(long, put[1]).otherwise(put[0])
+    return rows.select("*", F.explode(at).alias("_at")).select(*rows.columns, "_at.*")
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: int, how: str = "inner", closed: bool = False) -> DataFrame:
     """left rows with the right rows (columns r_start, r_end, ...) whose interval overlaps theirs, by key and time bucket.
 
-    Each interval is sent to the buckets of `width` ticks that it touches, so a long key is many small ones; a pair is
-    kept in the one bucket where the later of the two starts. `closed` also takes intervals that only touch.
+    Each interval is sent to the buckets that it touches, so a long key is many small ones; a pair is kept in the one
+    bucket where the later of the two starts. `closed` also takes intervals that only touch. With how="left", rows
+    without a partner stay, and a row is told from others by its columns (repeated rows have the same partners).
     """
     more = 1 if closed else 0
-    a = left.withColumn("_id", F.monotonically_increasing_id()) if how == "left" else left
-    l = a.withColumn("_b", _buckets(F.col("start_t"), F.col("end_t") + more, width))
-    r = right.withColumnRenamed("start_t", "r_start").withColumnRenamed("end_t", "r_end").withColumn("_b", _buckets(F.col("r_start"), F.col("r_end") + more, width))
+    base = left.distinct() if how == "left" else left
+    l = _placed(base, F.col("start_t"), F.col("end_t") + more, width, _LEFT)
+    r = right.withColumnRenamed("start_t", "r_start").withColumnRenamed("end_t", "r_end")
+    r = _placed(r, F.col("r_start"), F.col("r_end") + more, width, _RIGHT)
     same = (F.col("r_start") <= F.col("end_t")) & (F.col("start_t") <= F.col("r_end")) if closed else (F.col("r_start") < F.col("end_t")) & (F.col("start_t") < F.col("r_end"))
-    pairs = l.join(r, [*keys, "_b"]).where(same & (F.col("_b") == F.floor(F.greatest("start_t", "r_start") / width)))
+    wide = F.when(F.col("_tag") == 0, F.lit(width)).otherwise(F.lit(width * _FACTOR))
+    once = (F.col("_tag") > 2) | (F.col("_b") == F.floor(F.greatest("start_t", "r_start") / wide))
+    pairs = l.join(r, [*keys, "_tag", "_b"]).where(same & once).drop("_tag", "_b")
     if how == "inner":
-        return pairs.drop("_b")
-    right_columns = [c for c in pairs.columns if c not in a.columns and c != "_b"]
-    return a.join(pairs.select("_id", *right_columns), "_id", "left").drop("_id")
+        return pairs
+    own, more_columns = left.columns, [c for c in pairs.columns if c not in left.columns]
+    named = pairs.select(*[F.col(c).alias(f"_own{i}") for i, c in enumerate(own)], *more_columns)
+    on = [F.col(c).eqNullSafe(F.col(f"_own{i}")) for i, c in enumerate(own)]
+    return left.join(named, on, "left").select(*own, *more_columns)
 
 
-def subtract(base: DataFrame, minus: DataFrame, keys: list[str], width: int) -> DataFrame:
-    """What is left of each base interval, with its other columns, without the union of minus."""
-    cover = union(minus, *keys)
+def _steps(rows: DataFrame, keys: tuple[str, ...], number: int, sides: int, payload: Column | None) -> DataFrame:
+    """(keys, t, d0, d1, ..., _p): +1 for side `number` where an interval starts, -1 where it ends."""
+    delta = lambda by: [F.lit(by if k == number else 0).alias(f"d{k}") for k in range(sides)]
+    none = F.lit(None) if payload is None else F.when(F.lit(False), payload)
+    begin = F.struct(F.col("start_t").alias("t"), *delta(1), (none if payload is None else payload).alias("_p"))
+    finish = F.struct(F.col("end_t").alias("t"), *delta(-1), none.alias("_p"))
+    return rows.where("start_t < end_t").select(*keys, F.inline(F.array(begin, finish)))
+
+
+def sweep(sides: list[DataFrame], keys: list[str], payload: Column | None = None) -> DataFrame:
+    """The elementary intervals of a key: (keys, start_t, end_t, n0, n1, ..., _p), n_k of side k's intervals lie over each.
+
+    Between two neighbouring ends of any interval nothing changes; stretches that no interval covers are there, too, but
+    for those before the first and after the last end. _p is the payload of side 0's interval that started last. One
+    exchange by key and one sort, whatever the number of sides.
+    """
+    steps = None
+    for k, rows in enumerate(sides):
+        own = _steps(rows, tuple(keys), k, len(sides), payload if k == 0 else None)
+        steps = own if steps is None else steps.unionByName(own)
+    order = Window.partitionBy(*keys).orderBy("t", "d0")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    counts = [F.sum(f"d{k}").over(so_far).alias(f"n{k}") for k in range(len(sides))]
+    return steps.select(*keys, F.col("t").alias("start_t"), F.lead("t").over(order).alias("end_t"), *counts, F.last("_p", True).over(so_far).alias("_p")).where("start_t < end_t")
+
+
+def carve(base: DataFrame, minus: DataFrame, keys: list[str]) -> DataFrame:
+    """What is left of base intervals without the union of minus, with their other columns, in one pass.
+
+    The base intervals of a key must not overlap each other (subtract is for those that may).
+    """
     own = [c for c in base.columns if c not in (*keys, "start_t", "end_t")]
-    pairs = overlap_join(base, cover, keys, width, "left")
-    cuts = pairs.groupBy(*keys, "start_t", "end_t", *own).agg(F.sort_array(F.collect_set(F.when(F.col("r_start").isNotNull(), F.struct(F.greatest("r_start", "start_t").alias("a"), F.least("r_end", "end_t").alias("b"))))).alias("cuts"))
-    starts = F.concat(F.array("start_t"), F.transform("cuts", lambda c: c["b"]))
-    ends = F.concat(F.transform("cuts", lambda c: c["a"]), F.array("end_t"))
-    pieces = cuts.select(*keys, *own, F.explode(F.arrays_zip(starts.alias("s"), ends.alias("e"))).alias("p"))
-    return pieces.select(*keys, *own, F.col("p.s").alias("start_t"), F.col("p.e").alias("end_t")).where("start_t < end_t")
+    found = sweep([base, minus], keys, F.struct(F.lit(1).alias("_"), *own)).where("n0 > 0 and n1 = 0")
+    return found.select(*keys, *[F.col(f"_p.{c}").alias(c) for c in own], "start_t", "end_t")
+
+
+def complement(rows: DataFrame, within: DataFrame, keys: list[str]) -> DataFrame:
+    """Where no interval of rows lies, between the first start and the last end of `within`, for each key of it."""
+    ends = within.groupBy(*keys).agg(F.min("start_t").alias("lo"), F.max("end_t").alias("hi"))
+    marks = ends.select(*keys, F.inline(F.array(*[F.struct(F.col(c).alias("start_t"), F.col(c).alias("end_t")) for c in ("lo", "hi")])))
+    return gaps(rows.select(*keys, "start_t", "end_t").join(ends.select(*keys), keys, "left_semi").unionByName(marks), *keys)
+
+
+def subtract(base: DataFrame, minus: DataFrame, keys: list[str], width: int) -> DataFrame:
+    """What is left of each base interval, with its other columns, without the union of minus; base intervals may overlap, repeated rows stay."""
+    open_ = complement(minus, base, keys)
+    found = intersect(base, open_, keys, width)
+    return found.select(*keys, *[c for c in base.columns if c not in (*keys, "start_t", "end_t")], "start_t", "end_t").where("start_t < end_t")
 
 
 def intersect(left: DataFrame, right: DataFrame, keys: list[str], width: int) -> DataFrame:

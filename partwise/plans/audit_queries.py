@@ -5,31 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from partwise.operators import audit
 from partwise.plans import inputs
 from partwise.plans.inputs import sql
+from partwise.plans.registry import query
 from partwise.sources.subtitles import work_folder
 from partwise.streaming import journal
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(oracle: str | None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if oracle:
-            ORACLE_SQL[f.__name__] = oracle
-        return f
-
-    return add
-
-
 @query(sql("SELECT coalesce(m.run_id, p.run_id) AS run_id, coalesce(m.path, p.path) AS path, CASE WHEN p.path IS NULL THEN 'missing' WHEN m.path IS NULL THEN 'unexpected' WHEN m.sha256 <> p.sha256 THEN 'hash_mismatch' END AS finding FROM manifest m FULL JOIN present p ON m.run_id = p.run_id AND m.path = p.path WHERE p.path IS NULL OR m.path IS NULL OR m.sha256 <> p.sha256"))
 def C12_verify_bundle(spark, sf_dir):
     """Two-way comparison of a manifest with what is there."""
-    m, p = inputs.manifest(spark, sf_dir).withColumnRenamed("sha256", "m"), inputs.present(spark, sf_dir).withColumnRenamed("sha256", "p")
-    finding = F.when(F.col("p").isNull(), "missing").when(F.col("m").isNull(), "unexpected").when(F.col("m") != F.col("p"), "hash_mismatch")
-    return m.join(p, ["run_id", "path"], "full").select("run_id", "path", finding.alias("finding")).where("finding is not null")
+    return audit.compared(inputs.manifest(spark, sf_dir), inputs.present(spark, sf_dir), ["run_id"], "path").where("finding is not null")
+
 
 
 _OLD = "SELECT part_id, string_agg(source_ordinal::VARCHAR, ',' ORDER BY start_t, source_ordinal) AS ids FROM cues WHERE part_id % 10 <> 4 GROUP BY part_id"
@@ -53,24 +40,37 @@ def C13_affected_parts(spark, sf_dir):
     return both.select("part_id", F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed").when(F.col("o") != F.col("n"), "changed").otherwise("unaffected").alias("state"))
 
 
-@query(sql("SELECT part_id, CASE WHEN n.ids IS NOT NULL AND (o.ids IS NULL OR o.ids <> n.ids) THEN n.ids ELSE o.ids END AS ids, CASE WHEN n.ids IS NOT NULL AND (o.ids IS NULL OR o.ids <> n.ids) THEN 'new' ELSE 'carried' END AS origin FROM old_base o FULL JOIN new_base n USING (part_id)", old_base=_OLD, new_base=_NEW))
+_ARTIFACTS = """SELECT path, kind, part_id, status, sha256 FROM (SELECT doc_id AS path, CASE WHEN doc_id % 10 = 9 THEN 'document' ELSE 'srt' END AS kind, CASE WHEN doc_id % 14 <> 5 THEN doc_id // 4 END AS part_id, ['valid', 'partial', 'invalid', 'unavailable'][doc_id % 4 + 1] AS status, CASE WHEN doc_id % 4 < 3 THEN sha256(text) END AS sha256 FROM documents)"""
+
+
+@query(sql("""SELECT 'part' AS level, part_id AS id, CASE WHEN n.ids IS NOT NULL AND (o.ids IS NULL OR o.ids <> n.ids) THEN n.ids ELSE o.ids END AS content, CASE WHEN n.ids IS NOT NULL AND (o.ids IS NULL OR o.ids <> n.ids) THEN 'new' ELSE 'carried' END AS origin, CASE WHEN n.ids IS NOT NULL AND (o.ids IS NULL OR o.ids <> n.ids) THEN NULL ELSE 'r1' END AS source FROM old_base o FULL JOIN new_base n USING (part_id)
+    UNION ALL SELECT 'artifact', coalesce(n.path, p.path), CASE WHEN n.path IS NOT NULL AND (n.status IN ('valid', 'partial') OR p.path IS NULL) THEN n.sha256 ELSE p.sha256 END, CASE WHEN n.path IS NOT NULL AND (n.status IN ('valid', 'partial') OR p.path IS NULL) THEN 'new' ELSE 'carried' END, NULL
+      FROM (SELECT path, kind, part_id, status, sha256 FROM artifacts WHERE path % 3 <> 1) n FULL JOIN (SELECT path, sha256 || 'p' AS sha256 FROM (SELECT path, kind, part_id, CASE WHEN path % 3 = 2 THEN 'valid' ELSE status END AS status, sha256 FROM artifacts ) WHERE status IN ('valid', 'partial') AND kind <> 'document' AND part_id IS NOT NULL AND sha256 IS NOT NULL AND part_id % 7 <> 3) p ON p.path = n.path""", old_base=_OLD, new_base=_NEW, artifacts=_ARTIFACTS))
 def C14_carry_forward_merge(spark, sf_dir):
-    """Prior rows of unaffected parts and new rows of the others."""
+    """Prior rows of unaffected parts and new rows of the others; prior artifacts where the new run has none with content."""
     old, new = _bases(spark, sf_dir)
     changed = new.join(old, ["part_id", "ids"], "left_anti")
-    return changed.withColumn("origin", F.lit("new")).unionByName(old.join(changed, "part_id", "left_anti").withColumn("origin", F.lit("carried")))
+    parts = audit.carried_parts(old, changed, changed, "part_id", F.lit("r1"), F.sha2("ids", 256)).select(F.lit("part").alias("level"), F.col("part_id").alias("id"), F.col("ids").alias("content"), "origin", F.col("from_report").alias("source"))
+    d = F.col("doc_id")
+    docs = inputs.table(spark, sf_dir, "documents").select(d.alias("path"), F.when(d % 10 == 9, "document").otherwise("srt").alias("kind"), F.when(d % 14 != 5, F.floor(d / 4)).alias("part_id"),
+                                                           F.get(F.array(*[F.lit(x) for x in ("valid", "partial", "invalid", "unavailable")]), (d % 4).cast("int")).alias("status"), F.when(d % 4 < 3, F.sha2("text", 256)).alias("sha256"))
+    prior = docs.withColumn("status", F.when(F.col("path") % 3 == 2, "valid").otherwise(F.col("status"))).withColumn("sha256", F.concat("sha256", F.lit("p")))
+    merged = audit.carried_artifacts(prior, docs.where("path % 3 <> 1"), docs.where("part_id % 7 = 3"))
+    return parts.unionByName(merged.select(F.lit("artifact").alias("level"), F.col("path").alias("id"), F.col("sha256").alias("content"), "origin", F.lit(None).cast("string").alias("source")))
+
 
 
-_UNITS = "SELECT event_id, user_id % 40 AS part_id, event_id % 6 AS stage, to_status, event_id % 4 = 0 AS stale FROM (SELECT run_id AS user_id, event_id, to_status FROM run_events )"
+_UNITS = """SELECT event_id, user_id % 40 AS part_id, event_id % 6 AS stage, to_status, sha256((user_id % 40)::VARCHAR || '|' || (event_id % 6)::VARCHAR || '|' || (event_id % 4 = 0)::INT::VARCHAR) AS digest, sha256((user_id % 40)::VARCHAR || '|' || (event_id % 6)::VARCHAR || '|0') AS fresh FROM (SELECT run_id AS user_id, event_id, to_status FROM run_events )"""
 
 
-@query(sql("SELECT event_id, CASE WHEN to_status <> 'completed' THEN to_status WHEN stage = 5 AND part_id > 30 THEN 'unit_no_longer_planned' WHEN stale THEN 'invalidation_key_changed' ELSE 'adopted' END AS outcome FROM units ", units=_UNITS))
+@query(sql("SELECT event_id, CASE WHEN to_status <> 'completed' THEN to_status WHEN stage = 5 AND part_id > 30 THEN 'unit_no_longer_planned' WHEN digest <> fresh THEN 'invalidation_key_changed' ELSE 'adopted' END AS outcome FROM units ", units=_UNITS))
 def C15_adoptable_units(spark, sf_dir):
-    """Recorded units that can be used again, or why not."""
-    rows = inputs.run_events(spark, sf_dir).select("event_id", (F.col("run_id") % 40).alias("part_id"), (F.col("event_id") % 6).alias("stage"), "to_status", F.when(F.col("event_id") % 4 == 0, "old").otherwise("new").alias("recorded"))
-    planned = rows.select("part_id", "stage").distinct().where("not (stage = 5 and part_id > 30)").withColumn("fresh", F.lit("new"))
-    outcome = F.when(F.col("to_status") != "completed", F.col("to_status")).when(F.col("fresh").isNull(), "unit_no_longer_planned").when(F.col("fresh") != F.col("recorded"), "invalidation_key_changed").otherwise("adopted")
-    return rows.join(planned, ["part_id", "stage"], "left").select("event_id", outcome.alias("outcome"))
+    """Recorded units that can be used again, by digests computed anew, or why not."""
+    key = lambda *parts: F.sha2(F.concat_ws("|", *[p.cast("string") for p in parts]), 256)
+    rows = inputs.run_events(spark, sf_dir).select("event_id", (F.col("run_id") % 40).alias("part_id"), (F.col("event_id") % 6).alias("stage"), F.col("to_status").alias("status"))
+    recorded = rows.withColumn("digest", key(F.col("part_id"), F.col("stage"), (F.col("event_id") % 4 == 0).cast("int")))
+    planned = rows.select("part_id", "stage").distinct().where("not (stage = 5 and part_id > 30)").withColumn("fresh", key(F.col("part_id"), F.col("stage"), F.lit(0)))
+    return audit.adoptable(recorded, planned, ["part_id", "stage"]).select("event_id", "outcome")
 
 
 @query("SELECT sha256(event_type || '|' || (user_id % 20)::VARCHAR) AS fingerprint, count(*) AS reports, min(event_id) AS first_report FROM events WHERE event_type = 'error' GROUP BY 1 HAVING count(*) > 1")
@@ -80,10 +80,15 @@ def C19_recurring_failures(spark, sf_dir):
     return rows.groupBy("fingerprint").agg(F.count("*").alias("reports"), F.min("event_id").alias("first_report")).where("reports > 1")
 
 
-@query(sql("SELECT run_id % 10 AS stage, to_status AS status, count(*) AS n, count(*) FILTER (size > 400) AS review_needed FROM run_events GROUP BY ALL"))
+@query(sql("""SELECT g.run_id, g.stage, g.scope, g.status, g.n, coalesce(r.review_intervals, '') AS review_intervals, CASE WHEN g.run_id % 4 IN (0, 1) THEN 'model_audited' ELSE 'review_needed' END AS verification FROM (
+      SELECT run_id, 's' || (event_id % 3)::VARCHAR AS stage, 'p' || (event_id % 2)::VARCHAR AS scope, to_status AS status, count(*) AS n FROM run_events GROUP BY ALL) g
+    LEFT JOIN (SELECT run_id, 'p' || (event_id % 2)::VARCHAR AS scope, string_agg('p' || (event_id % 2)::VARCHAR || '|' || to_status || '|' || event_id::VARCHAR, ';' ORDER BY to_status, event_id::VARCHAR) AS review_intervals FROM run_events WHERE size > 400 GROUP BY ALL) r USING (run_id, scope)"""))
 def D08_quality_report(spark, sf_dir):
-    """Gate outcomes and what needs review, per stage."""
-    return inputs.run_events(spark, sf_dir).groupBy((F.col("run_id") % 10).alias("stage"), F.col("to_status").alias("status")).agg(F.count("*").alias("n"), F.count_if(F.col("size") > 400).alias("review_needed"))
+    """Gate outcomes per stage and scope, the review intervals in order, and what level of verification a run may claim."""
+    rows = inputs.run_events(spark, sf_dir).withColumn("stage", F.concat(F.lit("s"), (F.col("event_id") % 3).cast("string"))).withColumn("scope", F.concat(F.lit("p"), (F.col("event_id") % 2).cast("string")))
+    review = rows.where("size > 400").select("run_id", "scope", F.col("to_status").alias("reason"), F.col("event_id").cast("string").alias("detail"))
+    status = F.get(F.array(*[F.lit(x) for x in ("complete", "complete_with_warnings", "incomplete", "failed")]), (F.col("run_id") % 4).cast("int"))
+    return audit.quality_report(rows.select("run_id", "stage", "scope", F.col("to_status").alias("status")), review, rows.select("run_id").distinct().withColumn("run_status", status))
 
 
 @query(sql("SELECT run_id, CASE WHEN bool_and(to_status = 'failed') THEN 'failed' WHEN count(*) FILTER (to_status = 'failed') > 15 THEN 'incomplete' WHEN bool_or(size > 480) THEN 'complete_with_warnings' ELSE 'complete' END AS status FROM run_events GROUP BY run_id"))
@@ -115,38 +120,58 @@ def D12_run_elapsed_and_disk(spark, sf_dir):
     return g.where("n >= 2").drop("n")
 
 
-@query(sql("SELECT run_id, count(*) FILTER (to_status = 'running') AS n_read, count(*) FILTER (to_status = 'completed') AS written, count(*) FILTER (to_status = 'failed' AND size < 100) AS deletable, count(*) - count(DISTINCT (floor(size)::BIGINT, to_status)) AS duplicates FROM run_events GROUP BY run_id"))
+_ENTRIES = """SELECT run_id, floor(size)::BIGINT AS path, ['read', 'created', 'modified', 'published', 'downloaded'][event_id % 5 + 1] AS action, ['safe_to_delete', 'rebuildable', 'published', 'keep_for_audit'][event_id % 4 + 1] AS deletion_class FROM run_events """
+
+
+@query(sql("""SELECT run_id, n_read, written, deletable, published, duplicates, CASE WHEN duplicates > 0 THEN 'duplicate_inventory_entry' END AS error FROM (SELECT run_id, count(*) FILTER (action = 'read') AS n_read, count(*) FILTER (action <> 'read') AS written, count(*) FILTER (deletion_class IN ('safe_to_delete', 'rebuildable')) AS deletable,
+    count(*) FILTER (action = 'published' AND path % 4 < 2) AS published, count(*) - count(DISTINCT (path, action)) AS duplicates FROM entries GROUP BY run_id)""", entries=_ENTRIES))
 def D13_run_inventory(spark, sf_dir):
-    """What a run read, wrote and may delete; a repeated path and action is an error."""
-    s = F.col("to_status")
-    return inputs.run_events(spark, sf_dir).groupBy("run_id").agg(F.count_if(s == "running").alias("n_read"), F.count_if(s == "completed").alias("written"), F.count_if((s == "failed") & (F.col("size") < 100)).alias("deletable"), (F.count("*") - F.countDistinct(F.floor("size"), s)).alias("duplicates"))
+    """What a run read, wrote, published with content and may delete; a repeated path and action is an error."""
+    pick = lambda names, k: F.get(F.array(*[F.lit(x) for x in names]), (F.col("event_id") % k).cast("int"))
+    entries = inputs.run_events(spark, sf_dir).select("run_id", F.floor("size").alias("path"), pick(("read", "created", "modified", "published", "downloaded"), 5).alias("action"), pick(("safe_to_delete", "rebuildable", "published", "keep_for_audit"), 4).alias("deletion_class"))
+    status = F.when(F.col("path") % 4 == 0, "valid").when(F.col("path") % 4 == 1, "partial").otherwise("unavailable")
+    return audit.run_inventory(entries, entries.select("run_id", "path").distinct().withColumn("status", status))
 
 
-@query(sql("SELECT run_id, sha256(string_agg('{\"path\":' || path::VARCHAR || ',\"sha256\":\"' || sha256 || '\"}', ',' ORDER BY path)) AS digest FROM manifest GROUP BY run_id"))
+@query(sql("""SELECT run_id, sha256(string_agg('{"path":' || path::VARCHAR || ',"sha256":"' || sha256 || '"}', ',' ORDER BY path)) AS digest, sha256('v2|' || string_agg(DISTINCT sha256, '|' ORDER BY sha256) || '|cfg' || (run_id % 3)::VARCHAR) AS key FROM manifest GROUP BY run_id"""))
 def D16_projection_digest(spark, sf_dir):
-    """One digest over a manifest's sorted entries as JSON."""
-    entries = F.transform(F.sort_array(F.collect_list(F.struct("path", "sha256"))), lambda e: F.to_json(e))
-    return inputs.manifest(spark, sf_dir).groupBy("run_id").agg(F.sha2(F.array_join(entries, ","), 256).alias("digest"))
+    """One digest over a manifest's sorted entries as JSON, and the key that tells when it is stale."""
+    config = F.concat(F.lit("cfg"), (F.col("run_id") % 3).cast("string"))
+    return audit.projection_digest(inputs.manifest(spark, sf_dir), "run_id", F.lit("v2"), F.col("sha256"), config)
 
 
-@query("SELECT doc_id % 25 AS candidate, count(*) FILTER (expected <> produced AND produced) AS false_accept, count(*) FILTER (expected <> produced AND NOT produced) AS false_reject, CASE WHEN bool_and(expected = produced) THEN 'qualified' ELSE 'failed' END AS state FROM (SELECT doc_id, n_chars > 1000 AS expected, length(text) > CASE WHEN doc_id % 50 = 0 THEN 3000 ELSE 1000 END AS produced FROM documents) GROUP BY doc_id % 25")
+@query("""SELECT candidate, CASE WHEN bool_and(coalesce(same, false)) THEN 'qualified' ELSE 'calibration_failed' END AS state, count(*) FILTER (coalesce(p, false) AND NOT coalesce(e, false)) AS false_accepts, count(*) FILTER (coalesce(e, false) AND NOT coalesce(p, false)) AS false_rejects FROM (
+    SELECT doc_id // 8 AS candidate, n_chars > 1000 AS e, CASE WHEN doc_id % 29 <> 1 THEN length(text) > CASE WHEN doc_id % 50 = 0 THEN 3000 ELSE 1000 END END AS p,
+      doc_id % 29 <> 1 AND (n_chars > 1000) = (length(text) > CASE WHEN doc_id % 50 = 0 THEN 3000 ELSE 1000 END) AND doc_id % 31 <> 2 AS same FROM documents) GROUP BY candidate""")
 def D18_calibration_eval(spark, sf_dir):
-    """Expected against produced outcome per candidate."""
-    docs = inputs.table(spark, sf_dir, "documents").select((F.col("doc_id") % 25).alias("candidate"), (F.col("n_chars") > 1000).alias("e"), (F.length("text") > F.when(F.col("doc_id") % 50 == 0, 3000).otherwise(1000)).alias("p"))
-    g = docs.groupBy("candidate").agg(F.count_if((F.col("e") != F.col("p")) & F.col("p")).alias("false_accept"), F.count_if((F.col("e") != F.col("p")) & ~F.col("p")).alias("false_reject"))
-    return g.withColumn("state", F.when((F.col("false_accept") == 0) & (F.col("false_reject") == 0), "qualified").otherwise("failed"))
+    """Produced outputs compared with expected ones, whole and as canonical JSON, per candidate."""
+    d = F.col("doc_id")
+    docs = inputs.table(spark, sf_dir, "documents").select(F.floor(d / 8).alias("candidate"), d.alias("item"), "n_chars", "text")
+    expected = docs.select("candidate", "item", (F.col("n_chars") > 1000).alias("accepted"), F.sha2("text", 256).alias("body"))
+    k = F.col("item")
+    produced = docs.where("item % 29 <> 1").select("candidate", "item", (F.length("text") > F.when(k % 50 == 0, 3000).otherwise(1000)).alias("accepted"), F.when(k % 31 == 2, "other").otherwise(F.sha2("text", 256)).alias("body"))
+    return audit.calibration(expected, produced, "candidate")
 
 
 _LEGAL = " OR ".join(f"(from_status {'IS NULL' if a is None else f'= {chr(39)}{a}{chr(39)}'} AND to_status IN ({', '.join(chr(39) + b + chr(39) for b in sorted(to))}))" for a, to in journal.EDGES.items() if to)
 
 
-@query(sql(f"SELECT run_id, arg_max(to_status, sequence) AS status, max(sequence) + 1 AS next_sequence, count(*) FILTER (NOT legal) AS illegal, coalesce(min(sequence) FILTER (NOT legal) - 1, max(sequence)) AS valid_prefix FROM (SELECT *, coalesce({_LEGAL}, false) AS legal FROM (SELECT *, lag(to_status) OVER (PARTITION BY run_id ORDER BY sequence) AS from_status FROM run_events )) GROUP BY run_id"))
+_JOURNAL = """SELECT run_id, line, CASE WHEN run_id % 7 = 2 AND line >= last - 1 THEN NULL WHEN run_id % 5 = 1 AND line > 10 THEN line + 1 ELSE line END AS sequence, CASE WHEN run_id % 6 = 3 AND line % 9 = 5 THEN 'paused' ELSE prev END AS from_status, to_status
+    FROM (SELECT run_id, sequence AS line, to_status, lag(to_status) OVER (PARTITION BY run_id ORDER BY sequence) AS prev, max(sequence) OVER (PARTITION BY run_id) AS last FROM run_events )"""
+_REPLAYED = f"""SELECT *, min((whole AND legal AND NOT hole)::INT) OVER (PARTITION BY run_id ORDER BY line ROWS UNBOUNDED PRECEDING) AS good FROM (
+    SELECT run_id, line, sequence, to_status, sequence IS NOT NULL AS whole, coalesce(sequence <> coalesce(lag(sequence) OVER w + 1, 1), false) AS hole, coalesce({_LEGAL.replace('from_status', 'prev')}, false) AND given IS NOT DISTINCT FROM prev AS legal
+    FROM (SELECT run_id, line, sequence, to_status, from_status AS given, lag(to_status) OVER (PARTITION BY run_id ORDER BY line) AS prev FROM journal_lines ) WINDOW w AS (PARTITION BY run_id ORDER BY line))"""
+
+
+@query(sql("""SELECT run_id, arg_max(to_status, line) FILTER (whole) AS status, coalesce(max(sequence) FILTER (whole), 0) + 1 AS next_sequence, count(*) FILTER (whole AND NOT legal) AS illegal, count(*) FILTER (whole AND hole) AS holes, sum(good)::BIGINT AS valid_prefix, count(*) FILTER (NOT whole) AS torn FROM replayed GROUP BY run_id""", journal_lines=_JOURNAL, replayed=_REPLAYED))
 def E13_journal_replay(spark, sf_dir):
-    """Each run's status, its illegal steps and its longest legal beginning."""
+    """Each run's status, its illegal steps and holes, its longest valid beginning and its torn tail."""
     order = Window.partitionBy("run_id").orderBy("sequence")
-    rows = inputs.run_events(spark, sf_dir).withColumn("from_status", F.lag("to_status").over(order)).withColumn("legal", F.coalesce(F.expr(_LEGAL), F.lit(False)))
-    bad = F.min(F.when(~F.col("legal"), F.col("sequence")))
-    return rows.groupBy("run_id").agg(F.max_by("to_status", "sequence").alias("status"), (F.max("sequence") + 1).cast("long").alias("next_sequence"), F.count_if(~F.col("legal")).alias("illegal"), F.coalesce(bad - 1, F.max("sequence")).cast("long").alias("valid_prefix"))
+    rows = inputs.run_events(spark, sf_dir).select("run_id", F.col("sequence").alias("line"), F.lag("to_status").over(order).alias("prev"), F.max("sequence").over(Window.partitionBy("run_id")).alias("last"), "to_status")
+    r, line = F.col("run_id"), F.col("line")
+    sequence = F.when((r % 7 == 2) & (line >= F.col("last") - 1), F.lit(None)).when((r % 5 == 1) & (line > 10), line + 1).otherwise(line)
+    given = F.when((r % 6 == 3) & (line % 9 == 5), "paused").otherwise(F.col("prev"))
+    return audit.replay(rows.select("run_id", "line", sequence.alias("sequence"), given.alias("from_status"), "to_status"), journal.EDGES)
 
 
 @query("""WITH k0 AS (SELECT doc_id AS part_id, doc_id // 50 AS collection, sha256(text) AS h FROM documents), c AS (SELECT collection, sha256('s0|1|' || string_agg(h, '|' ORDER BY h)) AS k FROM k0 GROUP BY collection),

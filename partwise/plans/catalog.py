@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from partwise.plans import audit_queries, cue_queries, interval_queries, speech_queries, visual_queries
+from partwise.plans import audit_queries, cue_queries, interval_queries, speech_queries, visual_queries  # noqa: F401  they register themselves
+from partwise.plans.registry import ORACLE_SQL, QUERIES
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-for _module in (interval_queries, cue_queries, speech_queries, visual_queries, audit_queries):
-    QUERIES |= _module.QUERIES
-    ORACLE_SQL |= _module.ORACLE_SQL
+__all__ = ["ORACLE_SQL", "QUERIES"]

@@ -40,7 +40,9 @@ def vad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def captions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).where("event_id % 3 = 0").select(F.col("user_id").alias("part_id"), "start_t", "end_t", F.col("event_id").alias("cue_id"))
+    """A cue of every event: a third of its length, from a quarter of it on."""
+    rows = _events(spark, sf_dir).withColumn("c", F.expr("start_t + (end_t - start_t) div 4"))
+    return rows.select(F.col("user_id").alias("part_id"), F.col("c").alias("start_t"), F.expr("c + (end_t - start_t) div 3").alias("end_t"), F.col("event_id").alias("cue_id"))
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,8 +59,8 @@ def ocr_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What was recorded: a path and digest per document."""
-    return table(spark, sf_dir, "documents").select((F.col("doc_id") % 20).alias("run_id"), F.col("doc_id").alias("path"), F.sha2("text", 256).alias("sha256"))
+    """What was recorded: a path and digest per document, some hundred documents a run."""
+    return table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 200).alias("run_id"), F.col("doc_id").alias("path"), F.sha2("text", 256).alias("sha256"))
 
 
 def present(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,12 +94,12 @@ SQL: dict[str, str] = {
     "packets": "SELECT user_id % 50 AS part_id, user_id AS stream_index, start_t, end_t, event_id FROM ev",
     "vad": f"""SELECT * FROM (SELECT user_id AS part_id, start_t, least(end_t, coalesce(lead(start_t) OVER (PARTITION BY user_id ORDER BY ts, event_id), end_t)) AS end_t, {STATES} AS state FROM ev)
         WHERE state IS NOT NULL AND start_t < end_t""",
-    "captions": "SELECT user_id AS part_id, start_t, end_t, event_id AS cue_id FROM ev WHERE event_id % 3 = 0",
+    "captions": "SELECT user_id AS part_id, c AS start_t, c + d // 3 AS end_t, event_id AS cue_id FROM (SELECT user_id, event_id, end_t - start_t AS d, start_t + (end_t - start_t) // 4 AS c FROM ev )",
     "frames": """SELECT user_id AS part_id, start_t AS pts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place,
         'p' || (((row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) // 4) % 5)::VARCHAR AS fingerprint, 100 - (json_extract(props, '$.k')::INT) % 50 AS stability,
         floor(value)::INT % 101 AS edge_density, (event_id * 37 % 60)::INT AS region_diff FROM ev""",
     "ocr_items": "SELECT doc_id, doc_id % 150 AS part_id, text, doc_id % 100 AS confidence FROM documents",
-    "manifest": "SELECT doc_id % 20 AS run_id, doc_id AS path, sha256(text) AS sha256 FROM documents",
+    "manifest": "SELECT doc_id // 200 AS run_id, doc_id AS path, sha256(text) AS sha256 FROM documents",
     "present": """SELECT run_id, path, CASE WHEN path % 13 = 0 THEN 'x' || sha256 ELSE sha256 END AS sha256 FROM manifest WHERE path % 17 <> 0
         UNION ALL SELECT run_id, path + 1000000000, sha256 FROM manifest WHERE path % 19 = 0""",
     "run_events": f"""SELECT user_id AS run_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sequence, {STATE_OF} AS to_status, start_t AS "at", value AS size, event_id FROM ev""",

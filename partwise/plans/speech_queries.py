@@ -8,22 +8,11 @@ from pyspark.sql import functions as F
 from partwise.functions.columns import words
 from partwise.operators import folds
 from partwise.operators import intervals as iv
+from partwise.operators import speech as sp
+from partwise.operators import suspicion as su
 from partwise.plans import inputs, interval_queries
 from partwise.plans.inputs import HOURS_6, sql
-
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(oracle: str | None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if oracle:
-            ORACLE_SQL[f.__name__] = oracle
-        return f
-
-    return add
-
+from partwise.plans.registry import query
 
 _BLANK = r"'[ \t\n\x0b\f\r]+'"
 _WORDS = rf"list_filter(regexp_split_to_array(text, {_BLANK}), lambda x: x <> '')"
@@ -55,13 +44,26 @@ def E10_asr_monotonic_gate(spark, sf_dir):
     return folds.gate_cues(_asr(spark, sf_dir))
 
 
-@query(None)
+_ORDERED = f"SELECT *, row_number() OVER (PARTITION BY part_id ORDER BY start_t) AS rn, max(end_t - start_t) OVER (PARTITION BY part_id) AS longest FROM {interval_queries._RUNS}"
+_PACK = """SELECT part_id, 0::BIGINT AS rn, -1::BIGINT AS chunk, NULL::BIGINT AS first_t, NULL::BIGINT AS start_t, NULL::BIGINT AS end_t FROM (SELECT DISTINCT part_id FROM ordered WHERE longest <= 16384)
+    UNION ALL SELECT o.part_id, o.rn, CASE WHEN o.end_t - f.first_t <= 16384 THEN f.chunk ELSE f.chunk + 1 END, CASE WHEN o.end_t - f.first_t <= 16384 THEN f.first_t ELSE o.start_t END, o.start_t, o.end_t FROM pack f JOIN ordered o ON o.part_id = f.part_id AND o.rn = f.rn + 1"""
+
+
+@query(sql("""SELECT part_id, chunk, min(start_t) AS start_t, max(end_t) AS end_t, count(*) AS runs, NULL AS error FROM pack WHERE rn > 0 GROUP BY part_id, chunk
+    UNION ALL SELECT DISTINCT part_id, 0, NULL::BIGINT, NULL::BIGINT, NULL::BIGINT, 'chunk_window_exceeded' FROM ordered WHERE longest > 16384""", ordered=_ORDERED, pack=_PACK).replace("WITH ", "WITH RECURSIVE ", 1))
 def F11_speech_chunks(spark, sf_dir):
     """Speech runs packed into chunks of bounded length."""
     return folds.pack_chunks(interval_queries.F09_speech_runs(spark, sf_dir), 16_384)
 
 
-@query(None)
+_CHAPTERS = """SELECT part_id, source_ordinal AS pos, (part_id + source_ordinal) % 13 <> 0 AS own_part, source_ordinal * 3 % 5 AS s, source_ordinal * 3 % 5 + source_ordinal % 3 - (source_ordinal % 7 = 6)::INT * 2 AS e, max(source_ordinal) OVER (PARTITION BY part_id) AS last, row_number() OVER (PARTITION BY part_id ORDER BY source_ordinal) AS rn FROM cues """
+_TAKING = """SELECT part_id, 0::BIGINT AS rn, 0::BIGINT AS pos, 0::BIGINT AS s, 0::BIGINT AS e, NULL::VARCHAR AS reason, []::BIGINT[] AS ss, []::BIGINT[] AS es FROM (SELECT DISTINCT part_id FROM chapters )
+    UNION ALL SELECT part_id, rn, pos, s, e, reason, CASE WHEN reason IS NULL THEN list_append(ss, s) ELSE ss END, CASE WHEN reason IS NULL THEN list_append(es, e) ELSE es END FROM (
+      SELECT c.part_id, c.rn, c.pos, c.s, c.e, t.ss, t.es, CASE WHEN NOT c.own_part THEN 'foreign_part' WHEN c.s > c.e THEN 'inverted' WHEN c.s < 0 OR c.e > c.last THEN 'unknown_ordinal' WHEN len(list_filter(range(1, len(t.ss) + 1), lambda k: c.s <= t.es[k] AND t.ss[k] <= c.e)) > 0 THEN 'overlap' END AS reason
+      FROM taking t JOIN chapters c ON c.part_id = t.part_id AND c.rn = t.rn + 1)"""
+
+
+@query(sql("SELECT part_id, pos, s AS start_ordinal, e AS end_ordinal, reason, CASE WHEN reason IS NULL THEN row_number() OVER (PARTITION BY part_id, reason IS NULL ORDER BY s) - 1 END AS number FROM taking WHERE rn > 0", chapters=_CHAPTERS, taking=_TAKING).replace("WITH ", "WITH RECURSIVE ", 1))
 def E12_chapter_first_wins(spark, sf_dir):
     """Chapters in given order, later overlapping ones refused."""
     rows = inputs.cues(spark, sf_dir).withColumn("last", F.max("source_ordinal").over(Window.partitionBy("part_id")))
@@ -69,6 +71,7 @@ def E12_chapter_first_wins(spark, sf_dir):
     return folds.first_wins(rows.select("part_id", o.alias("pos"), ((F.col("part_id") + o) % 13 != 0).alias("own_part"), (o * 3 % 5).alias("start_ordinal"), (o * 3 % 5 + o % 3 - (o % 7 == 6).cast("int") * 2).alias("end_ordinal"), "last"))
 
 
+
 @query(sql("SELECT part_id, row_number() OVER (PARTITION BY part_id ORDER BY source_ordinal) - 1 AS ordinal, source_ordinal AS chunk FROM cues WHERE trim(text) <> '' AND source_ordinal % 4 <> 1"))
 def F12_assemble_asr_cues(spark, sf_dir):
     """Chunks with visible text as cues, numbered without holes."""
@@ -76,14 +79,16 @@ def F12_assemble_asr_cues(spark, sf_dir):
     return rows.select("part_id", (F.row_number().over(Window.partitionBy("part_id").orderBy("source_ordinal")) - 1).cast("long").alias("ordinal"), F.col("source_ordinal").alias("chunk"))
 
 
-@query(sql("SELECT part_id, stream_index, n, CASE WHEN n = 1 THEN 'selected' WHEN n = 0 THEN 'audio_stream_unavailable' WHEN wanted = stream_index THEN 'selected' WHEN wanted IS NULL THEN 'awaiting_audio_stream_selection' ELSE 'audio_stream_selection_invalid' END AS state FROM (SELECT part_id, stream_index, count(*) OVER (PARTITION BY part_id) AS n, CASE WHEN part_id % 3 = 0 THEN part_id WHEN part_id % 3 = 1 THEN -1 END AS wanted FROM (SELECT DISTINCT part_id, stream_index FROM packets ))"))
+@query(sql("""SELECT part_id, CASE WHEN wanted IS NULL AND n = 1 THEN one WHEN wanted IS NOT NULL AND list_contains(open, wanted) THEN wanted END AS stream_index,
+    CASE WHEN wanted IS NULL AND n = 0 THEN 'audio_stream_unavailable' WHEN wanted IS NULL AND n > 1 THEN 'awaiting_audio_stream_selection' WHEN wanted IS NOT NULL AND NOT list_contains(open, wanted) THEN 'audio_stream_selection_invalid' ELSE 'selected' END AS state FROM (
+    SELECT part_id, CASE WHEN part_id % 3 = 0 THEN part_id WHEN part_id % 3 = 1 AND part_id % 2 = 0 THEN -7 END AS wanted, coalesce(list(stream_index) FILTER (open), []) AS open, count(*) FILTER (open) AS n, min(stream_index) FILTER (open) AS one
+    FROM (SELECT DISTINCT part_id, stream_index, part_id % 5 <> 2 AND (part_id % 5 <> 1 OR stream_index < 50) AS open FROM packets ) GROUP BY part_id)"""))
 def D20_select_audio_stream(spark, sf_dir):
-    """The one audio stream of a part, or the requested one, or why not."""
-    streams = iv.coverage(inputs.packets(spark, sf_dir), "part_id", "stream_index").where("state = 'complete'")
-    wanted = F.when(F.col("part_id") % 3 == 0, F.col("part_id")).when(F.col("part_id") % 3 == 1, F.lit(-1))
-    rows = streams.select("part_id", "stream_index", F.count("*").over(Window.partitionBy("part_id")).alias("n"), wanted.alias("wanted"))
-    state = F.when(F.col("n") == 1, "selected").when(F.col("wanted") == F.col("stream_index"), "selected").when(F.col("wanted").isNull(), "awaiting_audio_stream_selection").otherwise("audio_stream_selection_invalid")
-    return rows.select("part_id", "stream_index", "n", state.alias("state"))
+    """The one audio stream of each part, or the requested one, or why there is none."""
+    streams = iv.coverage(inputs.packets(spark, sf_dir), "part_id", "stream_index").withColumn("codec_type", F.expr("case when part_id % 5 <> 2 and (part_id % 5 <> 1 or stream_index < 50) then 'audio' else 'video' end"))
+    requests = streams.select("part_id", F.expr("case when part_id % 3 = 0 then part_id when part_id % 3 = 1 and part_id % 2 = 0 then -7 end").alias("wanted")).where("wanted is not null").distinct()
+    return sp.select_audio_stream(streams, streams, requests, "part_id")
+
 
 
 @query(sql("SELECT part_id, min(start_t) AS start_t, max(end_t) AS end_t FROM packets WHERE stream_index = part_id GROUP BY part_id"))
@@ -101,41 +106,61 @@ def E09_speaker_labels(spark, sf_dir):
     return inputs.captions(spark, sf_dir).select("part_id", "cue_id", F.format_string("part-%02d:speaker-%02d", "part_id", rank).alias("label"))
 
 
-@query(sql("""SELECT part_id, source_ordinal, CASE WHEN untrusted THEN 'alignment_untrusted' WHEN reason IS NULL THEN 'adopted' ELSE reason END AS outcome, CASE WHEN NOT untrusted AND reason IS NULL THEN p_start ELSE start_t END AS new_start FROM (
-    SELECT *, bool_or(new_start < prev) OVER (PARTITION BY part_id) IS TRUE AS untrusted FROM (SELECT *, lag(new_start) OVER (PARTITION BY part_id ORDER BY source_ordinal) AS prev FROM (
-    SELECT *, CASE WHEN reason IS NULL THEN p_start ELSE start_t END AS new_start FROM (SELECT *, start_t + (source_ordinal * 37 % 11) * 90 - CASE WHEN part_id % 6 = 5 AND source_ordinal = 3 THEN 20000 ELSE 0 END AS p_start,
-      CASE WHEN (part_id + source_ordinal) % 10 < 3 THEN 'low_confidence' WHEN end_t - start_t < 1000 OR end_t - start_t > 60000 THEN 'duration_implausible' WHEN source_ordinal % 8 = 7 THEN 'vad_conflict' END AS reason FROM cues ))))"""))
+_PROPOSED = """SELECT part_id, source_ordinal, CASE WHEN part_id % 9 = 7 AND source_ordinal = 2 THEN text || 'x' ELSE text END AS text, start_t + (source_ordinal * 37 % 11) * 90 - CASE WHEN part_id % 6 = 5 AND source_ordinal = 3 THEN 20000 ELSE 0 END AS start_t,
+    end_t + (source_ordinal * 37 % 11) * 90 - CASE WHEN part_id % 6 = 5 AND source_ordinal = 3 THEN 20000 ELSE 0 END AS end_t, (part_id + source_ordinal) % 10 AS confidence FROM cues """
+_ALIGNED = """SELECT c.part_id, c.source_ordinal, c.start_t, c.end_t, p.start_t AS ps, p.end_t AS pe, c.text <> p.text AS differs,
+    CASE WHEN p.confidence < 3 THEN 'alignment_low_confidence' WHEN p.end_t - p.start_t < CASE WHEN c.role = 'user' THEN 1500 ELSE 1000 END OR p.end_t - p.start_t > CASE WHEN c.role = 'user' THEN 50000 ELSE 60000 END THEN 'alignment_duration_implausible'
+      WHEN NOT EXISTS (SELECT 1 FROM audio u WHERE u.part_id = p.part_id AND u.start_t <= p.start_t AND p.end_t <= u.end_t) THEN 'alignment_out_of_coverage'
+      WHEN EXISTS (SELECT 1 FROM heard v WHERE v.part_id = p.part_id AND v.state = 'non_speech' AND v.start_t < p.end_t AND p.start_t < v.end_t) THEN 'alignment_vad_conflict' END AS reason,
+    EXISTS (SELECT 1 FROM heard v WHERE v.part_id = p.part_id AND v.state = 'indeterminate' AND v.start_t < p.end_t AND p.start_t < v.end_t) AS unsure FROM cues c JOIN proposed p ON p.part_id = c.part_id AND p.source_ordinal = c.source_ordinal"""
+_AUDIO = "SELECT part_id, min(start_t) AS start_t, max(end_t) - 3000 AS end_t FROM cues GROUP BY part_id"
+_HEARD = "SELECT part_id, start_t + 10 AS start_t, start_t + (end_t - start_t) // 2 AS end_t, CASE source_ordinal % 8 WHEN 7 THEN 'non_speech' WHEN 5 THEN 'indeterminate' ELSE 'speech_likely' END AS state FROM cues WHERE (end_t - start_t) // 2 > 10"
+
+
+def _heard(cues: DataFrame) -> DataFrame:
+    state = F.when(F.col("source_ordinal") % 8 == 7, "non_speech").when(F.col("source_ordinal") % 8 == 5, "indeterminate").otherwise("speech_likely")
+    return cues.where("(end_t - start_t) div 2 > 10").select("part_id", (F.col("start_t") + 10).alias("start_t"), F.expr("start_t + (end_t - start_t) div 2").alias("end_t"), state.alias("state"))
+
+
+@query(sql("""SELECT part_id, source_ordinal, outcome, CASE WHEN outcome = 'adopted' THEN ps ELSE start_t END AS new_start, CASE WHEN outcome = 'adopted' THEN pe ELSE end_t END AS new_end, outcome = 'adopted' AND unsure AS risk FROM (
+    SELECT *, CASE WHEN bool_or(differs) OVER w THEN 'alignment_text_contract_violation' WHEN bool_or(back) OVER w THEN 'alignment_untrusted' ELSE coalesce(reason, 'adopted') END AS outcome FROM (
+    SELECT *, coalesce(new < lag(new) OVER (PARTITION BY part_id ORDER BY source_ordinal), false) AS back FROM (SELECT *, CASE WHEN reason IS NULL THEN ps ELSE start_t END AS new FROM aligned )) WINDOW w AS (PARTITION BY part_id))""", proposed=_PROPOSED, audio=_AUDIO, heard=_HEARD, aligned=_ALIGNED))
 def C04_alignment_adoption(spark, sf_dir):
-    """Proposed times adopted cue by cue; a part whose starts would go backwards reverts as a whole."""
+    """Proposed times adopted cue by cue by text, confidence, length, coverage and activity; a part whose starts would go backwards reverts as a whole."""
+    cues = inputs.cues(spark, sf_dir).withColumn("language", F.col("role"))
     o, part = F.col("source_ordinal"), F.col("part_id")
-    proposed = F.col("start_t") + (o * 37 % 11) * 90 - F.when((part % 6 == 5) & (o == 3), 20000).otherwise(0)
-    length = F.col("end_t") - F.col("start_t")
-    reason = F.when((part + o) % 10 < 3, "low_confidence").when((length < 1000) | (length > 60000), "duration_implausible").when(o % 8 == 7, "vad_conflict")
-    rows = inputs.cues(spark, sf_dir).withColumn("p_start", proposed).withColumn("reason", reason).withColumn("new", F.when(F.col("reason").isNull(), F.col("p_start")).otherwise(F.col("start_t")))
-    rows = rows.withColumn("back", F.col("new") < F.lag("new").over(Window.partitionBy("part_id").orderBy("source_ordinal")))
-    rows = rows.withColumn("untrusted", F.coalesce(F.bool_or("back").over(Window.partitionBy("part_id")), F.lit(False)))
-    outcome = F.when(F.col("untrusted"), "alignment_untrusted").otherwise(F.coalesce("reason", F.lit("adopted")))
-    return rows.select("part_id", "source_ordinal", outcome.alias("outcome"), F.when(~F.col("untrusted") & F.col("reason").isNull(), F.col("p_start")).otherwise(F.col("start_t")).alias("new_start"))
+    shift = (o * 37 % 11) * 90 - F.when((part % 6 == 5) & (o == 3), 20000).otherwise(0)
+    proposals = cues.select("part_id", "source_ordinal", F.when((part % 9 == 7) & (o == 2), F.concat("text", F.lit("x"))).otherwise(F.col("text")).alias("text"), (F.col("start_t") + shift).alias("start_t"), (F.col("end_t") + shift).alias("end_t"), ((part + o) % 10).alias("confidence"))
+    proposals = proposals.withColumn("confidence", F.col("confidence") / 10)
+    audio = cues.groupBy("part_id").agg(F.min("start_t").alias("start_t"), (F.max("end_t") - 3000).alias("end_t"))
+    roles = cues.select("language").distinct()
+    bounds = roles.select("language", F.when(F.col("language") == "user", 1500).otherwise(1000).alias("shortest"), F.when(F.col("language") == "user", 50000).otherwise(60000).alias("longest"))
+    return sp.align(cues, proposals, audio, _heard(cues), bounds, "part_id", 60_000, 0.3)
 
 
 _SPANS = rf"list_transform(range(1, len({_WORDS}) + 1), lambda i: CASE WHEN strlen({_WORDS}[i]) % 3 = 0 THEN 'a' ELSE 'b' END)"
 
 
-@query(sql(rf"SELECT part_id, source_ordinal, len(list_filter(range(1, len(w) + 1), lambda i: (i * 7 + part_id) % 10 < 2))::BIGINT AS n_low FROM (SELECT part_id, source_ordinal, {_WORDS} AS w FROM cues ) WHERE n_low > 0"))
-def G01_low_confidence_tokens(spark, sf_dir):
-    """Cues with tokens below a confidence of 0.2."""
+def _tokens(cues: DataFrame) -> DataFrame:
+    """Cues with the tokens and languages that a speech model would give them."""
     tokens = F.transform(words("text"), lambda w, i: F.struct(w.alias("text"), (((i + 1) * 7 + F.col("part_id")) % 10 / 10).alias("confidence")))
-    low = F.filter(tokens, lambda t: t["confidence"].isNotNull() & (t["confidence"] < 0.2))
-    return inputs.cues(spark, sf_dir).select("part_id", "source_ordinal", F.size(low).cast("long").alias("n_low")).where("n_low > 0")
+    return cues.withColumn("tokens", tokens).withColumn("languages", F.transform(words("text"), lambda w: F.when(F.octet_length(w) % 3 == 0, "a").otherwise("b")))
+
+
+@query(sql(rf"SELECT part_id, source_ordinal, array_to_string(low, ' ') AS low FROM (SELECT part_id, source_ordinal, list_transform(list_filter(range(1, len(w) + 1), lambda i: (i * 7 + part_id) % 10 < 2), lambda i: w[i]) AS low FROM (SELECT part_id, source_ordinal, {_WORDS} AS w FROM cues )) WHERE len(low) > 0"))
+def G01_low_confidence_tokens(spark, sf_dir):
+    """Cues with tokens below a confidence of 0.2, and these tokens."""
+    rows = _tokens(inputs.cues(spark, sf_dir)).withColumn("low", su.low_tokens(F.col("tokens"), 0.2))
+    return rows.where(F.size("low") > 0).select("part_id", "source_ordinal", F.array_join("low", " ").alias("low"))
+
 
 
 @query(sql(rf"SELECT part_id, source_ordinal, switches FROM (SELECT part_id, source_ordinal, len(list_filter(range(2, len(w) + 1), lambda i: (strlen(w[i]) % 3 = 0) <> (strlen(w[i - 1]) % 3 = 0)))::BIGINT AS switches FROM (SELECT part_id, source_ordinal, {_WORDS} AS w FROM cues )) WHERE switches > 20"))
 def G02_language_switching(spark, sf_dir):
     """Cues with more than twenty changes of language between neighbouring spans."""
-    spans = F.transform(words("text"), lambda w: F.octet_length(w) % 3 == 0)
-    rows = inputs.cues(spark, sf_dir).withColumn("s", spans)
-    changes = F.size(F.filter(F.zip_with(F.slice("s", 2, 1 << 30), F.slice("s", F.lit(1), F.greatest(F.size("s") - 1, F.lit(0))), lambda a, b: a != b), lambda x: x)).cast("long")
-    return rows.select("part_id", "source_ordinal", changes.alias("switches")).where("switches > 20")
+    rows = _tokens(inputs.cues(spark, sf_dir)).select("part_id", "source_ordinal", su.switches(F.col("languages")).cast("long").alias("switches"))
+    return rows.where("switches > 20")
+
 
 
 @query(r"SELECT doc_id, len(m) AS n_mixed, len(d) AS n_digits FROM (SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\x0b\f\r]+'), lambda w: regexp_matches(w, '[0-9]') AND regexp_matches(w, '\p{L}')) AS m, regexp_extract_all(text, '[0-9]{3,}') AS d FROM documents) WHERE len(m) > 0 OR len(d) > 0")
@@ -166,13 +191,28 @@ def E08_across_cue_repetition(spark, sf_dir):
     return found.groupBy("part_id", "run").agg(F.min("ordinal").alias("first_ordinal"), F.max("ordinal").alias("last_ordinal"), F.first("text").alias("text"), F.count("*").alias("n")).where("n > 1").drop("run", "n")
 
 
-@query(sql(rf"""SELECT * FROM (SELECT part_id, source_ordinal, start_t, 'low_confidence' AS detector FROM (SELECT *, {_WORDS} AS w FROM cues ) WHERE len(list_filter(range(1, len(w) + 1), lambda i: (i * 7 + part_id) % 10 < 2)) > 0
-    UNION ALL SELECT part_id, source_ordinal, start_t, 'language_switching' FROM (SELECT *, {_WORDS} AS w FROM cues ) WHERE len(list_filter(range(2, len(w) + 1), lambda i: (strlen(w[i]) % 3 = 0) <> (strlen(w[i - 1]) % 3 = 0))) > 20)"""))
+_SAID = "SELECT part_id, source_ordinal, start_t, end_t, text || CASE WHEN source_ordinal % 5 = 2 THEN ' la la la la la' ELSE '' END || CASE WHEN source_ordinal % 6 = 1 THEN ' a1 2024' ELSE '' END AS text FROM cues "
+_SOUND = "SELECT part_id, start_t + 100 AS start_t, start_t + 1500 AS end_t, 'non_speech' AS state FROM cues WHERE source_ordinal % 3 = 0 UNION ALL SELECT part_id, end_t - 100, end_t + 2500, 'speech_likely' FROM cues WHERE source_ordinal % 4 = 3"
+_LISTED = rf"SELECT *, {_WORDS} AS w FROM said "
+_FOUND = rf"""SELECT c.part_id, greatest(c.start_t, v.start_t) AS start_t, least(c.end_t, v.end_t) AS end_t, 0 AS position, c.source_ordinal::VARCHAR AS ordinals, '' AS evidence FROM said c JOIN (SELECT * FROM sound WHERE state = 'non_speech') v ON c.part_id = v.part_id AND v.start_t < c.end_t AND c.start_t < v.end_t WHERE least(c.end_t, v.end_t) - greatest(c.start_t, v.start_t) >= 1000
+    UNION ALL SELECT part_id, start_t, end_t, 1, '', '' FROM {iv.subtract_sql(iv.union_sql("(SELECT part_id, start_t, end_t FROM sound WHERE state = 'speech_likely')", 'part_id'), '(SELECT part_id, start_t, end_t FROM said WHERE start_t < end_t)', 'part_id')} WHERE end_t - start_t >= 1000
+    UNION ALL SELECT part_id, start_t, end_t, 2, source_ordinal::VARCHAR, array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: (i * 7 + part_id) % 10 < 5), lambda i: w[i]), ' ') FROM listed WHERE len(list_filter(range(1, len(w) + 1), lambda i: (i * 7 + part_id) % 10 < 5)) > 0
+    UNION ALL SELECT part_id, start_t, end_t, 3, source_ordinal::VARCHAR, (SELECT arg_min(unit, (-n, at_)) || ' ' || max(n)::VARCHAR FROM runs r WHERE r.part_id = l.part_id AND r.source_ordinal = l.source_ordinal) FROM listed l WHERE (SELECT max(n) FROM runs r WHERE r.part_id = l.part_id AND r.source_ordinal = l.source_ordinal) > 3
+    UNION ALL SELECT part_id, arg_min(start_t, source_ordinal), arg_max(end_t, source_ordinal), 3, string_agg(source_ordinal::VARCHAR, ',' ORDER BY source_ordinal), 'across' FROM (SELECT *, sum(new) OVER (PARTITION BY part_id ORDER BY source_ordinal ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, CASE WHEN text = lag(text) OVER (PARTITION BY part_id ORDER BY source_ordinal) THEN 0 ELSE 1 END AS new FROM said )) GROUP BY part_id, run HAVING count(*) > 3
+    UNION ALL SELECT part_id, start_t, end_t, 4, source_ordinal::VARCHAR, len(list_filter(range(2, len(w) + 1), lambda i: (strlen(w[i]) % 3 = 0) <> (strlen(w[i - 1]) % 3 = 0)))::VARCHAR FROM listed WHERE len(list_filter(range(2, len(w) + 1), lambda i: (strlen(w[i]) % 3 = 0) <> (strlen(w[i - 1]) % 3 = 0))) > 2
+    UNION ALL SELECT part_id, start_t, end_t, 5, source_ordinal::VARCHAR, array_to_string(m || d, ' ') FROM (SELECT *, list_filter(w, lambda x: regexp_matches(x, '[0-9]') AND regexp_matches(x, '\p{{L}}')) AS m, regexp_extract_all(text, '[0-9]{{2,}}') AS d FROM listed ) WHERE len(m) + len(d) > 0"""
+_UNIT_RUNS = "SELECT part_id, source_ordinal, unit, count(*) AS n, min(i) AS at_ FROM (SELECT part_id, source_ordinal, unit, i, i - row_number() OVER (PARTITION BY part_id, source_ordinal, unit ORDER BY i) AS grp FROM (SELECT part_id, source_ordinal, w[i] AS unit, i FROM (SELECT part_id, source_ordinal, w, unnest(generate_series(1, len(w))) AS i FROM listed ))) GROUP BY part_id, source_ordinal, unit, grp"
+
+
+@query(sql("SELECT part_id, start_t, end_t, ['vad_coverage', 'coverage_checks', 'confidence', 'repetition', 'language_switching', 'numbers_entities'][position + 1] AS detector, ordinals, evidence FROM found ", said=_SAID, sound=_SOUND, listed=_LISTED, runs=_UNIT_RUNS, found=_FOUND))
 def G04_detect_suspicions(spark, sf_dir):
-    """Findings of the cue detectors as one table, in order within each part."""
-    cues = inputs.cues(spark, sf_dir).select("part_id", "source_ordinal", "start_t")
-    found = G01_low_confidence_tokens(spark, sf_dir).select("part_id", "source_ordinal", F.lit("low_confidence").alias("detector")).unionByName(G02_language_switching(spark, sf_dir).select("part_id", "source_ordinal", F.lit("language_switching").alias("detector")))
-    return cues.join(found, ["part_id", "source_ordinal"]).sortWithinPartitions("part_id", "start_t", "detector")
+    """Findings of all six detectors as one table, with both bounds and the evidence."""
+    cues, o = inputs.cues(spark, sf_dir), F.col("source_ordinal")
+    said = cues.withColumn("text", F.concat("text", F.when(o % 5 == 2, " la la la la la").otherwise(""), F.when(o % 6 == 1, " a1 2024").otherwise("")))
+    silence = cues.where("source_ordinal % 3 = 0").select("part_id", (F.col("start_t") + 100).alias("start_t"), (F.col("start_t") + 1500).alias("end_t"), F.lit("non_speech").alias("state"))
+    sound = silence.unionByName(cues.where("source_ordinal % 4 = 3").select("part_id", (F.col("end_t") - 100).alias("start_t"), (F.col("end_t") + 2500).alias("end_t"), F.lit("speech_likely").alias("state")))
+    found = su.detect(_tokens(said), sound, "part_id", 60_000, 1000)
+    return found.select("part_id", "start_t", "end_t", "detector", F.array_join(F.transform("ordinals", lambda x: x.cast("string")), ",").alias("ordinals"), "evidence")
 
 
 _REVIEW = """SELECT event_id AS interval_id, CASE WHEN event_type IN ('purchase', 'signup') THEN 'text_over_silence' ELSE 'low_confidence' END AS reason, CASE WHEN event_id % 7 = 0 THEN ' ' ELSE 'p' || (event_id % 4)::VARCHAR END AS primary_text,
@@ -207,19 +247,34 @@ def H02_leading_chunks(spark, sf_dir):
     return inputs.captions(spark, sf_dir).withColumn("rn", rn).where("rn <= 3").drop("rn")
 
 
-@query(sql("SELECT part_id, cue_id, least(greatest(round_even(start_t * 16 / 1000.0, 0)::BIGINT, 0), 40000000000000) AS a, least(greatest(round_even((start_t + (cue_id % 5) * 310) * 16 / 1000.0, 0)::BIGINT, 0), 40000000000000) AS b FROM captions WHERE round_even(start_t * 16 / 1000.0, 0)::BIGINT < round_even((start_t + (cue_id % 5) * 310) * 16 / 1000.0, 0)::BIGINT"))
-def B12_snap_model_times(spark, sf_dir):
-    """Model times to samples, half to even, clamped; empty ones are dropped."""
-    snap = lambda e: F.least(F.greatest(F.bround(F.expr(f"cast(({e}) * 16 as decimal(30,3)) / 1000"), 0).cast("long"), F.lit(0)), F.lit(40000000000000))
-    return inputs.captions(spark, sf_dir).select("part_id", "cue_id", snap("start_t").alias("a"), snap("start_t + (cue_id % 5) * 310").alias("b")).where("a < b")
+_SNAP = "least(greatest(round_even({} * 16 / 1000.0, 0)::BIGINT, 0), last_sample)"
+_TIMED = "SELECT part_id, cue_id, start_t - lo + (cue_id % 3) * 31 AS s, start_t - lo + (cue_id % 5) * 310 AS e, greatest(round_even((hi - lo) * 16 / 1000.0, 0)::BIGINT - 50000000, 0) AS last_sample FROM captions JOIN (SELECT user_id AS part_id, min(start_t) AS lo, max(end_t) AS hi FROM ev GROUP BY user_id) USING (part_id)"
 
 
-@query(sql("""SELECT t.part_id, t.cue_id, CASE WHEN t.cue_id % 8 = 0 THEN 'cluster_unknown' WHEN length(c.text) <> length(c.text) + (t.cue_id % 5 = 0)::INT THEN 'citation_mismatch' ELSE 'kept' END AS outcome, bool_or(t.cue_id % 5 = 0) OVER (PARTITION BY t.part_id) AS output_invalid FROM captions t JOIN (SELECT part_id, source_ordinal, text FROM cues WHERE source_ordinal < 3) c ON c.part_id = t.part_id AND c.source_ordinal = t.cue_id % 3"""))
+@query(sql(f"""SELECT kind, part_id, cue_id, a, b FROM (SELECT 'turn' AS kind, part_id, cue_id, {_SNAP.format('s')} AS a, {_SNAP.format('e')} AS b FROM timed
+    UNION ALL SELECT 'alignment', part_id, cue_id, {_SNAP.format('(s - 400)')}, {_SNAP.format('(s + 900)')} FROM timed WHERE cue_id % 7 <> 0
+    UNION ALL SELECT 'region', part_id, cue_id, {_SNAP.format('s')}, {_SNAP.format('(s + 2500)')} FROM timed ) WHERE a < b""", timed=_TIMED))
+def B12_snap_model_times(spark, sf_dir):
+    """Times of turns, aligned words and screen regions to samples, half to even, clamped; empty ones are dropped."""
+    ends = interval_queries._users(spark, sf_dir).groupBy("part_id").agg(F.min("start_t").alias("lo"), F.max("end_t").alias("hi"))
+    last = F.greatest(F.bround((F.col("hi") - F.col("lo")).cast("decimal(30,6)") * 16 / 1000, 0).cast("long") - 50_000_000, F.lit(0).cast("long"))
+    timed = inputs.captions(spark, sf_dir).join(ends, "part_id").select("part_id", "cue_id", (F.col("start_t") - F.col("lo") + (F.col("cue_id") % 3) * 31).alias("start_t"), (F.col("start_t") - F.col("lo") + (F.col("cue_id") % 5) * 310).alias("end_t"), last.alias("last_sample"))
+    item = lambda a, b: F.struct(a.cast("long").alias("start_t"), b.cast("long").alias("end_t"))
+    s, gone = F.col("start_t"), F.col("cue_id") % 7 == 0
+    words_ = F.array(item(s, s + 900), item(s - 400, F.lit(None)), item(F.when(~gone, s - 400), s + 100), item(F.lit(None), F.lit(None)))
+    aligned = timed.withColumn("items", F.when(gone, F.array(item(s, F.lit(None)))).otherwise(words_))
+    done = lambda df, kind: df.select(F.lit(kind).alias("kind"), "part_id", "cue_id", F.col("first").alias("a"), F.col("last").alias("b"))
+    turns, regions = sp.snap_spans(timed, 1_000_000, 16_000), sp.snap_spans(timed.withColumn("end_t", s + 2500), 1_000_000, 16_000)
+    return done(turns, "turn").unionByName(done(sp.snap_alignment(aligned, 1_000_000, 16_000), "alignment")).unionByName(done(regions, "region"))
+
+
+@query(sql("""SELECT part_id, cluster, role, evidence, coalesce(min(fault) OVER (PARTITION BY part_id), CASE WHEN known THEN 'kept' ELSE 'cluster_unknown' END) AS outcome FROM (
+      SELECT part_id, source_ordinal % 3 AS cluster, role || source_ordinal::VARCHAR AS role, 'subtitle_text' AS evidence, source_ordinal % 3 < 2 AS known, CASE WHEN source_ordinal % 3 < 2 AND part_id % 5 = 1 AND source_ordinal % 4 = 1 THEN 'model_output_invalid' END AS fault FROM cues
+      UNION ALL SELECT part_id, CASE WHEN part_id % 9 = 2 THEN 7 ELSE 1 END, 'host', 'user_metadata', part_id % 9 <> 2, CASE WHEN part_id % 9 = 2 THEN 'role_metadata_invalid' END FROM (SELECT DISTINCT part_id FROM cues WHERE part_id % 3 = 2))"""))
 def C18_role_citation_check(spark, sf_dir):
-    """Role candidates need a known cluster and the very text of the cue they cite; one wrong text refuses the output."""
-    cues = inputs.cues(spark, sf_dir).where("source_ordinal < 3").select("part_id", "source_ordinal", "text")
-    turns = inputs.captions(spark, sf_dir).withColumn("source_ordinal", F.col("cue_id") % 3)
-    rows = turns.join(cues, ["part_id", "source_ordinal"]).withColumn("cited", F.when(F.col("cue_id") % 5 == 0, F.concat("text", F.lit("x"))).otherwise(F.col("text")))
-    rows = rows.withColumn("bad", F.col("cited") != F.col("text"))
-    outcome = F.when(F.col("cue_id") % 8 == 0, "cluster_unknown").when(F.col("bad"), "citation_mismatch").otherwise("kept")
-    return rows.select("part_id", "cue_id", outcome.alias("outcome"), F.bool_or("bad").over(Window.partitionBy("part_id")).alias("output_invalid"))
+    """Role candidates need a known cluster and the very text of the cue they cite; user metadata join in; one fault refuses the output."""
+    cues, o, p = inputs.cues(spark, sf_dir), F.col("source_ordinal"), F.col("part_id")
+    turns = cues.select("part_id").distinct().select("part_id", F.explode(F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))).alias("cluster"))
+    proposals = cues.select("part_id", (o % 3).cast("long").alias("cluster"), F.concat("role", o.cast("string")).alias("role"), "source_ordinal", F.when((p % 5 == 1) & (o % 4 == 1), F.concat("text", F.lit("x"))).otherwise(F.col("text")).alias("text"))
+    metadata = cues.where("part_id % 3 = 2").select("part_id").distinct().select("part_id", F.when(p % 9 == 2, 7).otherwise(1).cast("long").alias("cluster"), F.lit("host").alias("role"))
+    return sp.role_citations(turns, proposals, cues, metadata, "part_id")

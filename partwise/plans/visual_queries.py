@@ -6,27 +6,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from partwise.operators import intervals as iv
+from partwise.operators import screen as sc
+from partwise.operators import segments as sg
 from partwise.plans import inputs
 from partwise.plans.inputs import HOURS_6, sql
+from partwise.plans.registry import query
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-
-#: Rules of the page index: settled frames, legible frames, shortest transition run.
-STABLE, CHANGED, LEGIBLE, SHORTEST = 60, 40, 30, 3
-#: Noise kinds in order of precedence, with their markers; then the floor and the other kinds' markers.
-NOISE = {"watermark": ("hewh", "sthti"), "player_ui": ("onth ", "ndsh")}
-FLOOR, BACKGROUND, SUPPLEMENT = 20, "er th", "and "
-
-
-def query(oracle: str | None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if oracle:
-            ORACLE_SQL[f.__name__] = oracle
-        return f
-
-    return add
+STABLE, CHANGED, LEGIBLE, SHORTEST = (sc.PAGES[k] for k in ("stability_min", "region_diff_change", "text_value_min", "minimum_transition_run"))
+#: Rules for the sample's prose, of the same shape as the default ones.
+CLASSES = {"minimum_confidence": 20, "excluded_markers": {"watermark": ["hewh", "sthti"], "player_ui": ["onth ", "ndsh"]}, "category_markers": {"background_ui": ["er th"], "speaker_supplement": ["and "]}}
+HOST_READ = {"minimum_comment_length": 6, "match_window_seconds": 20, "selection_markers": ["t h"]}
+_STRIP = "'" + sc.STRIPPED.replace("'", "''") + "'"
 
 
 @query(sql("SELECT f.part_id, f.pts, f.place FROM frames f WHERE EXISTS (SELECT 1 FROM captions c WHERE c.part_id = f.part_id AND c.start_t <= f.pts AND f.pts < c.end_t)"))
@@ -43,29 +33,23 @@ _PAGED = "SELECT *, dense_rank() OVER (PARTITION BY part_id ORDER BY first_at) A
 
 
 def _settled(spark, sf_dir) -> DataFrame:
-    return inputs.frames(spark, sf_dir).withColumn("settled", ~((F.col("region_diff") >= CHANGED) | (F.col("stability") < STABLE)))
-
-
-def page_index(frames: DataFrame) -> DataFrame:
-    """Appearances of pages: runs of settled frames of one fingerprint, pages numbered by first appearance."""
-    runs = iv.runs(frames, ["part_id"], ["place"], F.struct("settled", "fingerprint")).where("settled")
-    seen = runs.groupBy("part_id", "run", "fingerprint").agg(F.min("pts").alias("first_pts"), F.max("pts").alias("last_pts"), F.count("*").alias("n"), F.min("place").alias("at"))
-    seen = seen.withColumn("first_at", F.min("at").over(Window.partitionBy("part_id", "fingerprint")))
-    return seen.withColumn("page", F.dense_rank().over(Window.partitionBy("part_id").orderBy("first_at")))
+    return sc.settled(inputs.frames(spark, sf_dir))
 
 
 @query(sql("SELECT part_id, page, first_pts, last_pts, n FROM paged ", settled_frames=_SETTLED, appear=_APPEAR, paged=_PAGED))
 def E04_page_index(spark, sf_dir):
     """Pages and their appearances; a fingerprint that comes back is the same page."""
-    return page_index(_settled(spark, sf_dir)).select("part_id", "page", "first_pts", "last_pts", "n")
+    return sc.page_index(_settled(spark, sf_dir)).select("part_id", "page", "first_pts", "last_pts", "n")
+
 
+_SELECTED = f"""SELECT f.part_id, f.place, CASE WHEN f.settled THEN p.page END AS page, CASE WHEN NOT f.settled THEN 'unselected_transition_frame' WHEN edge_density >= {LEGIBLE} AND f.place = min(CASE WHEN f.settled AND edge_density >= {LEGIBLE} THEN f.place END) OVER (PARTITION BY f.part_id, CASE WHEN f.settled THEN p.page END) THEN 'selected_page_representative'
+      WHEN edge_density < {LEGIBLE} THEN 'unselected_below_text_value' ELSE 'unselected_duplicate_of_selected' END AS reason FROM settled_frames f LEFT JOIN (SELECT DISTINCT part_id, fingerprint, page FROM paged ) p ON p.part_id = f.part_id AND p.fingerprint = f.fingerprint"""
 
-@query(sql(f"SELECT part_id, page, min(pts) AS representative FROM (SELECT f.part_id, p.page, f.pts, f.edge_density FROM settled_frames f JOIN (SELECT DISTINCT part_id, fingerprint, page FROM paged ) p USING (part_id, fingerprint) WHERE f.settled) WHERE edge_density >= {LEGIBLE} GROUP BY part_id, page", settled_frames=_SETTLED, appear=_APPEAR, paged=_PAGED))
+
+@query(sql("SELECT part_id, place, page, reason FROM chosen ", settled_frames=_SETTLED, appear=_APPEAR, paged=_PAGED, chosen=_SELECTED))
 def E05_page_representative(spark, sf_dir):
-    """The earliest legible settled frame of each page."""
-    frames = _settled(spark, sf_dir)
-    pages = page_index(frames).select("part_id", "fingerprint", "page").distinct()
-    return frames.where(f"settled and edge_density >= {LEGIBLE}").join(pages, ["part_id", "fingerprint"]).groupBy("part_id", "page").agg(F.min("pts").alias("representative"))
+    """Every frame with the reason why it is or is not its page's representative, the earliest legible settled frame."""
+    return sc.frame_selection(_settled(spark, sf_dir)).select("part_id", "place", "page", "reason")
 
 
 _TRANSITIONS = f"SELECT part_id, min(pts) AS start_t, max(pts) AS end_t, count(*) AS n FROM (SELECT *, sum(new) OVER (PARTITION BY part_id ORDER BY place ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT *, CASE WHEN settled = lag(settled) OVER (PARTITION BY part_id ORDER BY place) THEN 0 ELSE 1 END AS new FROM settled_frames )) WHERE NOT settled GROUP BY part_id, run HAVING count(*) >= {SHORTEST}"
@@ -74,8 +58,8 @@ _TRANSITIONS = f"SELECT part_id, min(pts) AS start_t, max(pts) AS end_t, count(*
 @query(sql("SELECT * FROM trans ", settled_frames=_SETTLED, trans=_TRANSITIONS))
 def E06_transition_runs(spark, sf_dir):
     """Maximal runs of frames without a page, three at least."""
-    runs = iv.runs(_settled(spark, sf_dir), ["part_id"], ["place"], F.col("settled")).where("not settled")
-    return runs.groupBy("part_id", "run").agg(F.min("pts").alias("start_t"), F.max("pts").alias("end_t"), F.count("*").alias("n")).where(f"n >= {SHORTEST}").drop("run")
+    return sc.transition_runs(_settled(spark, sf_dir))
+
 
 
 @query(sql("SELECT t.part_id, t.start_t, t.end_t, count(c.cue_id) AS audio, CASE WHEN t.part_id % 10 = 0 THEN 'picture_only' ELSE 'picture_plus_audio' END AS basis FROM trans t LEFT JOIN captions c ON t.part_id = c.part_id AND c.start_t <= t.end_t AND t.start_t <= c.end_t AND t.part_id % 10 <> 0 GROUP BY t.part_id, t.start_t, t.end_t", settled_frames=_SETTLED, trans=_TRANSITIONS))
@@ -90,62 +74,48 @@ def C17_embedded_media_audio(spark, sf_dir):
 @query(sql(f"SELECT part_id, count(*) AS selected, count(*) * 3 AS seconds, count(*) * 4194304 AS bytes, count(*) <= 4 AS fits FROM (SELECT DISTINCT f.part_id, f.fingerprint FROM settled_frames f WHERE f.settled AND edge_density >= {LEGIBLE}) GROUP BY part_id", settled_frames=_SETTLED))
 def D14_ocr_resource_plan(spark, sf_dir):
     """Seconds and bytes of reading each part's representative frames."""
-    n = E05_page_representative(spark, sf_dir).groupBy("part_id").agg(F.count("*").alias("selected"))
+    n = E05_page_representative(spark, sf_dir).where(F.col("reason") == sc.SELECTED).groupBy("part_id").agg(F.count("*").alias("selected"))
     return n.select("part_id", "selected", (F.col("selected") * 3).alias("seconds"), (F.col("selected") * 4194304).alias("bytes"), (F.col("selected") <= 4).alias("fits"))
 
 
-@query(sql("""SELECT i.cue_id, CASE WHEN i.part_id % 31 = 7 THEN 'unknown_part' WHEN i.start_t % 5 = 0 THEN 'pts_out_of_coverage' WHEN p.page IS NULL THEN 'unknown_page' WHEN NOT bool_or(p.first_pts <= i.start_t AND i.start_t <= p.last_pts) THEN 'pts_outside_appearances' ELSE 'admitted' END AS outcome
-    FROM captions i LEFT JOIN paged p ON p.part_id = i.part_id AND p.page = i.cue_id % 6 GROUP BY i.cue_id, i.part_id, i.start_t, p.page""", settled_frames=_SETTLED, appear=_APPEAR, paged=_PAGED))
+@query(sql("""SELECT i.cue_id, CASE WHEN e.lo IS NULL THEN 'visual_text_part_unknown' WHEN i.start_t < e.lo OR i.start_t >= e.hi THEN 'ocr_item_out_of_coverage' WHEN p.page IS NULL THEN 'ocr_item_unknown_page' WHEN NOT bool_or(p.first_pts <= i.start_t AND i.start_t <= p.last_pts) THEN 'ocr_item_page_time_mismatch' ELSE 'admitted' END AS outcome
+    FROM captions i LEFT JOIN paged p ON p.part_id = i.part_id AND p.page = i.cue_id % 6 LEFT JOIN (SELECT part_id, min(pts) AS lo, max(pts) - 86400000000 AS hi FROM frames WHERE part_id % 31 <> 7 GROUP BY part_id) e ON e.part_id = i.part_id GROUP BY i.cue_id, i.part_id, i.start_t, p.page, e.lo, e.hi""", settled_frames=_SETTLED, appear=_APPEAR, paged=_PAGED))
 def C05_ocr_item_gate(spark, sf_dir):
     """On-screen items refused for an unknown part or page, or a time outside coverage or every appearance of the page."""
-    pages = page_index(_settled(spark, sf_dir)).select("part_id", F.col("page").cast("long").alias("page"), "first_pts", "last_pts")
+    pages = sc.page_index(_settled(spark, sf_dir)).select("part_id", F.col("page").cast("long").alias("page"), "first_pts", "last_pts")
     items = inputs.captions(spark, sf_dir).select("part_id", "cue_id", F.col("start_t").alias("pts"), (F.col("cue_id") % 6).alias("page"))
-    shown = items.join(pages, ["part_id", "page"], "left").groupBy("part_id", "cue_id", "pts").agg(F.bool_or(F.col("pts").between(F.col("first_pts"), F.col("last_pts"))).alias("shown"))
-    outcome = F.when(F.col("part_id") % 31 == 7, "unknown_part").when(F.col("pts") % 5 == 0, "pts_out_of_coverage").when(F.col("shown").isNull(), "unknown_page").when(~F.col("shown"), "pts_outside_appearances").otherwise("admitted")
-    return shown.select("cue_id", outcome.alias("outcome"))
+    parts = inputs.frames(spark, sf_dir).where("part_id % 31 <> 7").groupBy("part_id").agg(F.min("pts").alias("start_t"), (F.max("pts") - 86_400_000_000).alias("end_t"))
+    return sc.item_gate(items, parts, pages, "cue_id").select("cue_id", "outcome")
 
 
-def _noise(text) -> tuple:
-    chain = F.when(F.lit(False), F.lit(None).cast("string"))
-    for kind, markers in NOISE.items():
-        for m in markers:
-            chain = chain.when(text.contains(m), f"{kind}:{m}")
-    return chain
+_KIND = "CASE " + " ".join(f"WHEN contains(text, '{m}') THEN '{k}'" for k, ms in CLASSES["excluded_markers"].items() for m in ms) + " END"
+_MARKER = "CASE " + " ".join(f"WHEN contains(text, '{m}') THEN '{m}'" for ms in CLASSES["excluded_markers"].values() for m in ms) + " END"
 
 
-_NOISE_SQL = "CASE " + " ".join(f"WHEN contains(text, '{m}') THEN '{k}:{m}'" for k, ms in NOISE.items() for m in ms) + " END"
-
-
-@query(sql(f"SELECT doc_id, coalesce({_NOISE_SQL}, CASE WHEN confidence < {FLOOR} THEN 'classification_uncertain' WHEN contains(text, '{BACKGROUND}') THEN 'background_ui' WHEN contains(text, '{SUPPLEMENT}') THEN 'speaker_supplement' ELSE 'page_text' END) AS class FROM ocr_items "))
+@query(sql(f"SELECT doc_id, CASE WHEN ({_KIND}) IS NOT NULL THEN 'excluded' WHEN confidence < 20 THEN 'classification_uncertain' WHEN contains(text, 'er th') THEN 'background_ui' WHEN contains(text, 'and ') THEN 'speaker_supplement' ELSE 'page_text' END AS class, {_KIND} AS kind, {_MARKER} AS marker FROM ocr_items "))
 def B06_classify_ocr_items(spark, sf_dir):
-    """Items by fixed precedence: noise with its marker, uncertain, background, supplement, page text."""
-    t = F.col("text")
-    rest = F.when(F.col("confidence") < FLOOR, "classification_uncertain").when(t.contains(BACKGROUND), "background_ui").when(t.contains(SUPPLEMENT), "speaker_supplement").otherwise("page_text")
-    return inputs.ocr_items(spark, sf_dir).select("doc_id", F.coalesce(_noise(t), rest).alias("class"))
-
-
-_MARKS = " ,.;:!?|-"
+    """Items by fixed precedence: noise with its kind and marker, uncertain, categories, page text."""
+    return sc.classified(inputs.ocr_items(spark, sf_dir), CLASSES).select("doc_id", "class", "kind", "marker")
 
 
-@query(f"SELECT doc_id, sha256(translate(text, '{_MARKS}' || chr(10) || chr(9), '')) AS matched FROM documents")
+@query(f"SELECT doc_id, sha256(translate(text, {_STRIP}, '')) AS matched FROM documents")
 def B07_normalize_for_match(spark, sf_dir):
     """Texts without white space and punctuation, for comparison."""
-    return inputs.table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.translate("text", _MARKS + "\n\t", ""), 256).alias("matched"))
+    return inputs.table(spark, sf_dir, "documents").select("doc_id", F.sha2(sc.plain("text"), 256).alias("matched"))
 
 
-_COMMENTS = "SELECT part_id, source_ordinal AS comment_id, start_t AS pts, substr(translate(text, ' ,.', ''), 3, 6) AS phrase FROM cues WHERE length(translate(text, ' ,.', '')) >= 10"
-_PLAIN = "SELECT part_id, source_ordinal, start_t, end_t, translate(text, ' ,.', '') AS plain FROM cues "
+_COMMENTS = f"SELECT part_id, source_ordinal AS comment_id, start_t AS pts, substr(translate(text, {_STRIP}, ''), 3, 6) AS phrase FROM cues WHERE length(translate(text, {_STRIP}, '')) >= 10"
+_PLAIN = f"SELECT part_id, source_ordinal, start_t, end_t, translate(text, {_STRIP}, '') AS plain FROM cues "
 
 
-@query(sql("""SELECT m.part_id, comment_id, count(*) AS cues, min(source_ordinal) AS first_cue, CASE WHEN bool_or(contains(substr(plain, 1, instr(plain, phrase) - 1) || substr(plain, instr(plain, phrase) + length(phrase)), 'th')) THEN 'host_selected' ELSE 'host_read' END AS basis
+@query(sql("""SELECT m.part_id, comment_id, string_agg(source_ordinal::VARCHAR, ',' ORDER BY start_t, source_ordinal) AS cited, CASE WHEN bool_or(contains(substr(plain, 1, instr(plain, phrase) - 1) || substr(plain, instr(plain, phrase) + length(phrase)), 'th')) THEN 'host_selected' ELSE 'host_read' END AS basis
     FROM comments m JOIN plain_cues c ON c.part_id = m.part_id AND c.start_t <= m.pts + 20000 AND m.pts - 20000 <= c.end_t AND contains(plain, phrase) GROUP BY m.part_id, comment_id""", comments=_COMMENTS, plain_cues=_PLAIN))
 def C06_host_read_upgrade(spark, sf_dir):
-    """Comments that a cue nearby reads out; a marker beside the comment's first place says that the host chose it."""
-    plain = inputs.cues(spark, sf_dir).withColumn("plain", F.translate("text", " ,.", ""))
-    comments = plain.where("length(plain) >= 10").select("part_id", F.col("source_ordinal").alias("comment_id"), (F.col("start_t") - 20000).alias("start_t"), (F.col("start_t") + 20000).alias("end_t"), F.expr("substring(plain, 3, 6)").alias("phrase"))
-    near = iv.overlap_join(comments, plain.select("part_id", "source_ordinal", "start_t", "end_t", "plain"), ["part_id"], 60_000, closed=True).where("contains(plain, phrase)")
-    rest = F.expr("concat(substring(plain, 1, instr(plain, phrase) - 1), substring(plain, instr(plain, phrase) + length(phrase)))")
-    return near.groupBy("part_id", "comment_id").agg(F.count("*").alias("cues"), F.min("source_ordinal").alias("first_cue"), F.when(F.bool_or(rest.contains("th")), "host_selected").otherwise("host_read").alias("basis"))
+    """Comments that cues nearby read out, these cues in order; a marker beside the comment's first place says that the host chose it."""
+    cues = inputs.cues(spark, sf_dir)
+    comments = cues.withColumn("p", sc.plain("text")).where("length(p) >= 10").select("part_id", F.col("source_ordinal").alias("comment_id"), F.col("start_t").alias("pts"), F.expr("substring(p, 3, 6)").alias("text"))
+    found = sc.host_reads(comments, cues, "part_id", "comment_id", "source_ordinal", 60_000, 1000, HOST_READ)
+    return found.select("part_id", "comment_id", F.array_join(F.transform("cited", lambda c: c.cast("string")), ",").alias("cited"), "basis")
 
 
 _SEGMENTS = "SELECT part_id, source_ordinal AS segment, start_t FROM cues WHERE role = 'user'"
@@ -179,25 +149,37 @@ def C08_page_change_boundaries(spark, sf_dir):
     return spans.select("part_id", F.col("cut").cast("long").alias("start_pos"), (F.coalesce(F.lead("cut").over(part.orderBy("cut")), F.col("total")) - 1).cast("long").alias("end_pos"))
 
 
-_PROPOSALS = """SELECT part_id, source_ordinal AS s, coalesce(lead(source_ordinal) OVER (PARTITION BY part_id ORDER BY source_ordinal), n) - 1 AS e, n FROM (SELECT *, count(*) OVER (PARTITION BY part_id) AS n FROM cues ) WHERE role = 'user' OR source_ordinal = 0"""
+_SPANS = """SELECT part_id, s * 10 AS pos, part_id AS named, s, e, n FROM (SELECT part_id, source_ordinal AS s, coalesce(lead(source_ordinal) OVER (PARTITION BY part_id ORDER BY source_ordinal), n) - 1 AS e, n, role, source_ordinal FROM (SELECT *, count(*) OVER (PARTITION BY part_id) AS n FROM cues ) WHERE role = 'user' OR source_ordinal = 0) WHERE NOT (part_id % 7 = 0 AND s > 0 AND s < 4)"""
+_PROPOSED = """SELECT part_id, pos, named, s, e, n FROM spans UNION ALL SELECT part_id, pos + 1, named, s, e, n FROM spans WHERE part_id % 5 = 1 UNION ALL SELECT part_id, pos + 2, named + 1, s, e, n FROM spans WHERE part_id % 4 = 2
+    UNION ALL SELECT part_id, pos + 3, named, e, s, n FROM spans WHERE part_id % 6 = 3 AND s < e UNION ALL SELECT part_id, pos + 4, named, s, e + 1000, n FROM spans WHERE part_id % 8 = 5"""
+_JUDGED = """SELECT *, CASE WHEN reason IS NULL AND row_number() OVER (PARTITION BY part_id, s, e, reason IS NULL ORDER BY pos) > 1 THEN 'boundary_duplicate' ELSE reason END AS verdict FROM (
+    SELECT *, CASE WHEN named <> part_id THEN 'boundary_crosses_part' WHEN s >= n OR e >= n THEN 'boundary_out_of_range' WHEN s > e THEN 'boundary_empty' END AS reason FROM proposed )"""
+_TILED = """SELECT part_id, bool_and(s = coalesce(prev + 1, 0)) AND max(e) = any_value(n) - 1 AS tiled FROM (SELECT *, lag(e) OVER (PARTITION BY part_id ORDER BY s, e) AS prev FROM judged WHERE verdict IS NULL) GROUP BY part_id"""
 
 
-@query(sql("""SELECT part_id, CASE WHEN tiled THEN s ELSE 0 END AS s, CASE WHEN tiled THEN e ELSE n - 1 END AS e, NOT tiled AS fallback FROM (SELECT *, bool_and(s = coalesce(prev + 1, 0)) OVER (PARTITION BY part_id) AND max(e) OVER (PARTITION BY part_id) = n - 1 AS tiled FROM (
-    SELECT *, lag(e) OVER (PARTITION BY part_id ORDER BY s) AS prev FROM kept )) GROUP BY ALL""", proposals=_PROPOSALS, kept="SELECT * FROM proposals WHERE NOT (part_id % 7 = 0 AND s > 0 AND s < 4)"))
+@query(sql("""SELECT 'proposal' AS kind, part_id, pos, NULL::BIGINT AS s, NULL::BIGINT AS e, coalesce(verdict, CASE WHEN tiled THEN 'accepted' ELSE 'coverage_breaking' END) AS outcome FROM judged LEFT JOIN tiled_parts USING (part_id)
+    UNION ALL SELECT 'segment', part_id, row_number() OVER (PARTITION BY part_id ORDER BY s) - 1, s, e, 'adjudicated' FROM judged JOIN tiled_parts USING (part_id) WHERE verdict IS NULL AND tiled
+    UNION ALL SELECT 'segment', part_id, 0, 0, count(*) - 1, 'conservative_fallback' FROM cues WHERE part_id NOT IN (SELECT part_id FROM tiled_parts WHERE tiled) GROUP BY part_id""", spans=_SPANS, proposed=_PROPOSED, judged=_JUDGED, tiled_parts=_TILED))
 def E11_segment_tiling(spark, sf_dir):
-    """Proposed spans must tile a part's cues, else one fallback segment owns them all."""
-    part = Window.partitionBy("part_id")
-    cues = inputs.cues(spark, sf_dir).withColumn("n", F.count("*").over(part)).where("role = 'user' or source_ordinal = 0")
-    spans = cues.select("part_id", F.col("source_ordinal").alias("s"), (F.coalesce(F.lead("source_ordinal").over(part.orderBy("source_ordinal")), F.col("n")) - 1).alias("e"), "n").where("not (part_id % 7 = 0 and s > 0 and s < 4)")
-    spans = spans.withColumn("fits", F.col("s") == F.coalesce(F.lag("e").over(part.orderBy("s")) + 1, F.lit(0)))
-    spans = spans.withColumn("tiled", F.bool_and("fits").over(part) & (F.max("e").over(part) == F.col("n") - 1))
-    return spans.select("part_id", F.when(F.col("tiled"), F.col("s")).otherwise(0).alias("s"), F.when(F.col("tiled"), F.col("e")).otherwise(F.col("n") - 1).alias("e"), (~F.col("tiled")).alias("fallback")).distinct()
-
-
-@query(sql("SELECT DISTINCT part_id FROM frames f WHERE region_diff >= 50 AND part_id IN (SELECT part_id FROM captions WHERE cue_id % 2 = 0)"))
+    """Proposed spans, each with its outcome, and the segments: spans that tile a part's cues, else one that owns them all."""
+    part, p = Window.partitionBy("part_id"), F.col("part_id")
+    cues = inputs.cues(spark, sf_dir)
+    base = cues.withColumn("n", F.count("*").over(part)).where("role = 'user' or source_ordinal = 0")
+    spans = base.select("part_id", (F.col("source_ordinal") * 10).alias("pos"), p.alias("named_part"), F.col("source_ordinal").alias("start_cue"), (F.coalesce(F.lead("source_ordinal").over(part.orderBy("source_ordinal")), F.col("n")) - 1).alias("end_cue")).where("not (part_id % 7 = 0 and start_cue > 0 and start_cue < 4)")
+    more = lambda where, k, **new: spans.where(where).withColumns({"pos": F.col("pos") + k, **new})
+    proposals = (spans.unionByName(more("part_id % 5 = 1", 1)).unionByName(more("part_id % 4 = 2", 2, named_part=p + 1)).unionByName(more("part_id % 6 = 3 and start_cue < end_cue", 3, start_cue=F.col("end_cue"), end_cue=F.col("start_cue")))
+                 .unionByName(more("part_id % 8 = 5", 4, end_cue=F.col("end_cue") + 1000)))
+    outcomes, segments = sg.tile(proposals, cues.select("part_id", F.col("source_ordinal").alias("cue_id"), F.col("source_ordinal").alias("place")))
+    none = F.lit(None).cast("long")
+    told = outcomes.select(F.lit("proposal").alias("kind"), "part_id", "pos", none.alias("s"), none.alias("e"), "outcome")
+    owned = F.size("cue_ids") - 1 + F.col("start_place")
+    return told.unionByName(segments.select(F.lit("segment").alias("kind"), "part_id", F.col("ordinal").alias("pos"), F.col("start_place").alias("s"), owned.cast("long").alias("e"), F.col("origin").alias("outcome")))
+
+
+@query(sql("SELECT DISTINCT part_id FROM frames f WHERE region_diff >= 50 AND part_id IN (SELECT part_id FROM captions )"))
 def I02_visually_affected_parts(spark, sf_dir):
     """Parts with page changes that are available."""
-    return inputs.frames(spark, sf_dir).where("region_diff >= 50").select("part_id").intersect(inputs.captions(spark, sf_dir).where("cue_id % 2 = 0").select("part_id"))
+    return inputs.frames(spark, sf_dir).where("region_diff >= 50").select("part_id").intersect(inputs.captions(spark, sf_dir).select("part_id"))
 
 
 @query(sql("SELECT DISTINCT part_id FROM (SELECT doc_id % 400 AS part_id FROM documents) WHERE part_id NOT IN (SELECT part_id FROM frames )"))
@@ -206,35 +188,79 @@ def I04_uncovered_parts(spark, sf_dir):
     return inputs.table(spark, sf_dir, "documents").select((F.col("doc_id") % 400).alias("part_id")).subtract(inputs.frames(spark, sf_dir).select("part_id"))
 
 
-@query(sql("SELECT part_id, max(pages) AS pages, max(facts) AS facts, max(changes) AS changes FROM (SELECT part_id, count(DISTINCT fingerprint) AS pages, 0 AS facts, count(*) FILTER (region_diff >= 50) AS changes FROM frames GROUP BY part_id UNION ALL SELECT part_id, 0, count(*), 0 FROM ocr_items GROUP BY part_id) GROUP BY part_id"))
+_NAMED = """SELECT DISTINCT part_id, 'pages' AS list, page::BIGINT AS item FROM paged UNION ALL SELECT part_id, 'facts', doc_id FROM ocr_items UNION ALL SELECT part_id, 'changes', pts FROM frames WHERE region_diff >= 50 UNION ALL SELECT part_id, 'comments', source_ordinal FROM cues WHERE role = 'user'"""
+
+
+@query(sql("SELECT part_id, " + ", ".join(f"coalesce(string_agg(item::VARCHAR, ',' ORDER BY item) FILTER (list = '{n}'), '') AS {n}" for n in ("pages", "facts", "changes", "comments")) + " FROM named GROUP BY part_id", settled_frames=_SETTLED, appear=_APPEAR, paged=_PAGED, named=_NAMED))
 def I05_visual_part_inventory(spark, sf_dir):
-    """Every part that any visual table names, with its counts."""
-    frames = inputs.frames(spark, sf_dir).groupBy("part_id").agg(F.countDistinct("fingerprint").alias("pages"), F.lit(0).cast("long").alias("facts"), F.count_if(F.col("region_diff") >= 50).alias("changes"))
-    facts = inputs.ocr_items(spark, sf_dir).groupBy("part_id").agg(F.lit(0).cast("long").alias("pages"), F.count("*").alias("facts"), F.lit(0).cast("long").alias("changes"))
-    return frames.unionByName(facts).groupBy("part_id").agg(F.max("pages").alias("pages"), F.max("facts").alias("facts"), F.max("changes").alias("changes"))
+    """Every part that any visual table names, with its pages, facts, changes and comments."""
+    frames, item = _settled(spark, sf_dir), lambda c: F.col(c).cast("long").alias("item")
+    found = sc.inventory("part_id", pages=sc.page_index(frames).select("part_id", item("page")).distinct(), facts=inputs.ocr_items(spark, sf_dir).select("part_id", item("doc_id")),
+                         changes=frames.where("region_diff >= 50").select("part_id", item("pts")), comments=inputs.cues(spark, sf_dir).where("role = 'user'").select("part_id", item("source_ordinal")))
+    return found.select("part_id", *[F.array_join(F.transform(n, lambda x: x.cast("string")), ",").alias(n) for n in ("pages", "facts", "changes", "comments")])
+
+
+_CLAIMS = "SELECT part_id, source_ordinal AS claim_id, source_ordinal // 2 AS segment, CASE WHEN source_ordinal % 5 = 4 THEN ' ' ELSE text END AS text, CASE WHEN source_ordinal % 11 = 10 THEN NULL WHEN source_ordinal % 7 = 6 THEN []::BIGINT[] ELSE [source_ordinal, source_ordinal + CASE WHEN source_ordinal % 3 = 1 THEN 1 ELSE 0 END] END AS cue_ids FROM cues "
+
+
+def _failure_sql(text: str, cited: str, segment: str = "segment") -> str:
+    foreign = f"list_sort(list_distinct(list_filter({cited}, lambda c: c // 2 <> {segment})))"
+    return f"CASE WHEN trim(coalesce({text}, '')) = '' THEN 'claim has no text' ELSE {_cited_sql(cited, segment)} END".replace("FOREIGN", foreign)
+
+
+def _cited_sql(cited: str, segment: str = "segment") -> str:
+    foreign = f"list_sort(list_distinct(list_filter({cited}, lambda c: c // 2 <> {segment})))"
+    return f"CASE WHEN {cited} IS NULL THEN 'citation is missing or malformed' WHEN len({cited}) < 1 THEN 'cites fewer than one NormalizedCue' WHEN len({foreign}) > 0 THEN 'cites cue(s) not owned by this segment: ' || array_to_string({foreign}, ', ') END"
 
 
-_CLAIMS = "SELECT part_id, source_ordinal AS claim_id, source_ordinal // 2 AS segment, CASE WHEN source_ordinal % 5 = 4 THEN ' ' ELSE substr(text, 1, 20) END AS text, CASE WHEN source_ordinal % 7 = 6 THEN []::BIGINT[] ELSE [source_ordinal, source_ordinal + CASE WHEN source_ordinal % 3 = 1 THEN 1 ELSE 0 END] END AS cue_ids FROM cues "
+def _owned(cues: DataFrame) -> DataFrame:
+    """Segments of two cues each, with all they own."""
+    s = F.floor(F.col("source_ordinal") / 2)
+    return cues.select("part_id", s.alias("segment")).distinct().withColumn("owned", F.array(F.col("segment") * 2, F.col("segment") * 2 + 1))
 
 
-def _claims(spark, sf_dir) -> DataFrame:
+def _claims(cues: DataFrame) -> DataFrame:
     o = F.col("source_ordinal")
-    cited = F.when(o % 7 == 6, F.array().cast("array<bigint>")).otherwise(F.array(o, o + F.when(o % 3 == 1, 1).otherwise(0)))
-    return inputs.cues(spark, sf_dir).select("part_id", o.alias("claim_id"), F.floor(o / 2).alias("segment"), F.when(o % 5 == 4, " ").otherwise(F.expr("substring(text, 1, 20)")).alias("text"), cited.alias("cue_ids"))
+    cited = F.when(o % 11 == 10, F.lit(None)).when(o % 7 == 6, F.array().cast("array<bigint>")).otherwise(F.array(o, o + F.when(o % 3 == 1, 1).otherwise(0)))
+    return cues.select("part_id", o.alias("claim_id"), F.floor(o / 2).alias("segment"), F.when(o % 5 == 4, " ").otherwise(F.col("text")).alias("text"), cited.alias("cue_ids"))
 
 
-@query(sql("SELECT part_id, claim_id, CASE WHEN trim(text) = '' OR len(cue_ids) = 0 OR len(list_filter(cue_ids, lambda c: c // 2 <> segment)) > 0 THEN 'unsupported_generated_claim' ELSE 'kept' END AS outcome FROM claims ", claims=_CLAIMS))
+@query(sql(f"SELECT part_id, claim_id, CASE WHEN message IS NULL THEN 'kept' ELSE 'unsupported_generated_claim' END AS outcome, message FROM (SELECT part_id, claim_id, {_failure_sql('text', 'cue_ids')} AS message FROM claims )", claims=_CLAIMS))
 def G05_validate_claims(spark, sf_dir):
     """Claims need text and citations, all of cues that their segment owns."""
-    foreign = F.size(F.array_except("cue_ids", F.array(F.col("segment") * 2, F.col("segment") * 2 + 1))) > 0
-    return _claims(spark, sf_dir).select("part_id", "claim_id", F.when((F.trim("text") == "") | (F.size("cue_ids") == 0) | foreign, "unsupported_generated_claim").otherwise("kept").alias("outcome"))
+    cues = inputs.cues(spark, sf_dir)
+    return sg.validate_claims(_claims(cues), _owned(cues), "claim_id").select("part_id", "claim_id", "outcome", "message")
+
 
+_QA = f"""SELECT part_id, segment, o, text, CASE WHEN q IS NOT NULL THEN 'question: ' || q WHEN a IS NOT NULL THEN 'answer: ' || a END AS message FROM (SELECT part_id, o, o // 2 AS segment, text,
+    {_failure_sql('text', '[o]', '(o // 2)')} AS q, {_failure_sql("CASE WHEN o % 4 = 3 THEN ' ' ELSE role END", 'CASE WHEN o % 5 = 4 THEN []::BIGINT[] ELSE [o] END', '(o // 2)')} AS a FROM items )"""
+_ITEMS = "SELECT part_id, source_ordinal AS o, text, role FROM cues "
+_PEOPLE = f"""SELECT part_id, o, CASE WHEN o % 6 = 5 THEN 'person names no cited reference' WHEN o % 7 = 3 THEN 'an anonymous speaker label does not establish identity' WHEN c IS NOT NULL AND o % 8 = 5 THEN 'an anonymous speaker label does not establish identity' ELSE c END AS message FROM (SELECT *, {_cited_sql('CASE WHEN o % 4 = 1 THEN [o + 1] ELSE [o] END', '(o // 2)')} AS c FROM items )"""
+_CONTRA = f"""SELECT part_id, o, CASE WHEN o % 9 = 4 THEN 'the pipeline never chooses which contradictory claim is true' WHEN o % 5 = 0 THEN 'a contradiction needs at least two cited sides' ELSE coalesce('side 0 ' || a, 'side 1 ' || b) END AS message FROM (
+    SELECT *, {_failure_sql('text', '[o]', '(o // 2)')} AS a, {_failure_sql('role', 'CASE WHEN o % 7 = 2 THEN []::BIGINT[] ELSE [o, o + 3] END', '(o // 2)')} AS b FROM items )"""
+_OPEN_Q = f"""SELECT part_id, o, CASE WHEN c IS NOT NULL THEN c WHEN o % 4 = 2 THEN 'an unresolved question carries an answer' WHEN known THEN 'the question is answered elsewhere in the segment' END AS message FROM (
+    SELECT i.part_id, i.o, {_failure_sql('i.said', '[i.o]', '(i.o // 2)')} AS c, EXISTS (SELECT 1 FROM qa WHERE qa.message IS NULL AND qa.part_id = i.part_id AND qa.segment = i.o // 2 AND qa.text = i.said) AS known FROM (SELECT *, CASE WHEN o % 3 = 0 THEN text ELSE 'why ' || text END AS said FROM items ) i)"""
 
-@query(sql("SELECT part_id, segment, count(*) AS sides, CASE WHEN count(*) < 2 THEN 'needs_two_sides' WHEN bool_or(len(cue_ids) = 0) THEN 'uncited_side' ELSE 'kept' END AS contradiction, CASE WHEN bool_or(claim_id % 2 = 0) AND bool_or(claim_id % 2 = 1) THEN 'kept' ELSE 'one_sided' END AS qa FROM claims GROUP BY part_id, segment", claims=_CLAIMS))
+
+@query(sql("SELECT kind, part_id, o AS item, CASE WHEN message IS NULL THEN 'kept' ELSE 'unsupported_generated_claim' END AS outcome, message FROM (SELECT 'qa' AS kind, part_id, o, message FROM qa UNION ALL SELECT 'people', * FROM people UNION ALL SELECT 'contradictions', * FROM contra UNION ALL SELECT 'unresolved', * FROM open_q )", items=_ITEMS, qa=_QA, people=_PEOPLE, contra=_CONTRA, open_q=_OPEN_Q))
 def G06_validate_qa_people_contradictions(spark, sf_dir):
-    """Contradictions need two cited sides; questions need an answer."""
-    g = _claims(spark, sf_dir).groupBy("part_id", "segment").agg(F.count("*").alias("sides"), F.bool_or(F.size("cue_ids") == 0).alias("uncited"), (F.bool_or(F.col("claim_id") % 2 == 0) & F.bool_or(F.col("claim_id") % 2 == 1)).alias("both"))
-    return g.select("part_id", "segment", "sides", F.when(F.col("sides") < 2, "needs_two_sides").when(F.col("uncited"), "uncited_side").otherwise("kept").alias("contradiction"), F.when(F.col("both"), "kept").otherwise("one_sided").alias("qa"))
+    """Pairs of question and answer, people, contradictions and unresolved questions, each kept or pruned with the reason."""
+    cues, o = inputs.cues(spark, sf_dir), F.col("source_ordinal")
+    none, own, owned = F.array().cast("array<bigint>"), F.array("source_ordinal"), _owned(cues)
+    rows = cues.select("part_id", F.floor(o / 2).alias("segment"), o.alias("item"), "source_ordinal", "text", "role")
+    claim = lambda text, cited: F.struct(text.alias("text"), cited.alias("cue_ids"))
+    pairs = rows.withColumn("question", claim(F.col("text"), own)).withColumn("answer", claim(F.when(o % 4 == 3, " ").otherwise(F.col("role")), F.when(o % 5 == 4, none).otherwise(own)))
+    qa = sg.validate_answers(pairs, owned, "item")
+    people = rows.select("part_id", "segment", "item", F.when(o % 6 == 5, "").otherwise(F.col("role")).alias("reference"), F.when(o % 7 == 3, "speaker_label").alias("identity_source"), F.when(o % 8 == 5, "S1").alias("speaker_label"), F.when(o % 4 == 1, F.array(o + 1)).otherwise(own).alias("cue_ids"))
+    two = F.array(claim(F.col("text"), own), claim(F.col("role"), F.when(o % 7 == 2, none).otherwise(F.array(o, o + 3))))
+    contradictions = rows.select("part_id", "segment", "item", F.when(o % 9 == 4, "left").alias("resolved_to"), F.when(o % 5 == 0, F.slice(two, 1, 1)).otherwise(two).alias("sides"))
+    unresolved = rows.select("part_id", "segment", "item", F.when(o % 3 == 0, F.col("text")).otherwise(F.concat(F.lit("why "), "text")).alias("text"), own.alias("cue_ids"), F.when(o % 4 == 2, "yes").alias("answer"))
+    answered = qa.where("outcome = 'kept'").join(rows, ["part_id", "segment", "item"]).select("part_id", "segment", "text")
+    out = None
+    for kind, df in (("qa", qa), ("people", sg.validate_people(people, owned, "item")), ("contradictions", sg.validate_contradictions(contradictions, owned, "item")), ("unresolved", sg.validate_unresolved(unresolved, answered, owned, "item"))):
+        one = df.select(F.lit(kind).alias("kind"), "part_id", "item", "outcome", "message")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query(sql("SELECT s.part_id, s.segment, p.claim_id AS content_of FROM (SELECT part_id, source_ordinal, row_number() OVER (PARTITION BY part_id ORDER BY source_ordinal) - 1 AS segment FROM cues WHERE role = 'user') s LEFT JOIN (SELECT part_id, source_ordinal AS claim_id, row_number() OVER (PARTITION BY part_id ORDER BY source_ordinal DESC) - 1 AS pos FROM cues ) p ON p.part_id = s.part_id AND p.pos = s.segment"))
@@ -247,30 +273,44 @@ def G07_segment_content_binding(spark, sf_dir):
     return segments.join(raw, ["part_id", "segment"], "left")
 
 
-@query(sql("SELECT part_id, bool_and(ordinal = rn) AND max(owners) = 1 AS intact FROM (SELECT part_id, CASE WHEN part_id % 8 = 5 AND source_ordinal > 2 THEN source_ordinal + 1 ELSE source_ordinal END AS ordinal, row_number() OVER (PARTITION BY part_id ORDER BY source_ordinal) - 1 AS rn, CASE WHEN part_id % 12 = 7 AND source_ordinal = 1 THEN 2 ELSE 1 END AS owners FROM cues ) GROUP BY part_id"))
+_PRIOR = "SELECT part_id // 10 AS report, part_id, CASE WHEN part_id % 8 = 5 AND source_ordinal > 2 THEN source_ordinal + 1 ELSE source_ordinal END AS ordinal, CASE WHEN part_id % 12 = 7 AND source_ordinal = 1 THEN 0 ELSE source_ordinal END AS cue FROM cues "
+
+
+@query(sql("""SELECT report, part_id, holes, double_owned, unknown_cited, bool_or(holes OR double_owned > 0 OR unknown_cited > 0) OVER (PARTITION BY report) AS drifted FROM (
+    SELECT report, part_id, (SELECT bool_or(ordinal <> rn) FROM (SELECT ordinal, row_number() OVER (ORDER BY ordinal) - 1 AS rn FROM prior q WHERE q.part_id = g.part_id)) AS holes, (SELECT count(*) FROM (SELECT cue FROM prior q WHERE q.part_id = g.part_id GROUP BY cue HAVING count(*) > 1)) AS double_owned,
+      (part_id % 9 = 4)::BIGINT AS unknown_cited FROM (SELECT DISTINCT report, part_id FROM prior ) g)""", prior=_PRIOR))
 def G08_check_prior_report(spark, sf_dir):
-    """A prior report is intact when its ordinals have no hole and every cue has one owner."""
-    o = F.col("source_ordinal")
-    rows = inputs.cues(spark, sf_dir).select("part_id", F.when((F.col("part_id") % 8 == 5) & (o > 2), o + 1).otherwise(o).alias("ordinal"), (F.row_number().over(Window.partitionBy("part_id").orderBy("source_ordinal")) - 1).alias("rn"), F.when((F.col("part_id") % 12 == 7) & (o == 1), 2).otherwise(1).alias("owners"))
-    return rows.groupBy("part_id").agg((F.bool_and(F.col("ordinal") == F.col("rn")) & (F.max("owners") == 1)).alias("intact"))
+    """An earlier report stands when ordinals have no hole, every cue has one owner and chapters cite what is there; one breach drifts all of it."""
+    p, o = F.col("part_id"), F.col("source_ordinal")
+    rows = inputs.cues(spark, sf_dir).select(F.floor(p / 10).alias("report"), "part_id", F.when((p % 8 == 5) & (o > 2), o + 1).otherwise(o).alias("ordinal"), F.array(F.when((p % 12 == 7) & (o == 1), 0).otherwise(o)).alias("cue_ids"))
+    chapters = rows.select("report", "part_id").distinct().select("report", "part_id", F.array(F.lit(0).cast("long"), F.when(p % 9 == 4, 100_000).otherwise(0).cast("long")).alias("ordinals"))
+    return sg.check_report(rows, chapters)
 
 
-@query(sql("""SELECT part_id // 10 AS collection, part_id, source_ordinal AS pos, CASE WHEN source_ordinal % 6 = 5 THEN 'no_references' WHEN part_id % 9 = 2 THEN 'part_unavailable' WHEN source_ordinal >= 4 THEN 'unknown_segment' ELSE 'kept' END AS outcome FROM cues """))
+@query(sql("""SELECT 'entry' AS kind, part_id // 10 AS collection, part_id * 1000 + source_ordinal AS pos, CASE WHEN source_ordinal % 6 = 5 THEN 'collection_entry_empty' WHEN part_id % 9 = 2 THEN 'collection_entry_cites_unavailable_part' WHEN source_ordinal >= 4 THEN 'collection_entry_unknown_segment' ELSE 'kept' END AS outcome FROM cues
+    UNION ALL SELECT 'limitation', part_id // 10, part_id, CASE WHEN part_id % 9 = 2 THEN 'text_content_unavailable' ELSE 'conservative_single_segment_fallback' END FROM (SELECT DISTINCT part_id FROM cues ) WHERE part_id % 9 = 2 OR part_id % 13 = 6
+    UNION ALL SELECT 'collection', part_id // 10, NULL, CASE WHEN bool_or(part_id % 9 = 2 OR part_id % 13 = 6) THEN 'partial' ELSE 'complete' END FROM cues GROUP BY part_id // 10"""))
 def D06_collection_summary(spark, sf_dir):
-    """Summary entries refused for no, unavailable or unknown references; the first failing one decides."""
+    """Summary entries refused for no, unavailable or unknown references, the limitations, and whether a collection is partial."""
     o, part = F.col("source_ordinal"), F.col("part_id")
-    refs = F.when(o % 6 == 5, F.array().cast("array<struct<part:bigint,ordinal:bigint>>")).otherwise(F.array(F.struct(part.alias("part"), o.alias("ordinal"))))
-    entries = inputs.cues(spark, sf_dir).select("part_id", o.alias("pos"), refs.alias("refs"))
-    checked = entries.select("part_id", "pos", F.posexplode_outer("refs").alias("i", "r")).withColumn("reason", F.when(F.col("r").isNull(), "no_references").when(F.col("r.part") % 9 == 2, "part_unavailable").when(F.col("r.ordinal") >= 4, "unknown_segment"))
-    g = checked.groupBy("part_id", "pos").agg(F.min_by("reason", F.when(F.col("reason").isNotNull(), F.coalesce("i", F.lit(0)))).alias("reason"))
-    return g.select(F.floor(F.col("part_id") / 10).alias("collection"), "part_id", "pos", F.coalesce("reason", F.lit("kept")).alias("outcome"))
-
-
-@query(sql("SELECT part_id, CASE WHEN count(*) FILTER (role = 'user') = 0 THEN 'failed' WHEN bool_or(source_ordinal % 7 = 6) OR part_id % 7 = 0 THEN 'partial' ELSE 'complete' END AS status, count(*) FILTER (trim(text) = '') AS unsupported FROM cues GROUP BY part_id"))
+    cues = inputs.cues(spark, sf_dir).withColumn("collection", F.floor(part / 10))
+    refs = F.when(o % 6 == 5, F.array().cast("array<struct<part:bigint,ordinal:bigint>>")).otherwise(F.array(F.struct(part.alias("part"), F.lit(0).cast("long").alias("ordinal")), F.struct(part.alias("part"), o.alias("ordinal"))))
+    entries = cues.select("collection", (part * 1000 + o).alias("pos"), refs.alias("refs"))
+    parts = cues.select("collection", "part_id").distinct().select("collection", "part_id", (part % 9 != 2).alias("available"), (part % 13 == 6).alias("used_fallback"))
+    segments = parts.select("part_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))).alias("ordinal"))
+    outcomes, limitations, states = sg.summarize(entries, parts, segments)
+    row = lambda df, kind, pos, outcome: df.select(F.lit(kind).alias("kind"), "collection", pos.cast("long").alias("pos"), F.col(outcome).alias("outcome"))
+    return row(outcomes, "entry", F.col("pos"), "outcome").unionByName(row(limitations, "limitation", F.col("part_id"), "limitation")).unionByName(row(states, "collection", F.lit(None), "state"))
+
+
+@query(sql(f"""SELECT part_id // 5 AS collection, CASE WHEN coalesce(sum(users), 0) = 0 THEN 'failed' WHEN bool_or(fallback OR part_id % 7 = 0) THEN 'partial' ELSE 'complete' END AS status, sum(bad)::BIGINT AS unsupported FROM (
+    SELECT c.part_id, count(*) FILTER (c.role = 'user' AND c.part_id % 40 >= 10) AS users, bool_or(c.source_ordinal % 7 = 6 AND c.part_id % 3 = 0) AS fallback, count(*) FILTER (({_failure_sql('l.text', 'l.cue_ids', 'l.segment')}) IS NOT NULL) AS bad FROM cues c JOIN claims l ON l.part_id = c.part_id AND l.claim_id = c.source_ordinal GROUP BY c.part_id) GROUP BY part_id // 5""", claims=_CLAIMS))
 def D07_segment_status(spark, sf_dir):
-    """Complete, partial or failed, with the number of unsupported items."""
-    g = inputs.cues(spark, sf_dir).groupBy("part_id").agg(F.count_if(F.col("role") == "user").alias("segments"), F.bool_or(F.col("source_ordinal") % 7 == 6).alias("fallback"), F.count_if(F.trim("text") == "").alias("unsupported"))
-    return g.select("part_id", F.when(F.col("segments") == 0, "failed").when(F.col("fallback") | (F.col("part_id") % 7 == 0), "partial").otherwise("complete").alias("status"), "unsupported")
+    """Complete, partial or failed for each collection, with its unsupported claims."""
+    cues, p = inputs.cues(spark, sf_dir), F.col("part_id")
+    bad = sg.validate_claims(_claims(cues), _owned(cues), "claim_id").groupBy("part_id").agg(F.count_if(F.col("outcome") != "kept").alias("unsupported"))
+    parts = cues.groupBy("part_id").agg(F.count_if((F.col("role") == "user") & (p % 40 >= 10)).alias("segments"), F.bool_or((F.col("source_ordinal") % 7 == 6) & (p % 3 == 0)).alias("used_fallback")).join(bad, "part_id")
+    return sg.status(parts.withColumn("unavailable", p % 7 == 0).withColumn("collection", F.floor(p / 5)), "collection")
 
 
 @query("SELECT doc_id // 10 AS chapter, string_agg(DISTINCT lang, ',' ORDER BY lang) AS languages FROM documents GROUP BY doc_id // 10")

@@ -1,43 +1,36 @@
-"""Order-dependent folds of one part, as small helpers over sorted rows."""
+"""Order-dependent folds of one part, over its sorted rows."""
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-GATE = "part_id long, ordinal long, reason string"
 CHUNKS = "part_id long, chunk long, start_t long, end_t long, runs long, error string"
 CHAPTERS = "part_id long, pos long, start_ordinal long, end_ordinal long, reason string, number long"
+_GATE = "struct<last:struct<ordinal:bigint,start_t:bigint,end_t:bigint>,out:array<struct<ordinal:bigint,reason:string>>>"
 
 
 def gate_cues(cues: DataFrame, lowest: int = 20, highest: int = 400) -> DataFrame:
-    """Reason of refusal (null: admitted) of cues (part_id, pos, ordinal, start_t, end_t, visible, c_start, c_end) in given order.
+    """(part_id, ordinal, reason), reason of refusal (null: admitted), of cues (part_id, pos, ordinal, start_t, end_t, visible, c_start, c_end) in order of pos.
 
     Each is compared with the last admitted one; a refused cue does not affect later ones. In order of precedence:
-    out_of_coverage, non_monotonic, processing_duplication, missing_text, duration_implausible (ticks a character).
+    out_of_coverage, non_monotonic, processing_duplication, missing_text, duration_implausible (ticks a character). A
+    part's cues are one array, folded in Spark functions.
     """
 
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("pos")
-        last, out = None, []
-        for r in rows.itertuples(index=False):
-            reason = None
-            if r.start_t < r.c_start or r.end_t > r.c_end:
-                reason = "out_of_coverage"
-            elif last is not None and (r.ordinal <= last[0] or r.start_t < last[1]):
-                reason = "non_monotonic"
-            elif last is not None and r.start_t < last[2]:
-                reason = "processing_duplication"
-            elif r.visible == 0:
-                reason = "missing_text"
-            elif not lowest * r.visible <= r.end_t - r.start_t <= highest * r.visible:
-                reason = "duration_implausible"
-            else:
-                last = (r.ordinal, r.start_t, r.end_t)
-            out.append((r.part_id, r.ordinal, reason))
-        return pd.DataFrame(out, columns=["part_id", "ordinal", "reason"])
-
-    return cues.groupBy("part_id").applyInPandas(fold, GATE)
+    def step(s: Column, r: Column) -> Column:
+        last = s["last"]
+        known, length = last["ordinal"].isNotNull(), r["end_t"] - r["start_t"]
+        reason = (F.when((r["start_t"] < r["c_start"]) | (r["end_t"] > r["c_end"]), "out_of_coverage").when(known & ((r["ordinal"] <= last["ordinal"]) | (r["start_t"] < last["start_t"])), "non_monotonic")
+                  .when(known & (r["start_t"] < last["end_t"]), "processing_duplication").when(r["visible"] == 0, "missing_text").when((length < lowest * r["visible"]) | (length > highest * r["visible"]), "duration_implausible"))
+        own = F.struct(r["ordinal"].alias("ordinal"), r["start_t"].alias("start_t"), r["end_t"].alias("end_t"))
+        return F.struct(F.when(reason.isNull(), own).otherwise(last).alias("last"), F.concat(s["out"], F.array(F.struct(r["ordinal"].alias("ordinal"), reason.alias("reason")))).alias("out")).cast(_GATE)
+
+    names = ("pos", "ordinal", "start_t", "end_t", "visible", "c_start", "c_end")
+    rows = cues.groupBy("part_id").agg(F.sort_array(F.collect_list(F.struct(*names))).alias("rows"))
+    start = F.struct(F.lit(None).cast("struct<ordinal:bigint,start_t:bigint,end_t:bigint>").alias("last"), F.array().cast("array<struct<ordinal:bigint,reason:string>>").alias("out"))
+    return rows.select("part_id", F.inline(F.aggregate("rows", start.cast(_GATE), step)["out"]))
 
 
 def pack_chunks(runs: DataFrame, window: int) -> DataFrame:

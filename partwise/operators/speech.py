@@ -200,3 +200,21 @@ def role_citations(turns: DataFrame, proposals: DataFrame, cues: DataFrame, meta
     rows = p.unionByName(m).withColumn("refused", F.min("fault").over(Window.partitionBy(key)))
     outcome = F.coalesce(F.col("refused"), F.when(~F.col("known"), "cluster_unknown").otherwise("kept"))
     return rows.select(key, "cluster", "role", "evidence", outcome.alias("outcome"))
+
+
+def arbitrate(primary: DataFrame, review: DataFrame, interval: str, rules: tuple[str, ...] = ("fills_gap", "drops_silence")) -> DataFrame:
+    """(interval, decision, rule, text) of suspicious intervals (interval, reason, primary_text) and their reviews (interval, review_text, independent).
+
+    A missing or dependent review is review-needed; equal texts are agreement; else the first enabled rule that fires
+    adopts the review: fills_gap (only the primary text is blank) or drops_silence (text over silence that the review
+    leaves blank); else review-needed. text is the primary one unless the review is adopted.
+    """
+    p, r = F.trim("primary_text"), F.trim("review_text")
+    fires = {"fills_gap": (p == "") & (r != ""), "drops_silence": (F.col("reason") == "text_over_silence") & (p != "") & (r == "")}
+    independent, same = F.coalesce("independent", F.lit(False)), F.col("primary_text") == F.col("review_text")
+    rule = F.when(~independent | same, F.lit(None).cast("string"))
+    for name in rules:
+        rule = rule.when(fires[name], name)
+    rows = primary.join(review, interval, "left").withColumn("rule", rule)
+    decision = F.when(~independent, "review-needed").when(same, "agreement").when(F.col("rule").isNotNull(), "review_adopted").otherwise("review-needed")
+    return rows.select(interval, decision.alias("decision"), "rule", F.when(F.col("rule").isNotNull(), F.col("review_text")).otherwise(F.col("primary_text")).alias("text"))

@@ -216,22 +216,17 @@ def G04_detect_suspicions(spark, sf_dir):
 
 
 _REVIEW = """SELECT event_id AS interval_id, CASE WHEN event_type IN ('purchase', 'signup') THEN 'text_over_silence' ELSE 'low_confidence' END AS reason, CASE WHEN event_id % 7 = 0 THEN ' ' ELSE 'p' || (event_id % 4)::VARCHAR END AS primary_text,
-    CASE WHEN event_id % 5 = 0 THEN '' ELSE 'p' || (event_id % 6)::VARCHAR END AS review_text, event_id % 9 <> 0 AS independent FROM events"""
+    CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'p' || (doc_id % 6)::VARCHAR END AS review_text, coalesce(doc_id % 9 <> 0, false) AS independent FROM events LEFT JOIN documents ON doc_id = event_id"""
 
 
-@query(sql("""SELECT interval_id, CASE WHEN NOT independent THEN 'review-needed' WHEN primary_text = review_text THEN 'agreement' WHEN trim(primary_text) = '' AND trim(review_text) <> '' THEN 'review_adopted' WHEN reason = 'text_over_silence' AND trim(primary_text) <> '' AND trim(review_text) = '' THEN 'review_adopted' ELSE 'review-needed' END AS decision,
-    CASE WHEN NOT independent OR primary_text = review_text THEN NULL WHEN trim(primary_text) = '' AND trim(review_text) <> '' THEN 'fills_gap' WHEN reason = 'text_over_silence' AND trim(primary_text) <> '' AND trim(review_text) = '' THEN 'drops_silence' END AS rule FROM review """, review=_REVIEW))
+@query(sql("""SELECT interval_id, CASE WHEN NOT independent THEN 'review-needed' WHEN primary_text = review_text THEN 'agreement' WHEN rule IS NOT NULL THEN 'review_adopted' ELSE 'review-needed' END AS decision, rule, CASE WHEN rule IS NOT NULL THEN review_text ELSE primary_text END AS text FROM (
+    SELECT *, CASE WHEN NOT independent OR primary_text = review_text THEN NULL WHEN trim(primary_text) = '' AND trim(review_text) <> '' THEN 'fills_gap' WHEN reason = 'text_over_silence' AND trim(primary_text) <> '' AND trim(review_text) = '' THEN 'drops_silence' END AS rule FROM review )""", review=_REVIEW))
 def C11_review_text_join(spark, sf_dir):
-    """Primary and review text of each suspicious interval arbitrated by a truth table."""
-    events = inputs.table(spark, sf_dir, "events")
-    e = F.col("event_id")
-    primary = events.select(e.alias("interval_id"), F.when(F.col("event_type").isin("purchase", "signup"), "text_over_silence").otherwise("low_confidence").alias("reason"), F.when(e % 7 == 0, " ").otherwise(F.concat(F.lit("p"), (e % 4).cast("string"))).alias("primary_text"))
-    review = events.select(e.alias("interval_id"), F.when(e % 5 == 0, "").otherwise(F.concat(F.lit("p"), (e % 6).cast("string"))).alias("review_text"), (e % 9 != 0).alias("independent"))
-    p, r = F.trim("primary_text"), F.trim("review_text")
-    rule = F.when(~F.col("independent") | (F.col("primary_text") == F.col("review_text")), F.lit(None)).when((p == "") & (r != ""), "fills_gap").when((F.col("reason") == "text_over_silence") & (p != "") & (r == ""), "drops_silence")
-    rows = primary.join(review, "interval_id").withColumn("rule", rule)
-    decision = F.when(~F.col("independent"), "review-needed").when(F.col("primary_text") == F.col("review_text"), "agreement").when(F.col("rule").isNotNull(), "review_adopted").otherwise("review-needed")
-    return rows.select("interval_id", decision.alias("decision"), "rule")
+    """Primary text of each suspicious interval and the review of it, arbitrated by a truth table."""
+    e, d = F.col("event_id"), F.col("doc_id")
+    primary = inputs.table(spark, sf_dir, "events").select(e.alias("interval_id"), F.when(F.col("event_type").isin("purchase", "signup"), "text_over_silence").otherwise("low_confidence").alias("reason"), F.when(e % 7 == 0, " ").otherwise(F.concat(F.lit("p"), (e % 4).cast("string"))).alias("primary_text"))
+    review = inputs.table(spark, sf_dir, "documents").select(d.alias("interval_id"), F.when(d % 5 == 0, "").otherwise(F.concat(F.lit("p"), (d % 6).cast("string"))).alias("review_text"), (d % 9 != 0).alias("independent"))
+    return sp.arbitrate(primary, review, "interval_id")
 
 
 @query(sql("SELECT run_id, bool_and(to_status <> 'failed' OR sequence % 3 = 0) AND bool_or(to_status = 'completed') AS verbatim FROM run_events GROUP BY run_id"))

@@ -117,7 +117,7 @@ WITH d AS (
   SELECT *, (1.5::DOUBLE * (sum(source_size) OVER ())::DOUBLE - coalesce(sum(cap) OVER r, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER r, 0)) AS level
   FROM s WINDOW r AS (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), t AS (
-  SELECT source, source_size, least(cap, w * (SELECT min(level) FROM l l2 WHERE level <= cap / w AND cap / w = (SELECT min(cap / w) FROM l l3 WHERE l3.level <= l3.cap / l3.w))) AS target FROM l
+  SELECT source, source_size, least(cap, w * (SELECT max(level) FROM l l2 WHERE level <= cap / w AND cap / w = (SELECT min(cap / w) FROM l l3 WHERE l3.level <= l3.cap / l3.w))) AS target FROM l
 ), u AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS times FROM t
 ), v AS (

@@ -157,7 +157,7 @@ def test_pivots_keep_clusters_apart_and_lose_no_link(spark):
     vectors = [(i, (centres[i % 40] + rng.normal(size=16) * 0.12).tolist(), i % 2) for i in range(1600)]
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>, label int")
     classes = df.select(F.col("label").cast("string").alias("group"), F.col("embedding").alias("v"), F.col("vec_id").alias("id"), F.lit(1).cast("long").alias("times"))
-    large = classes.select("group").distinct()
+    large = classes.select("group").distinct().withColumn("k", F.lit(64))
     radius = math.sqrt(2 - 2 * 0.93)
     pivots = metric_join._pivots(classes, large, 64, 400)
     sent = metric_join._sent(classes, large, pivots, radius)
@@ -240,6 +240,21 @@ def test_kept_returns_a_column_named_like_its_own(spark, sf_small):
     assert left.columns == docs.columns and {r.doc_id for r in rows} == good and {r.text_statistics for r in rows} == {"mine"}
 
 
+# mixing
+
+
+def test_sql_of_tied_sources_agrees(spark):
+    import duckdb
+
+    rows = [(i, " ".join(["w"] * (10 + i % 3)), f"s{i // 12}") for i in range(72)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    want = sorted((r[0], r[2], r[3], round(r[4], 6), r[5]) for r in con.execute(mixing.SQL).fetchall())
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted((r.doc_id, r.size, r.source_size, round(r.target, 6), r.taken) for r in found) == want and len({r[2] for r in want}) == 1
+
+
 # pipeline stages and long texts
 
 

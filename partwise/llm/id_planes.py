@@ -36,7 +36,7 @@ from partwise.llm._batches import LOWER, SEPARATOR, coded, flat, gathered, piece
 
 BLOCK = 1 << 16
 SHARD_BYTES = 32 << 20  # of text
-KEPT = 1 << 20  # words
+KEPT = 1 << 19  # words
 _LOWEST = -(1 << 63)
 _HEAD = "<4sBII"  # magic, planes a block at most, ids a block, ids
 _LETTER = np.zeros(256, bool)
@@ -221,7 +221,7 @@ def write_ids(documents: DataFrame, path: str, tokenizer_file: str, end_id: int,
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, upper = WordEncoder(shared.value, special_as_text), np.array(bounds, np.int64)
         for batch in batches:
-            for part in pieces(batch, "text", 8 << 20):
+            for part in pieces(batch, "text", 2 << 20):
                 counts, ids = encoder.texts(part.column(2))
                 key = part.column(0).fill_null(_LOWEST).to_numpy()
                 low, high = np.searchsorted(upper, key, "left"), np.searchsorted(upper, key, "right")

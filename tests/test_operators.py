@@ -73,29 +73,19 @@ def test_times_before_zero_round_outwards(spark):
     assert [tuple(r) for r in df.select(start, end).collect()] == [(-1, 1), (-1, 0), (0, 1), (0, 1)]
 
 
-def test_markup_by_a_stack_in_plain_python(spark):
+def test_markup_is_what_innermost_pairs_taken_out_again_and_again_leave(spark):
     import random
+    import re
 
     rnd = random.Random(2)
     parts = ["<b>", "</b>", "<i>", "</i>", "<u>", "</U>", "<font a=1>", "</font>", "x", " y ", "<", "<b c>", "<br>"]
     texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 12))) for _ in range(300)]
+    opens = r"<[biu]\s*>|<font(?:\s[^<>]*)?>"
+    pairs = re.compile(rf"(?is)(?:<([biu])\s*>|<(font)(?:\s[^<>]*)?>)((?:(?!{opens}).)*?)</(?(1)\1|\2)\s*>")
 
     def plain(text):
-        import re
-
-        waits, gone = [], []
-        for m in re.finditer(r"<(/?)(b|i|u|font)(\s[^<>]*)?>", text, re.I):
-            shut, name, more = m[1], m[2].lower(), (m[3] or "").strip()
-            if more and (shut or name != "font"):
-                continue
-            if not shut:
-                waits = [*waits, (name, m.span())]
-            elif waits and waits[-1][0] == name:
-                gone += [waits[-1][1], m.span()]
-                waits = waits[:-1]
-        for a, b in sorted(gone, reverse=True):
-            text = text[:a] + text[b:]
-        return text
+        after = pairs.sub(lambda m: "\0" + m[3].replace("<", "\1") + "\0", text)  # closing tags within a pair are spent, and nothing grows together
+        return text.replace("\0", "").replace("\1", "<") if after == text else plain(after)
 
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
     found = {r.i: r for r in cu.strip_markup(df, "t").collect()}

@@ -63,7 +63,7 @@ def _pivots(classes: DataFrame, large: DataFrame, most: int, sample: int) -> dic
 
     Pivots only steer the work; a length of which the sample has no vector has a single cell.
     """
-    some = classes.join(large, "group", "left_semi").select("v").orderBy(F.xxhash64("id"), "id").limit(sample).collect()
+    some = classes.join(large.select("group"), "group", "left_semi").select("v").orderBy(F.xxhash64("id"), "id").limit(sample).collect()
     rows: dict[int, list] = {}
     for r in some:
         rows.setdefault(len(r.v), []).append(r.v)
@@ -71,38 +71,39 @@ def _pivots(classes: DataFrame, large: DataFrame, most: int, sample: int) -> dic
 
 
 def _sent(classes: DataFrame, large: DataFrame, pivots: dict[int, np.ndarray], radius: float) -> DataFrame:
-    """(cell, home, d, id, times, v): each vector in its home cell and in those that a vector near it may be at home in; d to the cell's pivot."""
+    """(cell, home, d, id, times, v): each vector in its home cell and in those that a vector near it may be at home in; d to the cell's pivot.
+
+    large has a row for each label that is cut, with the number k of its pivots, the first ones of the list.
+    """
     between = {size: _distances(p, p) for size, p in pivots.items()}
 
+    def cells_of(batch: pa.RecordBatch, size: int, k: int) -> pa.RecordBatch:
+        """Rows of one length and number of pivots; one cell where there are no pivots."""
+        groups = batch.column(0).to_pylist()
+        own = pivots.get(size, np.zeros((0, size)))[:k]
+        if not len(own):
+            i, j, home, d = np.arange(len(groups)), np.zeros(len(groups), int), np.zeros(len(groups), int), np.zeros((len(groups), 1))
+        else:
+            d = _distances(_unit(batch.column(1).to_pylist()), own)
+            home = d.argmin(1)
+            nearest = d[np.arange(len(groups)), home][:, None]
+            plane = (d * d - nearest * nearest) <= 2 * radius * between[size][home, : len(own)] + _SLACK
+            i, j = np.nonzero((d <= nearest + 2 * radius + _SLACK) & plane)
+        picked = pa.array(i)
+        cells = pa.array([f"{groups[a]}|{c}" for a, c in zip(i.tolist(), j.tolist())])
+        return pa.RecordBatch.from_arrays([cells, pa.array(home[i] == j), pa.array(d[i, j]), batch.column(2).take(picked), batch.column(3).take(picked), batch.column(1).take(picked)], ["cell", "home", "d", "id", "times", "v"])
+
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            groups, many = batch.column(0).to_pylist(), batch.column(4).to_numpy(zero_copy_only=False)
-            length = np.array(batch.column(1).value_lengths().to_numpy(zero_copy_only=False), np.int64)
-            cells, rows, homes, far = [], [], [], []
-            for size in np.unique(length).tolist():
-                apart = many & (length == size) & (size in pivots)
-                for at, cut in ((np.flatnonzero(apart), True), (np.flatnonzero((length == size) & ~apart), False)):
-                    if not len(at):
-                        continue
-                    if not cut:
-                        i, j, d, home = np.arange(len(at)), np.zeros(len(at), int), np.zeros((len(at), 1)), np.zeros(len(at), int)
-                    else:
-                        d = _distances(_unit(batch.column(1).take(pa.array(at)).to_pylist()), pivots[size])
-                        home = d.argmin(1)
-                        nearest = d[np.arange(len(at)), home][:, None]
-                        plane = (d * d - nearest * nearest) <= 2 * radius * between[size][home] + _SLACK
-                        i, j = np.nonzero((d <= nearest + 2 * radius + _SLACK) & plane)
-                    cells += [f"{groups[at[a]]}|{c}" for a, c in zip(i.tolist(), j.tolist())]
-                    rows.append(at[i])
-                    homes.append(home[i] == j)
-                    far.append(d[i, j])
-            if rows:
-                picked = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(np.concatenate(homes)), pa.array(np.concatenate(far)), batch.column(2).take(picked), batch.column(3).take(picked), batch.column(1).take(picked)], ["cell", "home", "d", "id", "times", "v"])
-
-    marked = classes.join(large.withColumn("large", F.lit(True)), "group", "left")
-    rows = marked.select("group", "v", "id", "times", F.coalesce("large", F.lit(False)).alias("large"))
-    return rows.mapInArrow(dealt, "cell string, home boolean, d double, id long, times long, v array<double>")
+            length, wanted = np.array(batch.column(1).value_lengths().to_numpy(zero_copy_only=False), np.int64), batch.column(4).to_numpy()
+            for size, k in np.unique(np.stack([length, wanted], 1), axis=0).tolist():
+                rows = batch.take(pa.array(np.flatnonzero((length == size) & (wanted == k))))
+                step = max(1, 16_384 // max(1, k))  # a row may go to each of k cells
+                for start in range(0, len(rows), step):
+                    yield cells_of(rows.slice(start, step), size, k)
+
+    marked = classes.join(large, "group", "left").select("group", "v", "id", "times", F.coalesce("k", F.lit(0)).alias("k"))
+    return marked.mapInArrow(dealt, "cell string, home boolean, d double, id long, times long, v array<double>")
 
 
 def _blocked(sent: DataFrame, radius: float, cell: int) -> DataFrame:
@@ -131,7 +132,8 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, cell: int = C
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce((F.size("v") > 0) & finite, F.lit(False))
     rows = rows.withColumn("usable", usable).withColumn("group", F.concat_ws("|", F.col("label").cast("string"), F.size("v").cast("string")))
     classes = stored(rows.where("usable").groupBy("group", "v").agg(F.min("vec_id").alias("id"), F.count("*").alias("times")))
-    large = stored(classes.groupBy("group").agg(F.count("*").alias("n")).where(f"n > {cell}").select("group"))
+    wanted = F.least(F.ceil(F.col("n") / cell), F.lit(most_pivots)).cast("int")  # as many cells as blocks, so that cells do not cost more copies
+    large = stored(classes.groupBy("group").agg(F.count("*").alias("n")).where(f"n > {cell}").select("group", wanted.alias("k")))
     radius = float(np.sqrt(2 - 2 * cosine)) + _SLACK
     sent = stored(_sent(classes, large, _pivots(classes, large, most_pivots, sample), radius))
 

@@ -295,7 +295,7 @@ def score_documents(documents: DataFrame, model_file: str, folds: int = FOLDS, h
             ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, found = None, []  # of the current block: its documents, then its words
+        current, head, found = None, None, []  # a block, its documents, its words
 
         def done() -> Iterator[pa.RecordBatch]:
             if head is not None:
@@ -304,16 +304,22 @@ def score_documents(documents: DataFrame, model_file: str, folds: int = FOLDS, h
         for batch in batches:
             block = batch.column(0).to_numpy()
             for start, end in zip(cuts := [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)], cuts[1:]):
-                part = batch.slice(start, end - start)
-                if end > start and part.column(4)[0].is_valid:
+                if end == start:
+                    continue
+                if block[start] != current:
                     yield from done()
-                    head, found = {name: part.column(name)[0].as_py() for name in ("doc_ids", "held", "lengths", "codes")}, []
-                    part = part.slice(1)
-                if len(part):
-                    found.append(tuple(part.column(k).to_numpy() for k in (1, 2, 3)))
+                    current, head, found = block[start], None, []
+                part = batch.slice(start, end - start)
+                whole = part.column(1).to_numpy() < 0
+                for k in np.flatnonzero(whole).tolist():
+                    head = {name: part.column(name)[k].as_py() for name in ("doc_ids", "held", "lengths", "codes")}
+                found.append(tuple(part.column(k).to_numpy()[~whole] for k in (1, 2, 3)))
         yield from done()
 
-    heads = blocks.select("block", F.lit(-1).alias("code"), F.lit(0).cast("long").alias("c"), F.lit(0.0).alias("q"), "doc_ids", "held", "lengths", "codes")
-    rows = heads.unionByName(counted.select("block", "code", "c", "q"), allowMissingColumns=True)
-    dealt = rows.repartition(max(1, 4 * blocks.count()), "block").sortWithinPartitions("block", "code")
+    names = ("doc_ids", "held", "lengths", "codes")
+    heads = blocks.select("block", F.lit(-1).alias("code"), F.lit(0).cast("long").alias("c"), F.lit(0.0).alias("q"), *names)
+    kinds = dict(heads.dtypes)
+    empty = [(F.lit(b"") if name == "codes" else F.array().cast(kinds[name])).alias(name) for name in names]  # not null: Arrow writes a row of null lists in steps that grow with the batch
+    rows = heads.unionByName(counted.select("block", "code", "c", "q", *empty))
+    dealt = rows.repartition(max(1, 4 * blocks.count()), "block").sortWithinPartitions("block")
     return dealt.mapInArrow(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -36,7 +36,7 @@ from partwise.llm._batches import LOWER, SEPARATOR, coded, flat, gathered, piece
 
 BLOCK = 1 << 16
 SHARD_BYTES = 32 << 20  # of text
-KEPT = 1 << 19  # words
+KEPT = 1 << 18  # words
 _LOWEST = -(1 << 63)
 _HEAD = "<4sBII"  # magic, planes a block at most, ids a block, ids
 _LETTER = np.zeros(256, bool)
@@ -136,8 +136,8 @@ class WordEncoder:
             lists = self._singly(words)
             return np.array([len(x) for x in lists], np.int64), np.concatenate([np.zeros(0, self.dtype), *lists])
         counts, out = [np.zeros(0, np.int64)], [np.zeros(0, self.dtype)]
-        for k in range(0, len(words), 16_384):
-            groups = [words[i : min(i + 256, k + 16_384)] for i in range(k, min(len(words), k + 16_384), 256)]
+        for k in range(0, len(words), 4_096):
+            groups = [words[i : min(i + 256, k + 4_096)] for i in range(k, min(len(words), k + 4_096), 256)]
             joined = [" ".join(g) for g in groups]
             for group, text, found in zip(groups, joined, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
                 n, ids = self._group(group, text, np.array(found.ids, self.dtype))
@@ -230,6 +230,7 @@ def write_ids(documents: DataFrame, path: str, tokenizer_file: str, end_id: int,
                 at = np.concatenate([[0], np.cumsum(counts)]) * encoder.dtype.itemsize
                 packed = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(ids))])
                 yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), part.column(0), part.column(1), pa.array(np.full(len(part), encoder.dtype.itemsize), pa.int32()), packed], ["shard", "doc_id", "h", "width", "ids"])
+                pa.default_memory_pool().release_unused()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, chunk, before = -1, 0, 0
@@ -257,7 +258,7 @@ def write_ids(documents: DataFrame, path: str, tokenizer_file: str, end_id: int,
             yield row()
 
     rows = docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(encoded, "shard int, doc_id long, h long, width int, ids binary")
-    ordered = rows.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", F.coalesce("doc_id", F.lit(_LOWEST)), "h")
+    ordered = rows.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", F.coalesce("doc_id", F.lit(_LOWEST)), "h")
     ordered.mapInArrow(run, CHUNKS).write.option("compression", "none").parquet(path)
 
 

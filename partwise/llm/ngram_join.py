@@ -7,7 +7,8 @@ counts of all sets (ngram_sets.allocate). Sets that share a signature are candid
 
 Scale. Equal sets are joined first, by fingerprint, so groups of copies are one set from there on. Signatures are
 small rows that are shuffled once and read sorted, one row at a time. In each bucket the first member is compared with
-the rest; so a group of near copies costs as many comparisons as it has members. Only buckets that still hold different
+the rest; so a group of near copies costs as many comparisons as it has members. Where components are left apart, another
+member, first by a hash, meets the rest of the other components. Only buckets that still hold different
 components go on, cut into pairs of blocks that are spread over tasks: their members get a bit sketch, whose distance is
 a lower bound of the sets' difference, and pairs beyond the bound are left out, so that hardly a pair that does not link
 is sent on. No link between components is lost. Texts of candidates only are shuffled for the comparison. Signatures
@@ -24,7 +25,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from partwise.llm._batches import LOWER, flat, pieces, stored
@@ -32,9 +33,9 @@ from partwise.llm._graph import components
 from partwise.llm.ngram_sets import allocate, allowed, fingerprints, shingle_sets, signatures
 
 WORDS, PERCENT = 5, 80
-_FILTER_BITS = 23
+_LEAST_BITS, _MOST_BITS = 23, 28
 _PROBE = np.uint64(0x3FF)
-_HOT, _BLOCK = 256, 1024
+_HOT, _BLOCK, _LEADERS = 256, 1024, 2
 _TABLE = bytes(LOWER)
 
 
@@ -86,11 +87,12 @@ def _signature_rows(docs: DataFrame, words: int, percent: int, schemes: dict) ->
                 keep = new[rows]
                 owner, sigs = signatures(rows[keep], hashes[keep], len(part), schemes, percent)
                 order = np.argsort(sigs, kind="stable")
-                owner, sigs = owner[order], sigs[order]
-                start = np.flatnonzero(np.r_[True, sigs[1:] != sigs[:-1]]) if len(sigs) else np.zeros(0, np.int64)
+                start = np.flatnonzero(np.r_[True, np.diff(sigs[order]) != 0]) if len(sigs) else np.zeros(0, np.int64)
                 size = np.diff(np.r_[start, len(sigs)])
                 rank = np.arange(len(sigs)) - np.repeat(start, size)
-                salt = np.where((np.repeat(size, size) >= _HOT) & (rank > 1), 1 + (fp1[owner] & 0xFF), 0)
+                hot = order[(np.repeat(size, size) >= _HOT) & (rank > 1)]
+                salt = np.zeros(len(sigs), np.int64)  # rows stay in the order of their sets, which keeps them small when compressed
+                salt[hot] = 1 + (fp1[owner[hot]] & 0xFF)
                 yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(salt, pa.int32()), pa.array(fp1[owner]), pa.array(fp2[owner])], ["sig", "salt", "fp1", "fp2"])
 
     return docs.mapInArrow(run, "sig long, salt int, fp1 long, fp2 long")
@@ -126,16 +128,19 @@ def _shared_buckets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "sig long, fp1 long, fp2 long")
 
 
-def _leader_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b, chunk): in each bucket the first member with every other of a size that a link allows.
+def _leader_pairs(members: DataFrame, percent: int, order: Column) -> DataFrame:
+    """(a, b, chunk), one row a pair: in each bucket the first member by order with every other of another label and of a size that a link allows.
 
-    members has (sig, doc_id, n). Leaders are found by an aggregate and joined with the members as two stored tables, so
-    the rows of a hot signature can be split over tasks. chunk cuts the partners of one a into parts of bounded size.
+    members has (sig, doc_id, n, label). Leaders are found by an aggregate and joined with the members as two stored
+    tables, so the rows of a hot signature can be split over tasks. chunk cuts the partners of one a into parts of
+    bounded size.
     """
-    leaders = stored(members.groupBy("sig").agg(F.min(F.struct("doc_id", "n")).alias("lead"), F.count("*").alias("size")).where("size > 1").select("sig", F.col("lead.doc_id").alias("a"), F.col("lead.n").alias("m"), "size"))
-    near = F.expr(f"a <> doc_id and 100 * least(n, m) >= {percent} * greatest(n, m)")
+    lead = F.min(F.struct(order.alias("o"), "doc_id", "n", "label")).alias("lead")
+    leaders = stored(members.groupBy("sig").agg(lead, F.count("*").alias("size")).where("size > 1").select("sig", F.col("lead.doc_id").alias("first"), F.col("lead.n").alias("m"), F.col("lead.label").alias("own"), "size"))
+    near = F.expr(f"own <> label and 100 * least(n, m) >= {percent} * greatest(n, m)")
     chunk = F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("size") / 128).cast("long")).cast("long")
-    return members.join(leaders, "sig").where(near).select("a", F.col("doc_id").alias("b"), chunk.alias("chunk"))
+    rows = members.select("sig", "doc_id", "n", "label").join(leaders, "sig").where(near).select(F.col("first").alias("a"), F.col("doc_id").alias("b"), chunk.alias("chunk"), "size")
+    return rows.groupBy("a", "b").agg(F.max_by("chunk", "size").alias("chunk"))
 
 
 def _sketches(texts: DataFrame, words: int) -> DataFrame:
@@ -156,8 +161,8 @@ def _sketches(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, size long, sketch binary")
 
 
-def _near(left: list[tuple], right: list[tuple], percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(a, b) of the pairs of two blocks' (doc, n, label, sketch) that differ in label and may link.
+def _near(left: list[tuple], right: list[tuple] | None, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(a, b) of the pairs of two blocks' (doc, n, label, sketch), or of one block's, that differ in label and may link.
 
     Sketches of two sets differ in no more bits than the sets in elements, so what is left out cannot link.
     """
@@ -168,10 +173,11 @@ def _near(left: list[tuple], right: list[tuple], percent: int) -> Iterator[tuple
             groups.setdefault(len(row[3]), []).append(row)
         return {w: (*(np.array([r[i] for r in g], np.int64) for i in range(3)), np.frombuffer(b"".join(r[3] for r in g), np.uint64).reshape(len(g), -1)) for w, g in groups.items()}
 
-    one, two = by_width(left), by_width(right)
+    one = by_width(left)
+    two = one if right is None else by_width(right)
     for width, (doc, n, label, bits) in one.items():
         for wide in (width // 2, width, 2 * width):
-            if wide not in two:
+            if wide not in two or right is None and wide < width:
                 continue
             doc2, n2, label2, bits2 = two[wide]
             own = bits
@@ -179,7 +185,7 @@ def _near(left: list[tuple], right: list[tuple], percent: int) -> Iterator[tuple
                 bits2 = bits2[:, : bits.shape[1]] ^ bits2[:, bits.shape[1] :]
             elif wide < width:
                 own = bits[:, : bits2.shape[1]] ^ bits[:, bits2.shape[1] :]
-            may = (label[:, None] != label2) & (doc[:, None] != doc2) & (100 * np.minimum(n[:, None], n2) >= percent * np.maximum(n[:, None], n2))
+            may = (label[:, None] != label2) & (doc[:, None] != doc2 if right is not None or wide > width else doc[:, None] < doc2) & (100 * np.minimum(n[:, None], n2) >= percent * np.maximum(n[:, None], n2))
             i, j = np.nonzero(may)
             most = max(1, (1 << 20) // own.shape[1])
             for c in range(0, len(i), most):
@@ -206,7 +212,7 @@ def _near_pairs(members: DataFrame, percent: int) -> DataFrame:
         def done() -> Iterator[pa.RecordBatch]:
             left, right = sides
             if current is not None and (current[1] == current[2] or right):
-                for a, b in _near(left, right or left, percent):
+                for a, b in _near(left, right or None, percent):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(b % 16)], ["a", "b", "chunk"])
 
         for batch in batches:
@@ -269,13 +275,19 @@ def _verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, words: in
 
 
 def _mostly(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """rows (doc_id, ...) without most of those whose doc_id is not in ids, by a bitmap of fixed size; a join must follow.
+    """rows (doc_id, ...) without most of those whose doc_id is not in ids, by a bitmap; a join must follow.
 
-    So hardly a row that the join does not need is shuffled. The bitmap has 2**_FILTER_BITS bits whatever the input.
+    So hardly a row that the join does not need is shuffled. The bitmap has eight bits or more an id and at most
+    2**_MOST_BITS (32 MB); for more ids than it can tell apart the rows are joined with them instead.
     """
-    bit = f"pmod(xxhash64(doc_id), {1 << _FILTER_BITS})"
+    ids = stored(ids)
+    n = ids.count()
+    if n > 1 << (_MOST_BITS - 1):
+        return rows.join(ids, "doc_id", "left_semi").select(*rows.columns)
+    size = 1 << min(max(_LEAST_BITS, (8 * n).bit_length()), _MOST_BITS)
+    bit = f"pmod(xxhash64(doc_id), {size})"
     words = ids.select(F.expr(f"{bit} div 63").alias("word"), F.expr(f"shiftleft(1L, cast({bit} % 63 as int))").alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("mask"))
-    table = np.zeros((1 << _FILTER_BITS) // 63 + 1, np.int64)
+    table = np.zeros(size // 63 + 1, np.int64)
     found = words.toArrow()  # of bounded size, so it may go through the driver
     table[found.column(0).to_numpy()] = found.column(1).to_numpy()
     shared = ids.sparkSession.sparkContext.broadcast(table)
@@ -344,15 +356,29 @@ def _linked(docs: DataFrame, members: DataFrame, words: int, percent: int) -> Da
         return None
     texts = stored(_mostly(docs, ids))  # with a few others, which no pair names
     sketches = stored(_sketches(texts, words))
-    pairs = stored(_leader_pairs(members, percent).groupBy("a", "b").agg(F.min("chunk").alias("chunk")))
-    labels = components(_verified(pairs, texts, sketches, words, percent))
+    labels, done = None, None
+    for turn in range(_LEADERS):
+        known = members.withColumn("label", F.col("doc_id")) if labels is None else _open(members, labels)
+        pairs = _leader_pairs(known, percent, F.col("doc_id") if labels is None else F.xxhash64("doc_id", F.lit(turn)))
+        pairs = stored(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti").join(done.toDF("b", "a"), ["a", "b"], "left_anti"))
+        links = _verified(pairs, texts, sketches, words, percent)
+        labels = components(links) if labels is None else _merged(labels, stored(links))
+        done = pairs.select("a", "b") if done is None else stored(done.unionByName(pairs.select("a", "b")))
+    known = stored(_open(members, labels).join(sketches.select("doc_id", "sketch"), "doc_id").select("sig", "doc_id", "n", "label", "sketch", "size"))
+    more = _near_pairs(known, percent).groupBy("a", "b").agg(F.min("chunk").alias("chunk"))
+    more = stored(more.join(done, ["a", "b"], "left_anti").join(done.toDF("b", "a"), ["a", "b"], "left_anti"))
+    return _merged(labels, stored(_verified(more, texts, sketches, words, percent)))
+
 
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(sig, doc_id, n, label, size): the members of buckets that hold more than one component."""
     known = stored(members.join(labels.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").select("sig", "doc_id", "n", F.coalesce("component", "doc_id").alias("label")))
     open_ = stored(known.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo <> hi and size > 2").select("sig", "size"))
-    known = stored(known.join(open_, "sig").join(sketches.select("doc_id", "sketch"), "doc_id").select("sig", "doc_id", "n", "label", "sketch", "size"))
-    more = _near_pairs(known, percent).groupBy("a", "b").agg(F.min("chunk").alias("chunk"))
-    more = stored(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
-    links = stored(_verified(more, texts, sketches, words, percent))
+    return stored(known.join(open_, "sig").select("sig", "doc_id", "n", "label", "size"))
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (id, component) after further links (a, b)."""
     if links.isEmpty():
         return labels
     by = lambda c, d: labels.select(F.col("id").alias(c), F.col("component").alias(d))

@@ -83,14 +83,15 @@ def allowed(n: np.ndarray | int, percent: int):
     return (100 - percent) * n // percent
 
 
-def allocate(bands: dict[int, tuple[int, float]], percent: int, met: dict[int, tuple[float, float]] | None = None, partner_cost: float = 0.2) -> dict[int, Scheme]:
+def allocate(bands: dict[int, tuple[int, float]], percent: int, met: dict[int, tuple[float, float]] | None = None, partner_cost: float = 0.02) -> dict[int, Scheme]:
     """The cheapest scheme of each band 2^b <= size < 2^(b+1), from its number of sets and their mean size.
 
     By the pigeonhole principle a set needs segments whose weights exceed its allowed differences; a segment of
     weight 1 is found again only when equal (one row), one of weight 2 also with one element more or less (one row
     and one for each deletion). met has, for each band, the share of elements that recur in other sets and in how many
     on average. Cost of a set: its index rows, and partner_cost for each partner expected to share a row by chance: a
-    segment of m elements recurs with probability share^m. So deletions, which make fewer and longer segments but
+    segment of m elements recurs with probability share^m. A partner costs little beside a row, as the members of a
+    bucket meet its first one, and each other only by bit sketches. So deletions, which make fewer and longer segments but
     more rows of each, pay where a moderate share of the elements recurs very often (a passage that many texts have).
     Segments are a third more than needed, as some stay empty.
     """

@@ -35,7 +35,7 @@ from partwise.llm.ngram_sets import allocate, allowed, fingerprints, shingle_set
 WORDS, PERCENT = 5, 80
 _LEAST_BITS, _MOST_BITS = 23, 28
 _PROBE = np.uint64(0x3FF)
-_HOT, _BLOCK, _LEADERS = 256, 1024, 2
+_HOT, _BLOCK, _LEADERS, _LOWEST = 256, 1024, 2, 8
 _TABLE = bytes(LOWER)
 
 
@@ -161,25 +161,28 @@ def _sketches(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, size long, sketch binary")
 
 
-def _near(left: list[tuple], right: list[tuple] | None, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(a, b) of the pairs of two blocks' (doc, n, label, sketch), or of one block's, that differ in label and may link.
+def _near(left: list[tuple], right: list[tuple] | None, percent: int, sig: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(a, b) of the pairs of two blocks' (doc, n, label, sketch, lowest), or of one block's, that differ in label and may link.
 
-    Sketches of two sets differ in no more bits than the sets in elements, so what is left out cannot link.
+    Sketches of two sets differ in no more bits than the sets in elements, so what is left out cannot link. A pair that
+    also shares one of its lowest signatures below this one is told there, not here.
     """
+    far = np.iinfo(np.int64).max
 
     def by_width(rows: list[tuple]) -> dict[int, tuple]:
         groups: dict[int, list[tuple]] = {}
         for row in rows:
             groups.setdefault(len(row[3]), []).append(row)
-        return {w: (*(np.array([r[i] for r in g], np.int64) for i in range(3)), np.frombuffer(b"".join(r[3] for r in g), np.uint64).reshape(len(g), -1)) for w, g in groups.items()}
+        return {w: (*(np.array([r[i] for r in g], np.int64) for i in range(3)), np.frombuffer(b"".join(r[3] for r in g), np.uint64).reshape(len(g), -1),
+                    np.array([[*r[4], *[far] * (_LOWEST - len(r[4]))] for r in g], np.int64)) for w, g in groups.items()}
 
     one = by_width(left)
     two = one if right is None else by_width(right)
-    for width, (doc, n, label, bits) in one.items():
+    for width, (doc, n, label, bits, low) in one.items():
         for wide in (width // 2, width, 2 * width):
             if wide not in two or right is None and wide < width:
                 continue
-            doc2, n2, label2, bits2 = two[wide]
+            doc2, n2, label2, bits2, low2 = two[wide]
             own = bits
             if wide > width:
                 bits2 = bits2[:, : bits.shape[1]] ^ bits2[:, bits.shape[1] :]
@@ -191,12 +194,17 @@ def _near(left: list[tuple], right: list[tuple] | None, percent: int) -> Iterato
             for c in range(0, len(i), most):
                 x, y = i[c : c + most], j[c : c + most]
                 ok = np.bitwise_count(own[x] ^ bits2[y]).sum(1) <= allowed(np.minimum(n[x], n2[y]), percent)
-                if ok.any():
-                    yield np.minimum(doc[x[ok]], doc2[y[ok]]), np.maximum(doc[x[ok]], doc2[y[ok]])
+                x, y = x[ok], y[ok]
+                told = np.zeros(len(x), bool)
+                for k in range(_LOWEST):
+                    told |= ((low[x] == low2[y, k][:, None]) & (low2[y, k] < sig)[:, None]).any(1)
+                x, y = x[~told], y[~told]
+                if len(x):
+                    yield np.minimum(doc[x], doc2[y]), np.maximum(doc[x], doc2[y])
 
 
 def _near_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """(a, b, chunk) of all buckets, from (sig, doc_id, n, label, sketch, size): the pairs of each that differ in label and may link.
+    """(a, b, chunk) of all buckets, from (sig, doc_id, n, label, sketch, lowest, size): the pairs of each that differ in label and may link.
 
     A bucket of size members is cut into blocks by the hash of doc_id, and each pair of blocks is a group of its own, of
     about twice _BLOCK rows, so the pairs of a large bucket are spread over tasks.
@@ -204,7 +212,7 @@ def _near_pairs(members: DataFrame, percent: int) -> DataFrame:
     blocks = F.ceil(F.col("size") / _BLOCK).cast("int")
     rows = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks").cast("long")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), "doc_id", "n", "label", "sketch")
+    rows = rows.select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).alias("second"), "doc_id", "n", "label", "sketch", "lowest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, sides = None, ([], [])
@@ -212,7 +220,7 @@ def _near_pairs(members: DataFrame, percent: int) -> DataFrame:
         def done() -> Iterator[pa.RecordBatch]:
             left, right = sides
             if current is not None and (current[1] == current[2] or right):
-                for a, b in _near(left, right or None, percent):
+                for a, b in _near(left, right or None, percent, current[0]):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(b % 16)], ["a", "b", "chunk"])
 
         for batch in batches:
@@ -364,7 +372,9 @@ def _linked(docs: DataFrame, members: DataFrame, words: int, percent: int) -> Da
         links = _verified(pairs, texts, sketches, words, percent)
         labels = components(links) if labels is None else _merged(labels, stored(links))
         done = pairs.select("a", "b") if done is None else stored(done.unionByName(pairs.select("a", "b")))
-    known = stored(_open(members, labels).join(sketches.select("doc_id", "sketch"), "doc_id").select("sig", "doc_id", "n", "label", "sketch", "size"))
+    known = _open(members, labels)
+    lowest = known.groupBy("doc_id").agg(F.slice(F.sort_array(F.collect_set("sig")), 1, _LOWEST).alias("lowest"))
+    known = stored(known.join(sketches.select("doc_id", "sketch"), "doc_id").join(lowest, "doc_id").select("sig", "doc_id", "n", "label", "sketch", "lowest", "size"))
     more = _near_pairs(known, percent).groupBy("a", "b").agg(F.min("chunk").alias("chunk"))
     more = stored(more.join(done, ["a", "b"], "left_anti").join(done.toDF("b", "a"), ["a", "b"], "left_anti"))
     return _merged(labels, stored(_verified(more, texts, sketches, words, percent)))

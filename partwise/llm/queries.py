@@ -1,4 +1,4 @@
-"""Registered queries op1 .. op10: each applies its operator to its whole table."""
+"""Registered queries op1 .. op13: each applies its operator to its whole table."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm import byte_bpe, chat_format, id_planes, lattice_lm, license_scan, media_columns, metric_join, mixing, ngram_join, rule_classifier
+from partwise.llm import byte_bpe, chat_format, id_planes, lattice_lm, license_scan, media_columns, metric_join, mixing, ngram_join, rule_classifier, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,12 @@ def op10_rule_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_license_scan": op2_license_scan,
@@ -79,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op8_id_planes": op8_id_planes,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_rule_classifier": op10_rule_classifier,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.SQL, "op6_chat_format": chat_format.SQL}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm import byte_bpe, chat_format, id_planes, lattice_lm, license_scan, media_columns, metric_join, mixing, ngram_join, rule_classifier, token_counts
+from partwise.llm import byte_bpe, chat_format, id_planes, lattice_lm, license_scan, media_columns, metric_join, mixing, ngram_join, prefix_trie, rule_classifier, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,10 @@ def op10_rule_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -85,7 +89,8 @@ QUERIES: dict[str, Query] = {
     "op8_id_planes": op8_id_planes,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_rule_classifier": op10_rule_classifier,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_token_counts": op13_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.SQL, "op6_chat_format": chat_format.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.SQL, "op6_chat_format": chat_format.SQL, "op11_prefix_trie": prefix_trie.SQL}

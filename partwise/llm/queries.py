@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from partwise.llm import byte_bpe, chat_format, id_planes, lattice_lm, license_scan, media_columns, metric_join, mixing, ngram_join, prefix_trie, rule_classifier, token_counts
+from partwise.llm import byte_bpe, chat_format, id_planes, lattice_lm, license_scan, media_columns, metric_join, mixing, ngram_join, pair_search, prefix_trie, rule_classifier, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +72,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op12_pair_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_search.search(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -90,7 +94,8 @@ QUERIES: dict[str, Query] = {
     "op9_byte_bpe": op9_byte_bpe,
     "op10_rule_classifier": op10_rule_classifier,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_pair_search": op12_pair_search,
     "op13_token_counts": op13_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.SQL, "op6_chat_format": chat_format.SQL, "op11_prefix_trie": prefix_trie.SQL}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.SQL, "op6_chat_format": chat_format.SQL, "op11_prefix_trie": prefix_trie.SQL, "op12_pair_search": pair_search.SQL}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -193,20 +194,28 @@ def B03_normalize_and_tokenize(spark, sf_dir):
     return rows.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"), F.size(F.filter("tokens", lambda t: t.rlike(r"^\s"))).cast("long").alias("n_blank"))
 
 
-_PIECES = r"(?i)</?(?:b|i|u|font)\s*>|<font\s[^<>]*>|[^<]+|<"
-_MARKED = "SELECT page_id, html, row_number() OVER (PARTITION BY page_id ORDER BY i) AS rn, at_, at_ + length(piece) AS after_, lower(regexp_extract(piece, '(?i)^</?(b|i|u|font)[\\s>]', 1)) AS name, piece[1:2] = '</' AS closing FROM (SELECT page_id, html, i, p[i] AS piece, coalesce(sum(length(p[i])) OVER (PARTITION BY page_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at_ FROM (SELECT page_id, html, p, unnest(generate_series(1, len(p))) AS i FROM (SELECT page_id, html, regexp_extract_all(html, '" + _PIECES + "') AS p FROM pages))) WHERE regexp_matches(piece, '(?i)^</?(b|i|u|font)[\\s>]')"
+#: Pages whose simple tags some have blanks, attributes or font names, each kind in a seventh of them.
+_VARIANTS = (("<b>", "<b >"), ("</b>", "</b >"), ("<p>", '<font color="x">'), ("<p>", "<FONT\tsize=1>"), ("</p>", "</font >"))
+_TAGGED = "SELECT page_id, CASE page_id % 7 " + " ".join(f"WHEN {k + 1} THEN replace(html, '{a}', '{b}')" for k, (a, b) in enumerate(_VARIANTS[:2])) + r""" WHEN 3 THEN replace(replace(html, '<p>', '<font color="x">'), '</p>', '</font>')
+    WHEN 4 THEN replace(replace(html, '<p>', '<FONT' || chr(9) || 'size=1>'), '</p>', '</font>') WHEN 5 THEN replace(replace(html, '<p>', '<font>'), '</p>', '</font >') ELSE html END AS html FROM pages"""
+_PIECES = r"(?i)</?(?:b|i|u|font)>|</?font[ \t]+[^<>]*>|[^<]+|<"
+_MARKED = "SELECT page_id, html, row_number() OVER (PARTITION BY page_id ORDER BY i) AS rn, at_, at_ + length(piece) AS after_, lower(regexp_extract(piece, '(?i)^</?(b|i|u|font)[ \\t>]', 1)) AS name, piece[1:2] = '</' AS closing FROM (SELECT page_id, html, i, p[i] AS piece, coalesce(sum(length(p[i])) OVER (PARTITION BY page_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at_ FROM (SELECT page_id, html, p, unnest(generate_series(1, len(p))) AS i FROM (SELECT page_id, html, regexp_extract_all(html, '" + _PIECES + "') AS p FROM tagged ))) WHERE regexp_matches(piece, '(?i)^<(b|i|u|font)[ \\t>]|^</(b|i|u|font)>')"
 _WALK = """SELECT page_id, 0::BIGINT AS rn, []::VARCHAR[] AS open_, []::BIGINT[] AS starts, 0::BIGINT AS removed, 0::BIGINT AS cut, NULL::BIGINT AS first_at FROM (SELECT DISTINCT page_id FROM marked )
     UNION ALL SELECT m.page_id, m.rn, CASE WHEN closes THEN open_[1:len(open_) - 1] WHEN m.closing THEN open_ ELSE list_append(open_, m.name || '|' || (m.after_ - m.at_)::VARCHAR) END, CASE WHEN closes THEN starts[1:len(starts) - 1] WHEN m.closing THEN starts ELSE list_append(starts, m.at_) END,
       removed + CASE WHEN closes THEN 2 ELSE 0 END, cut + CASE WHEN closes THEN m.after_ - m.at_ + split_part(open_[len(open_)], '|', 2)::BIGINT ELSE 0 END, CASE WHEN closes THEN least(coalesce(first_at, starts[len(starts)]), starts[len(starts)]) ELSE first_at END
     FROM (SELECT m.*, w.open_, w.starts, w.removed, w.cut, w.first_at, m.closing AND len(w.open_) > 0 AND split_part(w.open_[len(w.open_)], '|', 1) = m.name AS closes FROM walk w JOIN marked m ON m.page_id = w.page_id AND m.rn = w.rn + 1) m"""
 
 
-@query(sql(r"""SELECT p.page_id, coalesce(removed, 0) AS removed, length(p.html) - coalesce(cut, 0) AS chars, CASE WHEN first_at IS NOT NULL THEN len(regexp_extract_all(substr(p.html, 1, first_at + 1), '[ \t\n\x0b\f\r]+|[^ \t\n\x0b\f\r]+')) - 1 END AS first_token
-    FROM pages p LEFT JOIN (SELECT page_id, arg_max(removed, rn) AS removed, arg_max(cut, rn) AS cut, max_by(first_at, rn) AS first_at FROM walk GROUP BY page_id) USING (page_id)""", marked=_MARKED, walk=_WALK).replace("WITH ", "WITH RECURSIVE ", 1))
+@query(sql(r"""SELECT p.page_id, coalesce(removed, 0) AS removed, length(p.html) - coalesce(cut, 0) AS chars, CASE WHEN first_at IS NOT NULL THEN len(regexp_extract_all(substr(p.html, 1, first_at + 1), '[ \t\n\x0b\f\r]+|[^ \t\n\x0b\f\r]+')) - 1 END AS first_token,
+    len(regexp_extract_all(p.html, '<[^<>]*>')) - coalesce(removed, 0) AS unhandled
+    FROM tagged p LEFT JOIN (SELECT page_id, arg_max(removed, rn) AS removed, arg_max(cut, rn) AS cut, max_by(first_at, rn) AS first_at FROM walk GROUP BY page_id) USING (page_id)""", tagged=_TAGGED, marked=_MARKED, walk=_WALK).replace("WITH ", "WITH RECURSIVE ", 1))
 def B04_strip_markup(spark, sf_dir):
-    """Pages without their closed simple tags, and the token where the first one stood."""
-    found = cu.strip_markup(inputs.table(spark, sf_dir, "pages").select("page_id", "html"), "html")
-    return found.select("page_id", F.size("corrections").cast("long").alias("removed"), F.length("stripped").cast("long").alias("chars"), F.get("corrections", F.lit(0))["first_token"].cast("long").alias("first_token"))
+    """Pages without their closed simple tags, the token where the first one stood, and how many tags are left to be told of."""
+    pages, k = inputs.table(spark, sf_dir, "pages"), F.col("page_id") % 7
+    to = lambda *pairs: reduce(lambda c, p: F.replace(c, F.lit(p[0]), F.lit(p[1])), pairs, F.col("html"))
+    html = (F.when(k == 1, to(_VARIANTS[0])).when(k == 2, to(_VARIANTS[1])).when(k == 3, to(_VARIANTS[2], ("</p>", "</font>"))).when(k == 4, to(_VARIANTS[3], ("</p>", "</font>"))).when(k == 5, to(("<p>", "<font>"), _VARIANTS[4])).otherwise(F.col("html")))
+    found = cu.strip_markup(pages.select("page_id", html.alias("html")), "html")
+    return found.select("page_id", F.size("corrections").cast("long").alias("removed"), F.length("stripped").cast("long").alias("chars"), F.get("corrections", F.lit(0))["first_token"].cast("long").alias("first_token"), F.size("diagnostics").cast("long").alias("unhandled"))
 
 
 _PAGE_URLS = "SELECT page_id, CASE WHEN page_id % 4 = 1 THEN replace(url, '://', '://user:secret@') WHEN page_id % 4 = 2 THEN regexp_replace(url, '^([a-z]+://[^/?#]*)', '\\1:8443') ELSE url END AS url FROM pages"

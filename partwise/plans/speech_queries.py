@@ -22,26 +22,33 @@ def _asr(spark, sf_dir) -> DataFrame:
     """ASR cues in given order, some repeated, backwards or blank."""
     o = F.col("source_ordinal")
     envelope = Window.partitionBy("part_id")
-    rows = inputs.cues(spark, sf_dir).withColumns({"c_start": F.min("start_t").over(envelope), "c_end": F.max("end_t").over(envelope) - 3000})
+    rows = inputs.cues(spark, sf_dir).withColumns({"c_start": F.min("start_t").over(envelope), "c_end": F.greatest(F.min("start_t").over(envelope), F.max("end_t").over(envelope) - 3000)})
     return rows.select("part_id", o.alias("pos"), F.when(o % 5 == 4, o - 2).otherwise(o).alias("ordinal"), "start_t", "end_t", F.when((F.col("part_id") + o) % 11 == 0, 0).otherwise(F.length(F.regexp_replace("text", r"(?U)\s+", ""))).cast("long").alias("visible"), "c_start", "c_end")
 
 
 _ASR = rf"""SELECT part_id, source_ordinal AS pos, CASE WHEN source_ordinal % 5 = 4 THEN source_ordinal - 2 ELSE source_ordinal END AS ordinal, start_t, end_t,
-    CASE WHEN (part_id + source_ordinal) % 11 = 0 THEN 0 ELSE length(regexp_replace(text, {_BLANK}, '', 'g')) END AS visible, min(start_t) OVER (PARTITION BY part_id) AS c_start, max(end_t) OVER (PARTITION BY part_id) - 3000 AS c_end FROM cues """
+    CASE WHEN (part_id + source_ordinal) % 11 = 0 THEN 0 ELSE length(regexp_replace(text, {_BLANK}, '', 'g')) END AS visible, min(start_t) OVER (PARTITION BY part_id) AS c_start, greatest(min(start_t) OVER (PARTITION BY part_id), max(end_t) OVER (PARTITION BY part_id) - 3000) AS c_end FROM cues """
 
 
 _GATE_ORDER = "SELECT *, row_number() OVER (PARTITION BY part_id ORDER BY pos) AS rn FROM asr "
-_GATE_FOLD = """SELECT part_id, 0::BIGINT AS rn, NULL::BIGINT AS ordinal, NULL::VARCHAR AS reason, NULL::BIGINT AS lo, NULL::BIGINT AS ls, NULL::BIGINT AS le FROM (SELECT DISTINCT part_id FROM asr )
-    UNION ALL SELECT n.part_id, n.rn, n.ordinal, n.reason, CASE WHEN n.reason IS NULL THEN n.ordinal ELSE n.lo END, CASE WHEN n.reason IS NULL THEN n.start_t ELSE n.ls END, CASE WHEN n.reason IS NULL THEN n.end_t ELSE n.le END FROM (
+_GATE_FOLD = """SELECT part_id, 0::BIGINT AS rn, NULL::BIGINT AS ordinal, NULL::VARCHAR AS reason, NULL::BIGINT AS raw_start, NULL::BIGINT AS raw_end, NULL::BIGINT AS lo, NULL::BIGINT AS ls, NULL::BIGINT AS le FROM (SELECT DISTINCT part_id FROM asr )
+    UNION ALL SELECT n.part_id, n.rn, n.ordinal, n.reason, n.start_t, n.end_t, CASE WHEN n.reason IS NULL THEN n.ordinal ELSE n.lo END, CASE WHEN n.reason IS NULL THEN n.start_t ELSE n.ls END, CASE WHEN n.reason IS NULL THEN n.end_t ELSE n.le END FROM (
       SELECT o.*, f.lo, f.ls, f.le, CASE WHEN o.start_t < o.c_start OR o.end_t > o.c_end THEN 'out_of_coverage' WHEN f.lo IS NOT NULL AND (o.ordinal <= f.lo OR o.start_t < f.ls) THEN 'non_monotonic'
         WHEN f.lo IS NOT NULL AND o.start_t < f.le THEN 'processing_duplication' WHEN o.visible = 0 THEN 'missing_text' WHEN o.end_t - o.start_t < 20 * o.visible OR o.end_t - o.start_t > 400 * o.visible THEN 'duration_implausible' END AS reason
       FROM fold f JOIN gated o ON o.part_id = f.part_id AND o.rn = f.rn + 1) n"""
 
 
-@query(sql("SELECT part_id, ordinal, reason FROM fold WHERE rn > 0", asr=_ASR, gated=_GATE_ORDER, fold=_GATE_FOLD).replace("WITH ", "WITH RECURSIVE ", 1))
+_LINE = "SELECT part_id, c_start, coalesce(sum(c_end - c_start) OVER (PARTITION BY part_id // 10 ORDER BY part_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS offset_t FROM (SELECT DISTINCT part_id, c_start, c_end FROM asr )"
+
+
+@query(sql("""SELECT part_id, ordinal, reason, raw_start, raw_end, CASE WHEN reason IS NULL THEN raw_start - c_start END AS part_start, CASE WHEN reason IS NULL THEN raw_end - c_start END AS part_end,
+    CASE WHEN reason IS NULL THEN raw_start - c_start + offset_t END AS collection_start, CASE WHEN reason IS NULL THEN raw_end - c_start + offset_t END AS collection_end FROM fold JOIN line USING (part_id) WHERE rn > 0""",
+    asr=_ASR, gated=_GATE_ORDER, fold=_GATE_FOLD, line=_LINE).replace("WITH ", "WITH RECURSIVE ", 1))
 def E10_asr_monotonic_gate(spark, sf_dir):
-    """ASR cues gated in order against the last admitted one."""
-    return folds.gate_cues(_asr(spark, sf_dir))
+    """ASR cues gated in order against the last admitted one, each in raw, part and collection time."""
+    cues = _asr(spark, sf_dir)
+    parts = cues.groupBy("part_id").agg(F.min("c_start").alias("start_t"), F.min("c_end").alias("end_t")).select(F.floor(F.col("part_id") / 10).alias("collection"), "part_id", F.col("part_id").alias("part_pos"), "start_t", "end_t")
+    return folds.gate_on_timeline(cues, parts).drop("pos")
 
 
 _ORDERED = f"SELECT *, row_number() OVER (PARTITION BY part_id ORDER BY start_t) AS rn, max(end_t - start_t) OVER (PARTITION BY part_id) AS longest FROM {interval_queries._RUNS}"

@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def ticks(number: str, base: str, per_second: int, numerator: str = "1") -> Column:
-    """number * numerator / base seconds as whole ticks of per_second, a multiple of base; exact, and an error beyond 64 bits."""
-    return F.expr(f"cast(cast({number} as decimal(19,0)) * cast({numerator} as decimal(9,0)) * ({per_second} div {base}) as bigint)")
+#: Why a time has no ticks.
+BASE_INVALID, BASE_NOT_COMMON, OUT_OF_RANGE = "time_base_invalid", "time_base_not_common", "ticks_out_of_range"
+
+
+def ticks(number: str, base: str, per_second: str | int, numerator: str = "1") -> Column:
+    """struct<ticks, reason>: number * numerator / base seconds as whole ticks of per_second (a column or a number), exactly.
+
+    Without ticks, and with a reason, are a base or numerator that is null or not above zero (time_base_invalid), a base
+    that does not divide per_second (time_base_not_common) and ticks beyond 64 bits (ticks_out_of_range). A null number
+    has neither.
+    """
+    reason = F.when(F.expr(f"not coalesce({base} > 0 and {numerator} > 0, false)"), BASE_INVALID).when(F.expr(f"coalesce({per_second} % nullif({base}, 0) <> 0, true)"), BASE_NOT_COMMON)
+    exact = lambda c: f"cast({c} as decimal(19,0))"
+    value = F.expr(f"try_cast(try_multiply(try_multiply({exact(number)}, {exact(numerator)}), {exact(f'{per_second} div nullif({base}, 0)')}) as bigint)")
+    found = F.when(reason.isNull(), value)
+    return F.struct(found.alias("ticks"), F.coalesce(reason, F.when(F.expr(f"{number} is not null") & found.isNull(), OUT_OF_RANGE)).alias("reason"))
+
+
+def least_common(bases: DataFrame, base: str) -> DataFrame:
+    """(per_second): one row, the least number that all bases above zero divide; null beyond 64 bits, 1 without any.
+
+    Distinct bases meet in one row: real time bases are a handful.
+    """
+    gcd = "aggregate(sequence(1, 93), struct(s as a, b as b), (e, i) -> if(e.b = 0, e, struct(e.b as a, e.a % nullif(e.b, 0) as b))).a"  # Euclid's steps within 64 bits
+    return bases.where(f"{base} > 0").agg(F.expr(f"aggregate(sort_array(collect_set(cast({base} as bigint))), 1L, (s, b) -> try_multiply(s div {gcd}, b))").alias("per_second"))
 
 
 def outward(start: str, end: str, per_ms: int) -> tuple[Column, Column]:

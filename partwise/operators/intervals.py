@@ -109,10 +109,12 @@ def sweep(sides: list[DataFrame], keys: list[str], payload: Column | None = None
 def carve(base: DataFrame, minus: DataFrame, keys: list[str]) -> DataFrame:
     """What is left of base intervals without the union of minus, with their other columns, in one pass.
 
-    The base intervals of a key must not overlap each other (subtract is for those that may).
+    The base intervals of a key must not overlap each other: the job fails where they do (subtract is for those that may).
     """
     own = [c for c in base.columns if c not in (*keys, "start_t", "end_t")]
-    found = sweep([base, minus], keys, F.struct(F.lit(1).alias("_"), *own)).where("n0 > 0 and n1 = 0")
+    refused = F.raise_error(F.concat(F.lit("base intervals overlap from "), F.col("start_t").cast("string"), F.lit("; use subtract"))).cast("boolean")
+    kept = F.when(F.col("n0") > 1, refused).otherwise((F.col("n0") > 0) & (F.col("n1") == 0))
+    found = sweep([base, minus], keys, F.struct(F.lit(1).alias("_"), *own)).where(kept)
     return found.select(*keys, *[F.col(f"_p.{c}").alias(c) for c in own], "start_t", "end_t")
 
 

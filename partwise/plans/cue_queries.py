@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -167,15 +166,17 @@ _BASE = "CASE user_id % 3 WHEN 0 THEN 1000 WHEN 1 THEN 90000 ELSE 48000 END"
 _TICKS = f"event_id * (user_id % 2 + 1) * (720000 // ({_BASE}))"
 
 
-@query(f"""SELECT event_id, part_id, ticks, CASE WHEN ticks >= origin THEN ticks - origin END AS relative, CASE WHEN ticks < origin THEN 'part_relative_negative' END AS reason FROM (
+@query(f"""SELECT event_id, part_id, ticks, CASE WHEN ticks >= origin THEN ticks - origin END AS relative, CASE WHEN ticks < origin THEN 'part_relative_negative' END AS reason,
+      CASE WHEN part_id % 3 = 0 THEN event_id * (part_id % 2 + 1) END AS in_ms, CASE WHEN part_id % 3 <> 0 THEN 'time_base_not_common' END AS ms_reason FROM (
     SELECT event_id, user_id AS part_id, {_TICKS} AS ticks, min({_TICKS}) FILTER (event_id % 10 <> 0) OVER (PARTITION BY user_id) AS origin FROM events)""")
 def B01_exact_ticks(spark, sf_dir):
-    """Presentation times of mixed bases as ticks of their least common denominator, and from the part's start; times before it are refused."""
+    """Presentation times of mixed bases as ticks of their least common denominator, and from the part's start; times before it are refused, and so is a thousandth of a second for bases that do not divide it."""
     rows = inputs.table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("part_id"), F.expr("user_id % 2 + 1").alias("tb_num"), F.expr(_BASE.replace("THEN 1000", "THEN 1000L")).alias("tb_den"))
-    per_second = math.lcm(*[r[0] for r in rows.select("tb_den").distinct().collect()] or [1])  # a few bases
-    exact = rows.withColumn("ticks", columns.ticks("event_id", "tb_den", per_second, "tb_num")).withColumn("origin", F.min(F.when(F.col("event_id") % 10 != 0, F.col("ticks"))).over(Window.partitionBy("part_id")))
+    shared = rows.withColumn("per_second", columns.least_common(rows, "tb_den").scalar())
+    exact = shared.withColumn("t", columns.ticks("event_id", "tb_den", "per_second", "tb_num")).withColumn("ms", columns.ticks("event_id", "tb_den", 1000, "tb_num")).withColumn("ticks", F.col("t.ticks"))
+    exact = exact.withColumn("origin", F.min(F.when(F.col("event_id") % 10 != 0, F.col("ticks"))).over(Window.partitionBy("part_id")))
     late = F.col("ticks") >= F.col("origin")
-    return exact.select("event_id", "part_id", "ticks", F.when(late, F.col("ticks") - F.col("origin")).alias("relative"), F.when(F.col("ticks") < F.col("origin"), "part_relative_negative").alias("reason"))
+    return exact.select("event_id", "part_id", "ticks", F.when(late, F.col("ticks") - F.col("origin")).alias("relative"), F.coalesce(F.col("t.reason"), F.when(F.col("ticks") < F.col("origin"), "part_relative_negative")).alias("reason"), F.col("ms.ticks").alias("in_ms"), F.col("ms.reason").alias("ms_reason"))
 
 
 @query(sql(f"SELECT event_id, floor(s / 1000.0)::BIGINT AS start_ms, ceil(e / 1000.0)::BIGINT AS end_ms, CASE WHEN s >= 0 THEN {_stamp_sql('((s // 1000) % 86400000)')} END AS start_s FROM (SELECT event_id, CASE WHEN event_id % 3 = 1 THEN -end_t - 7 ELSE start_t + 7 END AS s, CASE WHEN event_id % 3 = 1 THEN -start_t - 7 ELSE end_t + 7 END AS e FROM packets )"))

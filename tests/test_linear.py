@@ -4,8 +4,10 @@ import random
 import time
 
 import pytest
+from partwise.functions import columns
 from partwise.operators import cues as cu
 from partwise.operators import folds
+from partwise.operators import intervals as iv
 from pyspark.sql import functions as F
 
 N = 100_000
@@ -83,3 +85,30 @@ def test_every_coordinate_of_a_cue(spark):
     assert found == {
         (1, 0): (None, 100, 300, 0, 200, 0, 200), (1, 1): ("out_of_coverage", 90, 300, *none), (1, 2): ("out_of_coverage", 400, 601, *none), (2, 0): (None, 1000, 1200, 0, 200, 500, 700),
         (2, 1): ("processing_duplication", 1100, 1300, *none), (2, 2): ("missing_text", 1200, 1400, *none), (3, 0): ("out_of_coverage", 0, 200, *none)}
+
+
+def test_ticks_are_exact_or_refused(spark):
+    rows = [(90_000, 90_000, 1), (90_000, 90_000, 2), (-1, 1000, 1), (5, 0, 1), (5, None, 1), (5, -3, 1), (5, 1000, 0), (2**62, 1000, 1), (None, 1000, 1), (7, 7, 1)]
+    df = spark.createDataFrame(rows, "n long, base long, num long").select(columns.ticks("n", "base", 90_000, "num").alias("t"), columns.ticks("n", "base", 1000, "num").alias("ms"))
+    found = [(tuple(r.t), tuple(r.ms)) for r in df.collect()]
+    none = lambda reason: (None, reason)
+    assert found == [
+        ((90_000, None), none("time_base_not_common")), ((180_000, None), none("time_base_not_common")), ((-90, None), (-1, None)), *[(none("time_base_invalid"),) * 2] * 4,
+        (none("ticks_out_of_range"), (2**62, None)), ((None, None), (None, None)), (none("time_base_not_common"),) * 2]
+
+
+def test_least_common_base(spark):
+    import math
+
+    of = lambda bases: columns.least_common(spark.createDataFrame([(b,) for b in bases], "b long"), "b").first()[0]
+    for bases in ([1000, 90_000, 48_000], [30_000, 1001, 24_000, 0, -5, None], [1], [2**40, 3**14]):
+        assert of(bases) == math.lcm(*[b for b in bases if b and b > 0])
+    assert of([2**62, 3]) is None and of([0]) == 1
+
+
+def test_carve_refuses_overlapping_bases(spark):
+    df = lambda rows: spark.createDataFrame(rows, "k long, start_t long, end_t long, name string")
+    minus = spark.createDataFrame([(1, 2, 3)], "k long, start_t long, end_t long")
+    assert sorted(map(tuple, iv.carve(df([(1, 0, 5, "a"), (1, 5, 9, "b")]), minus, ["k"]).select("k", "start_t", "end_t", "name").collect())) == [(1, 0, 2, "a"), (1, 3, 5, "a"), (1, 5, 9, "b")]
+    with pytest.raises(Exception, match="base intervals overlap"):
+        iv.carve(df([(1, 0, 20, "a"), (1, 5, 10, "b")]), minus, ["k"]).collect()

@@ -14,6 +14,7 @@ from partwise.operators import intervals as iv
 from partwise.plans import inputs
 from partwise.plans.inputs import sql
 from partwise.plans.registry import query
+from partwise.sources import envelopes as env
 from partwise.sources import subtitles as sub
 
 def _lines(spark, sf_dir) -> DataFrame:
@@ -95,25 +96,64 @@ def A04_list_subtitle_tracks(spark, sf_dir):
     return sub.subtitle_tracks(sub.read_probe(docs, "part_id"), "part_id").drop("format")
 
 
-@query(sql("""SELECT 'asr' AS kind, part_id AS id, bool_and(start_t < end_t) AND part_id % 9 <> 4 AS valid, CASE WHEN bool_and(start_t < end_t) AND part_id % 9 <> 4 THEN count(*) ELSE 0 END AS admitted FROM cues GROUP BY part_id
-    UNION ALL SELECT 'ocr', doc_id, doc_id % 9 <> 4 AND doc_id % 11 <> 3 AND length(text) > 0, (doc_id % 9 <> 4 AND doc_id % 11 <> 3 AND length(text) > 0)::BIGINT FROM documents
-    UNION ALL SELECT 'text', part_id, part_id % 8 <> 1, CASE WHEN part_id % 8 <> 1 THEN 2 ELSE 0 END FROM cues GROUP BY part_id"""))
+#: What is done to an envelope's JSON, and the rule that it breaks then (none: it stays valid). Cues and items share what stands above them.
+_FAULTS = (
+    (None, ()), ("not_json", (("{", "{{"),)), ("not_an_object", ()), ("schema_version", (('"schema_version":1', '"schema_version":"1"'),)), ("schema_version", (('"schema_version":1', '"schema_version":2'),)),
+    ("projection_schema_version", (('"projection_schema_version":"v1"', '"projection_schema_version":"v0"'),)), ("adapter_identity", (('"adapter_identity"', '"adapter"'),)), ("capability", (('"capability":"', '"capability":"no '),)),
+    ("result", (('"result":{', '"result":null,"r":{'),)),
+)
+_CUE_FAULTS = (
+    ("cues_not_a_list", (('"cues":[', '"cues":{},"c":['),)), ("cue_not_an_object", (('"cues":[', '"cues":[7,'),)), ("cue_field_missing", (('"ordinal":', '"order":'),)), ("cue_ordinal", (('"ordinal":', '"ordinal":-1,"o":'),)), ("cue_ordinal", (('"ordinal":', '"ordinal":true,"o":'),)),
+    ("time_not_an_object", (('"start":{', '"start":5,"s":{'),)), ("time_not_whole", (('"numerator":', '"numerator":"1","n":'),)), ("time_not_whole", (('"denominator":1000', '"denominator":1000.5'),)), ("time_denominator", (('"denominator":1000', '"denominator":0'),)),
+    ("cue_interval", (('"end":{"numerator":', '"end":{"numerator":-1000000000000,"n":'),)), ("cue_text", (('},"text":', '},"text":null,"t":'),)), ("tokens_not_a_list", (('"tokens":[', '"tokens":7,"k":['),)), ("token_not_an_object", (('"tokens":[', '"tokens":["w",'),)),
+    ("token_field_missing", (('0.5,"text":', '0.5,"word":'),)), ("token_text", (('0.5,"text":', '0.5,"text":5,"t":'),)), ("token_confidence", (('"confidence":0.5', '"confidence":1.5'),)), ("token_confidence", (('"confidence":0.5', '"confidence":"0.5"'),)),
+    ("spans_not_a_list", (('"language_spans":[', '"language_spans":"x","l":['),)), ("span_not_an_object", (('"language_spans":[', '"language_spans":[null,'),)), ("span_field_missing", (('"language":', '"lang":'),)), ("span_language", (('"language":"en"', '"language":""'),)),
+    ("span_index", (('"start_token":0', '"start_token":-1'),)), ("span_index", (('"end_token":', '"end_token":1.5,"e":'),)), ("span_empty", (('"start_token":0', '"start_token":9'),)), ("span_beyond", (('"end_token":', '"end_token":9,"e":'),)), ("span_beyond", (('"tokens":[', '"tokens":null,"k":['),)),
+    (None, (('"tokens":[', '"tokens":null,"k":['), ('"language_spans":[', '"language_spans":null,"l":['))), (None, (('"confidence":0.5,', ""),)), (None, (('"confidence":0.5', '"confidence":1'),)),
+)
+_ITEM_FAULTS = (
+    ("items_not_a_list", (('"items":[', '"items":"x","c":['),)), ("item_not_an_object", (('"items":[', '"items":["x",'),)), ("item_field_missing", (('"confidence":0.5,', ""),)), ("item_part", (('"part_id":"p"', '"part_id":""'),)), ("item_page", (('"visual_page_id":"', '"visual_page_id":1,"v":"'),)),
+    ("time_denominator", (('"denominator":1000', '"denominator":-1'),)), ("item_text", (('},"text":', '},"text":[],"t":'),)), ("item_confidence", (('"confidence":0.5', '"confidence":-0.1'),)), ("item_confidence", (('"confidence":0.5', '"confidence":null'),)), ("span_beyond", (('"end_char":', '"end_char":1000000,"e":'),)),
+)
+
+
+def _detail_sql(number: str, faults: tuple) -> str:
+    return f"CASE {number} % {len(faults)} " + " ".join(f"WHEN {i} THEN '{code}'" for i, (code, _) in enumerate(faults) if code) + " END"
+
+
+def _spoiled(number, body, faults: tuple):
+    out = body
+    for i, (code, edits) in enumerate(faults):
+        bad = F.concat(F.lit("["), body, F.lit("]")) if code == "not_an_object" else reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), edits, body)
+        out = F.when(number % len(faults) == i, bad).otherwise(out)
+    return out
+
+
+_ASR_FAULTS, _OCR_FAULTS = _FAULTS + _CUE_FAULTS, _FAULTS + _ITEM_FAULTS
+_DETAILS = f"SELECT 'asr' AS kind, part_id AS id, n, {_detail_sql('part_id', _ASR_FAULTS)} AS detail FROM (SELECT part_id, count(*) AS n FROM cues GROUP BY part_id) UNION ALL SELECT 'ocr', doc_id, 1, {_detail_sql('doc_id', _OCR_FAULTS)} FROM documents"
+
+
+@query(sql("""SELECT kind, id, detail IS NULL AS valid, detail, CASE WHEN detail IS NULL THEN n ELSE 0 END AS admitted FROM details
+    UNION ALL SELECT 'text', part_id, part_id % 8 <> 1, CASE WHEN part_id % 8 = 1 THEN 'model_output_invalid' END, CASE WHEN part_id % 8 <> 1 THEN 2 ELSE 0 END FROM cues GROUP BY part_id""", details=_DETAILS))
 def A05_read_model_outputs(spark, sf_dir):
-    """Model output envelopes of speech, screen text and prose, fenced or not; a breach refuses all of one."""
+    """Model output envelopes of speech, screen text and prose, fenced or not; a breach refuses all of one and is told."""
     cues, docs = inputs.cues(spark, sf_dir), inputs.table(spark, sf_dir, "documents")
-    head = lambda kind, version, adapter: [version.alias("schema_version"), F.lit("v1").alias("projection_version"), adapter.alias("adapter"), F.lit(kind).alias("capability")]
     fenced = lambda body: F.when(F.col("id") % 2 == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).otherwise(body).alias("json")
-    span = F.array(F.struct(F.lit("en").alias("language"), F.lit(0).alias("start_char"), (F.length("text") + F.when(F.col("doc_id") % 9 == 4, 1).otherwise(0)).alias("end_char")))
-    cue = F.struct("text", "start_t", "end_t", F.lit(0.5).alias("confidence"))
-    asr = cues.groupBy(F.col("part_id").alias("id")).agg(F.collect_list(cue).alias("cues"))
-    asr = asr.select("id", fenced(F.to_json(F.struct(*head("asr", F.when(F.col("id") % 9 == 4, 2).otherwise(1), F.lit("a")), "cues"))))
-    item = F.struct(F.lit("p").alias("part_id"), F.lit("page-01").alias("visual_page_id"), F.struct(F.col("doc_id").alias("numerator"), F.lit(1000).alias("denominator")).alias("pts"), "text", F.when(F.col("doc_id") % 11 == 3, 1.5).otherwise(0.5).alias("confidence"), span.alias("language_spans"))
-    ocr = docs.select(F.col("doc_id").alias("id"), F.struct(F.array(item).alias("items")).alias("result")).select("id", fenced(F.to_json(F.struct(*head("ocr", F.lit(1), F.lit("a")), "result"))))
+    head = lambda kind: [F.lit(1).alias("schema_version"), F.lit("v1").alias("projection_schema_version"), F.lit("a1").alias("adapter_identity"), F.lit(kind).alias("capability")]
+    time = lambda c: F.struct(c.alias("numerator"), F.lit(1000).alias("denominator"))
+    span = lambda unit, end: F.array(F.struct(F.lit("en").alias("language"), F.lit(0).alias(f"start_{unit}"), end.alias(f"end_{unit}"))).alias("language_spans")
+    token = F.array(F.struct(F.lit(0.5).alias("confidence"), "text")).alias("tokens")
+    cue = F.struct(F.col("source_ordinal").alias("ordinal"), time(F.col("start_t")).alias("start"), time(F.greatest(F.col("end_t"), F.col("start_t") + 1)).alias("end"), "text", token, span("token", F.lit(1)))
+    asr = cues.groupBy(F.col("part_id").alias("id")).agg(F.struct(F.collect_list(cue).alias("cues")).alias("result")).select("id", F.to_json(F.struct(*head("asr"), "result")).alias("body"))
+    item = F.struct(F.lit("p").alias("part_id"), F.lit("page-01").alias("visual_page_id"), F.lit(0.5).alias("confidence"), time(F.col("doc_id")).alias("pts"), F.concat(F.lit("-"), F.coalesce("text", F.lit(""))).alias("text"), span("char", F.lit(1)))
+    ocr = docs.select(F.col("doc_id").alias("id"), F.struct(F.array(item).alias("items")).alias("result")).select("id", F.to_json(F.struct(*head("ocr"), "result")).alias("body"))
+    admitted = F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("admitted")
+    strict = lambda df, kind, faults: env.read_strict(df.select("id", fenced(_spoiled(F.col("id"), F.col("body"), faults))), "id", kind=kind, projection="v1", adapter="a1", capabilities=(kind,)).select(F.lit(kind).alias("kind"), "id", (F.col("state") == "projected").alias("valid"), "detail", admitted)
     prose = cues.groupBy(F.col("part_id").alias("id")).agg(F.create_map(F.lit("title"), F.min("role"), F.lit("summary"), F.max("role")).alias("result"))
-    prose = prose.select("id", fenced(F.to_json(F.struct(*head("text", F.lit(1), F.when(F.col("id") % 8 == 1, "").otherwise("a")), "result"))))
-    read = lambda df, kind: sub.read_envelopes(df, "id", kind=kind).select(F.lit(kind).alias("kind"), "id", "valid", F.when(F.col("valid"), F.size("items")).otherwise(0).cast("long").alias("admitted"))
-    return read(asr, "asr").unionByName(read(ocr, "ocr")).unionByName(read(prose, "text"))
-
+    loose = [F.lit(1).alias("schema_version"), F.lit("v1").alias("projection_version"), F.when(F.col("id") % 8 == 1, "").otherwise("a").alias("adapter"), F.lit("text").alias("capability")]
+    text = sub.read_envelopes(prose.select("id", fenced(F.to_json(F.struct(*loose, "result")))), "id", kind="text")
+    text = text.select(F.lit("text").alias("kind"), "id", "valid", F.col("reason").alias("detail"), F.when(F.col("valid"), F.size("items")).otherwise(0).cast("long").alias("admitted"))
+    return strict(asr, "asr", _ASR_FAULTS).unionByName(strict(ocr, "ocr", _OCR_FAULTS)).unionByName(text)
 
 
 @query(sql("SELECT part_id, source_ordinal, text, start_t, end_t, 'asr' AS provenance FROM cues"))

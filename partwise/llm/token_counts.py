@@ -218,7 +218,8 @@ class LengthTable:
 def frequent(documents: DataFrame, tokenizer_json: str, rows: int = TABLE_ROWS, size: int = TABLE_SIZE, special_as_text: bool = False) -> LengthTable:
     """The most frequent short pre-tokens of about `rows` rows drawn from the whole table, at most `size` of them, with their lengths.
 
-    A task adds up its own rows first and sends on its `size` heaviest; what the driver gets is bounded by `size`.
+    A task adds up its own rows first and sends on an eighth of `size` at most, its heaviest; words seen once in all are
+    not frequent. What the driver gets is bounded by `size`.
     """
     shared = documents.sparkSession.sparkContext.broadcast(tokenizer_json)
 
@@ -231,12 +232,12 @@ def frequent(documents: DataFrame, tokenizer_json: str, rows: int = TABLE_ROWS,
                         sums[word] = sums.get(word, 0) + n
                 if len(sums) > 4 * size:
                     sums = dict(sorted(sums.items(), key=lambda x: -x[1])[:size])
-        best = sorted(sums.items(), key=lambda x: (-x[1], x[0]))[:size]
+        best = sorted(sums.items(), key=lambda x: (-x[1], x[0]))[: -(-size // 8)]
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in best], pa.binary()), pa.array([n for _, n in best], pa.int64())], ["word", "n"])
 
     total = documents.count()
     drawn = documents.select(documents["text"].cast("string").alias("text")).sample(min(1.0, rows / total) if total else 1.0, 7)
-    sums = drawn.mapInArrow(counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    sums = drawn.mapInArrow(counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
     words = [bytes(r.word) for r in sums.orderBy(F.desc("n"), "word").limit(size).collect()]
     return LengthTable(words, Cutter(tokenizer_json, special_as_text).counts(words))
 

@@ -9,6 +9,7 @@ from partwise.operators import audit
 from partwise.plans import inputs
 from partwise.plans.inputs import sql
 from partwise.plans.registry import query
+from partwise.sources import journals
 from partwise.sources.subtitles import work_folder
 from partwise.streaming import journal
 
@@ -156,22 +157,40 @@ def D18_calibration_eval(spark, sf_dir):
 _LEGAL = " OR ".join(f"(from_status {'IS NULL' if a is None else f'= {chr(39)}{a}{chr(39)}'} AND to_status IN ({', '.join(chr(39) + b + chr(39) for b in sorted(to))}))" for a, to in journal.EDGES.items() if to)
 
 
-_JOURNAL = """SELECT run_id, line, CASE WHEN run_id % 7 = 2 AND line >= last - 1 THEN NULL WHEN run_id % 5 = 1 AND line > 10 THEN line + 1 ELSE line END AS sequence, CASE WHEN run_id % 6 = 3 AND line % 9 = 5 THEN 'paused' ELSE prev END AS from_status, to_status
+#: How a journal's end is damaged, by run_id % 7: cut within its last record, its last line feed gone, a foreign line in it, a record of another schema, a byte that is no UTF-8.
+_LINE_SQL = """'{"schema_version":' || CASE WHEN run_id % 7 = 4 AND line = 8 THEN '2' ELSE '1' END || ',"kind":"transition","sequence":' || CASE WHEN run_id % 5 = 1 AND line > 10 THEN line + 1 ELSE line END || ',"from":' || coalesce('"' || CASE WHEN run_id % 6 = 3 AND line % 9 = 5 THEN 'paused' ELSE prev END || '"', 'null') || ',"to":"' || to_status || '"}'"""
+_JOURNAL = f"""SELECT run_id, line, last, CASE WHEN run_id % 5 = 1 AND line > 10 THEN line + 1 ELSE line END AS sequence, CASE WHEN run_id % 6 = 3 AND line % 9 = 5 THEN 'paused' ELSE prev END AS from_status, to_status, strlen({_LINE_SQL}) AS bytes,
+    CASE run_id % 7 WHEN 1 THEN line < last WHEN 2 THEN line < last WHEN 3 THEN line < 5 WHEN 4 THEN line < 8 WHEN 5 THEN line < least(last, 6) ELSE true END AS kept
     FROM (SELECT run_id, sequence AS line, to_status, lag(to_status) OVER (PARTITION BY run_id ORDER BY sequence) AS prev, max(sequence) OVER (PARTITION BY run_id) AS last FROM run_events )"""
-_REPLAYED = f"""SELECT *, min((whole AND legal AND NOT hole)::INT) OVER (PARTITION BY run_id ORDER BY line ROWS UNBOUNDED PRECEDING) AS good FROM (
-    SELECT run_id, line, sequence, to_status, sequence IS NOT NULL AS whole, coalesce(sequence <> coalesce(lag(sequence) OVER w + 1, 1), false) AS hole, coalesce({_LEGAL.replace('from_status', 'prev')}, false) AND given IS NOT DISTINCT FROM prev AS legal
-    FROM (SELECT run_id, line, sequence, to_status, from_status AS given, lag(to_status) OVER (PARTITION BY run_id ORDER BY line) AS prev FROM journal_lines ) WINDOW w AS (PARTITION BY run_id ORDER BY line))"""
+_REPLAYED = f"""SELECT *, min((legal AND NOT hole)::INT) OVER (PARTITION BY run_id ORDER BY line ROWS UNBOUNDED PRECEDING) AS good FROM (
+    SELECT run_id, line, sequence, to_status, bytes, coalesce(sequence <> coalesce(lag(sequence) OVER w + 1, 1), false) AS hole, coalesce({_LEGAL.replace('from_status', 'prev')}, false) AND given IS NOT DISTINCT FROM prev AS legal
+    FROM (SELECT run_id, line, sequence, to_status, bytes, from_status AS given, lag(to_status) OVER (PARTITION BY run_id ORDER BY line) AS prev FROM journal_lines WHERE kept) WINDOW w AS (PARTITION BY run_id ORDER BY line))"""
 
 
-@query(sql("""SELECT run_id, arg_max(to_status, line) FILTER (whole) AS status, coalesce(max(sequence) FILTER (whole), 0) + 1 AS next_sequence, count(*) FILTER (whole AND NOT legal) AS illegal, count(*) FILTER (whole AND hole) AS holes, sum(good)::BIGINT AS valid_prefix, count(*) FILTER (NOT whole) AS torn FROM replayed GROUP BY run_id""", journal_lines=_JOURNAL, replayed=_REPLAYED))
+@query(sql("""SELECT run_id, status, coalesce(next_sequence, 1) AS next_sequence, coalesce(illegal, 0) AS illegal, coalesce(holes, 0) AS holes, coalesce(valid_prefix, 0) AS valid_prefix, dropped, coalesce(size, 0) AS size FROM (
+      SELECT run_id, count(*) FILTER (NOT kept) + (run_id % 7 = 3 AND max(last) >= 5)::INT AS dropped FROM journal_lines GROUP BY run_id) LEFT JOIN (
+      SELECT run_id, arg_max(to_status, line) AS status, max(sequence) + 1 AS next_sequence, count(*) FILTER (NOT legal) AS illegal, count(*) FILTER (hole) AS holes, sum(good)::BIGINT AS valid_prefix, sum(bytes + 1)::BIGINT AS size FROM replayed GROUP BY run_id) USING (run_id)""", journal_lines=_JOURNAL, replayed=_REPLAYED))
 def E13_journal_replay(spark, sf_dir):
-    """Each run's status, its illegal steps and holes, its longest valid beginning and its torn tail."""
+    """Journals read from bytes: what a repair of a torn tail keeps and drops, and what the kept events say of each run."""
     order = Window.partitionBy("run_id").orderBy("sequence")
     rows = inputs.run_events(spark, sf_dir).select("run_id", F.col("sequence").alias("line"), F.lag("to_status").over(order).alias("prev"), F.max("sequence").over(Window.partitionBy("run_id")).alias("last"), "to_status")
     r, line = F.col("run_id"), F.col("line")
-    sequence = F.when((r % 7 == 2) & (line >= F.col("last") - 1), F.lit(None)).when((r % 5 == 1) & (line > 10), line + 1).otherwise(line)
     given = F.when((r % 6 == 3) & (line % 9 == 5), "paused").otherwise(F.col("prev"))
-    return audit.replay(rows.select("run_id", "line", sequence.alias("sequence"), given.alias("from_status"), "to_status"), journal.EDGES)
+    text = F.concat(F.lit('{"schema_version":'), F.when((r % 7 == 4) & (line == 8), "2").otherwise("1"), F.lit(',"kind":"transition","sequence":'), F.when((r % 5 == 1) & (line > 10), line + 1).otherwise(line).cast("string"), F.lit(',"from":'),
+                    F.coalesce(F.when(given.isNotNull() & F.col("prev").isNotNull(), F.concat(F.lit('"'), given, F.lit('"'))), F.lit("null")), F.lit(',"to":"'), "to_status", F.lit('"}'))
+    text = F.when((r % 7 == 3) & (line == 5), F.concat(F.lit("garbage {\n"), text)).otherwise(text)
+    whole = F.encode(F.concat(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line", text.alias("t")))), lambda x: x["t"]), "\n"), F.lit("\n")), "UTF-8").alias("whole")
+    files = rows.groupBy("run_id").agg(whole, F.max("last").alias("last"))
+    cut = lambda n: F.expr(f"substring(whole, 1, length(whole) - {n})")
+    bad = F.expr("concat(substring(whole, 1, length(whole) - 2), unhex('FF'), unhex('7D0A'))")
+    sixth = F.expr("encode(concat_ws('\\n', slice(split(decode(whole, 'UTF-8'), '\\n'), 1, 5), concat(element_at(split(decode(whole, 'UTF-8'), '\\n'), 6), '#')), 'UTF-8')")
+    tail = F.expr("encode(concat_ws('\\n', slice(split(decode(whole, 'UTF-8'), '\\n'), 7, size(split(decode(whole, 'UTF-8'), '\\n')))), 'UTF-8')")
+    wrong = F.when(F.col("last") > 6, F.concat(sixth, F.unhex(F.lit("FF0A")), tail)).when(F.col("last") == 6, F.concat(sixth, F.unhex(F.lit("FF0A")))).otherwise(bad)
+    content = F.when(r % 7 == 1, cut(9)).when(r % 7 == 2, cut(1)).when(r % 7 == 5, wrong).otherwise(F.col("whole"))
+    kept = journals.kept_lines(journals.journal_lines(files.select("run_id", content.alias("content")), "run_id"), "run_id")
+    told = audit.replay(journals.transitions(kept, "run_id"), journal.EDGES).drop("torn")
+    none = {c: F.coalesce(c, F.lit(d).cast("long")) for c, d in (("next_sequence", 1), ("illegal", 0), ("holes", 0), ("valid_prefix", 0))}
+    return journals.repairs(kept, "run_id").select("run_id", "dropped", "size").join(told, "run_id", "left").withColumns(none)
 
 
 @query("""WITH k0 AS (SELECT doc_id AS part_id, doc_id // 50 AS collection, sha256(text) AS h FROM documents), c AS (SELECT collection, sha256('s0|1|' || string_agg(h, '|' ORDER BY h)) AS k FROM k0 GROUP BY collection),
@@ -213,13 +232,15 @@ def I03_project_artifacts(spark, sf_dir):
     return wanted.join(evidence, ["part_id", "basis"], "left").select("part_id", "basis", "ext", status.alias("status"), F.when((F.col("basis") == "asr") & (n > 4), "adopted_alignment").otherwise("original").alias("timing"))
 
 
-@query(sql(f"SELECT run_id, arg_max(to_status, sequence) AS status, max(sequence) + 1 AS next_sequence, count(*) FILTER (NOT legal) AS illegal FROM (SELECT *, coalesce({_LEGAL}, false) AS legal FROM (SELECT *, lag(to_status) OVER (PARTITION BY run_id ORDER BY sequence) AS from_status FROM run_events )) GROUP BY run_id"))
+@query(sql(f"SELECT run_id, arg_max(to_status, sequence) AS status, max(sequence) + 1 AS next_sequence, count(*) FILTER (NOT legal) AS illegal, 0 AS repeated, string_agg(sequence::VARCHAR, ',' ORDER BY sequence) FILTER (NOT legal) AS told FROM (SELECT *, coalesce({_LEGAL}, false) AS legal FROM (SELECT *, lag(to_status) OVER (PARTITION BY run_id ORDER BY sequence) AS from_status FROM run_events )) GROUP BY run_id"))
 def ST01_journal_stream(spark, sf_dir):
-    """The journal followed as a stream, every event of it once, to its last states."""
+    """The journal followed as a stream of several batches, whose files mix each run's events, to its last states and every illegal step."""
     events, states, marks = work_folder(spark), work_folder(spark), work_folder(spark)
-    inputs.run_events(spark, sf_dir).select("run_id", "sequence", "to_status").write.json(events)
-    stream = journal.journal_states(journal.read_journal(spark, events))
-    query_ = stream.writeStream.outputMode("update").foreachBatch(lambda df, i: df.withColumn("batch", F.lit(i)).write.mode("append").parquet(states)).option("checkpointLocation", marks).trigger(availableNow=True).start()
-    query_.awaitTermination()
-    last = F.max_by(F.struct("status", "next_sequence", "illegal"), "batch").alias("s")
-    return spark.read.parquet(states).groupBy("run_id").agg(last).select("run_id", "s.*")
+    rows = inputs.run_events(spark, sf_dir).select("run_id", "sequence", "to_status")
+    rows.repartitionByRange(6, F.xxhash64("run_id", "sequence")).write.json(events)  # six files, three batches
+    journal.followed(journal.read_journal(spark, events, 2), states, marks)
+    found = spark.read.parquet(states)
+    last = F.max_by(F.struct("to_status", "next_sequence", "illegal", "repeated"), F.when(F.col("kind") == "status", F.col("batch"))).alias("s")
+    told = F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("kind") == "illegal", F.col("sequence")))), lambda x: x.cast("string")), ",")
+    states_ = found.groupBy("run_id").agg(last, told.alias("told"))
+    return states_.select("run_id", F.col("s.to_status").alias("status"), "s.next_sequence", "s.illegal", "s.repeated", F.when(F.col("told") != "", F.col("told")).alias("told"))

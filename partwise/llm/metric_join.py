@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from partwise.llm._batches import stored
 from partwise.llm._graph import components
 
-COSINE, CELL, MOST_PIVOTS, SAMPLE = 0.93, 4096, 128, 4096
+COSINE, CELL, MOST_PIVOTS, SAMPLE = 0.93, 4096, 1024, 4096
+FEW = 16  # different vectors of a label that need no pivots
 _SLACK = 1e-9
 
 
@@ -106,6 +107,18 @@ def _sent(classes: DataFrame, large: DataFrame, pivots: dict[int, np.ndarray], r
     return marked.mapInArrow(dealt, "cell string, home boolean, d double, id long, times long, v array<double>")
 
 
+def replicated(classes: DataFrame, radius: float, cell: int = CELL, most_pivots: int = MOST_PIVOTS, sample: int = SAMPLE) -> DataFrame:
+    """_sent of classes (group, v, id, times), with pivots for every group of more than FEW vectors.
+
+    A large group has as many cells as it has blocks of `cell` vectors, so that cells do not cost more copies than blocks
+    would; a smaller one has up to eight.
+    """
+    n = F.col("n")
+    wanted = F.least(F.greatest(F.ceil(n / cell), F.least(F.ceil(F.sqrt(n) / 2), F.lit(8))), F.lit(most_pivots)).cast("int")
+    large = stored(classes.groupBy("group").agg(F.count("*").alias("n")).where(n > FEW).select("group", wanted.alias("k")))
+    return _sent(classes, large, _pivots(classes, large, most_pivots, sample), radius)
+
+
 def _blocked(sent: DataFrame, radius: float, cell: int) -> DataFrame:
     """(cell, ring, block, other, id, times, v): home vectors of each block (other 0) and all that may be near one of them (other 1)."""
     large = stored(sent.groupBy("cell").agg(F.count(F.when(F.col("home"), 1)).alias("homes")).where("homes > 0").select("cell", (F.col("homes") > cell).alias("cut")))
@@ -132,10 +145,8 @@ def near_duplicates(embeddings: DataFrame, cosine: float = COSINE, cell: int = C
     usable = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce((F.size("v") > 0) & finite, F.lit(False))
     rows = rows.withColumn("usable", usable).withColumn("group", F.concat_ws("|", F.col("label").cast("string"), F.size("v").cast("string")))
     classes = stored(rows.where("usable").groupBy("group", "v").agg(F.min("vec_id").alias("id"), F.count("*").alias("times")))
-    wanted = F.least(F.ceil(F.col("n") / cell), F.lit(most_pivots)).cast("int")  # as many cells as blocks, so that cells do not cost more copies
-    large = stored(classes.groupBy("group").agg(F.count("*").alias("n")).where(f"n > {cell}").select("group", wanted.alias("k")))
     radius = float(np.sqrt(2 - 2 * cosine)) + _SLACK
-    sent = stored(_sent(classes, large, _pivots(classes, large, most_pivots, sample), radius))
+    sent = stored(replicated(classes, radius, cell, most_pivots, sample))
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, x = None, np.zeros(0, np.int64), np.zeros((0, 1))

@@ -314,3 +314,17 @@ def test_metric_join_keeps_a_path_whose_links_are_nobodys_smallest(spark):
     df = spark.createDataFrame([(i, at(a), 0) for i, a in angles.items()], "vec_id long, embedding array<double>, label int")
     found = {r.vec_id: (r.n_links, r.component_id) for r in metric_join.near_duplicates(df).collect()}
     assert found == {3: (1, 1), 5: (2, 1), 6: (2, 1), 2: (2, 1), 9: (2, 1), 1: (1, 1), 50: (0, 50)}
+
+
+def test_pivots_of_the_given_labels_replicate_and_prune(spark, sf_small):
+    rows = spark.read.parquet(sf_small.replace("sf0.001", "sf0.01") + "/embeddings.parquet")
+    classes = rows.where("label is not null").select(F.concat_ws("|", F.col("label").cast("string"), F.size("embedding").cast("string")).alias("group"), F.col("embedding").cast("array<double>").alias("v"), F.col("vec_id").cast("long").alias("id"), F.lit(1).cast("long").alias("times"))
+    clustered = spark.createDataFrame([("c|8", [float(j == i % 6) + 0.01 * ((i * 7 + j) % 5) for j in range(8)], 10**6 + i, 1) for i in range(120)], "group string, v array<double>, id long, times long")
+    radius = math.sqrt(2 - 2 * metric_join.COSINE)
+    sent = metric_join.replicated(classes.unionByName(clustered), radius)
+    cells = sent.groupBy(F.regexp_extract("cell", r"^(.*)\|\d+$", 1).alias("group"), "cell").agg(F.count("*").alias("sent"), F.count_if("home").alias("homes"))
+    told = {r.group: r for r in cells.groupBy("group").agg(F.count("*").alias("cells"), F.sum("homes").alias("n"), F.sum("sent").alias("sent"), F.sum(F.col("homes") * F.col("sent")).alias("pairs")).collect()}
+    for group in told.values():
+        assert group.cells == 1 if group.n <= metric_join.FEW else group.cells > 1
+        assert group.n <= group.sent <= group.n * group.cells and group.pairs <= group.n**2
+    assert told["c|8"].pairs < 0.3 * told["c|8"].n ** 2 and told["c|8"].sent < 2 * told["c|8"].n

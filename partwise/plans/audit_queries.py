@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from partwise.operators import audit
+from partwise.operators import audit, publication
 from partwise.plans import inputs
 from partwise.plans.inputs import sql
 from partwise.plans.registry import query
@@ -219,17 +219,41 @@ def H04_first_valid_candidate(spark, sf_dir):
     return inputs.run_events(spark, sf_dir).where("size > 250").groupBy("run_id").agg(F.min_by("event_id", "sequence").alias("candidate"))
 
 
-@query(sql("""SELECT part_id, basis, ext, CASE WHEN n IS NULL THEN 'unavailable' WHEN bad THEN 'invalid' WHEN n < 4 THEN 'partial' ELSE 'valid' END AS status, CASE WHEN basis = 'asr' AND n > 4 THEN 'adopted_alignment' ELSE 'original' END AS timing
-    FROM (SELECT DISTINCT part_id FROM cues ) CROSS JOIN (VALUES ('subtitle'), ('asr')) b(basis) CROSS JOIN (VALUES ('srt'), ('vtt'), ('txt')) x(ext) LEFT JOIN (SELECT part_id, CASE WHEN role = 'user' THEN 'subtitle' ELSE 'asr' END AS basis, count(*) AS n, bool_or(source_ordinal % 7 = 6) AS bad FROM cues WHERE part_id % 5 <> 3 GROUP BY ALL) e USING (part_id, basis)"""))
+_MODE = "CASE collection % 4 WHEN 0 THEN 'subtitle_first' WHEN 1 THEN 'full_asr' WHEN 2 THEN 'enhancement' END"
+_OWN = "CASE collection % 4 WHEN 0 THEN 'source' WHEN 1 THEN 'verbatim' ELSE 'enhanced' END"
+_PLANNED = f"SELECT DISTINCT part_id // 10 AS collection, part_id, {_MODE.replace('collection', '(part_id // 10)')} AS mode FROM cues "
+_TIMED = "min(text) FILTER (source_ordinal % 5 <> 3) AS original, CASE WHEN count(*) > 2 THEN max(text) END AS adopted, count(*) > 3 AS passed, count(*) < 3 AS partial, bool_or(source_ordinal % 7 = 6) AS invalid"
+_EVIDENCE = f"""WITH k AS (SELECT *, part_id // 10 AS collection, CASE WHEN role = 'user' THEN {_OWN.replace('collection', '(part_id // 10)')} ELSE 'readable' END AS basis FROM cues ) SELECT collection, part_id::VARCHAR AS part, 'subtitles' AS kind, basis, {_TIMED} FROM k WHERE part_id % 5 <> 3 GROUP BY ALL
+    UNION ALL SELECT collection, '', 'subtitles', basis, {_TIMED} FROM k GROUP BY ALL UNION ALL SELECT collection, '', 'transcript', basis, {_TIMED} FROM k GROUP BY ALL
+    UNION ALL SELECT collection, '', 'content_report', '', min(role), NULL, NULL, false, NULL FROM k GROUP BY ALL UNION ALL SELECT collection, '', 'segments', '', CASE WHEN collection % 3 <> 0 THEN min(role) END, max(role), true, true, collection % 3 = 2 FROM k GROUP BY collection"""
+_RULES = " UNION ALL ".join(
+    [f"SELECT '{m}' AS mode, {str(of).lower()} AS of_part, 'subtitles' AS kind, '{b}' AS basis, 'subtitles.{b}.{x}' AS name, '{'part_relative' if of else 'collection_virtual'}' AS timing_view, true AS governed" for m, bs in publication.SUBTITLES.items() for b in bs for x in ("srt", "vtt") for of in (True, False)]
+    + [f"SELECT '{m}', false, 'transcript', '{b}', 'transcript.{b}.{x}', 'collection_virtual', true" for m, b in publication.TRANSCRIPT.items() for x in ("md", "json")]
+    + [f"SELECT '{m}', false, '{k}', '', '{n}', {chr(39) + 'collection_virtual' + chr(39) if k == 'segments' else 'NULL'}, false" for m in publication.SUBTITLES for k, n in publication.DOCUMENTS.items()])
+_WANTED_FILES = """SELECT p.collection, p.part_id::VARCHAR AS part, 'parts/' || p.part_id || '/' || name AS path, kind, basis, timing_view, governed FROM planned p JOIN rules r ON r.mode = p.mode AND of_part
+    UNION ALL SELECT DISTINCT p.collection, '', name, kind, basis, timing_view, governed FROM planned p JOIN rules r ON r.mode = p.mode AND NOT of_part"""
+
+
+@query(sql("""SELECT collection, path, kind, CASE WHEN content IS NULL THEN 'unavailable' WHEN coalesce(invalid, false) THEN 'invalid' WHEN coalesce(partial, false) THEN 'partial' ELSE 'valid' END AS status, timing_view,
+      CASE WHEN governed AND content IS NOT NULL THEN CASE WHEN takes THEN 'adopted_alignment' ELSE 'original' END END AS timing_basis, sha256(content) AS sha256, NULL AS reason FROM (
+      SELECT *, governed AND adopted IS NOT NULL AND coalesce(passed, false) AS takes, CASE WHEN governed AND adopted IS NOT NULL AND coalesce(passed, false) THEN adopted ELSE original END AS content FROM wanted_files LEFT JOIN evidence USING (collection, part, kind, basis))
+    UNION ALL SELECT DISTINCT collection, NULL, NULL, 'refused', NULL, NULL, NULL, 'missing_asr_mode' FROM planned WHERE mode IS NULL""", planned=_PLANNED, rules=_RULES, wanted_files=_WANTED_FILES, evidence=_EVIDENCE))
 def I03_project_artifacts(spark, sf_dir):
-    """Every artifact that a part should have, with its status and timing; nothing is made up."""
-    cues = inputs.cues(spark, sf_dir)
-    kinds = F.array(*[F.struct(F.lit(b).alias("basis"), F.lit(x).alias("ext")) for b in ("subtitle", "asr") for x in ("srt", "vtt", "txt")])
-    wanted = cues.select("part_id").distinct().select("part_id", F.inline(kinds))
-    evidence = cues.where("part_id % 5 <> 3").groupBy("part_id", F.when(F.col("role") == "user", "subtitle").otherwise("asr").alias("basis")).agg(F.count("*").alias("n"), F.bool_or(F.col("source_ordinal") % 7 == 6).alias("bad"))
-    n = F.col("n")
-    status = F.when(n.isNull(), "unavailable").when(F.col("bad"), "invalid").when(n < 4, "partial").otherwise("valid")
-    return wanted.join(evidence, ["part_id", "basis"], "left").select("part_id", "basis", "ext", status.alias("status"), F.when((F.col("basis") == "asr") & (n > 4), "adopted_alignment").otherwise("original").alias("timing"))
+    """Every artifact that the plans of collections ask for by mode, with its status and timing; nothing is made up."""
+    cues = inputs.cues(spark, sf_dir).withColumn("collection", F.floor(F.col("part_id") / 10))
+    parts = cues.select("collection", "part_id").distinct()
+    plans = parts.select("collection").distinct().withColumn("mode", F.expr(_MODE))
+    rows = cues.withColumn("basis", F.when(F.col("role") == "user", F.expr(_OWN)).otherwise("readable"))
+    o, n = F.col("source_ordinal"), F.count(F.lit(1))
+    timed = [F.min(F.when(o % 5 != 3, F.col("text"))).alias("original"), F.when(n > 2, F.max("text")).alias("adopted"), (n > 3).alias("gates_passed"), (n < 3).alias("partial"), F.bool_or(o % 7 == 6).alias("invalid")]
+    of_part = rows.where("part_id % 5 <> 3").groupBy("collection", "part_id", "basis").agg(*timed).withColumn("kind", F.lit("subtitles"))
+    whole = rows.groupBy("collection", "basis").agg(*timed).withColumn("part_id", F.lit(None).cast("long"))
+    role = cues.groupBy("collection").agg(F.min("role").alias("low"), F.max("role").alias("high"))
+    none, third = F.lit(None), F.col("collection") % 3
+    document = lambda kind, *x: role.select("collection", none.cast("long").alias("part_id"), none.cast("string").alias("basis"), F.lit(kind).alias("kind"), *[c.alias(a) for c, a in zip(x, ("original", "adopted", "gates_passed", "partial", "invalid"))])
+    reports = document("content_report", F.col("low"), none.cast("string"), none.cast("boolean"), F.lit(False), none.cast("boolean")).unionByName(document("segments", F.when(third != 0, F.col("low")), F.col("high"), F.lit(True), F.lit(True), third == 2))
+    evidence = of_part.unionByName(whole.withColumn("kind", F.lit("subtitles"))).unionByName(whole.withColumn("kind", F.lit("transcript"))).unionByName(reports)
+    return publication.project_artifacts(plans, parts, evidence)
 
 
 @query(sql(f"SELECT run_id, arg_max(to_status, sequence) AS status, max(sequence) + 1 AS next_sequence, count(*) FILTER (NOT legal) AS illegal, 0 AS repeated, string_agg(sequence::VARCHAR, ',' ORDER BY sequence) FILTER (NOT legal) AS told FROM (SELECT *, coalesce({_LEGAL}, false) AS legal FROM (SELECT *, lag(to_status) OVER (PARTITION BY run_id ORDER BY sequence) AS from_status FROM run_events )) GROUP BY run_id"))

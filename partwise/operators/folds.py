@@ -41,10 +41,11 @@ def gate_cues(cues: DataFrame, lowest: int = 20, highest: int = 400) -> DataFram
     Each is compared with the last admitted one; a refused cue does not affect later ones. In order of precedence:
     out_of_coverage, non_monotonic, processing_duplication, missing_text, duration_implausible (ticks a character).
     """
-    return _gated(cues, lowest, highest).select("part_id", "ordinal", "reason")
+    return gated(cues, lowest, highest).select("part_id", "ordinal", "reason")
 
 
-def _gated(cues: DataFrame, lowest: int, highest: int) -> DataFrame:
+def gated(cues: DataFrame, lowest: int, highest: int) -> DataFrame:
+    """cues with all their columns and reason, as gate_cues has it."""
     def start() -> Step:
         last = None
 
@@ -84,9 +85,9 @@ def gate_on_timeline(cues: DataFrame, parts: DataFrame, lowest: int = 20, highes
     shifted = rows.withColumns({"raw_start": F.col("start_t"), "raw_end": F.col("end_t"), "part_start": F.col("start_t") - F.col("c_start"), "part_end": F.col("end_t") - F.col("c_start")})
     moved = shifted.withColumns({"start_t": F.when(known, F.col("part_start") + F.col("offset")).otherwise(0), "end_t": F.when(known, F.col("part_end") + F.col("offset")).otherwise(0),
                                  "c_end": F.when(known, F.col("c_end") - F.col("c_start") + F.col("offset")).otherwise(0), "c_start": F.when(known, F.col("offset")).otherwise(1)})
-    gated = _gated(moved, lowest, highest)
+    judged = gated(moved, lowest, highest)
     admitted = lambda c, name: F.when(F.col("reason").isNull(), F.col(c)).alias(name)
-    return gated.select("part_id", "pos", "ordinal", "reason", "raw_start", "raw_end", admitted("part_start", "part_start"), admitted("part_end", "part_end"), admitted("start_t", "collection_start"), admitted("end_t", "collection_end"))
+    return judged.select("part_id", "pos", "ordinal", "reason", "raw_start", "raw_end", admitted("part_start", "part_start"), admitted("part_end", "part_end"), admitted("start_t", "collection_start"), admitted("end_t", "collection_end"))
 
 
 def pack_chunks(runs: DataFrame, window: int) -> DataFrame:

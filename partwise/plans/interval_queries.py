@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from partwise.operators import alignment as al
 from partwise.operators import intervals as iv
 from partwise.operators import speech as sp
 from partwise.operators import tracks as tr
@@ -224,14 +225,24 @@ def C03_speaker_vad_conflict(spark, sf_dir):
 _CHUNKS = "(SELECT part_id, start_t, end_t, row_number() OVER (PARTITION BY part_id ORDER BY start_t) AS chunk FROM " + iv.union_sql("(SELECT user_id AS part_id, start_t, start_t + (end_t - start_t) // 2 AS end_t FROM ev )", "part_id") + ")"
 
 
-@query(sql(f"SELECT c.part_id, c.cue_id, min(k.chunk) AS chunk FROM captions c LEFT JOIN {_CHUNKS} k ON c.part_id = k.part_id AND k.start_t <= c.start_t AND c.end_t <= k.end_t AND k.start_t < c.end_t AND c.start_t < k.end_t GROUP BY c.part_id, c.cue_id"))
+_ASSIGNED = f"SELECT c.part_id, c.cue_id, c.start_t, c.end_t, min(k.chunk) AS chunk, min(k.start_t) AS chunk_start, min(k.end_t) AS chunk_end FROM captions c LEFT JOIN {_CHUNKS} k ON c.part_id = k.part_id AND k.start_t <= c.start_t AND c.end_t <= k.end_t AND k.start_t < c.end_t AND c.start_t < k.end_t GROUP BY c.part_id, c.cue_id, c.start_t, c.end_t"
+_SAMPLED = """SELECT a.*, lo, total, greatest(round_even((start_t - lo) / 125.0, 0)::BIGINT - 1600, round_even((chunk_start - lo) / 125.0, 0)::BIGINT) AS ws, least(round_even((end_t - lo) / 125.0, 0)::BIGINT + 1600, round_even((chunk_end - lo) / 125.0, 0)::BIGINT) AS we
+    FROM assigned a JOIN (SELECT user_id AS part_id, min(start_t) AS lo, round_even((max(end_t) - min(start_t)) / 250.0, 0)::BIGINT AS total FROM ev GROUP BY user_id) USING (part_id)"""
+_PLACED = "SELECT *, chunk IS NOT NULL AND we > ws AS whole, least(greatest(ws + 2000 * (cue_id % 4), 0), total) AS pa, least(greatest(ws + 2000 * (cue_id % 4) + 4000 * (cue_id % 3), 0), total) AS pb FROM sampled "
+
+
+@query(sql("""SELECT part_id, cue_id, chunk, CASE WHEN whole THEN ws END AS window_start, CASE WHEN whole THEN we END AS window_end, CASE WHEN placed THEN lo + pa * 125 ELSE start_t END AS start_t, CASE WHEN placed THEN lo + pb * 125 ELSE end_t END AS end_t, CASE WHEN placed THEN 0.75 ELSE 0.0 END::DOUBLE AS confidence
+    FROM (SELECT *, whole AND cue_id % 3 <> 0 AND pb > pa AS placed FROM placed_at )""", assigned=_ASSIGNED, sampled=_SAMPLED, placed_at=_PLACED))
 def C09_assign_cues_to_chunks(spark, sf_dir):
-    """The first chunk that contains a cue wholly, else none."""
+    """The chunk that contains a cue wholly, the padded window within it, and a proposal for each cue: one without a place keeps its time at confidence 0."""
     half = _users(spark, sf_dir).withColumn("end_t", F.expr("start_t + (end_t - start_t) div 2"))
     chunks = iv.union(half, "part_id").withColumn("chunk", F.row_number().over(Window.partitionBy("part_id").orderBy("start_t")))
-    cues = inputs.captions(spark, sf_dir)
-    inside = iv.overlap_join(cues, chunks, ["part_id"], HOURS_6).where("r_start <= start_t and end_t <= r_end").select("part_id", "cue_id", "chunk")
-    return inside.unionByName(cues.select("part_id", "cue_id"), allowMissingColumns=True).groupBy("part_id", "cue_id").agg(F.min("chunk").alias("chunk"))
+    spans = _users(spark, sf_dir).groupBy("part_id").agg(F.min("start_t").alias("lo"), F.bround((F.max("end_t") - F.min("start_t")).cast("decimal(20,0)") / 250, 0).cast("long").alias("total"))
+    held = al.assign_to_chunks(inputs.captions(spark, sf_dir), chunks, ["part_id"], "chunk").join(spans, "part_id")
+    first = (F.col("cue_id") % 4 * 0.25).alias("start")
+    items = held.withColumns({"items": F.array(F.struct(first, (first + F.col("cue_id") % 3 * 0.5).alias("end")), F.struct(F.lit(-1.0).alias("start"), F.lit(9.0).alias("end"))), "sure": F.lit(0.75)})
+    found = al.proposals(al.alignment_windows(items, "lo", 8000, 1_000_000, 1600), "items", "total", "lo", 8000, 1_000_000, "sure")
+    return found.select("part_id", "cue_id", "chunk", "window_start", "window_end", F.col("proposed_start").alias("start_t"), F.col("proposed_end").alias("end_t"), F.col("proposed_confidence").alias("confidence"))
 
 
 @query(sql(f"""SELECT c.part_id, c.cue_id, coalesce(string_agg(CASE WHEN v.start_t IS NOT NULL THEN round_even((greatest(c.start_t, v.start_t) - v0.lo) * 16 / 1000.0, 0)::BIGINT::VARCHAR || '-' || round_even((least(c.end_t, v.end_t) - v0.lo) * 16 / 1000.0, 0)::BIGINT::VARCHAR END, ',' ORDER BY greatest(c.start_t, v.start_t), least(c.end_t, v.end_t)), '') AS windows, count(v.start_t) = 0 AS empty
@@ -259,15 +270,26 @@ def C01_cue_coverage_check(spark, sf_dir):
 _WANTED = "(SELECT part_id, start_t, end_t, row_number() OVER (PARTITION BY part_id ORDER BY start_t) AS interval_id FROM " + iv.union_sql("(SELECT user_id AS part_id, start_t, start_t + (end_t - start_t) * 2 // 3 AS end_t FROM ev )", "part_id") + ")"
 
 
-@query(sql(f"""SELECT i.part_id, i.interval_id, CASE WHEN bool_or(a.cue_id % 29 = 0) THEN 'asr_cues_failed_gates' WHEN count(a.cue_id) > 0 THEN 'asr_cues_passed_gates' ELSE 'no_asr_candidate' END AS reason,
-      count(a.cue_id) FILTER (a.cue_id % 29 <> 0) AS admitted, count(a.cue_id) FILTER (a.cue_id % 29 = 0) AS rejected,
+#: ASR cues as they come, in order of time; some are repeated numbers, some are blank, some run beyond the subtitles.
+_HEARD = "SELECT part_id, cue_id, start_t, end_t + CASE WHEN cue_id % 37 = 5 THEN 800000000000000 ELSE 0 END AS end_t, CASE WHEN cue_id % 31 = 7 THEN 0 ELSE row_number() OVER (PARTITION BY part_id ORDER BY start_t, cue_id) END AS ordinal, row_number() OVER (PARTITION BY part_id ORDER BY start_t, cue_id) AS pos, (cue_id % 29 <> 0)::BIGINT AS visible FROM captions "
+_CANDIDATES = "SELECT h.*, row_number() OVER (PARTITION BY h.part_id ORDER BY pos) AS rn FROM heard h JOIN (SELECT user_id AS part_id, min(start_t) AS c_start, max(end_t) AS c_end FROM ev GROUP BY user_id) e ON h.part_id = e.part_id AND h.start_t >= c_start AND h.end_t <= c_end"
+_JUDGED = """SELECT part_id, 0::BIGINT AS rn, NULL::BIGINT AS cue_id, NULL::BIGINT AS start_t, NULL::BIGINT AS end_t, NULL::VARCHAR AS reason, NULL::BIGINT AS lo, NULL::BIGINT AS ls, NULL::BIGINT AS le FROM (SELECT DISTINCT part_id FROM candidates )
+    UNION ALL SELECT n.part_id, n.rn, n.cue_id, n.start_t, n.end_t, n.reason, CASE WHEN n.reason IS NULL THEN n.ordinal ELSE n.lo END, CASE WHEN n.reason IS NULL THEN n.start_t ELSE n.ls END, CASE WHEN n.reason IS NULL THEN n.end_t ELSE n.le END FROM (
+      SELECT o.*, f.lo, f.ls, f.le, CASE WHEN f.lo IS NOT NULL AND (o.ordinal <= f.lo OR o.start_t < f.ls) THEN 'non_monotonic' WHEN f.lo IS NOT NULL AND o.start_t < f.le THEN 'processing_duplication' WHEN o.visible = 0 THEN 'missing_text'
+        WHEN o.end_t - o.start_t > 4000000000000 THEN 'duration_implausible' END AS reason FROM judged f JOIN candidates o ON o.part_id = f.part_id AND o.rn = f.rn + 1) n"""
+
+
+@query(sql(f"""SELECT i.part_id, i.interval_id, CASE WHEN bool_or(a.reason IS NOT NULL) THEN 'asr_cues_failed_gates' WHEN count(a.cue_id) > 0 THEN 'asr_cues_passed_gates' ELSE 'no_asr_candidate' END AS reason,
+      count(a.cue_id) FILTER (a.reason IS NULL) AS admitted, count(a.cue_id) FILTER (a.reason IS NOT NULL) AS rejected,
       (SELECT count(*) FROM (SELECT user_id AS part_id, start_t, end_t FROM ev ) s WHERE s.part_id = i.part_id AND i.start_t <= s.start_t AND s.end_t <= i.end_t AND i.start_t < s.end_t AND s.start_t < i.end_t) AS replaced
-    FROM {_WANTED} i LEFT JOIN (SELECT * FROM captions WHERE start_t < end_t) a ON a.part_id = i.part_id AND i.start_t <= a.start_t AND a.end_t <= i.end_t GROUP BY i.part_id, i.interval_id, i.start_t, i.end_t"""))
+    FROM {_WANTED} i LEFT JOIN (SELECT * FROM judged WHERE rn > 0 AND start_t < end_t) a ON a.part_id = i.part_id AND i.start_t <= a.start_t AND a.end_t <= i.end_t GROUP BY i.part_id, i.interval_id, i.start_t, i.end_t""", heard=_HEARD, candidates=_CANDIDATES, judged=_JUDGED).replace("WITH ", "WITH RECURSIVE ", 1))
 def C10_interval_replacement(spark, sf_dir):
-    """A correction row for each user interval: replaced by its ASR cues only if there are some and none was rejected."""
+    """A correction row for each user interval: replaced by its ASR cues, held to the subtitles' envelope and gated, only if there are some and none was refused."""
     users = _users(spark, sf_dir)
     wanted = iv.union(users.withColumn("end_t", F.expr("start_t + (end_t - start_t) * 2 div 3")), "part_id").withColumn("interval_id", F.row_number().over(Window.partitionBy("part_id").orderBy("start_t")))
-    asr = inputs.captions(spark, sf_dir).select("part_id", "cue_id", "start_t", "end_t", (F.col("cue_id") % 29 != 0).alias("admitted"))
+    c, place = F.col("cue_id"), F.row_number().over(Window.partitionBy("part_id").orderBy("start_t", "cue_id")).cast("long")
+    asr = inputs.captions(spark, sf_dir).withColumn("pos", place)
+    asr = asr.select("part_id", "cue_id", "pos", F.when(c % 31 == 7, 0).otherwise(F.col("pos")).alias("ordinal"), "start_t", (F.col("end_t") + F.when(c % 37 == 5, 800_000_000_000_000).otherwise(0)).alias("end_t"), (c % 29 != 0).cast("long").alias("visible"))
     subtitles = inputs._events(spark, sf_dir).select(F.col("user_id").alias("part_id"), F.col("event_id").alias("cue_id"), "start_t", "end_t")
-    corrections, _ = tr.replace_intervals(subtitles, asr, wanted, "part_id", "cue_id", "interval_id", HOURS_6)
+    corrections, _ = al.gated_replacement(subtitles, asr, wanted, "cue_id", "interval_id", HOURS_6, 0, 4_000_000_000_000)
     return corrections.select("part_id", "interval_id", "reason", "admitted", "rejected", F.size("replaced_cue_ids").cast("long").alias("replaced"))

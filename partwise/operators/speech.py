@@ -202,6 +202,22 @@ def role_citations(turns: DataFrame, proposals: DataFrame, cues: DataFrame, meta
     return rows.select(key, "cluster", "role", "evidence", outcome.alias("outcome"))
 
 
+#: What a review is, by the models of the primary text and of the review.
+INDEPENDENT, RECOVERY, UNCLASSIFIED = "independent_review", "recovery", "review_classification_invalid"
+
+
+def review_kind(primary_model: Column, review_model: Column) -> Column:
+    """An independent review only if another model made it; the same model's is a recovery; without both names, none can be told."""
+    known = (F.length(primary_model) > 0) & (F.length(review_model) > 0)
+    return F.when(~F.coalesce(known, F.lit(False)), UNCLASSIFIED).when(primary_model == review_model, RECOVERY).otherwise(INDEPENDENT)
+
+
+def classified_reviews(primary: DataFrame, review: DataFrame, interval: str) -> DataFrame:
+    """review (interval, review_text, review_model) with kind, and independent as arbitrate takes it, by primary's (interval, primary_model)."""
+    models = primary.select(interval, "primary_model")
+    return review.join(models, interval, "left").withColumn("kind", review_kind(F.col("primary_model"), F.col("review_model"))).withColumn("independent", F.col("kind") == INDEPENDENT).drop("primary_model")
+
+
 def arbitrate(primary: DataFrame, review: DataFrame, interval: str, rules: tuple[str, ...] = ("fills_gap", "drops_silence")) -> DataFrame:
     """(interval, decision, rule, text) of suspicious intervals (interval, reason, primary_text) and their reviews (interval, review_text, independent).
 

@@ -16,6 +16,7 @@ from partwise.plans.inputs import sql
 from partwise.plans.registry import query
 from partwise.sources import envelopes as env
 from partwise.sources import subtitles as sub
+from partwise.sources.subtitles import work_folder
 
 def _lines(spark, sf_dir) -> DataFrame:
     """Cues as a subtitle file has them: one line each, no time before zero."""
@@ -159,7 +160,7 @@ def A05_read_model_outputs(spark, sf_dir):
 @query(sql("SELECT part_id, source_ordinal, text, start_t, end_t, 'asr' AS provenance FROM cues"))
 def A06_write_cue_tables(spark, sf_dir):
     """Cues written in the candidate shape by part bucket, and read again."""
-    path = sub.work_folder(spark)
+    path = work_folder(spark)
     sub.write_cues(inputs.cues(spark, sf_dir).drop("role").withColumn("provenance", F.lit("asr")), path)
     return spark.read.parquet(path).drop("part_bucket")
 
@@ -169,13 +170,22 @@ _BLOCKS = f"SELECT *, n::VARCHAR || chr(10) || {_stamp_sql('start_t')} || ' -->
 
 @query(sql("""SELECT part_id, form, CASE WHEN part_id % 11 <> 4 THEN length(text) END AS chars, CASE WHEN part_id % 11 <> 4 THEN sha256(text) END AS text_sha256, CASE WHEN part_id % 11 <> 4 THEN losses ELSE 0 END AS losses, CASE WHEN part_id % 11 = 4 THEN 'negative_time' END AS reason FROM (
       SELECT part_id, 'srt' AS form, string_agg(head || chr(10) || text || chr(10), chr(10) ORDER BY n) AS text, count(*) FILTER (settings <> '') AS losses FROM blocks GROUP BY part_id
-      UNION ALL SELECT part_id, 'vtt', 'WEBVTT' || chr(10) || chr(10) || string_agg(replace(head, ',', '.') || CASE WHEN settings <> '' THEN ' ' || settings ELSE '' END || chr(10) || text || chr(10), chr(10) ORDER BY n), 0 FROM blocks GROUP BY part_id)""", lines=_LINES, blocks=_BLOCKS))
+      UNION ALL SELECT part_id, 'vtt', 'WEBVTT' || chr(10) || chr(10) || string_agg(replace(head, ',', '.') || CASE WHEN settings <> '' THEN ' ' || settings ELSE '' END || chr(10) || text || chr(10), chr(10) ORDER BY n), 0 FROM blocks GROUP BY part_id)
+    UNION ALL SELECT part_id, form, length(text), sha256(text), losses, NULL FROM (
+      SELECT part_id, 'source_srt' AS form, string_agg(head || chr(10) || text || chr(10), chr(10) ORDER BY n DESC) AS text, 3 + count(*) FILTER (settings <> '') AS losses FROM blocks GROUP BY part_id
+      UNION ALL SELECT part_id, 'source_vtt', 'WEBVTT - made here' || chr(10) || chr(10) || 'NOTE not a cue' || chr(10) || 'of two lines' || chr(10) || chr(10) || 'STYLE' || chr(10) || '::cue {}' || chr(10) || chr(10) || string_agg(replace(head, ',', '.') || CASE WHEN settings <> '' THEN ' ' || settings ELSE '' END || chr(10) || text || chr(10), chr(10) ORDER BY n DESC), 0 FROM blocks GROUP BY part_id)""", lines=_LINES, blocks=_BLOCKS))
 def A07_render_srt_vtt(spark, sf_dir):
-    """Each part's cues as one SRT and one VTT text; SRT loses settings, which is told; negative times are refused."""
+    """Each part's cues as one SRT and one VTT text; SRT loses settings, which is told; negative times are refused. A VTT file whose cues stand in no order of time is written as it is, and as SRT in its own order."""
     early = F.when(F.col("part_id") % 11 == 4, 10**9).otherwise(0)
     cues = _lines(spark, sf_dir).withColumn("settings", F.when(F.col("source_ordinal") % 3 == 0, "line:1")).withColumns({c: F.col(c) - early for c in ("start_t", "end_t")})
     one = lambda form: sub.rendered(cues, "part_id", form=form).select("part_id", F.lit(form).alias("form"), F.length("text").cast("long").alias("chars"), F.sha2("text", 256).alias("text_sha256"), F.size("losses").cast("long").alias("losses"), "reason")
-    return one("srt").unionByName(one("vtt"))
+    n = F.row_number().over(Window.partitionBy("part_id").orderBy("start_t", "end_t", "source_ordinal"))
+    turned = _lines(spark, sf_dir).withColumn("settings", F.when(F.col("source_ordinal") % 3 == 0, "line:1")).withColumn("n", n)
+    body = sub.rendered(turned.withColumns({"identifier": F.col("n").cast("string"), "source_ordinal": -F.col("n")}), "part_id", form="vtt", source_order=True)
+    head = F.lit("WEBVTT - made here\n\nNOTE not a cue\nof two lines\n\nSTYLE\n::cue {}\n\n")
+    files = body.select("part_id", F.replace(F.concat(head, F.expr("substring(text, 9)")), F.lit("\n"), F.lit("\r\n")).alias("text"))
+    kept = lambda to: sub.source_rendered(files, "part_id", form="vtt", to=to).select("part_id", F.lit(f"source_{to}").alias("form"), F.length("text").cast("long").alias("chars"), F.sha2("text", 256).alias("text_sha256"), F.size("losses").cast("long").alias("losses"), "reason")
+    return one("srt").unionByName(one("vtt")).unionByName(kept("srt")).unionByName(kept("vtt"))
 
 
 
@@ -185,11 +195,25 @@ def A08_render_transcript(spark, sf_dir):
     return sub.transcripts(inputs.cues(spark, sf_dir), "part_id").select("part_id", F.sha2("text", 256).alias("text_sha256"))
 
 
-@query("SELECT sha256(text) AS sha256, min(doc_id) AS kept, count(*) AS copies, any_value(strlen(text))::BIGINT AS size FROM documents GROUP BY sha256(text)")
+#: The part whose texts a part's file holds: each seventh part is a copy of the one before it.
+_SOURCE_OF = "part - CASE WHEN part % 7 = 3 THEN 1 ELSE 0 END"
+_FILES = f"""SELECT part, sha256(string_agg(text || chr(10), '' ORDER BY doc_id)) AS sha256, sum(strlen(text) + 1)::BIGINT AS size FROM (SELECT DISTINCT doc_id // 10 AS part FROM documents) p JOIN (SELECT doc_id, coalesce(text, '') AS text, doc_id // 10 AS source FROM documents) d ON d.source = {_SOURCE_OF} GROUP BY part"""
+
+
+@query(sql("""SELECT part, sha256, size, count(*) OVER (PARTITION BY sha256, size) AS copies, min(part) OVER (PARTITION BY sha256, size) AS kept,
+    CASE WHEN sha256 IS NULL THEN 'source_unavailable' WHEN row_number() OVER (PARTITION BY part // 20, sha256 ORDER BY part) > 1 THEN 'duplicate_part' END AS reason FROM (SELECT DISTINCT doc_id // 10 AS part FROM documents) LEFT JOIN files USING (part)""", files=_FILES))
 def A09_hash_and_dedupe_sources(spark, sf_dir):
-    """One source per content, the first path of equal ones."""
-    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("size"))
-    return docs.groupBy("sha256").agg(F.min("doc_id").alias("kept"), F.count("*").alias("copies"), F.min("size").alias("size"))
+    """Source files of parts hashed as bytes: one source for equal bytes, its first part and number of copies, and parts of a collection that repeat another's."""
+    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.floor(F.col("doc_id") / 10).alias("source"))
+    parts = docs.select(F.col("source").alias("part")).distinct()
+    path = work_folder(spark)
+    rows = parts.withColumn("source", F.expr(_SOURCE_OF)).join(docs, "source").select("part", "doc_id", F.col("text").alias("value"))
+    rows.repartition("part").sortWithinPartitions("part", "doc_id").select("part", "value").write.partitionBy("part").text(path)
+    number = F.regexp_extract("path", r"/part=(-?\d+)/", 1).cast("long")
+    files = sub.hashed(sub.read_payloads(spark, path, "*.txt")).withColumn("path", F.format_string("%018d", number))  # paths as the parts name them
+    named = parts.select("part", F.format_string("%018d", "part").alias("path"), F.floor(F.col("part") / 20).alias("collection"))
+    kept = sub.one_source_each(files).select("sha256", F.col("kept").cast("long").alias("kept"), "copies")
+    return sub.distinct_parts(named, files, "collection", "part").join(kept, "sha256", "left").select("part", "sha256", "size", "copies", "kept", "reason")
 
 
 @query(sql("""SELECT run_id, digest, files, missing, extra, mismatch FROM (SELECT run_id, sha256(string_agg(path::VARCHAR || ' ' || sha256, chr(10) ORDER BY path)) AS digest, count(*) AS files FROM present GROUP BY run_id) FULL JOIN (

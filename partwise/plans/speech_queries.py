@@ -222,18 +222,21 @@ def G04_detect_suspicions(spark, sf_dir):
     return found.select("part_id", "start_t", "end_t", "detector", F.array_join(F.transform("ordinals", lambda x: x.cast("string")), ",").alias("ordinals"), "evidence")
 
 
-_REVIEW = """SELECT event_id AS interval_id, CASE WHEN event_type IN ('purchase', 'signup') THEN 'text_over_silence' ELSE 'low_confidence' END AS reason, CASE WHEN event_id % 7 = 0 THEN ' ' ELSE 'p' || (event_id % 4)::VARCHAR END AS primary_text,
-    CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'p' || (doc_id % 6)::VARCHAR END AS review_text, coalesce(doc_id % 9 <> 0, false) AS independent FROM events LEFT JOIN documents ON doc_id = event_id"""
+_REVIEW = """SELECT *, CASE WHEN review_text IS NULL THEN NULL WHEN primary_model = '' OR coalesce(review_model, '') = '' THEN 'review_classification_invalid' WHEN primary_model = review_model THEN 'recovery' ELSE 'independent_review' END AS kind FROM (
+    SELECT event_id AS interval_id, CASE WHEN event_type IN ('purchase', 'signup') THEN 'text_over_silence' ELSE 'low_confidence' END AS reason, CASE WHEN event_id % 7 = 0 THEN ' ' ELSE 'p' || (event_id % 4)::VARCHAR END AS primary_text, CASE WHEN event_id % 41 = 0 THEN '' ELSE 'm' || (event_id % 3)::VARCHAR END AS primary_model,
+    CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'p' || (doc_id % 6)::VARCHAR END AS review_text, CASE WHEN doc_id % 9 <> 4 THEN 'm' || (doc_id % 4)::VARCHAR END AS review_model FROM events LEFT JOIN documents ON doc_id = event_id)"""
 
 
-@query(sql("""SELECT interval_id, CASE WHEN NOT independent THEN 'review-needed' WHEN primary_text = review_text THEN 'agreement' WHEN rule IS NOT NULL THEN 'review_adopted' ELSE 'review-needed' END AS decision, rule, CASE WHEN rule IS NOT NULL THEN review_text ELSE primary_text END AS text FROM (
-    SELECT *, CASE WHEN NOT independent OR primary_text = review_text THEN NULL WHEN trim(primary_text) = '' AND trim(review_text) <> '' THEN 'fills_gap' WHEN reason = 'text_over_silence' AND trim(primary_text) <> '' AND trim(review_text) = '' THEN 'drops_silence' END AS rule FROM review )""", review=_REVIEW))
+@query(sql("""SELECT interval_id, kind, CASE WHEN NOT independent THEN 'review-needed' WHEN primary_text = review_text THEN 'agreement' WHEN rule IS NOT NULL THEN 'review_adopted' ELSE 'review-needed' END AS decision, rule, CASE WHEN rule IS NOT NULL THEN review_text ELSE primary_text END AS text FROM (
+    SELECT *, coalesce(kind = 'independent_review', false) AS independent, CASE WHEN coalesce(kind, '') <> 'independent_review' OR primary_text = review_text THEN NULL WHEN trim(primary_text) = '' AND trim(review_text) <> '' THEN 'fills_gap' WHEN reason = 'text_over_silence' AND trim(primary_text) <> '' AND trim(review_text) = '' THEN 'drops_silence' END AS rule FROM review )""", review=_REVIEW))
 def C11_review_text_join(spark, sf_dir):
-    """Primary text of each suspicious interval and the review of it, arbitrated by a truth table."""
+    """Primary text of each suspicious interval and the review of it, told independent by the models' names, arbitrated by a truth table."""
     e, d = F.col("event_id"), F.col("doc_id")
-    primary = inputs.table(spark, sf_dir, "events").select(e.alias("interval_id"), F.when(F.col("event_type").isin("purchase", "signup"), "text_over_silence").otherwise("low_confidence").alias("reason"), F.when(e % 7 == 0, " ").otherwise(F.concat(F.lit("p"), (e % 4).cast("string"))).alias("primary_text"))
-    review = inputs.table(spark, sf_dir, "documents").select(d.alias("interval_id"), F.when(d % 5 == 0, "").otherwise(F.concat(F.lit("p"), (d % 6).cast("string"))).alias("review_text"), (d % 9 != 0).alias("independent"))
-    return sp.arbitrate(primary, review, "interval_id")
+    primary = inputs.table(spark, sf_dir, "events").select(e.alias("interval_id"), F.when(F.col("event_type").isin("purchase", "signup"), "text_over_silence").otherwise("low_confidence").alias("reason"), F.when(e % 7 == 0, " ").otherwise(F.concat(F.lit("p"), (e % 4).cast("string"))).alias("primary_text"),
+                                                           F.when(e % 41 == 0, "").otherwise(F.concat(F.lit("m"), (e % 3).cast("string"))).alias("primary_model"))
+    review = inputs.table(spark, sf_dir, "documents").select(d.alias("interval_id"), F.when(d % 5 == 0, "").otherwise(F.concat(F.lit("p"), (d % 6).cast("string"))).alias("review_text"), F.when(d % 9 != 4, F.concat(F.lit("m"), (d % 4).cast("string"))).alias("review_model"))
+    classified = sp.classified_reviews(primary, review, "interval_id")
+    return sp.arbitrate(primary, classified, "interval_id").join(classified.select("interval_id", "kind"), "interval_id", "left").select("interval_id", "kind", "decision", "rule", "text")
 
 
 @query(sql("SELECT run_id, bool_and(to_status <> 'failed' OR sequence % 3 = 0) AND bool_or(to_status = 'completed') AS verbatim FROM run_events GROUP BY run_id"))

@@ -26,6 +26,23 @@ def read_payloads(spark: SparkSession, path: str, pattern: str = "*") -> DataFra
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path).select("path", "content")
 
 
+def hashed(payloads: DataFrame) -> DataFrame:
+    """(path, sha256, size) of raw files (path, content)."""
+    return payloads.select("path", F.sha2("content", 256).alias("sha256"), F.length("content").cast("long").alias("size"))
+
+
+def one_source_each(files: DataFrame) -> DataFrame:
+    """(sha256, size, kept, copies) of hashed files: one source for equal bytes, kept under its first path."""
+    return files.groupBy("sha256", "size").agg(F.min("path").alias("kept"), F.count(F.lit(1)).alias("copies"))
+
+
+def distinct_parts(parts: DataFrame, files: DataFrame, collection: str, part: str) -> DataFrame:
+    """parts (collection, part, path) with the sha256 and size of their file and a reason: source_unavailable, or duplicate_part for every part of a collection whose bytes an earlier one has."""
+    rows = parts.join(files, "path", "left")
+    place = F.row_number().over(Window.partitionBy(collection, "sha256").orderBy(part))
+    return rows.withColumn("reason", F.when(F.col("sha256").isNull(), "source_unavailable").when(place > 1, "duplicate_part"))
+
+
 def _whole_utf16(body: Column, big_endian: bool) -> Column:
     """Whether bytes are UTF-16: an even number of them, and surrogates only in pairs, high before low."""
     high = lambda i: F.conv(F.hex(F.substring(body, 2 * i + (1 if big_endian else 2), 1)), 16, 10).cast("int")
@@ -107,8 +124,8 @@ def parse_cues(files: DataFrame, *keys: str, form: str = "srt") -> tuple[DataFra
     return tracks, rows.where("reason is null").select(*keys, "ordinal", identifier.alias("identifier"), "settings", "start_t", "end_t", "text")
 
 
-def rendered(cues: DataFrame, *keys: str, form: str = "srt") -> DataFrame:
-    """(keys, text, losses, reason): one SRT or VTT text per track, cues in order (start_t, end_t, source_ordinal), times in milliseconds.
+def rendered(cues: DataFrame, *keys: str, form: str = "srt", source_order: bool = False) -> DataFrame:
+    """(keys, text, losses, reason): one SRT or VTT text per track, cues in order (start_t, end_t, source_ordinal), times in milliseconds; with source_order as they came, by source_ordinal.
 
     A cue's identifier, where it has one, else its place stands before it. Settings stay in VTT; SRT leaves them out and
     tells each in losses (source_ordinal, settings). A negative time refuses the track (negative_time).
@@ -116,7 +133,7 @@ def rendered(cues: DataFrame, *keys: str, form: str = "srt") -> DataFrame:
     named = lambda c: F.col(c) if c in cues.columns else F.lit(None).cast("string")
     rows = cues.select(*keys, "source_ordinal", "start_t", "end_t", "text", named("identifier").alias("identifier"), F.coalesce(named("settings"), F.lit("")).alias("settings"))
     point = "," if form == "srt" else "."
-    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy("start_t", "end_t", "source_ordinal")))
+    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy(*(() if source_order else ("start_t", "end_t")), "source_ordinal")))
     timing = F.concat(stamp(F.col("start_t"), point), F.lit(" --> "), stamp(F.col("end_t"), point))
     if form == "vtt":
         timing = F.when(F.col("settings") != "", F.concat(timing, F.lit(" "), "settings")).otherwise(timing)
@@ -131,6 +148,34 @@ def rendered(cues: DataFrame, *keys: str, form: str = "srt") -> DataFrame:
     return g.select(*keys, F.when(~F.col("_below"), whole).alias("text"), losses.alias("losses"), F.when(F.col("_below"), "negative_time").alias("reason"))
 
 
+def source_rendered(files: DataFrame, *keys: str, form: str, to: str) -> DataFrame:
+    """(keys, text, losses, reason) of subtitle files (keys, text) of one form as srt or vtt, every cue as its source has it and in its order.
+
+    A VTT source stays VTT as it is, but for line ends; SRT leaves out what it cannot hold and tells it in losses
+    (source_ordinal, lost): a header that says more than WEBVTT and NOTE, STYLE and REGION blocks (null), then the
+    settings of cues. A file that parse_cues refuses has no text, and its reason.
+    """
+    tracks, cues = parse_cues(files, *keys, form=form)
+    lines = F.regexp_replace(F.coalesce("text", F.lit("")), r"\r\n?", "\n")
+    lost = "array<struct<source_ordinal:bigint,lost:string>>"
+    if (form, to) == ("vtt", "vtt"):
+        texts = files.select(*keys, lines.alias("_text"), F.array().cast(lost).alias("losses"))
+    else:
+        made = rendered(cues.withColumnRenamed("ordinal", "source_ordinal"), *keys, form=to, source_order=True)
+        texts = made.select(*keys, F.col("text").alias("_text"), F.transform("losses", lambda x: F.struct(x["source_ordinal"].cast("bigint").alias("source_ordinal"), x["settings"].alias("lost"))).alias("losses"))
+        if form == "vtt":
+            whole = F.regexp_replace(lines, r"\A\uFEFF+", "")
+            blocks = F.transform(F.split(F.regexp_replace(whole, r"\A[^\n]*\n?", ""), r"\n(?:[ \t]*\n)+"), lambda b: F.regexp_replace(b, r"\A\n+|\n+\z", ""))
+            first = lambda b: F.get(F.split(b, "\n"), F.lit(0))
+            directives = F.filter(blocks, lambda b: first(b).rlike(r"^(NOTE|STYLE|REGION)([ \t]|$)") & ~F.coalesce(_is_timing(F.get(F.split(b, "\n"), F.lit(1))), F.lit(False)))
+            header = first(whole)
+            above = F.transform(F.concat(F.when(header != "WEBVTT", F.array(header)).otherwise(F.array().cast("array<string>")), directives), lambda x: F.struct(F.lit(None).cast("bigint").alias("source_ordinal"), x.alias("lost")))
+            texts = texts.join(files.select(*keys, above.alias("_above")), [*keys]).withColumn("losses", F.concat("_above", "losses")).drop("_above")
+    rows = tracks.select(*keys, "reason").join(texts, [*keys], "left")
+    good = F.col("reason").isNull()
+    return rows.select(*keys, F.when(good, F.col("_text")).alias("text"), F.when(good, F.col("losses")).otherwise(F.array().cast(lost)).alias("losses"), "reason")
+
+
 def transcripts(cues: DataFrame, *keys: str) -> DataFrame:
     """The cue lines of a part in order as one text."""
     lines = F.sort_array(F.collect_list(F.struct("start_t", "end_t", "source_ordinal", "text")))

@@ -130,3 +130,18 @@ def inventory(key: str, **lists: DataFrame) -> DataFrame:
         own = df.select(key, *[(F.col("item") if n == name else F.lit(None).cast(df.schema["item"].dataType)).alias(n) for n in lists])
         rows = own if rows is None else rows.unionByName(own)
     return rows.groupBy(key).agg(*[F.sort_array(F.collect_list(n)).alias(n) for n in lists])
+
+
+def embedded_media(runs: DataFrame, audio: DataFrame, reports: DataFrame, key: str, width: int, active: str = "speech_likely") -> DataFrame:
+    """runs (key, start_t, end_t, ...) of frames without a page, with basis and overlapping_audio, array<struct<start_t,end_t>> in order.
+
+    audio: key, start_t, end_t, state, of which active ones count that touch the run, both ends included; reports names
+    the keys for which there is an audio report. Without one the basis is picture_only and nothing overlaps; an empty
+    report makes it picture_plus_audio, too.
+    """
+    told = reports.select(key).distinct().withColumn("_told", F.lit(True))
+    sound = audio.where(F.col("state") == active).select(key, "start_t", "end_t").join(told.select(key), key, "left_semi").withColumn("_sound", F.lit(True))
+    pairs = iv.overlap_join(runs, sound, [key], width, "left", closed=True)
+    near = F.array_sort(F.collect_list(F.when(F.col("_sound"), F.struct(F.col("r_start").alias("start_t"), F.col("r_end").alias("end_t")))))
+    found = pairs.groupBy(*runs.columns).agg(near.alias("overlapping_audio"))
+    return found.join(told, key, "left").withColumn("basis", F.when(F.col("_told"), "picture_plus_audio").otherwise("picture_only")).drop("_told")

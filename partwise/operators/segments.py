@@ -140,3 +140,26 @@ def status(parts: DataFrame, key: str) -> DataFrame:
     """(key, status, unsupported) from parts (key, segments, used_fallback, unavailable, unsupported): failed without any segment, partial with a fallback or an unavailable part, else complete."""
     g = parts.groupBy(key).agg(F.sum("segments").alias("s"), F.bool_or(F.col("used_fallback") | F.col("unavailable")).alias("less"), F.sum("unsupported").alias("unsupported"))
     return g.select(key, F.when(F.coalesce("s", F.lit(0)) == 0, "failed").when(F.col("less"), "partial").otherwise("complete").alias("status"), "unsupported")
+
+
+def assign_facts(facts: DataFrame, segments: DataFrame, key: str, segment: str) -> DataFrame:
+    """facts (key, t, ...) with the one segment that owns each, and attached.
+
+    segments: key, segment, start_t (the first start of its timed cues, null without any), fresh. A fact belongs to the
+    last segment that starts at or before it, an earlier one to the segment that starts first, and where no segment of a
+    key has a time to the first by number. attached: whether the owner is fresh, made anew. Without segments, null and
+    false. Facts and segments meet in one sort of their key.
+    """
+    own = F.struct(F.col(segment).alias("segment"), "fresh")
+    none = F.lit(None)
+    marks = segments.select(key, F.col("start_t").alias("_t"), F.lit(0).alias("_kind"), own.alias("_segment"), "start_t")
+    kind = marks.schema["_segment"].dataType
+    rows = facts.select(key, F.col("t").alias("_t"), F.lit(1).alias("_kind"), none.cast(kind).alias("_segment"), none.cast("long").alias("start_t"), F.struct(*facts.columns).alias("_row"))
+    both = marks.withColumn("_row", none.cast(rows.schema["_row"].dataType)).unionByName(rows)
+    order = Window.partitionBy(key).orderBy(F.col("_t").asc_nulls_first(), "_kind", F.col("_segment.segment"))
+    every = Window.partitionBy(key)
+    timed = F.col("start_t").isNotNull()
+    last = F.last(F.when(timed, F.col("_segment")), True).over(order)
+    first = F.coalesce(F.min_by(F.when(timed, F.col("_segment")), F.when(timed, F.struct("start_t", "_segment.segment"))).over(every), F.min("_segment").over(every))
+    owned = both.withColumn("_own", F.coalesce(last, first)).where("_kind = 1")
+    return owned.select("_row.*", F.col("_own.segment").alias(segment), F.coalesce("_own.fresh", F.lit(False)).alias("attached"))

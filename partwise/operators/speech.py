@@ -234,3 +234,20 @@ def arbitrate(primary: DataFrame, review: DataFrame, interval: str, rules: tuple
     rows = primary.join(review, interval, "left").withColumn("rule", rule)
     decision = F.when(~independent, "review-needed").when(same, "agreement").when(F.col("rule").isNotNull(), "review_adopted").otherwise("review-needed")
     return rows.select(interval, decision.alias("decision"), "rule", F.when(F.col("rule").isNotNull(), F.col("review_text")).otherwise(F.col("primary_text")).alias("text"))
+
+
+def assembled(chunks: DataFrame, key: str, order: str) -> DataFrame:
+    """Chunks (key, order, text, ...) with visible text, and their ordinal among these, from 0 without holes."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
+    return chunks.where(F.trim("text") != "").withColumn("ordinal", place.cast("long"))
+
+
+def speaker_labels(turns: DataFrame, key: str, cluster: str) -> DataFrame:
+    """turns with label: their part's number and the rank of their cluster within it, never a name."""
+    rank = F.dense_rank().over(Window.partitionBy(key).orderBy(cluster))
+    return turns.withColumn("label", F.format_string("part-%02d:speaker-%02d", key, rank))
+
+
+def leading(rows: DataFrame, key: str, order: list[str], most: int) -> DataFrame:
+    """The first `most` rows of each key in order; no task sorts more than it keeps of what it reads."""
+    return rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("_n") <= most).drop("_n")

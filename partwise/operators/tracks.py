@@ -124,8 +124,26 @@ def choose_source(parts: DataFrame, subtitles: DataFrame, transcripts: DataFrame
                        only(F.coalesce("hi", F.lit(1).cast("long"))).alias("omitted_to"), only(F.coalesce("why", F.lit("no_valid_primary_track"))).alias("reason"))
 
 
+def caption_coverage(parts: DataFrame, playback: DataFrame, cues: DataFrame, collection: str, key: str) -> DataFrame:
+    """(collection, key, covered, playback): caption time and playback time of each part, of each collection (key null) and of all (both null), as exact ratios.
+
+    parts: collection, key, every one there is; playback and cues (of the selected track): key, start_t, end_t. Times are
+    lengths of unions; parts lie apart on their collection's timeline, so a collection's are sums. A part without a
+    selected track counts as covered for 0; without known playback its playback is null, and adds nothing.
+    """
+    length = F.col("end_t") - F.col("start_t")
+    zero = F.lit(None).cast("long")
+    heard = iv.union(cues, key).select(key, length.alias("covered"), zero.alias("playback"))
+    played = iv.union(playback, key).select(key, zero.alias("covered"), length.alias("playback"))
+    sums = heard.unionByName(played).groupBy(key).agg(F.sum("covered").alias("covered"), F.sum("playback").alias("playback"))
+    rows = parts.select(collection, key).distinct().join(sums, key, "left")
+    return rows.rollup(collection, key).agg(F.coalesce(F.sum("covered"), F.lit(0).cast("long")).alias("covered"), F.sum("playback").alias("playback"))
+
+
 def selector_scope(selectors: DataFrame, cues: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(resolved, scope) of selectors (selector_id, key, kind part/range/cue, start_t, end_t, source_ordinal) against retained cues.
+    """(resolved, scope) of selectors (selector_id, key, kind all/part/range/cue, start_t, end_t, source_ordinal) against retained cues.
+
+    One of kind all names no part and stands for every part that has cues, a row for each.
 
     resolved has a row a selector, with its interval or enhancement_part_unknown, enhancement_range_invalid,
     enhancement_range_out_of_coverage or enhancement_cue_unknown. scope merges each part's intervals; a part with a
@@ -133,11 +151,13 @@ def selector_scope(selectors: DataFrame, cues: DataFrame, key: str) -> tuple[Dat
     """
     envelope = cues.groupBy(key).agg(F.min("start_t").alias("lo"), F.max("end_t").alias("hi"))
     named = cues.select(key, "source_ordinal", F.col("start_t").alias("c_start"), F.col("end_t").alias("c_end"))
+    every = selectors.where("kind = 'all'").drop(key).join(envelope.select(key, F.lit("all").alias("kind")), "kind")
+    selectors = selectors.where("kind <> 'all'").unionByName(every.select(*selectors.columns))
     rows = selectors.join(envelope, key, "left").join(named, [key, "source_ordinal"], "left")
     k = F.col("kind")
     reason = (F.when(F.col("lo").isNull(), "enhancement_part_unknown").when((k == "range") & ~F.coalesce(F.col("start_t") < F.col("end_t"), F.lit(False)), "enhancement_range_invalid")
               .when((k == "range") & ((F.col("start_t") < F.col("lo")) | (F.col("end_t") > F.col("hi"))), "enhancement_range_out_of_coverage").when((k == "cue") & F.col("c_start").isNull(), "enhancement_cue_unknown"))
-    pick = lambda a, b, c: F.when(F.col("reason").isNull(), F.when(k == "part", F.col(a)).when(k == "range", F.col(b)).otherwise(F.col(c)))
+    pick = lambda a, b, c: F.when(F.col("reason").isNull(), F.when(k.isin("part", "all"), F.col(a)).when(k == "range", F.col(b)).otherwise(F.col(c)))
     resolved = rows.withColumn("reason", reason).select("selector_id", key, "kind", pick("lo", "start_t", "c_start").alias("start_t"), pick("hi", "end_t", "c_end").alias("end_t"), "reason")
     wrong = resolved.where("reason is not null").select(key).distinct()
     return resolved, iv.union(resolved.where("reason is null").join(wrong, key, "left_anti"), key)

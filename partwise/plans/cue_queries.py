@@ -409,7 +409,7 @@ _RESOLVED = """SELECT s.selector_id, s.part_id, s.kind, CASE WHEN s.kind = 'part
 _SCOPE = f"(SELECT part_id, start_t, end_t FROM resolved WHERE part_id NOT IN (SELECT part_id FROM resolved WHERE reason IS NOT NULL))"
 
 
-@query(sql(f"SELECT part_id, selector_id, start_t, end_t, reason FROM (SELECT part_id, selector_id, CASE WHEN reason IS NULL THEN start_t END AS start_t, CASE WHEN reason IS NULL THEN end_t END AS end_t, reason FROM resolved ) UNION ALL SELECT part_id, -1, start_t, end_t, 'scope' FROM {iv.union_sql(_SCOPE, 'part_id')}", selectors=_SELECTORS, resolved=_RESOLVED))
+@query(sql(f"SELECT part_id, selector_id, start_t, end_t, reason FROM (SELECT part_id, selector_id, CASE WHEN reason IS NULL THEN start_t END AS start_t, CASE WHEN reason IS NULL THEN end_t END AS end_t, reason FROM resolved ) UNION ALL SELECT part_id, -1, start_t, end_t, 'scope' FROM {iv.union_sql(_SCOPE, 'part_id')} UNION ALL SELECT part_id, s, min(start_t), max(end_t), CASE WHEN s = -3 THEN 'scope' END FROM cues, (VALUES (-2), (-3)) v(s) GROUP BY part_id, s", selectors=_SELECTORS, resolved=_RESOLVED))
 def B11_selector_scope(spark, sf_dir):
     """User selectors resolved against retained cues, or why not, and each part's merged scope."""
     cues, p, o = inputs.cues(spark, sf_dir), F.col("part_id"), F.col("source_ordinal")
@@ -420,4 +420,7 @@ def B11_selector_scope(spark, sf_dir):
         F.when(o % 3 == 2, o + F.when(p % 11 == 5, 1000).otherwise(0)).alias("source_ordinal"))
     resolved, scope = tracks.selector_scope(selectors, cues, "part_id")
     merged = scope.select("part_id", F.lit(-1).alias("selector_id"), "start_t", "end_t", F.lit("scope").alias("reason"))
-    return resolved.select("part_id", "selector_id", "start_t", "end_t", "reason").unionByName(merged)
+    one = spark.range(1).select(F.lit(-2).cast("long").alias("selector_id"), F.lit(None).cast("long").alias("part_id"), F.lit("all").alias("kind"), *[F.lit(None).cast("long").alias(c) for c in ("start_t", "end_t", "source_ordinal")])
+    every, whole = tracks.selector_scope(one, cues, "part_id")
+    again = every.select("part_id", "selector_id", "start_t", "end_t", "reason").unionByName(whole.select("part_id", F.lit(-3).alias("selector_id"), "start_t", "end_t", F.lit("scope").alias("reason")))
+    return resolved.select("part_id", "selector_id", "start_t", "end_t", "reason").unionByName(merged).unionByName(again)

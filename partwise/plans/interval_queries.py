@@ -78,15 +78,17 @@ def D02_playback_coverage(spark, sf_dir):
     return iv.union(inputs.packets(spark, sf_dir), "part_id").select("part_id", (F.col("start_t") - origin).alias("start_t"), (F.col("end_t") - origin).alias("end_t"))
 
 
-@query(sql(f"""SELECT part_id, sum(covered)::BIGINT AS covered, sum(playback)::BIGINT AS playback FROM (
-    SELECT part_id, 0 AS covered, end_t - start_t AS playback FROM {_USABLE} UNION ALL SELECT part_id, end_t - start_t, 0 FROM {iv.union_sql('captions', 'part_id')})
-    GROUP BY ROLLUP (part_id)"""))
+_TRACKED = "SELECT * FROM captions WHERE part_id % 8 <> 5"
+
+
+@query(sql(f"""SELECT part_id // 10 AS collection, part_id, coalesce(sum(covered), 0)::BIGINT AS covered, sum(playback)::BIGINT AS playback FROM (
+    SELECT part_id, NULL::BIGINT AS covered, end_t - start_t AS playback FROM {_USABLE} UNION ALL SELECT part_id, end_t - start_t, NULL FROM {iv.union_sql('tracked', 'part_id')})
+    GROUP BY ROLLUP (part_id // 10, part_id)""", tracked=_TRACKED))
 def D03_caption_time_coverage(spark, sf_dir):
-    """Caption time and playback time of each part, and of all parts (null), as an exact ratio."""
-    length = F.col("end_t") - F.col("start_t")
-    playback = _usable(spark, sf_dir).select("part_id", F.lit(0).cast("long").alias("covered"), length.alias("playback"))
-    covered = iv.union(inputs.captions(spark, sf_dir), "part_id").select("part_id", length.alias("covered"), F.lit(0).cast("long").alias("playback"))
-    return playback.unionByName(covered).rollup("part_id").agg(F.sum("covered").alias("covered"), F.sum("playback").alias("playback"))
+    """Caption time and playback time of each part, of each collection (part null) and of all, as exact ratios; some parts have no selected track."""
+    users = _users(spark, sf_dir)
+    parts = users.select(F.floor(F.col("part_id") / 10).alias("collection"), "part_id")
+    return tr.caption_coverage(parts, users, inputs.captions(spark, sf_dir).where("part_id % 8 <> 5"), "collection", "part_id")
 
 
 @query(sql("SELECT part_id, min(start_t) AS start_t, max(end_t) AS end_t FROM cues GROUP BY part_id"))

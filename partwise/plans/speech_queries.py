@@ -79,11 +79,10 @@ def E12_chapter_first_wins(spark, sf_dir):
 
 
 
-@query(sql("SELECT part_id, row_number() OVER (PARTITION BY part_id ORDER BY source_ordinal) - 1 AS ordinal, source_ordinal AS chunk FROM cues WHERE trim(text) <> '' AND source_ordinal % 4 <> 1"))
+@query(sql("SELECT part_id, row_number() OVER (PARTITION BY part_id ORDER BY source_ordinal) - 1 AS ordinal, source_ordinal AS chunk FROM cues WHERE trim(text) <> ''"))
 def F12_assemble_asr_cues(spark, sf_dir):
     """Chunks with visible text as cues, numbered without holes."""
-    rows = inputs.cues(spark, sf_dir).where("trim(text) <> '' and source_ordinal % 4 <> 1")
-    return rows.select("part_id", (F.row_number().over(Window.partitionBy("part_id").orderBy("source_ordinal")) - 1).cast("long").alias("ordinal"), F.col("source_ordinal").alias("chunk"))
+    return sp.assembled(inputs.cues(spark, sf_dir).withColumnRenamed("source_ordinal", "chunk"), "part_id", "chunk").select("part_id", "ordinal", "chunk")
 
 
 @query(sql("""SELECT part_id, CASE WHEN wanted IS NULL AND n = 1 THEN one WHEN wanted IS NOT NULL AND list_contains(open, wanted) THEN wanted END AS stream_index,
@@ -109,8 +108,7 @@ def D21_part_video_coverage(spark, sf_dir):
 @query(sql("SELECT part_id, cue_id, printf('part-%02d:speaker-%02d', part_id, dense_rank() OVER (PARTITION BY part_id ORDER BY cue_id % 7)) AS label FROM captions "))
 def E09_speaker_labels(spark, sf_dir):
     """Labels by the rank of a cluster within its part."""
-    rank = F.dense_rank().over(Window.partitionBy("part_id").orderBy(F.col("cue_id") % 7))
-    return inputs.captions(spark, sf_dir).select("part_id", "cue_id", F.format_string("part-%02d:speaker-%02d", "part_id", rank).alias("label"))
+    return sp.speaker_labels(inputs.captions(spark, sf_dir).withColumn("cluster", F.col("cue_id") % 7), "part_id", "cluster").select("part_id", "cue_id", "label")
 
 
 _PROPOSED = """SELECT part_id, source_ordinal, CASE WHEN part_id % 9 = 7 AND source_ordinal = 2 THEN text || 'x' ELSE text END AS text, start_t + (source_ordinal * 37 % 11) * 90 - CASE WHEN part_id % 6 = 5 AND source_ordinal = 3 THEN 20000 ELSE 0 END AS start_t,
@@ -170,21 +168,18 @@ def G02_language_switching(spark, sf_dir):
 
 
 
-@query(r"SELECT doc_id, len(m) AS n_mixed, len(d) AS n_digits FROM (SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\x0b\f\r]+'), lambda w: regexp_matches(w, '[0-9]') AND regexp_matches(w, '\p{L}')) AS m, regexp_extract_all(text, '[0-9]{3,}') AS d FROM documents) WHERE len(m) > 0 OR len(d) > 0")
+@query(r"SELECT doc_id, len(m) + len(d) AS n, array_to_string(list_concat(m, d), ' ') AS matches FROM (SELECT doc_id, list_filter(regexp_split_to_array(text, '[ \t\n\x0b\f\r]+'), lambda w: regexp_matches(w, '[0-9]') AND regexp_matches(w, '\p{L}')) AS m, regexp_extract_all(text, '[0-9]{3,}') AS d FROM documents) WHERE len(m) > 0 OR len(d) > 0")
 def G03_numbers_entities(spark, sf_dir):
-    """Words that mix letters and digits, and runs of three digits or more."""
-    mixed = F.filter(F.split("text", r"(?U)\s+"), lambda w: w.rlike(r"\p{Nd}") & w.rlike(r"\p{L}"))
-    rows = inputs.table(spark, sf_dir, "documents").select("doc_id", F.size(mixed).cast("long").alias("n_mixed"), F.size(F.regexp_extract_all("text", F.lit(r"\p{Nd}{3,}"), F.lit(0))).cast("long").alias("n_digits"))
-    return rows.where("n_mixed > 0 or n_digits > 0")
+    """Words that mix letters and digits, then runs of three digits or more, listed."""
+    rows = inputs.table(spark, sf_dir, "documents").select("doc_id", su.numeric_matches(F.col("text"), 3).alias("found"))
+    return rows.where(F.size("found") > 0).select("doc_id", F.size("found").cast("long").alias("n"), F.array_join("found", " ").alias("matches"))
 
 
-@query(rf"SELECT doc_id, longest FROM (SELECT doc_id, max(n) AS longest FROM (SELECT doc_id, grp, count(*) AS n FROM (SELECT doc_id, i - row_number() OVER (PARTITION BY doc_id, w ORDER BY i) AS grp, w FROM (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM (SELECT doc_id, {_WORDS} AS w FROM documents))) GROUP BY doc_id, grp, w) GROUP BY doc_id) WHERE longest > 2")
+@query(rf"SELECT doc_id, n AS longest, w AS unit FROM (SELECT doc_id, w, count(*) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, min(i)) AS place FROM (SELECT doc_id, i - row_number() OVER (PARTITION BY doc_id, w ORDER BY i) AS grp, w, i FROM (SELECT doc_id, unnest(w) AS w, generate_subscripts(w, 1) AS i FROM (SELECT doc_id, {_WORDS} AS w FROM documents))) GROUP BY doc_id, grp, w) WHERE place = 1 AND n > 2")
 def E07_within_cue_repetition(spark, sf_dir):
-    """Texts in which a word stands more than twice in a row."""
-    start = F.struct(F.lit("").alias("w"), F.lit(0).alias("n"), F.lit(0).alias("most"))
-    step = lambda s, w: F.struct(w.alias("w"), F.when(s["w"] == w, s["n"] + 1).otherwise(1).alias("n"), F.greatest(s["most"], F.when(s["w"] == w, s["n"] + 1).otherwise(1)).alias("most"))
-    rows = inputs.table(spark, sf_dir, "documents").select("doc_id", F.aggregate(words("text"), start, step)["most"].cast("long").alias("longest"))
-    return rows.where("longest > 2")
+    """Texts in which a word stands more than twice in a row, and the word of the first longest run."""
+    rows = inputs.table(spark, sf_dir, "documents").select("doc_id", su.longest_run(words("text")).alias("run"))
+    return rows.where("run.length > 2").select("doc_id", F.col("run.length").cast("long").alias("longest"), F.col("run.unit").alias("unit"))
 
 
 _DOC_LINES = "SELECT doc_id AS part_id, generate_subscripts(l, 1) AS ordinal, unnest(l) AS text FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)"
@@ -248,8 +243,7 @@ def D17_verbatim_emission(spark, sf_dir):
 @query(sql("SELECT part_id, cue_id, start_t, end_t FROM (SELECT *, row_number() OVER (PARTITION BY part_id ORDER BY start_t, cue_id) AS rn FROM captions ) WHERE rn <= 3"))
 def H02_leading_chunks(spark, sf_dir):
     """The first three chunks of each part."""
-    rn = F.row_number().over(Window.partitionBy("part_id").orderBy("start_t", "cue_id"))
-    return inputs.captions(spark, sf_dir).withColumn("rn", rn).where("rn <= 3").drop("rn")
+    return sp.leading(inputs.captions(spark, sf_dir), "part_id", ["start_t", "cue_id"], 3)
 
 
 _SNAP = "least(greatest(round_even({} * 16 / 1000.0, 0)::BIGINT, 0), last_sample)"

@@ -62,13 +62,14 @@ def E06_transition_runs(spark, sf_dir):
 
 
 
-@query(sql("SELECT t.part_id, t.start_t, t.end_t, count(c.cue_id) AS audio, CASE WHEN t.part_id % 10 = 0 THEN 'picture_only' ELSE 'picture_plus_audio' END AS basis FROM trans t LEFT JOIN captions c ON t.part_id = c.part_id AND c.start_t <= t.end_t AND t.start_t <= c.end_t AND t.part_id % 10 <> 0 GROUP BY t.part_id, t.start_t, t.end_t", settled_frames=_SETTLED, trans=_TRANSITIONS))
+@query(sql("""SELECT t.part_id, t.start_t, t.end_t, coalesce(string_agg(v.start_t::VARCHAR || '-' || v.end_t::VARCHAR, ',' ORDER BY v.start_t, v.end_t), '') AS audio, CASE WHEN t.part_id % 10 = 0 THEN 'picture_only' ELSE 'picture_plus_audio' END AS basis
+    FROM trans t LEFT JOIN (SELECT * FROM vad WHERE state = 'speech_likely' AND part_id % 10 <> 0) v ON t.part_id = v.part_id AND v.start_t <= t.end_t AND t.start_t <= v.end_t GROUP BY t.part_id, t.start_t, t.end_t""", settled_frames=_SETTLED, trans=_TRANSITIONS))
 def C17_embedded_media_audio(spark, sf_dir):
-    """Transition runs with the audio they touch, both ends included."""
-    audio = inputs.captions(spark, sf_dir).where("part_id % 10 <> 0")
-    pairs = iv.overlap_join(E06_transition_runs(spark, sf_dir), audio, ["part_id"], HOURS_6, "left", closed=True)
-    found = pairs.groupBy("part_id", "start_t", "end_t").agg(F.count("cue_id").alias("audio"))
-    return found.withColumn("basis", F.when(F.col("part_id") % 10 == 0, "picture_only").otherwise("picture_plus_audio"))
+    """Transition runs with the active audio that they touch, both ends included; some parts have no audio report."""
+    vad = inputs.vad(spark, sf_dir)
+    found = sc.embedded_media(E06_transition_runs(spark, sf_dir).select("part_id", "start_t", "end_t"), vad, vad.where("part_id % 10 <> 0"), "part_id", HOURS_6)
+    listed = F.array_join(F.transform("overlapping_audio", lambda x: F.concat(x["start_t"].cast("string"), F.lit("-"), x["end_t"].cast("string"))), ",")
+    return found.select("part_id", "start_t", "end_t", listed.alias("audio"), "basis")
 
 
 @query(sql(f"SELECT part_id, count(*) AS selected, count(*) * 3 AS seconds, count(*) * 4194304 AS bytes, count(*) <= 4 AS fits FROM (SELECT DISTINCT f.part_id, f.fingerprint FROM settled_frames f WHERE f.settled AND edge_density >= {LEGIBLE}) GROUP BY part_id", settled_frames=_SETTLED))
@@ -118,18 +119,19 @@ def C06_host_read_upgrade(spark, sf_dir):
     return found.select("part_id", "comment_id", F.array_join(F.transform("cited", lambda c: c.cast("string")), ",").alias("cited"), "basis")
 
 
-_SEGMENTS = "SELECT part_id, source_ordinal AS segment, start_t FROM cues WHERE role = 'user'"
+#: Segments begin with what users say; in some parts no cue has a time, and some segments are not made anew.
+_SEGMENTS = "SELECT part_id, source_ordinal AS segment, CASE WHEN part_id % 6 <> 2 THEN start_t END AS start_t, source_ordinal % 3 <> 1 AS fresh FROM cues WHERE role = 'user'"
 
 
-@query(sql("""SELECT c.part_id, c.source_ordinal, coalesce((SELECT arg_max(segment, (s.start_t, segment)) FROM segs s WHERE s.part_id = c.part_id AND s.start_t <= c.start_t + 100), (SELECT min(segment) FROM segs s WHERE s.part_id = c.part_id)) AS segment FROM cues c""", segs=_SEGMENTS))
+@query(sql("""SELECT f.part_id, f.source_ordinal, f.segment, coalesce(s.fresh, false) AS attached FROM (
+      SELECT c.part_id, c.source_ordinal, coalesce((SELECT arg_max(segment, (s.start_t, segment)) FROM segs s WHERE s.part_id = c.part_id AND s.start_t <= c.start_t + 100), (SELECT arg_min(segment, (s.start_t, segment)) FROM segs s WHERE s.part_id = c.part_id AND s.start_t IS NOT NULL), (SELECT min(segment) FROM segs s WHERE s.part_id = c.part_id)) AS segment FROM cues c) f
+    LEFT JOIN segs s ON s.part_id = f.part_id AND s.segment = f.segment""", segs=_SEGMENTS))
 def C07_assign_facts_to_segments(spark, sf_dir):
-    """Each fact belongs to the last segment that starts at or before it; earlier ones to the first."""
+    """Each fact belongs to the last segment that starts at or before it; earlier ones, and those of parts without timed cues, to the first; only segments made anew get theirs attached."""
     cues = inputs.cues(spark, sf_dir)
-    segs = cues.where("role = 'user'").select("part_id", F.col("start_t").alias("t"), F.lit(0).alias("kind"), F.col("source_ordinal").alias("segment"), F.lit(None).cast("long").alias("source_ordinal"))
-    facts = cues.select("part_id", (F.col("start_t") + 100).alias("t"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("segment"), "source_ordinal")
-    order = Window.partitionBy("part_id").orderBy("t", "kind", "segment")
-    all_ = segs.unionByName(facts).withColumn("last", F.last("segment", True).over(order)).withColumn("first", F.min("segment").over(Window.partitionBy("part_id")))
-    return all_.where("kind = 1").select("part_id", "source_ordinal", F.coalesce("last", "first").alias("segment"))
+    segs = cues.where("role = 'user'").select("part_id", F.col("source_ordinal").alias("segment"), F.when(F.col("part_id") % 6 != 2, F.col("start_t")).alias("start_t"), (F.col("source_ordinal") % 3 != 1).alias("fresh"))
+    facts = cues.select("part_id", (F.col("start_t") + 100).alias("t"), "source_ordinal")
+    return sg.assign_facts(facts, segs, "part_id", "segment").select("part_id", "source_ordinal", "segment", "attached")
 
 
 @query(sql("""SELECT part_id, cut AS start_pos, coalesce(lead(cut) OVER (PARTITION BY part_id ORDER BY cut), n) - 1 AS end_pos FROM (SELECT part_id, 0 AS cut, n FROM cut_parts UNION SELECT part_id, cut, n FROM cuts )""",

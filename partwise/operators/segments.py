@@ -62,10 +62,35 @@ def validate_claims(claims: DataFrame, segments: DataFrame, item: str) -> DataFr
     return _told(rows, claim_failure(F.col("text"), F.col("cue_ids"), F.col("owned")), "part_id", "segment", item)
 
 
+#: The lists of a segment's details and what each one's items are called.
+DETAILS = {"detailed_content": "detail", "numeric_values": "numeric_value", "entities": "entity", "examples": "example", "conditions": "condition", "caveats": "caveat"}
+_MISSING = "claim is missing or not an object"
+
+
+def validate_content(documents: DataFrame, segments: DataFrame) -> DataFrame:
+    """(part_id, segment, kind, idx, outcome, message) of the title and the details of segments.
+
+    documents: part_id, segment, title struct(text, cue_ids) and, as far as there, the lists of DETAILS, array of the
+    same struct. A title is asked for, so a missing one is told; an item that is null is missing; lists may be null.
+    """
+    claim = F.col("title")
+    one = lambda kind, i, c: F.struct(F.lit(kind).alias("kind"), i.cast("long").alias("idx"), c.alias("claim"))
+    parts = [F.array(one("title", F.lit(0), claim))]
+    listed = lambda name, kind: F.transform(name, lambda c, i: one(kind, i, c))
+    for name, kind in DETAILS.items():
+        if name in documents.columns:
+            items = listed(name, kind)
+            parts.append(F.when(F.col(name).isNotNull(), items).otherwise(F.array().cast(documents.select(items.alias("x")).schema["x"].dataType)))
+    claims = documents.select("part_id", "segment", F.inline(F.concat(*parts)))
+    rows = claims.join(segments, ["part_id", "segment"], "left")
+    failure = F.when(F.col("claim").isNull(), _MISSING).otherwise(claim_failure(F.col("claim.text"), F.col("claim.cue_ids"), F.coalesce("owned", F.array().cast(dict(segments.dtypes)["owned"]))))
+    return _told(rows, failure, "part_id", "segment", "kind", "idx")
+
+
 def validate_answers(pairs: DataFrame, segments: DataFrame, item: str) -> DataFrame:
     """Questions and answers (question, answer: struct(text, cue_ids)): both sides must be cited claims."""
     rows = pairs.join(segments, ["part_id", "segment"], "left")
-    one = lambda side: F.when(F.col(side).isNull(), "claim is missing or not an object").otherwise(claim_failure(F.col(f"{side}.text"), F.col(f"{side}.cue_ids"), F.col("owned")))
+    one = lambda side: F.when(F.col(side).isNull(), _MISSING).otherwise(claim_failure(F.col(f"{side}.text"), F.col(f"{side}.cue_ids"), F.col("owned")))
     q, a = one("question"), one("answer")
     return _told(rows, F.when(q.isNotNull(), F.concat(F.lit("question: "), q)).when(a.isNotNull(), F.concat(F.lit("answer: "), a)), "part_id", "segment", item)
 

@@ -227,11 +227,18 @@ def _claims(cues: DataFrame) -> DataFrame:
     return cues.select("part_id", o.alias("claim_id"), F.floor(o / 2).alias("segment"), F.when(o % 5 == 4, " ").otherwise(F.col("text")).alias("text"), cited.alias("cue_ids"))
 
 
-@query(sql(f"SELECT part_id, claim_id, CASE WHEN message IS NULL THEN 'kept' ELSE 'unsupported_generated_claim' END AS outcome, message FROM (SELECT part_id, claim_id, {_failure_sql('text', 'cue_ids')} AS message FROM claims )", claims=_CLAIMS))
+@query(sql(f"""SELECT part_id, segment, kind, idx, CASE WHEN message IS NULL THEN 'kept' ELSE 'unsupported_generated_claim' END AS outcome, message FROM (
+    SELECT part_id, segment, 'title' AS kind, 0 AS idx, CASE WHEN segment % 3 = 2 THEN 'claim is missing or not an object' ELSE {_failure_sql('text', 'cue_ids')} END AS message FROM ranked WHERE place = 0
+    UNION ALL SELECT part_id, segment, 'detail', place, {_failure_sql('text', 'cue_ids')} FROM ranked
+    UNION ALL SELECT part_id, segment, 'entity', i, CASE WHEN i = 1 THEN 'claim is missing or not an object' ELSE {_failure_sql('text', 'cue_ids')} END FROM ranked, (VALUES (0), (1)) v(i) WHERE place = 0 AND segment % 4 = 1)""",
+    claims=_CLAIMS, ranked="SELECT *, row_number() OVER (PARTITION BY part_id, segment ORDER BY claim_id) - 1 AS place FROM claims "))
 def G05_validate_claims(spark, sf_dir):
-    """Claims need text and citations, all of cues that their segment owns."""
+    """Titles and details of segments need text and citations, all of cues that their segment owns; a missing title or item is told."""
     cues = inputs.cues(spark, sf_dir)
-    return sg.validate_claims(_claims(cues), _owned(cues), "claim_id").select("part_id", "claim_id", "outcome", "message")
+    claims = _claims(cues).groupBy("part_id", "segment").agg(F.transform(F.sort_array(F.collect_list(F.struct("claim_id", "text", "cue_ids"))), lambda c: F.struct(c["text"].alias("text"), c["cue_ids"].alias("cue_ids"))).alias("detailed_content"))
+    first, k = F.get("detailed_content", F.lit(0)), F.col("segment")
+    documents = claims.withColumns({"title": F.when(k % 3 != 2, first), "entities": F.when(k % 4 == 1, F.array(first, F.lit(None)))})
+    return sg.validate_content(documents, _owned(cues))
 
 
 _QA = f"""SELECT part_id, segment, o, text, CASE WHEN q IS NOT NULL THEN 'question: ' || q WHEN a IS NOT NULL THEN 'answer: ' || a END AS message FROM (SELECT part_id, o, o // 2 AS segment, text,

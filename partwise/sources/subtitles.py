@@ -22,7 +22,7 @@ MOST_BYTES = 256 << 20
 
 
 def read_payloads(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """(path, content) of raw files below a folder."""
+    """(path, content) of raw files below a folder; empty files are not listed."""
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path).select("path", "content")
 
 

@@ -12,7 +12,7 @@ _ANONYMOUS_SAYS = "an anonymous speaker label does not establish identity"
 
 
 def tile(proposals: DataFrame, cues: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(outcomes, segments) of proposals (part_id, pos, named_part, start_cue, end_cue) for cues (part_id, cue_id, place from 0).
+    """(outcomes, segments) of proposals (part_id, pos, named_part, start_cue, end_cue), pos once a part, for cues (part_id, cue_id, place from 0).
 
     outcomes: each proposal with boundary_crosses_part, boundary_out_of_range, boundary_empty, boundary_duplicate (the
     first of equal spans wins), coverage_breaking or accepted. A part's accepted spans must tile its cues exactly, else
@@ -20,24 +20,27 @@ def tile(proposals: DataFrame, cues: DataFrame) -> tuple[DataFrame, DataFrame]:
     (adjudicated, conservative_fallback), cue_ids.
     """
     part = Window.partitionBy("part_id")
-    placed = lambda c, p: cues.select("part_id", F.col("cue_id").alias(c), F.col("place").alias(p))
-    sizes = cues.groupBy("part_id").agg(F.count("*").alias("n"))
-    rows = proposals.join(placed("start_cue", "s"), ["part_id", "start_cue"], "left").join(placed("end_cue", "e"), ["part_id", "end_cue"], "left").join(sizes, "part_id", "left")
+    end = lambda side, cue: F.struct(F.lit(side).alias("side"), F.col(cue).alias("cue_id"))
+    ends = proposals.select("part_id", "pos", "named_part", F.inline(F.array(end(0, "start_cue"), end(1, "end_cue"))))
+    places = cues.select("part_id", "cue_id", F.col("place").cast("long").alias("place"), F.count(F.lit(1)).over(part).alias("n"))
+    at = lambda side: F.max(F.when(F.col("side") == side, F.col("place")))
+    rows = ends.join(places, ["part_id", "cue_id"], "left").repartition("part_id").groupBy("part_id", "pos").agg(F.max("named_part").alias("named_part"), at(0).alias("s"), at(1).alias("e"), F.max("n").alias("n"))
     reason = F.when(F.col("named_part") != F.col("part_id"), "boundary_crosses_part").when(F.col("s").isNull() | F.col("e").isNull(), "boundary_out_of_range").when(F.col("s") > F.col("e"), "boundary_empty")
     rows = rows.withColumn("reason", reason)
     again = F.row_number().over(Window.partitionBy("part_id", "s", "e", F.col("reason").isNull()).orderBy("pos")) > 1
     rows = rows.withColumn("reason", F.when(F.col("reason").isNull() & again, "boundary_duplicate").otherwise(F.col("reason"))).withColumn("good", F.col("reason").isNull())
     fits = F.col("s") == F.coalesce(F.lag("e").over(Window.partitionBy("part_id", "good").orderBy("s", "e")) + 1, F.lit(0))
     rows = rows.withColumn("fits", F.when(F.col("good"), fits))
-    tiled = F.coalesce(F.bool_and("fits").over(part) & (F.max(F.when(F.col("good"), F.col("e"))).over(part) == F.col("n") - 1), F.lit(False))
+    tiled = F.coalesce(F.bool_and("fits").over(part) & (F.max(F.when(F.col("good"), F.col("e"))).over(part) == F.max("n").over(part) - 1), F.lit(False))
     rows = rows.withColumn("tiled", tiled)
     outcomes = rows.select("part_id", "pos", F.coalesce("reason", F.when(F.col("tiled"), "accepted").otherwise("coverage_breaking")).alias("outcome"))
-    taken = rows.where("good and tiled").select("part_id", (F.row_number().over(part.orderBy("s")) - 1).cast("long").alias("ordinal"), F.col("s").alias("start_place"), F.col("e").alias("end_place"), F.lit("adjudicated").alias("origin"))
-    whole = sizes.join(taken.select("part_id").distinct(), "part_id", "left_anti").select("part_id", F.lit(0).cast("long").alias("ordinal"), F.lit(0).cast("long").alias("start_place"), (F.col("n") - 1).alias("end_place"), F.lit("conservative_fallback").alias("origin"))
-    spans = taken.unionByName(whole)
-    owned = spans.select("part_id", "ordinal", F.explode(F.sequence("start_place", "end_place")).alias("place")).join(cues.select("part_id", F.col("place").cast("long").alias("place"), "cue_id"), ["part_id", "place"])
-    lists = owned.groupBy("part_id", "ordinal").agg(F.transform(F.sort_array(F.collect_list(F.struct("place", "cue_id"))), lambda c: c["cue_id"]).alias("cue_ids"))
-    return outcomes, spans.join(lists, ["part_id", "ordinal"])
+    number = (F.row_number().over(part.orderBy("s")) - 1).cast("long")
+    marks = rows.where("good and tiled").select("part_id", F.col("s").alias("place"), number.alias("mark"), F.lit(None).cast(cues.schema["cue_id"].dataType).alias("cue_id"))
+    own = cues.select("part_id", F.col("place").cast("long").alias("place"), F.lit(None).cast("long").alias("mark"), "cue_id")
+    held = own.unionByName(marks).withColumn("mark", F.last("mark", True).over(part.orderBy("place", F.col("mark").asc_nulls_last()))).where("cue_id is not null")
+    ids = F.transform(F.sort_array(F.collect_list(F.struct("place", "cue_id"))), lambda c: c["cue_id"])
+    segments = held.groupBy("part_id", F.col("mark")).agg(F.min("place").alias("start_place"), F.max("place").alias("end_place"), ids.alias("cue_ids"))
+    return outcomes, segments.select("part_id", F.coalesce("mark", F.lit(0).cast("long")).alias("ordinal"), "start_place", "end_place", F.when(F.col("mark").isNull(), "conservative_fallback").otherwise("adjudicated").alias("origin"), "cue_ids")
 
 
 def citation_failure(cue_ids: Column, owned: Column) -> Column:

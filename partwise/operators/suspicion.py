@@ -76,16 +76,16 @@ def detect(cues: DataFrame, activity: DataFrame, key: str, width: int, per_secon
     speech = iv.union(activity.where("state = 'speech_likely'").select(key, "start_t", "end_t"), key)
     over = sp.text_over_silence(cues.select(key, "source_ordinal", "start_t", "end_t"), silent, rules["vad_coverage"]["minimum_silence_overlap_seconds"] * per_second, [key], width)
     bare = sp.textless_speech(speech, cues.select(key, "start_t", "end_t"), rules["coverage_checks"]["minimum_textless_speech_seconds"] * per_second, key)
-    low = cues.withColumn("_x", low_tokens(F.col("tokens"), rules["confidence"]["minimum_token_confidence"])).where(F.size("_x") > 0)
     most = rules["repetition"]["maximum_consecutive_repetitions"]
     units = F.when(F.size("tokens") > 0, F.transform("tokens", lambda t: t["text"])).otherwise(words("text"))
-    within = cues.withColumn("_x", longest_run(units)).where(F.col("_x.length") > most)
+    told = lambda detector, rule, evidence: F.when(rule, F.struct(F.lit(DETECTORS.index(detector)).alias("position"), evidence.cast("string").alias("evidence")))
+    seen = cues.withColumns({"_low": low_tokens(F.col("tokens"), rules["confidence"]["minimum_token_confidence"]), "_run": longest_run(units), "_turns": switches(F.col("languages")), "_numbers": numeric_matches(F.col("text"), rules["numbers_entities"]["minimum_digit_run"])})
+    local = F.array(  # what one cue alone shows: all four in one pass over the cues
+        told("confidence", F.size("_low") > 0, F.array_join("_low", " ")), told("repetition", F.col("_run.length") > most, F.concat_ws(" ", "_run.unit", F.col("_run.length").cast("string"))),
+        told("language_switching", F.col("_turns") > rules["language_switching"]["maximum_language_switches"], F.col("_turns")), told("numbers_entities", F.size("_numbers") > 0, F.array_join("_numbers", " ")))
+    within = seen.select(key, "start_t", "end_t", own.cast("array<bigint>").alias("ordinals"), F.inline(F.filter(local, lambda f: f.isNotNull()))).select(key, "start_t", "end_t", "position", "ordinals", "evidence")
     across = repeated_cues(cues, key, most)
-    changed = cues.withColumn("_x", switches(F.col("languages"))).where(F.col("_x") > rules["language_switching"]["maximum_language_switches"])
-    numbers = cues.withColumn("_x", numeric_matches(F.col("text"), rules["numbers_entities"]["minimum_digit_run"])).where(F.size("_x") > 0)
-    every = (found(over, "vad_coverage", own, F.lit("")).unionByName(found(bare, "coverage_checks", none, F.lit(""))).unionByName(found(low, "confidence", own, F.array_join("_x", " ")))
-             .unionByName(found(within, "repetition", own, F.concat_ws(" ", "_x.unit", F.col("_x.length").cast("string")))).unionByName(found(across, "repetition", F.col("ordinals"), F.lit("across")))
-             .unionByName(found(changed, "language_switching", own, F.col("_x"))).unionByName(found(numbers, "numbers_entities", own, F.array_join("_x", " "))))
+    every = (found(over, "vad_coverage", own, F.lit("")).unionByName(found(bare, "coverage_checks", none, F.lit(""))).unionByName(within).unionByName(found(across, "repetition", F.col("ordinals"), F.lit("across"))))
     place = F.row_number().over(Window.partitionBy(key).orderBy("start_t", "end_t", "position", "ordinals", "evidence"))
     names = F.array(*[F.lit(d) for d in DETECTORS])
     return every.select(key, place.cast("long").alias("place"), "start_t", "end_t", F.get(names, F.col("position")).alias("detector"), "ordinals", "evidence")

@@ -168,9 +168,10 @@ def E11_segment_tiling(spark, sf_dir):
     cues = inputs.cues(spark, sf_dir)
     base = cues.withColumn("n", F.count("*").over(part)).where("role = 'user' or source_ordinal = 0")
     spans = base.select("part_id", (F.col("source_ordinal") * 10).alias("pos"), p.alias("named_part"), F.col("source_ordinal").alias("start_cue"), (F.coalesce(F.lead("source_ordinal").over(part.orderBy("source_ordinal")), F.col("n")) - 1).alias("end_cue")).where("not (part_id % 7 = 0 and start_cue > 0 and start_cue < 4)")
-    more = lambda where, k, **new: spans.where(where).withColumns({"pos": F.col("pos") + k, **new})
-    proposals = (spans.unionByName(more("part_id % 5 = 1", 1)).unionByName(more("part_id % 4 = 2", 2, named_part=p + 1)).unionByName(more("part_id % 6 = 3 and start_cue < end_cue", 3, start_cue=F.col("end_cue"), end_cue=F.col("start_cue")))
-                 .unionByName(more("part_id % 8 = 5", 4, end_cue=F.col("end_cue") + 1000)))
+    start, end, pos = F.col("start_cue"), F.col("end_cue"), F.col("pos")
+    kind = lambda where, k, named=p, first=start, last=end: F.when(F.expr(where), F.struct((pos + k).alias("pos"), named.alias("named_part"), first.alias("start_cue"), last.alias("end_cue")))
+    variants = F.array(kind("true", 0), kind("part_id % 5 = 1", 1), kind("part_id % 4 = 2", 2, named=p + 1), kind("part_id % 6 = 3 and start_cue < end_cue", 3, first=end, last=start), kind("part_id % 8 = 5", 4, last=end + 1000))
+    proposals = spans.select("part_id", F.inline(F.filter(variants, lambda v: v.isNotNull())))
     outcomes, segments = sg.tile(proposals, cues.select("part_id", F.col("source_ordinal").alias("cue_id"), F.col("source_ordinal").alias("place")))
     none = F.lit(None).cast("long")
     told = outcomes.select(F.lit("proposal").alias("kind"), "part_id", "pos", none.alias("s"), none.alias("e"), "outcome")

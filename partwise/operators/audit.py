@@ -129,3 +129,60 @@ def replay(events: DataFrame, edges: dict[str | None, set[str]]) -> DataFrame:
     kept = F.when(F.col("whole"), F.col("line"))
     return rows.groupBy("run_id").agg(F.max_by(F.when(F.col("whole"), F.col("to_status")), kept).alias("status"), (F.coalesce(F.max(F.when(F.col("whole"), F.col("sequence"))), F.lit(0)) + 1).cast("long").alias("next_sequence"),
                                       F.count_if("illegal").alias("illegal"), F.count_if("hole").alias("holes"), F.sum("good").cast("long").alias("valid_prefix"), F.count_if(~F.col("whole")).alias("torn"))
+
+
+def changed_parts(old: DataFrame, new: DataFrame, key: str, base: str) -> DataFrame:
+    """(key, state) of parts of two bases (key, base: what a part's base consists of, in order): added, removed, changed or unaffected."""
+    both = old.select(key, F.col(base).alias("_o"), F.lit(True).alias("_in_old")).join(new.select(key, F.col(base).alias("_n"), F.lit(True).alias("_in_new")), key, "full")
+    return both.select(key, F.when(F.col("_in_old").isNull(), "added").when(F.col("_in_new").isNull(), "removed").when(~F.col("_o").eqNullSafe(F.col("_n")), "changed").otherwise("unaffected").alias("state"))
+
+
+def recurring(failures: DataFrame, parts: list[str], report: str) -> DataFrame:
+    """(fingerprint, reports, first_report) of failures seen more than once; a fingerprint is the digest of the columns `parts`."""
+    rows = failures.select(report, F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in parts]), 256).alias("fingerprint"))
+    return rows.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("reports"), F.min(report).alias("first_report")).where("reports > 1")
+
+
+def terminal_status(steps: DataFrame, run: str, failed: Column, warned: Column, most_failed: int) -> DataFrame:
+    """(run, status): failed if every step has, incomplete if more than most_failed have, else complete, with warnings if any step warned."""
+    g = steps.groupBy(run).agg(F.bool_and(failed).alias("all"), F.count_if(failed).alias("some"), F.bool_or(warned).alias("warned"))
+    return g.select(run, F.when(F.col("all"), "failed").when(F.col("some") > most_failed, "incomplete").when(F.col("warned"), "complete_with_warnings").otherwise("complete").alias("status"))
+
+
+def peak_memory(measurements: DataFrame, capability: str) -> DataFrame:
+    """(capability, peak, confidence) of measurements (capability, peak, confidence), and of all (capability null): the largest peak, and the one confidence or `mixed`."""
+    labels = F.array_sort(F.collect_set("confidence"))
+    return measurements.rollup(capability).agg(F.max("peak").alias("peak"), F.when(F.size(labels) == 1, labels[0]).otherwise("mixed").alias("confidence"))
+
+
+def decode_estimate(sources: DataFrame, measurements: DataFrame, capabilities: list[str], confidence: str = "high", factors: tuple[int, int, int] = (8, 3, 1), per_second: int = 1000) -> DataFrame:
+    """(source, capability, optimistic, likely, conservative, measured): seconds for each source (source, s: its length) and capability.
+
+    measurements: source, capability, peak, confidence, run_id, seq. The newest one of the confidence asked for is all
+    three; without one the length is divided by each of the factors and rounded up.
+    """
+    newest = measurements.where(F.col("confidence") == confidence).groupBy("source", "capability").agg(F.expr(f"max_by(peak, struct(run_id, seq)) div {per_second}").alias("m"))
+    rows = sources.withColumn("capability", F.explode(F.array(*[F.lit(c) for c in capabilities]))).join(newest, ["source", "capability"], "left")
+    over = lambda k: F.coalesce("m", F.expr(f"(s + {k - 1}) div {k}"))
+    return rows.select("source", "capability", *[over(k).alias(n) for k, n in zip(factors, ("optimistic", "likely", "conservative"))], F.col("m").isNotNull().alias("measured"))
+
+
+def elapsed_and_size(events: DataFrame, run: str) -> DataFrame:
+    """(run, elapsed, disk) of runs with two events (run, sequence, at, bytes) or more: time between the first and the last, and their bytes."""
+    g = events.groupBy(run).agg((F.max_by("at", "sequence") - F.min_by("at", "sequence")).alias("elapsed"), F.sum("bytes").alias("disk"), F.count(F.lit(1)).alias("n"))
+    return g.where("n >= 2").drop("n")
+
+
+def verbatim_runs(steps: DataFrame, run: str, passed: Column, completed: Column) -> DataFrame:
+    """(run, verbatim): only a run that has completed and whose every step has passed is emitted verbatim."""
+    return steps.groupBy(run).agg((F.bool_and(passed) & F.bool_or(completed)).alias("verbatim"))
+
+
+def latest_eligible(runs: DataFrame, source: str, run: str, eligible: Column) -> DataFrame:
+    """(source, run): the newest eligible run of each source."""
+    return runs.where(eligible).groupBy(source).agg(F.max(run).alias(run))
+
+
+def first_valid(candidates: DataFrame, source: str, candidate: str, order: str, valid: Column) -> DataFrame:
+    """(source, candidate): the first valid candidate of each source in order."""
+    return candidates.where(valid).groupBy(source).agg(F.min_by(candidate, order).alias("candidate"))

@@ -163,3 +163,14 @@ def subtract_sql(base: str, minus: str, keys: str, own: str = "") -> str:
           WINDOW w AS (PARTITION BY {all_} ORDER BY ms)
         UNION ALL SELECT {keys}, {own}coalesce(max(me), start_t), end_t FROM (SELECT {cols}, CASE WHEN m.end_t IS NOT NULL THEN least(m.end_t, b.end_t) END AS me FROM (SELECT DISTINCT * FROM {base}) b LEFT JOIN {union_sql(minus, keys)} m ON {on} AND m.start_t < b.end_t AND b.start_t < m.end_t) GROUP BY {all_})
       WHERE ps < pe)"""
+
+
+def from_own_start(rows: DataFrame, key: str) -> DataFrame:
+    """(key, start_t, end_t): the union of a key's intervals, counted from the key's first start."""
+    origin = F.min("start_t").over(Window.partitionBy(key))
+    return union(rows, key).select(key, (F.col("start_t") - origin).alias("start_t"), (F.col("end_t") - origin).alias("end_t"))
+
+
+def envelope(rows: DataFrame, *keys: str) -> DataFrame:
+    """(keys, start_t, end_t): first start and last end."""
+    return rows.groupBy(*keys).agg(F.min("start_t").alias("start_t"), F.max("end_t").alias("end_t"))

@@ -145,3 +145,9 @@ def embedded_media(runs: DataFrame, audio: DataFrame, reports: DataFrame, key: s
     near = F.array_sort(F.collect_list(F.when(F.col("_sound"), F.struct(F.col("r_start").alias("start_t"), F.col("r_end").alias("end_t")))))
     found = pairs.groupBy(*runs.columns).agg(near.alias("overlapping_audio"))
     return found.join(told, key, "left").withColumn("basis", F.when(F.col("_told"), "picture_plus_audio").otherwise("picture_only")).drop("_told")
+
+
+def resource_plan(representatives: DataFrame, key: str, seconds: int, size: int, most: int) -> DataFrame:
+    """(key, selected, seconds, bytes, fits) of page_representatives: what reading each key's selected frames takes, and whether they are at most `most`."""
+    n = representatives.where(F.col("reason") == SELECTED).groupBy(key).agg(F.count(F.lit(1)).alias("selected"))
+    return n.select(key, "selected", (F.col("selected") * seconds).alias("seconds"), (F.col("selected") * size).alias("bytes"), (F.col("selected") <= most).alias("fits"))

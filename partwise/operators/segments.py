@@ -191,3 +191,30 @@ def assign_facts(facts: DataFrame, segments: DataFrame, key: str, segment: str)
     first = F.coalesce(F.min_by(F.when(timed, F.col("_segment")), F.when(timed, F.struct("start_t", "_segment.segment"))).over(every), F.min("_segment").over(every))
     owned = both.withColumn("_own", F.coalesce(last, first)).where("_kind = 1")
     return owned.select("_row.*", F.col("_own.segment").alias(segment), F.coalesce("_own.fresh", F.lit(False)).alias("attached"))
+
+
+def cuts_at_changes(cues: DataFrame, changes: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """(key, start_pos, end_pos): spans of cue places that page changes (key, t) cut, each before the first cue that starts at or after it.
+
+    cues: key, start_t and the columns of their order. A change before the first cue or after the last start cuts
+    nothing; a key without cuts has no rows.
+    """
+    part = Window.partitionBy(key)
+    none = F.lit(None)
+    placed = cues.withColumn("pos", F.row_number().over(part.orderBy(*order)) - 1).withColumn("n", F.count(F.lit(1)).over(part)).select(key, F.col("start_t").alias("t"), F.lit(1).alias("kind"), "pos", "n")
+    marks = changes.select(key, "t", F.lit(0).alias("kind"), none.cast("int").alias("pos"), none.cast("long").alias("n")).distinct()
+    after = part.orderBy("t", "kind", "pos").rowsBetween(0, Window.unboundedFollowing)
+    cuts = placed.unionByName(marks).withColumn("cut", F.first("pos", True).over(after)).withColumn("total", F.max("n").over(part)).where("kind = 0 and cut > 0 and cut < total").select(key, "cut", "total").distinct()
+    spans = cuts.unionByName(cuts.select(key, F.lit(0).alias("cut"), "total").distinct())
+    return spans.select(key, F.col("cut").cast("long").alias("start_pos"), (F.coalesce(F.lead("cut").over(part.orderBy("cut")), F.col("total")) - 1).cast("long").alias("end_pos"))
+
+
+def language_union(segments: DataFrame, chapter: str) -> DataFrame:
+    """(chapter, languages): the sorted distinct languages (array) of each chapter's segments."""
+    return segments.groupBy(chapter).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("languages")))).alias("languages"))
+
+
+def bind_content(segments: DataFrame, proposals: DataFrame, key: str, order: str, position: str, content: str) -> DataFrame:
+    """(key, segment, content): segment k of a key, counted in order, takes the content of the proposal at list position k, or none."""
+    numbered = segments.select(key, (F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1).cast("long").alias("segment"))
+    return numbered.join(proposals.select(key, F.col(position).cast("long").alias("segment"), content), [key, "segment"], "left")

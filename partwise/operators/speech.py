@@ -251,3 +251,9 @@ def speaker_labels(turns: DataFrame, key: str, cluster: str) -> DataFrame:
 def leading(rows: DataFrame, key: str, order: list[str], most: int) -> DataFrame:
     """The first `most` rows of each key in order; no task sorts more than it keeps of what it reads."""
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("_n") <= most).drop("_n")
+
+
+def first_stream_coverage(streams: DataFrame, key: str, stream: str) -> DataFrame:
+    """(key, start_t, end_t): the coverage (start_t, end_t, state) of each key's first stream, where it is complete."""
+    first = F.min_by(F.struct("start_t", "end_t", "state"), stream).alias("c")
+    return streams.groupBy(key).agg(first).where("c.state = 'complete'").select(key, "c.start_t", "c.end_t")

@@ -182,3 +182,23 @@ def with_identities(answers: DataFrame, aliases: DataFrame, collection: str, key
     """Adds identity to answers (collection, alias): what the alias stands for, `key:ordinal` or the part; an unknown one passes through as it is."""
     known = aliases.select(collection, "alias", F.concat_ws(":", F.col(key).cast("string"), F.col("source_ordinal").cast("string")).alias("_identity"))
     return answers.join(known, [collection, "alias"], "left").withColumn("identity", F.coalesce("_identity", "alias")).drop("_identity")
+
+
+def growth_estimate(packets: DataFrame, key: str, stream: str, cap: int) -> DataFrame:
+    """(key, known, estimate): packet bytes (size) of a key's selected streams, at most `cap` a stream; one size that is null makes the estimate the cap."""
+    g = packets.groupBy(key).agg(F.sum("size").alias("s"), (F.count_distinct(stream) * cap).alias("cap"), F.bool_or(F.col("size").isNull()).alias("bad"))
+    return g.select(key, F.least("s", "cap").alias("known"), F.when(F.col("bad"), F.col("cap")).otherwise(F.least("s", "cap")).alias("estimate"))
+
+
+def in_order(cues: DataFrame, key: str) -> DataFrame:
+    """cues with their place from 1 in the total order of a key: start, end, source ordinal."""
+    return cues.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy("start_t", "end_t", "source_ordinal")).cast("long"))
+
+
+def with_provenance(tables: dict[str, DataFrame], columns: list[str]) -> DataFrame:
+    """The columns of several tables of cues as one, each row with the name of its table as provenance."""
+    rows = [df.select(*columns, F.lit(name).alias("provenance")) for name, df in tables.items()]
+    out = rows[0]
+    for more in rows[1:]:
+        out = out.unionByName(more)
+    return out

@@ -37,8 +37,8 @@ def _bases(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 def C13_affected_parts(spark, sf_dir):
     """Parts whose ordered cue ids differ between two bases."""
     old, new = _bases(spark, sf_dir)
-    both = old.withColumnRenamed("ids", "o").join(new.withColumnRenamed("ids", "n"), "part_id", "full")
-    return both.select("part_id", F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed").when(F.col("o") != F.col("n"), "changed").otherwise("unaffected").alias("state"))
+    return audit.changed_parts(old, new, "part_id", "ids")
+
 
 
 _ARTIFACTS = """SELECT path, kind, part_id, status, sha256 FROM (SELECT doc_id AS path, CASE WHEN doc_id % 10 = 9 THEN 'document' ELSE 'srt' END AS kind, CASE WHEN doc_id % 14 <> 5 THEN doc_id // 4 END AS part_id, ['valid', 'partial', 'invalid', 'unavailable'][doc_id % 4 + 1] AS status, CASE WHEN doc_id % 4 < 3 THEN sha256(text) END AS sha256 FROM documents)"""
@@ -77,8 +77,9 @@ def C15_adoptable_units(spark, sf_dir):
 @query("SELECT sha256(event_type || '|' || (user_id % 20)::VARCHAR) AS fingerprint, count(*) AS reports, min(event_id) AS first_report FROM events WHERE event_type = 'error' GROUP BY 1 HAVING count(*) > 1")
 def C19_recurring_failures(spark, sf_dir):
     """Failures that come back, by fingerprint of key and gate."""
-    rows = inputs.table(spark, sf_dir, "events").where("event_type = 'error'").select("event_id", F.sha2(F.concat_ws("|", "event_type", (F.col("user_id") % 20).cast("string")), 256).alias("fingerprint"))
-    return rows.groupBy("fingerprint").agg(F.count("*").alias("reports"), F.min("event_id").alias("first_report")).where("reports > 1")
+    errors = inputs.table(spark, sf_dir, "events").where("event_type = 'error'").withColumn("gate", F.col("user_id") % 20)
+    return audit.recurring(errors, ["event_type", "gate"], "event_id")
+
 
 
 @query(sql("""SELECT g.run_id, g.stage, g.scope, g.status, g.n, coalesce(r.review_intervals, '') AS review_intervals, CASE WHEN g.run_id % 4 IN (0, 1) THEN 'model_audited' ELSE 'review_needed' END AS verification FROM (
@@ -95,30 +96,32 @@ def D08_quality_report(spark, sf_dir):
 @query(sql("SELECT run_id, CASE WHEN bool_and(to_status = 'failed') THEN 'failed' WHEN count(*) FILTER (to_status = 'failed') > 15 THEN 'incomplete' WHEN bool_or(size > 480) THEN 'complete_with_warnings' ELSE 'complete' END AS status FROM run_events GROUP BY run_id"))
 def D09_run_terminal_status(spark, sf_dir):
     """How a run ended, from its parts."""
-    g = inputs.run_events(spark, sf_dir).groupBy("run_id").agg(F.bool_and(F.col("to_status") == "failed").alias("all"), F.count_if(F.col("to_status") == "failed").alias("some"), F.bool_or(F.col("size") > 480).alias("warned"))
-    return g.select("run_id", F.when(F.col("all"), "failed").when(F.col("some") > 15, "incomplete").when(F.col("warned"), "complete_with_warnings").otherwise("complete").alias("status"))
+    return audit.terminal_status(inputs.run_events(spark, sf_dir), "run_id", F.col("to_status") == "failed", F.col("size") > 480, 15)
+
 
 
 @query(sql("SELECT capability, max(peak) AS peak, CASE WHEN count(DISTINCT confidence) = 1 THEN min(confidence) ELSE 'mixed' END AS confidence FROM measurements GROUP BY ROLLUP (capability)"))
 def D10_peak_memory(spark, sf_dir):
     """Largest peak per capability and of the run (null), with the one confidence or `mixed`."""
-    labels = F.array_sort(F.collect_set("confidence"))
-    return inputs.measurements(spark, sf_dir).rollup("capability").agg(F.max("peak").alias("peak"), F.when(F.size(labels) == 1, labels[0]).otherwise("mixed").alias("confidence"))
+    return audit.peak_memory(inputs.measurements(spark, sf_dir), "capability")
+
 
 
-@query(sql("SELECT p.p_partkey AS source, coalesce(m.peak // 1000, (p.p_size * 60 + 7) // 8) AS optimistic, coalesce(m.peak // 1000, (p.p_size * 60 + 2) // 3) AS likely, coalesce(m.peak // 1000, p.p_size * 60) AS conservative, m.peak IS NOT NULL AS measured FROM part p LEFT JOIN (SELECT source, arg_max(peak, (run_id, seq)) AS peak FROM measurements WHERE confidence = 'high' AND capability = 'AF' GROUP BY source) m ON m.source = p.p_partkey"))
+@query(sql("""SELECT p.p_partkey AS source, c.capability, coalesce(m.peak // 1000, (p.p_size * 60 + 7) // 8) AS optimistic, coalesce(m.peak // 1000, (p.p_size * 60 + 2) // 3) AS likely, coalesce(m.peak // 1000, p.p_size * 60) AS conservative, m.peak IS NOT NULL AS measured
+    FROM part p CROSS JOIN (VALUES ('AF'), ('NF'), ('NO'), ('RF')) c(capability) LEFT JOIN (SELECT source, capability, arg_max(peak, (run_id, seq)) AS peak FROM measurements WHERE confidence = 'high' GROUP BY source, capability) m ON m.source = p.p_partkey AND m.capability = c.capability"""))
 def D11_decode_estimate(spark, sf_dir):
-    """The newest measurement of a source, else its length over three factors, rounded up."""
-    newest = inputs.measurements(spark, sf_dir).where("confidence = 'high' and capability = 'AF'").groupBy("source").agg((F.expr("max_by(peak, struct(run_id, seq)) div 1000")).alias("m"))
-    rows = inputs.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("source"), (F.col("p_size") * 60).cast("long").alias("s")).join(newest, "source", "left")
-    return rows.select("source", F.coalesce("m", F.expr("(s + 7) div 8")).alias("optimistic"), F.coalesce("m", F.expr("(s + 2) div 3")).alias("likely"), F.coalesce("m", "s").alias("conservative"), F.col("m").isNotNull().alias("measured"))
+    """The newest measurement of a source for each capability, else its length over three factors, rounded up."""
+    sources = inputs.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("source"), (F.col("p_size") * 60).cast("long").alias("s"))
+    return audit.decode_estimate(sources, inputs.measurements(spark, sf_dir), ["AF", "NF", "NO", "RF"])
+
 
 
 @query(sql("""SELECT run_id, arg_max("at", sequence) - arg_min("at", sequence) AS elapsed, round(sum(size) * 100)::BIGINT AS disk FROM run_events GROUP BY run_id HAVING count(*) >= 2"""))
 def D12_run_elapsed_and_disk(spark, sf_dir):
     """Time between a run's first and last event, and its sizes."""
-    g = inputs.run_events(spark, sf_dir).groupBy("run_id").agg((F.max_by("at", "sequence") - F.min_by("at", "sequence")).alias("elapsed"), F.round(F.sum(F.round(F.col("size") * 100).cast("long"))).cast("long").alias("disk"), F.count("*").alias("n"))
-    return g.where("n >= 2").drop("n")
+    events = inputs.run_events(spark, sf_dir).withColumn("bytes", F.round(F.col("size") * 100).cast("long"))
+    return audit.elapsed_and_size(events, "run_id")
+
 
 
 _ENTRIES = """SELECT run_id, floor(size)::BIGINT AS path, ['read', 'created', 'modified', 'published', 'downloaded'][event_id % 5 + 1] AS action, ['safe_to_delete', 'rebuildable', 'published', 'keep_for_audit'][event_id % 4 + 1] AS deletion_class FROM run_events """
@@ -209,14 +212,16 @@ def E14_invalidation_keys(spark, sf_dir):
 @query(sql("SELECT run_id % 30 AS source, max(run_id) AS run_id FROM (SELECT run_id, arg_max(to_status, sequence) AS status, count(*) FILTER (size > 300) AS valid FROM run_events GROUP BY run_id) WHERE status IN ('completed', 'running') OR (status = 'paused' AND valid > 5) GROUP BY run_id % 30"))
 def H03_latest_bundle(spark, sf_dir):
     """The newest eligible run of each source."""
-    runs = inputs.run_events(spark, sf_dir).groupBy("run_id").agg(F.max_by("to_status", "sequence").alias("status"), F.count_if(F.col("size") > 300).alias("valid"))
-    return runs.where("status in ('completed', 'running') or (status = 'paused' and valid > 5)").groupBy((F.col("run_id") % 30).alias("source")).agg(F.max("run_id").alias("run_id"))
+    runs = inputs.run_events(spark, sf_dir).groupBy("run_id").agg(F.max_by("to_status", "sequence").alias("status"), F.count_if(F.col("size") > 300).alias("valid")).withColumn("source", F.col("run_id") % 30)
+    return audit.latest_eligible(runs, "source", "run_id", F.col("status").isin("completed", "running") | ((F.col("status") == "paused") & (F.col("valid") > 5)))
+
 
 
 @query(sql("SELECT run_id, arg_min(event_id, sequence) AS candidate FROM run_events WHERE size > 250 GROUP BY run_id"))
 def H04_first_valid_candidate(spark, sf_dir):
     """The first valid candidate of each source in report order."""
-    return inputs.run_events(spark, sf_dir).where("size > 250").groupBy("run_id").agg(F.min_by("event_id", "sequence").alias("candidate"))
+    return audit.first_valid(inputs.run_events(spark, sf_dir), "run_id", "event_id", "sequence", F.col("size") > 250)
+
 
 
 _MODE = "CASE collection % 4 WHEN 0 THEN 'subtitle_first' WHEN 1 THEN 'full_asr' WHEN 2 THEN 'enhancement' END"

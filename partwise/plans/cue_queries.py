@@ -355,7 +355,8 @@ def E03_rolling_dedup(spark, sf_dir):
 @query(sql("SELECT part_id, source_ordinal, row_number() OVER (PARTITION BY part_id ORDER BY start_t, end_t, source_ordinal) AS place FROM cues "))
 def H01_cue_order(spark, sf_dir):
     """The total order of cues."""
-    return inputs.cues(spark, sf_dir).select("part_id", "source_ordinal", F.row_number().over(Window.partitionBy("part_id").orderBy("start_t", "end_t", "source_ordinal")).cast("long").alias("place"))
+    return tracks.in_order(inputs.cues(spark, sf_dir), "part_id").select("part_id", "source_ordinal", "place")
+
 
 
 _CAND = "SELECT part_id, role AS track, bool_and(start_t < end_t) AND NOT (part_id % 9 = 1 AND role = 'user') AND part_id % 8 <> 6 AS valid, part_id % 6 = 0 AND role = 'user' AS ambiguous, max(CASE WHEN part_id % 4 = 1 THEN 'assistant' WHEN part_id % 12 = 7 THEN 'nobody' END) AS selected FROM cues GROUP BY part_id, role"
@@ -379,16 +380,16 @@ def D04_select_track(spark, sf_dir):
 def D15_subtitle_growth_estimate(spark, sf_dir):
     """Packet bytes of selected streams, at most a cap a stream; an unusable size means the cap."""
     rows = inputs._events(spark, sf_dir).select((F.col("user_id") % 50).alias("part_id"), "user_id", F.when(F.col("event_id") % 97 != 0, F.round(F.col("value") * 100).cast("long")).alias("size"))
-    g = rows.groupBy("part_id").agg(F.sum("size").alias("s"), (F.countDistinct("user_id") * 20000000).alias("cap"), F.bool_or(F.col("size").isNull()).alias("bad"))
-    return g.select("part_id", F.least("s", "cap").alias("known"), F.when(F.col("bad"), F.col("cap")).otherwise(F.least("s", "cap")).alias("estimate"))
+    return tracks.growth_estimate(rows, "part_id", "user_id", 20_000_000)
+
 
 
 @query(sql("SELECT part_id, source_ordinal, start_t, end_t, CASE WHEN role = 'user' THEN 'subtitle' ELSE 'asr' END AS provenance FROM cues "))
 def I01_cue_provenance_union(spark, sf_dir):
     """Kept subtitle cues and ASR cues as one table, tagged."""
     rows = inputs.cues(spark, sf_dir)
-    pick = lambda cond, tag: rows.where(cond).select("part_id", "source_ordinal", "start_t", "end_t", F.lit(tag).alias("provenance"))
-    return pick("role = 'user'", "subtitle").unionByName(pick("role <> 'user'", "asr"))
+    return tracks.with_provenance({"subtitle": rows.where("role = 'user'"), "asr": rows.where("role <> 'user'")}, ["part_id", "source_ordinal", "start_t", "end_t"])
+
 
 
 @query(sql("""SELECT part_id, CASE WHEN s THEN 'subtitle' WHEN a THEN 'asr' ELSE 'unavailable' END AS basis, CASE WHEN NOT s AND NOT a THEN coalesce(lo, 0) END AS omitted_from, CASE WHEN NOT s AND NOT a THEN coalesce(hi, 1) END AS omitted_to, CASE WHEN NOT s AND NOT a THEN coalesce(why, 'no_valid_primary_track') END AS reason FROM (

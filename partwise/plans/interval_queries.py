@@ -74,8 +74,8 @@ def F03_usable_audio(spark, sf_dir):
 @query(sql(f"SELECT part_id, start_t - min(start_t) OVER (PARTITION BY part_id) AS start_t, end_t - min(start_t) OVER (PARTITION BY part_id) AS end_t FROM {iv.union_sql('packets', 'part_id')}"))
 def D02_playback_coverage(spark, sf_dir):
     """Usable intervals over all streams of a part, from the part's own zero."""
-    origin = F.min("start_t").over(Window.partitionBy("part_id"))
-    return iv.union(inputs.packets(spark, sf_dir), "part_id").select("part_id", (F.col("start_t") - origin).alias("start_t"), (F.col("end_t") - origin).alias("end_t"))
+    return iv.from_own_start(inputs.packets(spark, sf_dir), "part_id")
+
 
 
 _TRACKED = "SELECT * FROM captions WHERE part_id % 8 <> 5"
@@ -94,7 +94,8 @@ def D03_caption_time_coverage(spark, sf_dir):
 @query(sql("SELECT part_id, min(start_t) AS start_t, max(end_t) AS end_t FROM cues GROUP BY part_id"))
 def D05_caption_envelope(spark, sf_dir):
     """First start and last end of each part's cues."""
-    return _envelope(inputs.cues(spark, sf_dir), "part_id")
+    return iv.envelope(inputs.cues(spark, sf_dir), "part_id")
+
 
 
 _LATE = "CASE WHEN part_id % 6 = 1 AND source_ordinal % 4 = 3 THEN 10000000 ELSE 0 END"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from partwise.functions.columns import words
-from partwise.operators import folds
+from partwise.operators import audit, folds
 from partwise.operators import intervals as iv
 from partwise.operators import speech as sp
 from partwise.operators import suspicion as su
@@ -100,9 +100,8 @@ def D20_select_audio_stream(spark, sf_dir):
 @query(sql("SELECT part_id, min(start_t) AS start_t, max(end_t) AS end_t FROM packets WHERE stream_index = part_id GROUP BY part_id"))
 def D21_part_video_coverage(spark, sf_dir):
     """Envelope of the first video stream of each part."""
-    streams = iv.coverage(inputs.packets(spark, sf_dir), "part_id", "stream_index")
-    first = F.min_by(F.struct("start_t", "end_t", "state"), "stream_index").alias("c")
-    return streams.groupBy("part_id").agg(first).where("c.state = 'complete'").select("part_id", "c.start_t", "c.end_t")
+    return sp.first_stream_coverage(iv.coverage(inputs.packets(spark, sf_dir), "part_id", "stream_index"), "part_id", "stream_index")
+
 
 
 @query(sql("SELECT part_id, cue_id, printf('part-%02d:speaker-%02d', part_id, dense_rank() OVER (PARTITION BY part_id ORDER BY cue_id % 7)) AS label FROM captions "))
@@ -237,7 +236,8 @@ def C11_review_text_join(spark, sf_dir):
 @query(sql("SELECT run_id, bool_and(to_status <> 'failed' OR sequence % 3 = 0) AND bool_or(to_status = 'completed') AS verbatim FROM run_events GROUP BY run_id"))
 def D17_verbatim_emission(spark, sf_dir):
     """Verbatim output only of a run that completed with every check passed."""
-    return inputs.run_events(spark, sf_dir).groupBy("run_id").agg((F.bool_and((F.col("to_status") != "failed") | (F.col("sequence") % 3 == 0)) & F.bool_or(F.col("to_status") == "completed")).alias("verbatim"))
+    return audit.verbatim_runs(inputs.run_events(spark, sf_dir), "run_id", (F.col("to_status") != "failed") | (F.col("sequence") % 3 == 0), F.col("to_status") == "completed")
+
 
 
 @query(sql("SELECT part_id, cue_id, start_t, end_t FROM (SELECT *, row_number() OVER (PARTITION BY part_id ORDER BY start_t, cue_id) AS rn FROM captions ) WHERE rn <= 3"))

@@ -75,8 +75,8 @@ def C17_embedded_media_audio(spark, sf_dir):
 @query(sql(f"SELECT part_id, count(*) AS selected, count(*) * 3 AS seconds, count(*) * 4194304 AS bytes, count(*) <= 4 AS fits FROM (SELECT DISTINCT f.part_id, f.fingerprint FROM settled_frames f WHERE f.settled AND edge_density >= {LEGIBLE}) GROUP BY part_id", settled_frames=_SETTLED))
 def D14_ocr_resource_plan(spark, sf_dir):
     """Seconds and bytes of reading each part's representative frames."""
-    n = E05_page_representative(spark, sf_dir).where(F.col("reason") == sc.SELECTED).groupBy("part_id").agg(F.count("*").alias("selected"))
-    return n.select("part_id", "selected", (F.col("selected") * 3).alias("seconds"), (F.col("selected") * 4194304).alias("bytes"), (F.col("selected") <= 4).alias("fits"))
+    return sc.resource_plan(E05_page_representative(spark, sf_dir), "part_id", 3, 4_194_304, 4)
+
 
 
 @query(sql("""SELECT i.cue_id, CASE WHEN e.lo IS NULL THEN 'visual_text_part_unknown' WHEN i.start_t < e.lo OR i.start_t >= e.hi THEN 'ocr_item_out_of_coverage' WHEN p.page IS NULL THEN 'ocr_item_unknown_page' WHEN NOT bool_or(p.first_pts <= i.start_t AND i.start_t <= p.last_pts) THEN 'ocr_item_page_time_mismatch' ELSE 'admitted' END AS outcome
@@ -141,14 +141,10 @@ def C07_assign_facts_to_segments(spark, sf_dir):
     cut_parts="SELECT DISTINCT part_id, n FROM cuts "))
 def C08_page_change_boundaries(spark, sf_dir):
     """Page changes as cuts before the first cue that starts at or after them; the spans between."""
-    part = Window.partitionBy("part_id")
     cues = inputs.cues(spark, sf_dir)
-    placed = cues.withColumn("pos", F.row_number().over(part.orderBy("start_t", "source_ordinal")) - 1).withColumn("n", F.count("*").over(part)).select("part_id", F.col("start_t").alias("t"), F.lit(1).alias("kind"), "pos", "n")
-    changes = cues.where("source_ordinal % 3 = 2").select("part_id", (F.col("start_t") - 50).alias("t"), F.lit(0).alias("kind"), F.lit(None).cast("int").alias("pos"), F.lit(None).cast("long").alias("n")).distinct()
-    after = part.orderBy("t", "kind", "pos").rowsBetween(0, Window.unboundedFollowing)
-    cuts = placed.unionByName(changes).withColumn("cut", F.first("pos", True).over(after)).withColumn("total", F.max("n").over(part)).where("kind = 0 and cut > 0 and cut < total").select("part_id", "cut", "total").distinct()
-    spans = cuts.unionByName(cuts.select("part_id", F.lit(0).alias("cut"), "total").distinct())
-    return spans.select("part_id", F.col("cut").cast("long").alias("start_pos"), (F.coalesce(F.lead("cut").over(part.orderBy("cut")), F.col("total")) - 1).cast("long").alias("end_pos"))
+    changes = cues.where("source_ordinal % 3 = 2").select("part_id", (F.col("start_t") - 50).alias("t"))
+    return sg.cuts_at_changes(cues, changes, "part_id", ["start_t", "source_ordinal"])
+
 
 
 _SPANS = """SELECT part_id, s * 10 AS pos, part_id AS named, s, e, n FROM (SELECT part_id, source_ordinal AS s, coalesce(lead(source_ordinal) OVER (PARTITION BY part_id ORDER BY source_ordinal), n) - 1 AS e, n, role, source_ordinal FROM (SELECT *, count(*) OVER (PARTITION BY part_id) AS n FROM cues ) WHERE role = 'user' OR source_ordinal = 0) WHERE NOT (part_id % 7 = 0 AND s > 0 AND s < 4)"""
@@ -276,11 +272,10 @@ def G06_validate_qa_people_contradictions(spark, sf_dir):
 @query(sql("SELECT s.part_id, s.segment, p.claim_id AS content_of FROM (SELECT part_id, source_ordinal, row_number() OVER (PARTITION BY part_id ORDER BY source_ordinal) - 1 AS segment FROM cues WHERE role = 'user') s LEFT JOIN (SELECT part_id, source_ordinal AS claim_id, row_number() OVER (PARTITION BY part_id ORDER BY source_ordinal DESC) - 1 AS pos FROM cues ) p ON p.part_id = s.part_id AND p.pos = s.segment"))
 def G07_segment_content_binding(spark, sf_dir):
     """Segment k takes the content of the raw proposal at list position k."""
-    part = Window.partitionBy("part_id")
     cues = inputs.cues(spark, sf_dir)
-    segments = cues.where("role = 'user'").select("part_id", (F.row_number().over(part.orderBy("source_ordinal")) - 1).cast("long").alias("segment"))
-    raw = cues.select("part_id", F.col("source_ordinal").alias("content_of"), (F.row_number().over(part.orderBy(F.desc("source_ordinal"))) - 1).cast("long").alias("segment"))
-    return segments.join(raw, ["part_id", "segment"], "left")
+    raw = cues.select("part_id", F.col("source_ordinal").alias("content_of"), (F.row_number().over(Window.partitionBy("part_id").orderBy(F.desc("source_ordinal"))) - 1).alias("position"))
+    return sg.bind_content(cues.where("role = 'user'"), raw, "part_id", "source_ordinal", "position", "content_of")
+
 
 
 _PRIOR = "SELECT part_id // 10 AS report, part_id, CASE WHEN part_id % 8 = 5 AND source_ordinal > 2 THEN source_ordinal + 1 ELSE source_ordinal END AS ordinal, CASE WHEN part_id % 12 = 7 AND source_ordinal = 1 THEN 0 ELSE source_ordinal END AS cue FROM cues "
@@ -327,4 +322,4 @@ def D07_segment_status(spark, sf_dir):
 def D19_language_union(spark, sf_dir):
     """The sorted distinct languages of each chapter's segments."""
     docs = inputs.table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / 10).alias("chapter"), F.array("lang").alias("languages"))
-    return docs.groupBy("chapter").agg(F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("languages")))), ",").alias("languages"))
+    return sg.language_union(docs, "chapter").withColumn("languages", F.array_join("languages", ","))

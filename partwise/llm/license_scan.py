@@ -9,6 +9,8 @@ compared as words (ASCII letters lower-cased, digits, all characters beyond ASCI
 
 from __future__ import annotations
 
+import heapq
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -69,6 +71,8 @@ def seeds(notice: str, errors: int) -> list[tuple[int, str]]:
     cuts = [round(i * len(notice) / (errors + 1)) for i in range(errors + 2)]
     return [(a, notice[a:b]) for a, b in zip(cuts, cuts[1:])]
 
+_SEEN = 50_000  # stretches of text whose search is remembered
+
 
 class Scanner:
     """Finds phrases and notices in batches of texts."""
@@ -78,6 +82,7 @@ class Scanner:
 
         self.phrases = [(f" {p} ".encode(), label) for p, label in phrases.items()]
         self.notices, found = [], {}
+        self.seen: dict[tuple[int, bytes], tuple[int, int, int] | None] = {}
         for number, (notice, label) in enumerate(notices.items()):
             raw = notice.encode()
             k = allowed_errors(raw.decode("latin-1"), chars_per_error)
@@ -109,16 +114,43 @@ class Scanner:
         place = np.concatenate([[0], np.cumsum(keep)])
         return wide[keep].tobytes(), place[begin]
 
-    @staticmethod
-    def matches(pattern: regex.Pattern, text: bytes, a: int, b: int) -> Iterator[regex.Match]:
-        """The best match within a and b, and likewise those before and after it."""
-        todo = [(a, b)]
-        while todo:
-            a, b = todo.pop()
-            m = pattern.search(text, a, b)
-            if m and m.end() > m.start():
-                yield m
-                todo += [(m.end(), b), (a, m.start())]
+    def nearest(self, number: int, text: bytes, windows: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+        """(start, end, edits) of a notice within windows, the best first, then the first; none overlaps one before it.
+
+        What is left of a window beside a match is searched again. Windows are as short as the notice and its errors, and
+        the same stretch of text is searched once, so the work follows the number of seeds.
+        """
+        _, _, _, pattern, grams, least = self.notices[number]
+        heap, starts, ends = [], [], []
+
+        def look(a: int, b: int) -> None:
+            piece = text[a:b]
+            found = self.seen.get((number, piece), self)
+            if found is self:
+                m = None if least > 0 and sum(piece[i : i + 3] in grams for i in range(len(piece) - 2)) < least else pattern.search(piece)
+                found = (sum(m.fuzzy_counts), *m.span()) if m and m.end() > m.start() else None
+                if len(self.seen) >= _SEEN:
+                    self.seen.clear()
+                self.seen[number, piece] = found
+            if found:
+                heapq.heappush(heap, (found[0], a + found[1], a + found[2], a, b))
+
+        for window in windows:
+            look(*window)
+        while heap:
+            edits, s, e, a, b = heapq.heappop(heap)
+            k = bisect_right(ends, s)
+            if k < len(starts) and starts[k] < e:
+                cut, on = starts[k], ends[k]
+            else:
+                starts.insert(k, s)
+                ends.insert(k, e)
+                cut, on = s, e
+                yield s, e, edits
+            if a < cut:
+                look(a, cut)
+            if on < b:
+                look(on, b)
 
     def scan(self, column: pa.Array) -> Iterator[tuple[int, list[tuple[int, str]], list[tuple]]]:
         """(words, base places [(word, label)], hits) of each text; hits are (label, start, end, edits, text) in words."""
@@ -136,30 +168,25 @@ class Scanner:
                 row = int(np.searchsorted(starts, pos, "right")) - 1
                 base[row].append((word_at(row, pos), label))
                 pos = text.find(phrase, pos + 1)
-        windows: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        windows: dict[tuple[int, int], list[int]] = {}
         for end, (size, users) in self.pieces.iter(text.decode("latin-1")) if self.notices else ():
             pos = end + 1 - size
             row = int(np.searchsorted(starts, pos, "right")) - 1
             for number, place in users:
-                _, length, k, *_ = self.notices[number]
-                windows.setdefault((row, number), []).append((max(int(starts[row]) + 1, pos - place - k - 1), min(int(ends[row]), pos - place + length + k + 1)))
+                windows.setdefault((row, number), []).append(pos - place)
         for (row, number), found in windows.items():
-            label, _, _, pattern, grams, least = self.notices[number]
-            found.sort()
-            merged = [list(found[0])]
-            for a, b in found[1:]:
-                if a <= merged[-1][1]:
-                    merged[-1][1] = max(b, merged[-1][1])
+            label, length, k, *_ = self.notices[number]
+            spans: list[list[int]] = []
+            for begin in sorted(set(found)):  # where the notice would begin; such places within its errors are one window
+                if spans and begin <= spans[-1][0] + 2 * k:
+                    spans[-1][1] = begin
                 else:
-                    merged.append([a, b])
-            for a, b in merged:
-                if least > 0 and sum(text[i : i + 3] in grams for i in range(a, b - 2)) < least:
-                    continue
-                for m in self.matches(pattern, text, a, b):
-                    s, e = m.span()
-                    first = word_at(row, s) - (text[s : s + 1] != b" ")
-                    last = word_at(row, e) - (text[e - 1 : e] == b" ")
-                    hits[row].append((label, max(first, 0), last, sum(m.fuzzy_counts), text[s:e].decode("utf-8", "replace")))
+                    spans.append([begin, begin])
+            within = [(max(int(starts[row]) + 1, a - k - 1), min(int(ends[row]), b + length + k + 1)) for a, b in spans]
+            for s, e, edits in self.nearest(number, text, within):
+                first = word_at(row, s) - (text[s : s + 1] != b" ")
+                last = word_at(row, e) - (text[e - 1 : e] == b" ")
+                hits[row].append((label, max(first, 0), last, edits, text[s:e].decode("utf-8", "replace")))
         for row in range(count):
             words = int(spaces[ends[row]] - spaces[starts[row]]) - 1
             yield max(words, 0), sorted(base[row]), sorted(hits[row], key=lambda h: (h[1], h[0]))

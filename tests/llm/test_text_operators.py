@@ -328,3 +328,22 @@ def test_pivots_of_the_given_labels_replicate_and_prune(spark, sf_small):
         assert group.cells == 1 if group.n <= metric_join.FEW else group.cells > 1
         assert group.n <= group.sent <= group.n * group.cells and group.pairs <= group.n**2
     assert told["c|8"].pairs < 0.3 * told["c|8"].n ** 2 and told["c|8"].sent < 2 * told["c|8"].n
+
+
+def test_long_lists_of_notices_take_time_in_proportion():
+    import random
+    import time
+
+    rng, notices = random.Random(8), list(license_scan.NOTICES)
+
+    def edited(text):
+        chars = list(text)
+        for _ in range(3):
+            chars[rng.randrange(len(chars))] = rng.choice("abcdefgh")
+        return "".join(chars)
+
+    scanner, began = license_scan.Scanner(license_scan.PHRASES, license_scan.NOTICES), time.time()
+    listed = [edited(rng.choice(notices)) for _ in range(1500)]
+    (_, _, hits), (_, base, none) = scanner.scan(pa.array([" ".join(listed), "general public license " * 5000]))
+    assert time.time() - began < 30 and len(hits) > 1000 and base == [] and none == []
+    assert all(a[2] <= b[1] for label in set(license_scan.NOTICES.values()) if list(license_scan.NOTICES.values()).count(label) == 1 for own in [[h for h in hits if h[0] == label]] for a, b in zip(own, own[1:]))

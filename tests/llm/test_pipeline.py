@@ -2,6 +2,7 @@ import base64
 from collections import Counter
 
 import corpus_pipeline
+import duckdb
 import public_tokenizers as P
 import tiktoken
 from partwise.llm import mixing, rule_classifier
@@ -9,12 +10,18 @@ from test_ngram_join import brute
 
 
 def test_run_matches_a_brute_force_version(spark, sf_small):
-    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    """Near duplicates by all pairs, the mix by another engine's SQL, ids by another library; of the classifier, its labels."""
+    docs, labels = (spark.read.parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "labels"))
     texts = {r.doc_id: r.text for r in docs.collect()}
-    good = [r.doc_id for r in rule_classifier.scored(docs, spark.read.parquet(f"{sf_small}/labels.parquet")).where("predicted = 1").collect()]
+    good = [r.doc_id for r in rule_classifier.scored(docs, labels).where("predicted = 1").collect()]
+    quality = {r.doc_id: r.quality for r in labels.where("quality is not null").collect()}
+    right = [(d in set(good)) == bool(q) for d, q in quality.items() if d in texts]
+    assert sum(right) >= 0.95 * len(right)
     classes = brute([(d, texts[d]) for d in good])
-    alone = {d for d, (_, c) in classes.items() if c == d}
-    mixed = {r.doc_id: (r.taken, r.size) for r in mixing.mix(docs.where(docs.doc_id.isin(sorted(alone)))).collect()}
+    alone = sorted(d for d, (_, c) in classes.items() if c == d)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf_small}/documents.parquet') WHERE doc_id IN ({','.join(map(str, alone))})")
+    mixed = {d: (taken, size) for d, size, taken in con.execute(f"SELECT doc_id, size, taken FROM ({mixing.SQL})").fetchall()}
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rows = corpus_pipeline.run(spark, sf_small).collect()

@@ -19,12 +19,13 @@ from partwise.sources import subtitles as sub
 from partwise.sources.subtitles import work_folder
 
 def _lines(spark, sf_dir) -> DataFrame:
-    """Cues as a subtitle file has them: one line each, no time before zero."""
+    """Cues as a subtitle file has them: one line each, none before zero and none without a length."""
+    start = F.col("start_t") + 200
     rows = inputs.cues(spark, sf_dir).withColumn("text", F.concat(F.lit("- "), F.regexp_replace("text", r"[\r\n]+", " ")))
-    return rows.where("start_t >= 0 and start_t < end_t")
+    return rows.withColumns({"start_t": start, "end_t": F.greatest(F.col("end_t") + 200, start + 1)})
 
 
-_LINES = r"SELECT part_id, source_ordinal, role, '- ' || regexp_replace(text, '[\r\n]+', ' ', 'g') AS text, start_t, end_t FROM cues WHERE start_t >= 0 AND start_t < end_t"
+_LINES = r"SELECT part_id, source_ordinal, role, '- ' || regexp_replace(text, '[\r\n]+', ' ', 'g') AS text, start_t + 200 AS start_t, greatest(end_t + 200, start_t + 201) AS end_t FROM cues"
 
 
 def _stamp_sql(c: str) -> str:
@@ -332,8 +333,9 @@ def B13_render_prompt_table(spark, sf_dir):
 
 
 
-_ROLL = r"""SELECT part_id, source_ordinal, start_t, end_t, text FROM cues_r UNION ALL SELECT part_id, source_ordinal + 1000, start_t, end_t, text FROM cues_r WHERE (part_id + source_ordinal) % 5 = 0"""
-_ROLL0 = r"""SELECT part_id, source_ordinal, start_t, end_t, 'w' || (source_ordinal % 3)::VARCHAR || ' ' || (CASE WHEN source_ordinal % 4 = 2 THEN 'say again now' ELSE 'once more' END) || ' w' || (source_ordinal + 1)::VARCHAR || CASE WHEN source_ordinal % 4 = 1 THEN ' w2 say again now' ELSE '' END AS text FROM cues WHERE start_t < end_t"""
+_ROLL = r"""SELECT part_id, source_ordinal, start_t, end_t, text FROM cues_r UNION ALL SELECT part_id, source_ordinal + 500000, start_t, end_t, text FROM cues_r WHERE (part_id + source_ordinal) % 5 = 0"""
+_ROLL0 = r"""SELECT part_id, source_ordinal * 1000 + i AS source_ordinal, start_t + i * 900 AS start_t, start_t + i * 900 + CASE WHEN i % 3 = 2 THEN 700 ELSE 1000 END AS end_t, array_to_string(w[3 * i + 1 : 3 * i + 8], ' ') AS text
+    FROM (SELECT part_id, source_ordinal, start_t, w, unnest(range(0, (len(w) + 2) // 3)) AS i FROM (SELECT part_id, source_ordinal, start_t, list_filter(regexp_split_to_array(text, '[ \t\n\x0b\f\r]+'), lambda x: x <> '') AS w FROM cues))"""
 
 
 @query(sql(r"""SELECT part_id, source_ordinal, CASE WHEN exact THEN NULL ELSE coalesce(k, 0) END AS kept_from, CASE WHEN exact THEN 0 ELSE coalesce(k, 0) END AS readable_from, CASE WHEN ptext IS NULL THEN NULL WHEN exact THEN 'exact_duplicate_omitted' WHEN k IS NOT NULL THEN 'proven_rolling_overlap'
@@ -342,11 +344,12 @@ _ROLL0 = r"""SELECT part_id, source_ordinal, start_t, end_t, 'w' || (source_ordi
     SELECT *, coalesce(ptext = text AND pstart = start_t AND pend = end_t, false) AS exact, regexp_extract_all(text, '\s+|\S+') AS t, regexp_extract_all(ptext, '\s+|\S+') AS pt FROM (
     SELECT *, lag(text) OVER w AS ptext, lag(start_t) OVER w AS pstart, lag(end_t) OVER w AS pend FROM roll WINDOW w AS (PARTITION BY part_id ORDER BY start_t, end_t, source_ordinal))))""", cues_r=_ROLL0, roll=_ROLL))
 def E03_rolling_dedup(spark, sf_dir):
-    """Exact repeats dropped, proven rolling overlaps cut, other shared words flagged."""
-    o = F.col("source_ordinal")
-    text = F.concat(F.lit("w"), (o % 3).cast("string"), F.lit(" "), F.when(o % 4 == 2, "say again now").otherwise("once more"), F.lit(" w"), (o + 1).cast("string"), F.when(o % 4 == 1, " w2 say again now").otherwise(""))
-    base = inputs.cues(spark, sf_dir).where("start_t < end_t").select("part_id", "source_ordinal", "start_t", "end_t", text.alias("text"))
-    both = base.unionByName(base.where((F.col("part_id") + o) % 5 == 0).withColumn("source_ordinal", o + 1000))
+    """What is said as rolling captions of eight words, five of them again in the next: exact repeats dropped, proven overlaps cut, other shared words flagged."""
+    o, i = F.col("source_ordinal"), F.col("i")
+    said = inputs.cues(spark, sf_dir).withColumn("w", columns.words("text")).where(F.size("w") > 0)
+    spread = said.select("part_id", "source_ordinal", "start_t", "w", F.explode(F.sequence(F.lit(0), F.floor((F.size("w") + 2) / 3).cast("int") - 1)).alias("i"))
+    base = spread.select("part_id", (o * 1000 + i).alias("source_ordinal"), (F.col("start_t") + i * 900).alias("start_t"), (F.col("start_t") + i * 900 + F.when(i % 3 == 2, 700).otherwise(1000)).alias("end_t"), F.array_join(F.slice("w", i * 3 + 1, 8), " ").alias("text"))
+    both = base.unionByName(base.where((F.col("part_id") + o) % 5 == 0).withColumn("source_ordinal", o + 500_000))
     rows = both.withColumn("tokens", columns.tokens(F.col("text")))
     readable = cu.rolling(rows, "part_id", readable=True).select("part_id", "source_ordinal", F.col("kept_from").cast("long").alias("readable_from"))
     return cu.rolling(rows, "part_id").select("part_id", "source_ordinal", F.col("kept_from").cast("long").alias("kept_from"), "correction").join(readable, ["part_id", "source_ordinal"])

@@ -8,7 +8,20 @@ from pyspark.sql import functions as F
 UNSUPPORTED = "unsupported_generated_claim"
 #: Sources of an identity that name nobody.
 ANONYMOUS = ("speaker_label", "diarization")
-_ANONYMOUS_SAYS = "an anonymous speaker label does not establish identity"
+#: What is said of content that is not kept; results carry these sentences.
+SAYS = {
+    "missing": "claim is missing or not an object",
+    "no_text": "claim has no text",
+    "malformed": "citation is missing or malformed",
+    "too_few": "cites fewer than one NormalizedCue",
+    "foreign": "cites cue(s) not owned by this segment: ",
+    "nameless": "person names no cited reference",
+    "anonymous": "an anonymous speaker label does not establish identity",
+    "chosen": "the pipeline never chooses which contradictory claim is true",
+    "one_side": "a contradiction needs at least two cited sides",
+    "answered": "an unresolved question carries an answer",
+    "elsewhere": "the question is answered elsewhere in the segment",
+}
 
 
 def tile(proposals: DataFrame, cues: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -46,13 +59,13 @@ def tile(proposals: DataFrame, cues: DataFrame) -> tuple[DataFrame, DataFrame]:
 def citation_failure(cue_ids: Column, owned: Column) -> Column:
     """What is wrong with a citation list, or null."""
     foreign = F.array_sort(F.array_except(cue_ids, owned))
-    return (F.when(cue_ids.isNull() | F.exists(cue_ids, lambda c: c.isNull()), "citation is missing or malformed").when(F.size(cue_ids) < 1, "cites fewer than one NormalizedCue")
-            .when(F.size(foreign) > 0, F.concat(F.lit("cites cue(s) not owned by this segment: "), F.array_join(F.transform(foreign, lambda c: c.cast("string")), ", "))))
+    return (F.when(cue_ids.isNull() | F.exists(cue_ids, lambda c: c.isNull()), SAYS["malformed"]).when(F.size(cue_ids) < 1, SAYS["too_few"])
+            .when(F.size(foreign) > 0, F.concat(F.lit(SAYS["foreign"]), F.array_join(F.transform(foreign, lambda c: c.cast("string")), ", "))))
 
 
 def claim_failure(text: Column, cue_ids: Column, owned: Column) -> Column:
     """What is wrong with a text and its citations, or null."""
-    return F.when(F.coalesce(F.trim(text), F.lit("")) == "", "claim has no text").otherwise(citation_failure(cue_ids, owned))
+    return F.when(F.coalesce(F.trim(text), F.lit("")) == "", SAYS["no_text"]).otherwise(citation_failure(cue_ids, owned))
 
 
 def _told(rows: DataFrame, failure: Column, *names: str) -> DataFrame:
@@ -67,7 +80,6 @@ def validate_claims(claims: DataFrame, segments: DataFrame, item: str) -> DataFr
 
 #: The lists of a segment's details and what each one's items are called.
 DETAILS = {"detailed_content": "detail", "numeric_values": "numeric_value", "entities": "entity", "examples": "example", "conditions": "condition", "caveats": "caveat"}
-_MISSING = "claim is missing or not an object"
 
 
 def validate_content(documents: DataFrame, segments: DataFrame) -> DataFrame:
@@ -86,14 +98,14 @@ def validate_content(documents: DataFrame, segments: DataFrame) -> DataFrame:
             parts.append(F.when(F.col(name).isNotNull(), items).otherwise(F.array().cast(documents.select(items.alias("x")).schema["x"].dataType)))
     claims = documents.select("part_id", "segment", F.inline(F.concat(*parts)))
     rows = claims.join(segments, ["part_id", "segment"], "left")
-    failure = F.when(F.col("claim").isNull(), _MISSING).otherwise(claim_failure(F.col("claim.text"), F.col("claim.cue_ids"), F.coalesce("owned", F.array().cast(dict(segments.dtypes)["owned"]))))
+    failure = F.when(F.col("claim").isNull(), SAYS["missing"]).otherwise(claim_failure(F.col("claim.text"), F.col("claim.cue_ids"), F.coalesce("owned", F.array().cast(dict(segments.dtypes)["owned"]))))
     return _told(rows, failure, "part_id", "segment", "kind", "idx")
 
 
 def validate_answers(pairs: DataFrame, segments: DataFrame, item: str) -> DataFrame:
     """Questions and answers (question, answer: struct(text, cue_ids)): both sides must be cited claims."""
     rows = pairs.join(segments, ["part_id", "segment"], "left")
-    one = lambda side: F.when(F.col(side).isNull(), _MISSING).otherwise(claim_failure(F.col(f"{side}.text"), F.col(f"{side}.cue_ids"), F.col("owned")))
+    one = lambda side: F.when(F.col(side).isNull(), SAYS["missing"]).otherwise(claim_failure(F.col(f"{side}.text"), F.col(f"{side}.cue_ids"), F.col("owned")))
     q, a = one("question"), one("answer")
     return _told(rows, F.when(q.isNotNull(), F.concat(F.lit("question: "), q)).when(a.isNotNull(), F.concat(F.lit("answer: "), a)), "part_id", "segment", item)
 
@@ -102,8 +114,8 @@ def validate_people(people: DataFrame, segments: DataFrame, item: str) -> DataFr
     """People (reference, identity_source, speaker_label, cue_ids): named by reference, not by an anonymous source, and cited."""
     rows = people.join(segments, ["part_id", "segment"], "left")
     cited = citation_failure(F.col("cue_ids"), F.col("owned"))
-    failure = (F.when(F.coalesce(F.trim("reference"), F.lit("")) == "", "person names no cited reference").when(F.col("identity_source").isin(*ANONYMOUS), _ANONYMOUS_SAYS)
-               .when(cited.isNotNull() & F.col("speaker_label").isNotNull(), _ANONYMOUS_SAYS).otherwise(cited))
+    failure = (F.when(F.coalesce(F.trim("reference"), F.lit("")) == "", SAYS["nameless"]).when(F.col("identity_source").isin(*ANONYMOUS), SAYS["anonymous"])
+               .when(cited.isNotNull() & F.col("speaker_label").isNotNull(), SAYS["anonymous"]).otherwise(cited))
     return _told(rows, failure, "part_id", "segment", item)
 
 
@@ -111,7 +123,7 @@ def validate_contradictions(rows: DataFrame, segments: DataFrame, item: str) ->
     """Contradictions (resolved_to, sides array<struct(text, cue_ids)>): unresolved, with two cited sides at least."""
     rows = rows.join(segments, ["part_id", "segment"], "left")
     sides = F.transform("sides", lambda s, i: F.concat(F.lit("side "), i.cast("string"), F.lit(" "), claim_failure(s["text"], s["cue_ids"], F.col("owned"))))
-    failure = (F.when(F.col("resolved_to").isNotNull(), "the pipeline never chooses which contradictory claim is true").when(F.coalesce(F.size("sides"), F.lit(0)) < 2, "a contradiction needs at least two cited sides")
+    failure = (F.when(F.col("resolved_to").isNotNull(), SAYS["chosen"]).when(F.coalesce(F.size("sides"), F.lit(0)) < 2, SAYS["one_side"])
                .otherwise(F.get(F.filter(sides, lambda s: s.isNotNull()), F.lit(0))))
     return _told(rows, failure, "part_id", "segment", item)
 
@@ -121,7 +133,7 @@ def validate_unresolved(rows: DataFrame, answered: DataFrame, segments: DataFram
     known = answered.select("part_id", "segment", "text").distinct().withColumn("known", F.lit(True))
     rows = rows.join(segments, ["part_id", "segment"], "left").join(known, ["part_id", "segment", "text"], "left")
     claim = claim_failure(F.col("text"), F.col("cue_ids"), F.col("owned"))
-    failure = F.when(claim.isNotNull(), claim).when(F.col("answer").isNotNull(), "an unresolved question carries an answer").when(F.col("known"), "the question is answered elsewhere in the segment")
+    failure = F.when(claim.isNotNull(), claim).when(F.col("answer").isNotNull(), SAYS["answered"]).when(F.col("known"), SAYS["elsewhere"])
     return _told(rows, failure, "part_id", "segment", item)
 
 

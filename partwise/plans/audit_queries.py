@@ -185,10 +185,11 @@ def E13_journal_replay(spark, sf_dir):
     whole = F.encode(F.concat(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line", text.alias("t")))), lambda x: x["t"]), "\n"), F.lit("\n")), "UTF-8").alias("whole")
     files = rows.groupBy("run_id").agg(whole, F.max("last").alias("last"))
     cut = lambda n: F.expr(f"substring(whole, 1, length(whole) - {n})")
+    files = files.withColumn("_lines", F.split(F.decode("whole", "UTF-8"), "\n"))
+    bytes_of = lambda *lines: F.encode(F.concat_ws("\n", *lines), "UTF-8")
     bad = F.expr("concat(substring(whole, 1, length(whole) - 2), unhex('FF'), unhex('7D0A'))")
-    sixth = F.expr("encode(concat_ws('\\n', slice(split(decode(whole, 'UTF-8'), '\\n'), 1, 5), concat(element_at(split(decode(whole, 'UTF-8'), '\\n'), 6), '#')), 'UTF-8')")
-    tail = F.expr("encode(concat_ws('\\n', slice(split(decode(whole, 'UTF-8'), '\\n'), 7, size(split(decode(whole, 'UTF-8'), '\\n')))), 'UTF-8')")
-    wrong = F.when(F.col("last") > 6, F.concat(sixth, F.unhex(F.lit("FF0A")), tail)).when(F.col("last") == 6, F.concat(sixth, F.unhex(F.lit("FF0A")))).otherwise(bad)
+    sixth, size = F.concat(bytes_of(F.slice("_lines", 1, 5), F.concat(F.get("_lines", F.lit(5)), F.lit("#"))), F.unhex(F.lit("FF0A"))), F.size("_lines")
+    wrong = F.when(F.col("last") > 6, F.concat(sixth, bytes_of(F.slice("_lines", F.lit(7), F.greatest(size - 6, F.lit(0)))))).when(F.col("last") == 6, sixth).otherwise(bad)
     content = F.when(r % 7 == 1, cut(9)).when(r % 7 == 2, cut(1)).when(r % 7 == 5, wrong).otherwise(F.col("whole"))
     kept = journals.kept_lines(journals.journal_lines(files.select("run_id", content.alias("content")), "run_id"), "run_id")
     told = audit.replay(journals.transitions(kept, "run_id"), journal.EDGES).drop("torn")

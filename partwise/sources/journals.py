@@ -28,8 +28,8 @@ def journal_lines(payloads: DataFrame, *keys: str) -> DataFrame:
     size = F.length("_c").cast("long")
     raw = F.encode("_c", "ISO-8859-1")
     placed = rows.select(*keys, (F.col("_at") + 1).cast("long").alias("line"), F.coalesce(F.sum(size + 1).over(order), F.lit(0).cast("long")).alias("offset"), size.alias("bytes"), (F.col("_at") < F.col("_n") - 1).alias("ended"), F.when(F.is_valid_utf8(raw.cast("string")), raw.cast("string")).alias("body"))
-    parsed = F.try_parse_json("body")
-    return placed.withColumn("event", F.when(_is_event(parsed), parsed))
+    parsed = placed.withColumn("_v", F.try_parse_json("body"))
+    return parsed.withColumn("event", F.when(_is_event(F.col("_v")), F.col("_v"))).drop("_v")
 
 
 def _is_event(value: Column) -> Column:

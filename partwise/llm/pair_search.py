@@ -24,11 +24,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from partwise.llm._batches import LOWER, coded, flat, pieces, stored, word_bounds
+from partwise.llm.token_counts import slabs
 
 BEST = 10
 _APART = np.ones(256, bool)  # bytes that are in no term
 _APART[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 _SHARD, _SHARD_POSTINGS = 32 << 20, 1 << 20  # bytes of text, and postings, of one shard
+_SLAB = 8 << 20  # bytes of text that are cut at once
 _ITEMS, _ITEM_BYTES = 1000, 4 << 20  # of queries broadcast at a time, about
 _SALTS = 64
 
@@ -36,23 +38,24 @@ _SHARD_SCHEMA = "n_docs long, n_terms long, docs array<long>, words array<int>,
 _IMPACT_SCHEMA = "docs array<long>, terms array<int>, counts array<int>, at array<int>, impacts array<int>, pairs array<int>, joint array<long>, pair_counts array<int>, pair_at array<int>"
 
 
-def _terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Number of terms of each row, all terms as codes in order, and what the codes stand for."""
+def _terms(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, pa.Array]]:
+    """For some megabytes of a text column after the other: the row of each term, all terms as codes, and what the codes stand for."""
     raw, at = flat(column)
-    raw = LOWER[raw]
-    starts, ends, first = word_bounds(raw, at, _APART)
-    codes, distinct = coded(raw, starts, ends)
-    return np.diff(first), codes, distinct
+    for lo, hi in slabs(raw, at, _SLAB):  # a text of any length is cut at blanks, where no term runs over
+        inside = np.concatenate([[0], at[(at > lo) & (at < hi)] - lo, [hi - lo]])
+        part = LOWER[raw[lo:hi]]
+        starts, ends, first = word_bounds(part, inside, _APART)
+        codes, distinct = coded(part, starts, ends)
+        yield np.searchsorted(at, lo, "right") - 1 + np.repeat(np.arange(len(inside) - 1), np.diff(first)), codes, distinct
 
 
 def item_terms(items: DataFrame) -> DataFrame:
     """(item_id, terms array<binary>): the distinct terms of each item; texts of one item_id are taken together."""
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, codes, distinct = _terms(batch.column(1))
-            rows = np.repeat(np.arange(batch.num_rows), n)
-            pairs = np.unique(np.stack([rows, codes]), axis=1) if len(codes) else np.zeros((2, 0), np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(pairs[0])), distinct.take(pa.array(pairs[1])).cast(pa.binary())], ["item_id", "term"])
+            for rows, codes, distinct in _terms(batch.column(1)):
+                pairs = np.unique(np.stack([rows, codes]), axis=1) if len(codes) else np.zeros((2, 0), np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(pairs[0])), distinct.take(pa.array(pairs[1])).cast(pa.binary())], ["item_id", "term"])
 
     given = items.select(items["item_id"].cast("long"), items["text"].cast("string"))
     return given.mapInArrow(cut, "item_id long, term binary").groupBy("item_id").agg(F.sort_array(F.collect_set("term")).alias("terms"))
@@ -80,11 +83,13 @@ def shards(documents: DataFrame, terms: list[bytes]) -> DataFrame:
 
 
 def _postings(batch: pa.RecordBatch, wanted: pa.Array) -> tuple:
-    n, codes, distinct = _terms(batch.column(1))
-    ids = pc.fill_null(pc.index_in(distinct, value_set=wanted), -1).to_numpy(zero_copy_only=False)[codes] if len(distinct) else np.zeros(0, np.int64)
-    rows = np.repeat(np.arange(len(n)), n)[ids >= 0]
-    keys, tf = np.unique(ids[ids >= 0].astype(np.int64) * len(n) + rows, return_counts=True)
-    return batch.column(0), n, keys // max(1, len(n)), keys % max(1, len(n)), tf
+    count, n, found = batch.num_rows, np.zeros(batch.num_rows, np.int64), [np.zeros(0, np.int64)]
+    for rows, codes, distinct in _terms(batch.column(1)):
+        n += np.bincount(rows, minlength=count)
+        ids = pc.fill_null(pc.index_in(distinct, value_set=wanted), -1).to_numpy(zero_copy_only=False)[codes] if len(distinct) else codes
+        found.append(ids[ids >= 0].astype(np.int64) * count + rows[ids >= 0])
+    keys, tf = np.unique(np.concatenate(found), return_counts=True)
+    return batch.column(0), n, keys // max(1, count), keys % max(1, count), tf
 
 
 def _shard(held: list[tuple]) -> pa.RecordBatch:

@@ -61,6 +61,8 @@ def test_equals_every_score(spark, tables, monkeypatch):
     d = spark.createDataFrame([(i, t, 1, "x") for i, t in docs], "doc_id long, text string, score long, rank string").repartition(3)
     q = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, doc_id long")
     assert rows(ps.search(d, q)) == want
+    monkeypatch.setattr(ps, "_SLAB", 100)  # texts cut in many places
+    assert rows(ps.search(d, q)) == want
     monkeypatch.setattr(ps, "_ITEMS", 10)  # several turns
     assert rows(ps.search(d, q, best=3)) == brute(docs, items, 3)
     assert rows(ps.search(d.limit(0), q)) == [] and rows(ps.search(d, q.limit(0))) == []

@@ -11,7 +11,7 @@ from partwise.operators import intervals as iv
 from pyspark.sql import functions as F
 
 N = 100_000
-LIMIT = 20
+LIMIT = 40  # seconds; a tenth of them on an idle machine
 
 
 @pytest.fixture

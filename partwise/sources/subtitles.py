@@ -226,6 +226,9 @@ def read_envelopes(outputs: DataFrame, *keys: str, kind: str = "asr", schema_ver
     return e.select(*keys, valid.alias("valid"), F.when(~valid, "model_output_invalid").alias("reason"), F.when(valid, items).alias("items"))
 
 
+_WORK: list[str] = []  # folders in use, for clear_work()
+
+
 def work_folder(spark: SparkSession) -> str:
     """A new folder in the place that all executors share; where none is set, a local run takes a temporary one and a cluster refuses."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -233,7 +236,17 @@ def work_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir is unset: written tables need a folder that all executors share")
         root = tempfile.mkdtemp(prefix="spark-shared-")
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    _WORK.append(f"{root.rstrip('/')}/{uuid.uuid4().hex}")
+    return _WORK[-1]
+
+
+def clear_work(spark: SparkSession) -> int:
+    """Deletes what this process has written to work folders so far, once it is read; returns how many there were."""
+    jvm, conf, n = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), 0
+    while _WORK:
+        path = jvm.org.apache.hadoop.fs.Path(_WORK.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def write_cues(cues: DataFrame, path: str, buckets: int = 16) -> None:

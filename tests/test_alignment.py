@@ -104,3 +104,12 @@ def test_facts_media_coverage_and_selectors(spark):
     docs = spark.createDataFrame([(1, 0, ("t", [1]), [("d", [1]), None, (" ", [1]), ("d", [9])], None), (1, 1, None, None, [("e", [])])], "part_id int, segment int, title struct<text:string,cue_ids:array<int>>, detailed_content array<struct<text:string,cue_ids:array<int>>>, caveats array<struct<text:string,cue_ids:array<int>>>")
     told = segments.validate_content(docs, spark.createDataFrame([(1, 0, [1]), (1, 1, [2])], "part_id int, segment int, owned array<int>"))
     assert {(r.segment, r.kind, r.idx): r.outcome == "kept" for r in told.collect()} == {(0, "title", 0): True, (0, "detail", 0): True, (0, "detail", 1): False, (0, "detail", 2): False, (0, "detail", 3): False, (1, "title", 0): False, (1, "caveat", 0): False}
+
+
+def test_work_folders_are_cleared(spark):
+    sub.clear_work(spark)
+    path = sub.work_folder(spark)
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3 and sub.clear_work(spark) == 1 and sub.clear_work(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)

@@ -48,6 +48,16 @@ def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes the folders of tables that stored() has returned, once nothing that is still to be computed reads them."""
+    for df in tables:
+        spark = df.sparkSession
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            path.getFileSystem(conf).delete(path, True)
+
+
 def flat(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string or binary column one after the other, and the offsets of its rows; nulls are empty."""
     if isinstance(strings, pa.ChunkedArray):

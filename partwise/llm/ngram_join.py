@@ -6,17 +6,19 @@ shingle: such segments are indexed with their one-deletion neighbourhood. Scheme
 counts of all sets (ngram_sets.allocate). Sets that share a signature are candidates; links are decided on the words.
 
 Scale. Equal sets are joined first, by fingerprint, so groups of copies are one set from there on. Signatures are
-small rows that are shuffled once and read sorted, one row at a time. In each bucket the first member is compared with
+rows of 11 bytes that differ (48 bits of the signature and 40 that name the set), however many partitions they go to;
+they are shuffled once and read sorted, one row at a time. In each bucket the first member is compared with
 the rest; so a group of near copies costs as many comparisons as it has members. Where components are left apart, another
 member, first by a hash, meets the rest of the other components. Only buckets that still hold different
-components go on, cut into pairs of blocks that are spread over tasks: their members get a bit sketch, whose distance is
-a lower bound of the sets' difference, and pairs beyond the bound are left out, so that hardly a pair that does not link
-is sent on. No link between components is lost. Texts of candidates only are shuffled for the comparison. Signatures
+components go on: those of a few members as pairs of ids, and larger ones cut into pairs of blocks that are spread over
+tasks. Their members get a bit sketch, whose distance is a lower bound of the sets' difference, and pairs beyond the bound
+are left out, so that hardly a pair that does not link is sent on. No link between components is lost. Texts of candidates only are shuffled for the comparison. Signatures
 that many sets share are salted, and buckets are joined with their leaders by Spark, which splits skewed ones.
 
 Sets count as equal when their sizes and two independent 64-bit sums agree: for 10**10 different sets the chance that any
-two of them are taken for one is below 10**-18. Signatures are 64-bit values; where two agree by chance, the only effect
-is one more comparison. Links between different sets are decided word by word.
+two of them are taken for one is below 10**-18. Signatures are 47-bit values; where two agree by chance, the only effect
+is one more comparison. So it is where the 40-bit names of two sets agree, as sets of one name are also a bucket of their
+own. Links between different sets are decided word by word.
 """
 
 from __future__ import annotations
@@ -28,14 +30,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from partwise.llm._batches import LOWER, flat, pieces, stored
+from partwise.llm._batches import LOWER, dropped, flat, pieces, stored
 from partwise.llm._graph import components
 from partwise.llm.ngram_sets import allocate, allowed, fingerprints, shingle_sets, signatures
 
 WORDS, PERCENT = 5, 80
 _LEAST_BITS, _MOST_BITS = 23, 28
 _PROBE = np.uint64(0x3FF)
-_HOT, _BLOCK, _LEADERS, _LOWEST = 256, 1024, 2, 8
+_KEY_BITS, _HOT_BIT = 40, 1 << 16
+_HOT, _BLOCK, _LEADERS, _LOWEST, _FEW = 256, 1024, 2, 8, 8
 _TABLE = bytes(LOWER)
 
 
@@ -67,9 +70,10 @@ def _met(stats: DataFrame) -> dict[int, tuple[float, float]]:
 
 
 def _signature_rows(docs: DataFrame, words: int, percent: int, schemes: dict) -> DataFrame:
-    """(sig, salt, fp1, fp2) of every set; a set that a task has seen before is not signed again.
+    """(sig, key) of every set; a set that a task has seen before is not signed again.
 
-    A signature that _HOT sets of a piece of text share is hot: its rows are salted, but for two that stay with salt 0.
+    key is the set's name: the lowest _KEY_BITS of fp1. sig has 47 bits of a signature, above the bit _HOT_BIT: it is set
+    if _HOT sets of a piece of text share the signature, for their rows but two, which are then dealt by key as well.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,46 +90,55 @@ def _signature_rows(docs: DataFrame, words: int, percent: int, schemes: dict) ->
                         new[i] = True
                 keep = new[rows]
                 owner, sigs = signatures(rows[keep], hashes[keep], len(part), schemes, percent)
+                sigs, key = sigs & -2 * _HOT_BIT, fp1[owner] & (1 << _KEY_BITS) - 1  # rows stay in the order of their sets, which keeps them small when compressed
                 order = np.argsort(sigs, kind="stable")
                 start = np.flatnonzero(np.r_[True, np.diff(sigs[order]) != 0]) if len(sigs) else np.zeros(0, np.int64)
                 size = np.diff(np.r_[start, len(sigs)])
+                two = (size >= _HOT) & (key[order[start]] != key[order[np.minimum(start + 1, len(sigs) - 1)]])  # the two that stay must tell each other
                 rank = np.arange(len(sigs)) - np.repeat(start, size)
-                hot = order[(np.repeat(size, size) >= _HOT) & (rank > 1)]
-                salt = np.zeros(len(sigs), np.int64)  # rows stay in the order of their sets, which keeps them small when compressed
-                salt[hot] = 1 + (fp1[owner[hot]] & 0xFF)
-                yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(salt, pa.int32()), pa.array(fp1[owner]), pa.array(fp2[owner])], ["sig", "salt", "fp1", "fp2"])
+                sigs[order[np.repeat(two, size) & (rank > 1)]] |= _HOT_BIT
+                yield pa.RecordBatch.from_arrays([pa.array(sigs), pa.array(key)], ["sig", "key"])
 
-    return docs.mapInArrow(run, "sig long, salt int, fp1 long, fp2 long")
+    return docs.mapInArrow(run, "sig long, key long")
 
 
 def _shared_buckets(rows: DataFrame) -> DataFrame:
-    """The distinct rows (sig, fp1, fp2) of signatures that two sets or more have.
+    """The rows (sig, key) of signatures that two sets or more have, sig without the bit of hot ones.
 
-    rows are sorted by all columns within a partition and dealt by sig and salt. A salted row is of a hot signature, so
-    it stays; the two rows of it with salt 0 tell the rows of tasks for which it was not hot that they are not alone.
+    rows are those of _signature_rows. They are dealt by sig, hot ones by sig and a part of key, and sorted. A hot row
+    stays; the two rows of its signature that are not hot tell the rows of tasks for which it was not hot that they are
+    not alone.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((4, 0), np.int64)  # the last, perhaps unfinished bucket: its first row or its last one
+        held = np.zeros((2, 0), np.int64)  # the last, perhaps unfinished bucket: its first row or its last one
         told = False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            at = np.concatenate([held, np.stack([c.to_numpy().astype(np.int64) for c in batch.columns])], 1)
+            at = np.concatenate([held, np.stack([c.to_numpy() for c in batch.columns])], 1)
             new = np.ones(at.shape[1], bool)
             new[1:] = (at[:, 1:] != at[:, :-1]).any(0)
             k = held.shape[1]
             k, at = int(new[:k].sum()), at[:, new]
-            same = (at[:2, 1:] == at[:2, :-1]).all(0)
-            many = at[1] > 0
+            same = at[0, 1:] == at[0, :-1]
+            many = at[0] & _HOT_BIT > 0
             many[1:] |= same
             many[:-1] |= same
             many[:k] &= not told
             told = bool(many[-1]) or (at.shape[1] == k and told)
             held = at[:, -1:]
-            yield pa.RecordBatch.from_arrays([pa.array(at[i][many]) for i in (0, 2, 3)], ["sig", "fp1", "fp2"])
+            yield pa.RecordBatch.from_arrays([pa.array(at[0, many] & ~_HOT_BIT), pa.array(at[1, many])], ["sig", "key"])
 
-    return rows.mapInArrow(run, "sig long, fp1 long, fp2 long")
+    dealt = rows.repartition("sig", F.expr(f"if(sig & {_HOT_BIT} = 0, -1, key & 255)")).sortWithinPartitions("sig", "key")
+    return dealt.mapInArrow(run, "sig long, key long")
+
+
+def _members(buckets: DataFrame, sets: DataFrame) -> DataFrame:
+    """(sig, doc_id, n) of the sets (doc_id, n, fp1) of buckets (sig, key); sets of one key are a bucket besides."""
+    named = sets.select(F.expr(f"fp1 & {(1 << _KEY_BITS) - 1}").alias("key"), "doc_id", "n")
+    twice = stored(named.groupBy("key").agg(F.count("*").alias("k")).where("k > 1").select(F.expr("shiftleft(key, 17) + 1").alias("sig"), "key"))  # no signature is odd
+    return buckets.unionByName(twice).join(named, "key").select("sig", "doc_id", "n")
 
 
 def _leader_pairs(members: DataFrame, percent: int, order: Column) -> DataFrame:
@@ -144,14 +157,14 @@ def _leader_pairs(members: DataFrame, percent: int, order: Column) -> DataFrame:
 
 
 def _sketches(texts: DataFrame, words: int) -> DataFrame:
-    """(doc_id, size, sketch): bit i is the parity of the set's elements that hash to i; two to four bits an element, by size band."""
+    """(doc_id, size, sketch): bit i is the parity of the set's elements that hash to i; one or two bits an element, by size band."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text", 4 << 20):
                 rows, hashes = shingle_sets(*flat(part.column(1)), words)
                 n = np.bincount(rows, minlength=len(part))
-                bits = np.maximum(64, 4 << (np.frexp(np.maximum(n, 1))[1] - 1)).astype(np.int64)
+                bits = np.maximum(64, 2 << (np.frexp(np.maximum(n, 1))[1] - 1)).astype(np.int64)
                 base = np.concatenate([[0], np.cumsum(bits)])
                 odd = np.bincount(base[rows] + (hashes.view(np.int64) & (bits[rows] - 1)), minlength=base[-1]) & 1
                 packed = np.packbits(odd.astype(np.uint8), bitorder="little")
@@ -203,6 +216,14 @@ def _near(left: list[tuple], right: list[tuple] | None, percent: int, sig: int)
                     yield np.minimum(doc[x], doc2[y]), np.maximum(doc[x], doc2[y])
 
 
+def _few_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b, chunk) of all pairs in buckets of at most _FEW members (sig, doc_id, n, label) that differ in label and have sizes that a link allows."""
+    buckets = members.groupBy("sig").agg(F.collect_list(F.struct("doc_id", "n", "label")).alias("m"))
+    pairs = buckets.select("m", F.explode("m").alias("x")).select("x", F.explode("m").alias("y"))
+    may = F.expr(f"x.doc_id < y.doc_id and x.label <> y.label and 100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
+    return pairs.where(may).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"), F.expr("pmod(y.doc_id, 16L)").alias("chunk"))
+
+
 def _near_pairs(members: DataFrame, percent: int) -> DataFrame:
     """(a, b, chunk) of all buckets, from (sig, doc_id, n, label, sketch, lowest, size): the pairs of each that differ in label and may link.
 
@@ -237,10 +258,12 @@ def _near_pairs(members: DataFrame, percent: int) -> DataFrame:
 def _compared(pairs: DataFrame, contents: DataFrame, same: Callable, made: Callable) -> DataFrame:
     """The pairs (a, b, chunk) for which same(made(content of a), made(content of b)), from contents (doc_id, size, content).
 
-    Contents of a meet those of its partners in parts of bounded size, one part after the other, one row at a time.
+    Contents of a meet those of its partners in parts of bounded size, one part after the other, one row at a time. Both
+    are found by one join, so contents are shuffled to it once.
     """
-    partner = pairs.join(contents.withColumnRenamed("doc_id", "b"), "b").select("a", "chunk", "b", "size", "content")
-    leader = pairs.select("a", "chunk").distinct().join(contents.withColumnRenamed("doc_id", "a"), "a").select("a", "chunk", F.lit(None).cast("long").alias("b"), "size", "content")
+    partner = pairs.select("a", "chunk", "b", F.col("b").alias("doc_id"))
+    leader = pairs.select("a", "chunk").distinct().select("a", "chunk", F.lit(None).cast("long").alias("b"), F.col("a").alias("doc_id"))
+    met = partner.unionByName(leader).join(contents, "doc_id").select("a", "chunk", "b", "size", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, own = None, None
@@ -253,7 +276,7 @@ def _compared(pairs: DataFrame, contents: DataFrame, same: Callable, made: Calla
                     found.append((a, b, chunk))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in range(3)], ["a", "b", "chunk"])
 
-    together = partner.unionByName(leader).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
+    together = met.repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
     return together.mapInArrow(run, "a long, b long, chunk long")
 
 
@@ -283,17 +306,17 @@ def _verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame, words: in
 
 
 def _mostly(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """rows (doc_id, ...) without most of those whose doc_id is not in ids, by a bitmap; a join must follow.
+    """rows without most of those whose value in the column of ids (doc_id, sig) is not in ids, by a bitmap; a join must follow.
 
     So hardly a row that the join does not need is shuffled. The bitmap has eight bits or more an id and at most
     2**_MOST_BITS (32 MB); for more ids than it can tell apart the rows are joined with them instead.
     """
-    ids = stored(ids)
+    ids, (on,) = stored(ids), ids.columns
     n = ids.count()
     if n > 1 << (_MOST_BITS - 1):
-        return rows.join(ids, "doc_id", "left_semi").select(*rows.columns)
+        return rows.join(ids, on, "left_semi").select(*rows.columns)
     size = 1 << min(max(_LEAST_BITS, (8 * n).bit_length()), _MOST_BITS)
-    bit = f"pmod(xxhash64(doc_id), {size})"
+    bit = f"pmod(xxhash64({on}), {size})"
     words = ids.select(F.expr(f"{bit} div 63").alias("word"), F.expr(f"shiftleft(1L, cast({bit} % 63 as int))").alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("mask"))
     table = np.zeros(size // 63 + 1, np.int64)
     found = words.toArrow()  # of bounded size, so it may go through the driver
@@ -326,8 +349,9 @@ def jaccard_classes(documents: DataFrame, words: int = WORDS, percent: int = PER
     if bands:
         schemes = allocate({int(b): v for b, v in bands.items()}, percent, _met(stats))
         rows = _signature_rows(docs.where("doc_id is not null"), words, percent, schemes)
-        buckets = stored(_shared_buckets(rows.repartition("sig", "salt").sortWithinPartitions("sig", "salt", "fp1", "fp2")))
-        members = stored(buckets.join(sets.select("fp1", "fp2", "doc_id", "n"), ["fp1", "fp2"]).select("sig", "doc_id", "n"))
+        buckets = stored(_shared_buckets(rows))
+        members = stored(_members(buckets, sets))
+        dropped(buckets)
         labels = _linked(docs, members, words, percent)
     found = sets
     if labels is not None:
@@ -359,7 +383,7 @@ def one_of_each(documents: DataFrame, words: int = WORDS, percent: int = PERCENT
 
 def _linked(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame | None:
     """(id, component) of all sets that link with another one, from the rows (sig, doc_id, n) of shared buckets."""
-    ids = stored(members.select("doc_id").distinct())
+    every, ids = members, stored(members.select("doc_id").distinct())
     if ids.isEmpty():
         return None
     texts = stored(_mostly(docs, ids))  # with a few others, which no pair names
@@ -367,24 +391,34 @@ def _linked(docs: DataFrame, members: DataFrame, words: int, percent: int) -> Da
     labels, done = None, None
     for turn in range(_LEADERS):
         known = members.withColumn("label", F.col("doc_id")) if labels is None else _open(members, labels)
+        members = known.select("sig", "doc_id", "n")  # a bucket of one component stays one
         pairs = _leader_pairs(known, percent, F.col("doc_id") if labels is None else F.xxhash64("doc_id", F.lit(turn)))
-        pairs = stored(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti").join(done.toDF("b", "a"), ["a", "b"], "left_anti"))
+        pairs = stored(pairs if done is None else _without(pairs, done))
         links = _verified(pairs, texts, sketches, words, percent)
         labels = components(links) if labels is None else _merged(labels, stored(links))
         done = pairs.select("a", "b") if done is None else stored(done.unionByName(pairs.select("a", "b")))
     known = _open(members, labels)
     lowest = known.groupBy("doc_id").agg(F.slice(F.sort_array(F.collect_set("sig")), 1, _LOWEST).alias("lowest"))
-    known = stored(known.join(sketches.select("doc_id", "sketch"), "doc_id").join(lowest, "doc_id").select("sig", "doc_id", "n", "label", "sketch", "lowest", "size"))
-    more = _near_pairs(known, percent).groupBy("a", "b").agg(F.min("chunk").alias("chunk"))
-    more = stored(more.join(done, ["a", "b"], "left_anti").join(done.toDF("b", "a"), ["a", "b"], "left_anti"))
-    return _merged(labels, stored(_verified(more, texts, sketches, words, percent)))
+    large = known.where(F.col("size") > _FEW)
+    large = stored(large.join(sketches.select("doc_id", "sketch"), "doc_id").join(lowest, "doc_id").select("sig", "doc_id", "n", "label", "sketch", "lowest", "size"))
+    more = _few_pairs(known.where(F.col("size") <= _FEW), percent).unionByName(_near_pairs(large, percent))
+    more = stored(_without(more.groupBy("a", "b").agg(F.min("chunk").alias("chunk")), done))
+    links = stored(_verified(more, texts, sketches, words, percent))
+    dropped(every, known, large, texts, sketches)
+    return _merged(labels, links)
+
+
+def _without(pairs: DataFrame, done: DataFrame) -> DataFrame:
+    """pairs (a, b, ...) but for those that done (a, b) has, either way round."""
+    told = done.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+    return pairs.join(told, (F.least("a", "b") == F.col("lo")) & (F.greatest("a", "b") == F.col("hi")), "left_anti")
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
     """(sig, doc_id, n, label, size): the members of buckets that hold more than one component."""
     known = stored(members.join(labels.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").select("sig", "doc_id", "n", F.coalesce("component", "doc_id").alias("label")))
     open_ = stored(known.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo <> hi and size > 2").select("sig", "size"))
-    return stored(known.join(open_, "sig").select("sig", "doc_id", "n", "label", "size"))
+    return stored(_mostly(known, open_.select("sig")).join(open_, "sig").select("sig", "doc_id", "n", "label", "size"))
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:

@@ -140,3 +140,54 @@ def test_one_of_each_keeps_other_texts_of_an_id_and_any_columns(spark):
     assert left.columns == df.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == sorted([(0, words), (1, words), (1, "another text under the same id here"), (3, ""), (4, "")])
     assert ngram_join.one_of_each(df.limit(0)).collect() == []
+
+
+def test_signature_rows_are_narrow_and_names_that_agree_lose_no_link(spark):
+    rows = templated(150, 9) + [(1000 + i, f"a b c d e f g h i j k l m n o p q r s t u v w x y z {i}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    before = ngram_join._HOT, ngram_join._KEY_BITS
+    ngram_join._HOT = 4
+    try:
+        signed = ngram_join._signature_rows(df.coalesce(1), 5, 80, ngram_sets.allocate({b: (100, 1.5 * 2**b) for b in range(8)}, 80))
+        assert signed.columns == ["sig", "key"]
+        found_rows = signed.collect()
+        assert all(r.sig & 0xFFFF == 0 and 0 <= r.key < 1 << 40 for r in found_rows)
+        assert {r.sig & ngram_join._HOT_BIT for r in found_rows} == {0, ngram_join._HOT_BIT}
+        for bits in (0, 2, 5):  # so many sets share a name
+            ngram_join._KEY_BITS = bits
+            assert found(spark, rows) == brute(rows)
+    finally:
+        ngram_join._HOT, ngram_join._KEY_BITS = before
+
+
+def test_sketches_have_at_most_two_bits_an_element_and_never_hide_a_link(spark):
+    rnd = random.Random(4)
+    rows = [(i, " ".join(f"v{rnd.randrange(10**6)}" for _ in range(n))) for i, n in enumerate([5, 36, 68, 69, 132, 133, 260, 700, 1500])]
+    sketched = ngram_join._sketches(spark.createDataFrame(rows, "doc_id long, text string"), 5).collect()
+    assert all(8 * len(r.sketch) <= max(64, 2 * r.size) for r in sketched)
+    for i, text in list(rows):
+        w = text.split()
+        rows += [(100 * i + k + 100, " ".join(w[: len(w) - len(w) // 6 * (k == 0)] + [f"x{k}y{j}" for j in range(len(w) // 6 * (k > 0))])) for k in range(2)]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_few_members_meet_as_pairs_and_many_in_blocks_alike(spark):
+    before = ngram_join._FEW
+    rows = templated(60, 11)
+    try:
+        for few in (0, 8, 1000):
+            ngram_join._FEW = few
+            assert found(spark, rows) == brute(rows)
+    finally:
+        ngram_join._FEW = before
+
+
+def test_tables_of_texts_go_once_they_are_read(spark):
+    from partwise.llm import _batches
+
+    first = len(_batches._WRITTEN)
+    classes = ngram_join.jaccard_classes(spark.createDataFrame(templated(40, 12), "doc_id long, text string"))
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [p for p in _batches._WRITTEN[first:] if (at := jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(conf).exists(at)]
+    assert paths and not any({"text", "sketch"} & set(spark.read.parquet(p).columns) for p in paths)
+    assert len(classes.collect()) == 46

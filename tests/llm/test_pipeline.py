@@ -27,3 +27,16 @@ def test_run_matches_a_brute_force_version(spark, sf_small):
     rows = corpus_pipeline.run(spark, sf_small).collect()
     assert Counter(r.doc_id for r in rows) == Counter({d: t // n for d, (t, n) in mixed.items() if n and t})
     assert all(list(r.ids) == library.encode_ordinary(texts[r.doc_id]) for r in rows)
+
+
+def test_near_duplicates_leaves_no_table_of_texts_behind(spark, sf_small):
+    from partwise.llm import _batches
+
+    first = len(_batches._WRITTEN)
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    left = corpus_pipeline.near_duplicates(spark, docs, sf_small)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [p for p in _batches._WRITTEN[first:] if (at := jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(conf).exists(at)]
+    assert paths and not any({"text", "sketch"} & set(spark.read.parquet(p).columns) for p in paths)
+    classes = brute([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    assert {r.doc_id for r in left.select("doc_id").collect()} == {d for d, (_, c) in classes.items() if c == d}

@@ -44,18 +44,15 @@ def distinct_parts(parts: DataFrame, files: DataFrame, collection: str, part: st
 
 
 def _whole_utf16(body: Column, big_endian: bool) -> Column:
-    """Whether bytes are UTF-16: an even number of them, and surrogates only in pairs, high before low."""
-    high = lambda i: F.conv(F.hex(F.substring(body, 2 * i + (1 if big_endian else 2), 1)), 16, 10).cast("int")
-    unit = lambda h: F.when(h.between(0xD8, 0xDB), 1).when(h.between(0xDC, 0xDF), 2).otherwise(0)
-    start = F.struct(F.lit(False).alias("waits"), F.lit(True).alias("good"))
-
-    def step(s: Column, i: Column) -> Column:
-        kind = unit(high(i))
-        return F.struct((kind == 1).alias("waits"), (s["good"] & (s["waits"] == (kind == 2))).alias("good"))
-
-    places = F.when(F.length(body) > 1, F.sequence(F.lit(0), F.expr("0") + (F.length(body) / 2).cast("int") - 1)).otherwise(F.array().cast("array<int>"))
-    folded = F.aggregate(places, start, step)
-    return (F.length(body) % 2 == 0) & folded["good"] & ~folded["waits"]
+    """Whether bytes are UTF-16: an even number of them, and surrogates only in pairs, high before low.
+
+    Bytes are taken as Latin-1 characters, two to a unit, and the first surrogate is looked for that is a high one without
+    a low one behind it, or a low one without a high one before it: one pass, without recursion.
+    """
+    unit = (lambda top: rf"[{top}].") if big_endian else (lambda top: rf".[{top}]")
+    high, low, either = unit(r"\xD8-\xDB"), unit(r"\xDC-\xDF"), unit(r"\xD8-\xDF")
+    alone = rf"(?s)\A(?:..)*?{either}(?:(?<={high})(?!{low})|(?<={low})(?<!{high}{low}))"
+    return (F.length(body) % 2 == 0) & ~F.decode(body, "ISO-8859-1").rlike(alone)
 
 
 def decoded(payloads: DataFrame, decoder: str | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from partwise.functions import columns
 from partwise.operators import cues as cu
 from partwise.operators import folds
 from partwise.operators import intervals as iv
+from partwise.sources import subtitles as sub
 from pyspark.sql import functions as F
 
 N = 100_000
@@ -29,6 +30,14 @@ def test_gate_of_one_part(spark, clock):
     assert found == {None: N - third, "processing_duplication": third}
 
 
+def test_utf16_of_one_payload(spark, clock):
+    text = F.repeat(F.concat(F.lit("aé😀"), F.col("id").cast("string")), 30 * N)
+    rows = spark.range(1, 3).select("id", F.encode(text, "UTF-16BE").alias("whole"), F.lit("utf-16be").alias("d"))
+    rows = rows.select("id", "d", F.when(F.col("id") == 1, F.col("whole")).otherwise(F.concat("whole", F.unhex(F.lit("D83D")))).alias("content"))
+    found = {r.id: (r.state, r.n) for r in sub.decoded(rows, "d").select("id", "state", F.length("text").alias("n")).collect()}
+    assert found == {1: ("decoded", 4 * 30 * N), 2: ("encoding_ambiguous", None)}
+
+
 def test_chapters_of_one_part(spark, clock):
     rows = spark.range(N).select(F.lit(1).cast("long").alias("part_id"), F.col("id").alias("pos"), F.lit(True).alias("own_part"), (F.col("id") * 7919 % N * 2).alias("start_ordinal"), (F.col("id") * 7919 % N * 2 + 1 + F.col("id") % 2).alias("end_ordinal"), F.lit(4 * N).alias("last"))
     found = folds.first_wins(rows)

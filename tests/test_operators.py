@@ -1,5 +1,7 @@
 """Operators on tables of a caller's own, with worked cases."""
 
+import random
+
 import pytest
 from partwise.functions import columns
 from partwise.operators import audit, cues as cu, screen, segments, speech, suspicion, tracks, urls
@@ -37,6 +39,21 @@ def test_broken_payloads_are_ambiguous_and_do_not_stop_the_job(spark):
     assert found == {1: ("decoded", "aé😀"), 2: bad, 3: bad, 4: bad, 5: bad, 6: ("decoded", "aé😀"), 7: ("decoded", "쎩"), 8: bad, 9: ("decoded", "")}
 
 
+def test_utf16_is_whole_where_a_strict_decoder_says_so(spark):
+    rng, units = random.Random(31), (0x41, 0x0A, 0xD7FF, 0xD800, 0xDBFF, 0xDC00, 0xDFFF, 0xE000, 0x41D8, 0xDC)
+    cases = []
+    for i in range(600):
+        name, order = (("utf-16le", "little"), ("utf-16be", "big"))[i % 2]
+        body = b"".join(rng.choice(units).to_bytes(2, order) for _ in range(rng.randrange(9))) + b"\xd8" * (i % 20 == 0)
+        try:
+            want = body.decode(name.replace("16", "16-"))
+        except UnicodeDecodeError:
+            want = None
+        cases.append((i, body, name, want))
+    found = {r.i: (r.state, r.text) for r in sub.decoded(spark.createDataFrame(cases, "i int, content binary, d string, want string"), "d").collect()}
+    assert found == {i: ("encoding_ambiguous" if want is None else "decoded", want) for i, _, _, want in cases}
+
+
 @pytest.mark.parametrize("form, text, want", [
     ("srt", "1\n00:00:01,000 --> 00:00:02,000\nNOTES on a talk\n\n2\n00:00:03,000 --> 00:00:04,500\nx", (None, [(None if 0 else "1", "", 1000, 2000, "NOTES on a talk"), ("2", "", 3000, 4500, "x")])),
     ("srt", "NOTES\n00:00:01,000 --> 00:00:02,000\nx", (None, [("NOTES", "", 1000, 2000, "x")])),
